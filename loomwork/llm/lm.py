@@ -1,0 +1,125 @@
+"""Cross-entropy difference between a target and a background language model.
+
+Both models are n-gram models of ORDER 4 over one shared vocabulary of 64
+symbols (letters without case, digits, space, a few signs, and 32 classes of
+the bytes of other scripts), with Witten-Bell interpolation down to a uniform
+model.  The background model counts every document; the target model counts
+every document whose label marks it as wanted.  A document's score is its mean
+loss in bits per symbol under the target model minus that under the background
+model: lower means more like the target.
+
+Counts are summed where the text is read and then by n-gram, over all of the
+corpus.  There are at most 64 ** 4 n-grams, whatever the size of the corpus,
+and that bounds what is broadcast.  Null and empty texts have no symbols and
+score 0.  Repeated rows each get their own row.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import id_and_text, texts
+
+ORDER = 4
+SYMBOLS = 64
+SIZE = SYMBOLS**ORDER
+
+
+def _symbols() -> np.ndarray:
+    table = np.full(256, 31, np.uint32)
+    for b in range(128):
+        c = chr(b)
+        if c.isalpha():
+            table[b] = ord(c.lower()) - 96
+        elif c.isdigit():
+            table[b] = 27
+        elif c.isspace():
+            table[b] = 28
+    table[ord(".")], table[ord(",")] = 29, 30
+    table[128:] = 32 + (np.arange(128, 256) & 31)
+    return table
+
+
+SYMBOL = _symbols()
+
+
+def grams(text: str) -> np.ndarray:
+    """The 4-gram ending at every symbol, as a number; symbol 0 stands before the start."""
+    s = np.concatenate([np.zeros(ORDER - 1, np.uint32), SYMBOL[np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)]])
+    return (s[:-3] << 18) | (s[1:-2] << 12) | (s[2:-1] << 6) | s[3:]
+
+
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One sum per task, so a gram leaves a task once at most."""
+    total, any_text = np.zeros(SIZE, np.uint32), False
+    for batch in batches:
+        for text in texts(batch):
+            g = grams(text)
+            any_text = any_text or len(g) > 0
+            if len(g) > 1 << 16:
+                total += np.bincount(g, minlength=SIZE).astype(np.uint32)
+            else:
+                u, n = np.unique(g, return_counts=True)
+                total[u] += n.astype(np.uint32)
+    if any_text:
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at].astype(np.int64))], ["gram", "n"])
+
+
+def counts(texts_: DataFrame) -> DataFrame:
+    return texts_.select("text").mapInArrow(_counts, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+
+
+def losses(gram: np.ndarray, n: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Bits of the grams `at` under the model that counted n of each gram."""
+    p = np.full(SYMBOLS, 1 / SYMBOLS)
+    for order in range(1, ORDER + 1):
+        last, size = SYMBOLS**order, SYMBOLS ** (order - 1)
+        want = np.arange(last) if order < ORDER else at
+        low, count = np.unique(gram % last, return_inverse=True)
+        count = np.bincount(count, weights=n, minlength=len(low))
+        history = low >> 6
+        total, kinds = np.bincount(history, weights=count, minlength=size), np.bincount(history, minlength=size)
+        pos = np.minimum(np.searchsorted(low, want), max(0, len(low) - 1))
+        seen = np.where(low[pos] == want, count[pos], 0) if len(low) else np.zeros(len(want))
+        h = want >> 6
+        share = total[h] + kinds[h]
+        back = p[want % max(SYMBOLS, last // SYMBOLS)]
+        p = np.where(share > 0, (seen + kinds[h] * back) / np.maximum(share, 1), back)
+    return -np.log2(p)
+
+
+def _scorer(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, target, background = shared.value
+        table = np.zeros((2, SIZE), np.float32)
+        table[0, at], table[1, at] = target, background
+        for batch in batches:
+            rows = []
+            for text in texts(batch):
+                g = grams(text)
+                rows.append((len(g), float(table[0, g].sum(dtype=np.float64)), float(table[1, g].sum(dtype=np.float64))))
+            n, t, b = np.array(rows, np.float64).reshape(-1, 3).T
+            per = np.maximum(n, 1)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n.astype(np.int64)), pa.array(t / per), pa.array(b / per), pa.array((t - b) / per)], ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
+
+    return run
+
+
+def score_difference(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", wanted: int = 1) -> DataFrame:
+    """doc_id, n_tokens, target_loss, background_loss, score."""
+    own = id_and_text(docs, id_col, text_col)
+    target = labels.where(F.col(label_col) == wanted).select(F.col(id_col).cast("long").alias("doc_id"))
+    both = counts(own).withColumnRenamed("n", "b").join(counts(own.join(target, "doc_id", "left_semi")), "gram", "left")
+    got = both.select("gram", "b", F.coalesce("n", F.lit(0)).alias("t")).toPandas().sort_values("gram")
+    at = got.gram.to_numpy(np.int64)
+    b, t = (got[c].to_numpy(np.float64) for c in "bt")
+    held = t > 0
+    model = (at, losses(at[held], t[held], at).astype(np.float32), losses(at, b, at).astype(np.float32))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return own.mapInArrow(_scorer(shared), "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
