@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact, langid, lm, packing, pii, quality, simhash, toxicity
+from . import decontaminate, exact, langid, lm, packing, pii, quality, simhash, suffix, toxicity
 from .common import table
 
 
@@ -26,6 +26,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_difference(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -48,6 +52,6 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_pii, op2_quality, op3_exact_dedup, op4_simhash, op6_lm_score, op7_decontaminate, op8_packing, op9_toxicity, op10_language)
+    for f in (op1_pii, op2_quality, op3_exact_dedup, op4_simhash, op5_suffix_dedup, op6_lm_score, op7_decontaminate, op8_packing, op9_toxicity, op10_language)
 }
 ORACLE_SQL: dict[str, str] = {"op3_exact_dedup": exact.ORACLE_SQL}
