@@ -221,6 +221,8 @@ def cropped(strings: list[bytes], at: np.ndarray, group: np.ndarray) -> tuple[np
         live = np.arange(len(strings))
         for step in range(CROP, WINDOW, CROP):
             live = live[room[live] >= step]
+            if not len(live):
+                break
             edge = begin[live] + at[live] + (GRAM if side > 0 else 0)
             h = range_hash(sums, edge - (step if side < 0 else 0), edge + (step if side > 0 else 0))
             order = np.lexsort([h, group[live]])
