@@ -18,7 +18,8 @@ from __future__ import annotations
 import numpy as np
 
 CAP = 200
-SPAN = 64
+SPAN = 32
+NEAR = 8
 
 
 class RangeMin:
@@ -39,15 +40,9 @@ class RangeMin:
             self.levels.append(level)
 
     def __call__(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-        out = self.pad[lo]
         size = hi - lo
-        some = np.flatnonzero(size > 0)
-        if not len(some):
-            return out
-        top = int(size[some].max())
-        for step in range(1, min(top, 7) + 1):  # most ranges are short
-            out[some] = np.minimum(out[some], self.pad[np.minimum(lo[some] + step, hi[some])])
-        far = np.flatnonzero(size > 7)
+        out = self.pad[np.minimum(lo[:, None] + np.arange(NEAR), hi[:, None])].min(1)  # most ranges are short
+        far = np.flatnonzero(size >= NEAR)
         if len(far):
             a, b = lo[far], hi[far]
             col = np.arange(SPAN)
@@ -111,10 +106,11 @@ def build(strings: list[bytes], cap: int = CAP) -> tuple[np.ndarray, np.ndarray]
         fresh = np.zeros(n + len(at), np.uint8)
         fresh[kept] = lcp
         minima = RangeMin(lcp)
-        has = np.flatnonzero(place > head[c])
-        fresh[place[has]] = np.minimum(minima(both[place[has] - 1] + 1, r[has]), cap - 1) + 1
-        has = np.flatnonzero(place + 1 < tail[c])
-        fresh[place[has] + 1] = np.minimum(minima(r[has] + 1, both[place[has] + 1]), cap - 1) + 1
+        left, right = np.flatnonzero(place > head[c]), np.flatnonzero(place + 1 < tail[c])
+        lo = np.concatenate([both[place[left] - 1] + 1, r[right] + 1])
+        hi = np.concatenate([r[left], both[place[right] + 1]])
+        # of two new rows side by side both give the same value for the second
+        fresh[np.concatenate([place[left], place[right] + 1])] = np.minimum(minima(lo, hi), cap - 1) + 1
         # name rows of this round from here on
         rows, lcp = old_to[both], fresh
         rows[:m] = np.arange(m)

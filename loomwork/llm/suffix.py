@@ -40,6 +40,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,9 +53,9 @@ WINDOW = LENGTH - GRAM + 1
 BITS = 1 << 26
 HOT = 4096
 SLICES = 64
-CHUNK = 1 << 20
-CROP = 24
-BATCH_STRINGS = 2000
+CHUNK = 1 << 18
+CROP = 12
+BATCH_STRINGS = 3000
 
 _BASE = 0x9E3779B97F4A7C15
 _LOW = np.uint64((1 << 24) - 1)
@@ -101,27 +102,58 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(right[: len(x) - w + 1], left[w - 1 : len(x)])
 
 
-def runs(b: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
-    """Of a document's bytes, piece by piece: the sums of the piece and where it
-    starts; then by run: seed, context hash, first start (in the piece), number
-    of starts, place of the seed."""
-    for a in range(0, len(b) - LENGTH + 1, CHUNK):
-        part = b[a : a + CHUNK + LENGTH - 1]
-        n = len(part)
-        sums = prefix_sums(part)
-        gram = mixed((sums[GRAM:] - sums[:-GRAM]) * powers(n + 1)[1][: n - GRAM + 1])
+class Part:
+    """Texts, or pieces of long ones, side by side, and their runs.
+
+    By run: which text of the batch, seed, context hash, first start in this
+    part, number of starts, place of the seed.  shift + a place in this part
+    is a place in the text.
+    """
+
+    def __init__(self, pieces: list[tuple[int, int, bytes]]):
+        size = np.array([len(p) for _, _, p in pieces])
+        base = np.cumsum(size) - size
+        self.bytes = np.frombuffer(b"".join([p for _, _, p in pieces]), np.uint8)
+        n = len(self.bytes)
+        self.sums = prefix_sums(self.bytes)
+        gram = mixed((self.sums[GRAM:] - self.sums[:-GRAM]) * powers(n + 1)[1][: n - GRAM + 1])
         least = sliding_min((gram & ~_LOW) | np.arange(len(gram), dtype=np.uint64), WINDOW)
-        lo = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
-        at = (least[lo] & _LOW).astype(np.int64)
-        hi = np.append(lo[1:], len(least)) + LENGTH - 1
-        context = range_hash(sums, lo, hi) + mixed((at - lo).astype(np.uint64) + np.uint64(1))
-        yield sums, part, a, gram[at].view(np.int64), context.view(np.int64), lo, hi - lo - LENGTH + 1, at
+        new = np.concatenate([[True], least[1:] != least[:-1]])
+        new[base] = True
+        lo = np.flatnonzero(new)
+        which = np.searchsorted(base, lo, side="right") - 1
+        past = (base + size - LENGTH + 1)[which]  # later strings would reach into the next text
+        end = np.minimum(np.append(lo[1:], len(least)), past)
+        own = np.flatnonzero(end > lo)
+        self.lo, which = lo[own], which[own]
+        self.n = end[own] - self.lo
+        self.at = (least[self.lo] & _LOW).astype(np.int64)
+        self.seed = gram[self.at].view(np.int64)
+        near = mixed((self.at - self.lo).astype(np.uint64) + np.uint64(1))
+        self.context = (range_hash(self.sums, self.lo, self.lo + self.n + LENGTH - 1) + near).view(np.int64)
+        self.text = np.array([t for t, _, _ in pieces])[which]
+        self.shift = (np.array([a for _, a, _ in pieces]) - base)[which]
+
+
+def parts(texts_: list[str]) -> Iterator[Part]:
+    """All texts of a batch, about CHUNK bytes at a time; a longer text in pieces that overlap by a string."""
+    held, size = [], 0
+    for k, text in enumerate(texts_):
+        data = text.encode("utf-8", "surrogatepass")
+        for a in range(0, len(data) - LENGTH + 1, CHUNK):
+            held.append((k, a, data[a : a + CHUNK + LENGTH - 1]))
+            size += len(held[-1][2])
+            if size >= CHUNK:
+                yield Part(held)
+                held, size = [], 0
+    if held:
+        yield Part(held)
 
 
 def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """seed, runs, smallest and largest context: one row a seed and batch."""
     for batch in batches:
-        found = [(s, c) for text in batch.column(0).to_pylist() for _, _, _, s, c, *_ in runs(np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8))]
+        found = [(p.seed, p.context) for p in parts(batch.column(0).to_pylist())]
         if not found:
             continue
         seed, context = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -169,24 +201,21 @@ def _runs(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatc
         repeated, several, hot = shared.value
         for batch in batches:
             sent: set[tuple[int, int]] = set()
-            cols: list[list] = [[] for _ in range(9)]
-            for doc_id, tag, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for _, part, a, seed, context, lo, n, at in runs(np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)):
-                    many, big = several.has(seed), hot.has(seed)
-                    own = np.flatnonzero(repeated.has(seed) & ~(many & big))
-                    if not len(own):
-                        continue
-                    seed, context, lo, n, at, many, big = (x[own] for x in (seed, context, lo, n, at, many, big))
-                    piece = [None] * len(own)
-                    for k in np.flatnonzero(many).tolist():
-                        key = (int(seed[k]), int(context[k]))
-                        if key not in sent:
-                            sent.add(key)
-                            piece[k] = part[lo[k] : lo[k] + n[k] + LENGTH - 1].tobytes()
-                    where = np.where(big, (tag + (doc_id or 0)) % SLICES, 0)
-                    for col, x in zip(cols, (seed, where, context, [doc_id] * len(own), [tag] * len(own), lo + a, n, at - lo, piece), strict=True):
-                        col.extend(x)
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, f.type) for c, f in zip(cols, _RUN, strict=False)), pa.nulls(len(cols[0]), pa.int64())], schema=_RUN)
+            ids, tags = batch.column(0), batch.column(1).to_numpy()
+            mixed_ids = tags + pc.fill_null(ids, 0).to_numpy()
+            for p in parts(batch.column(2).to_pylist()):
+                many, big = several.has(p.seed), hot.has(p.seed)
+                own = np.flatnonzero(repeated.has(p.seed) & ~(many & big))
+                piece = [None] * len(own)
+                for j, k in enumerate(own.tolist()):
+                    if many[k] and (key := (int(p.seed[k]), int(p.context[k]))) not in sent:
+                        sent.add(key)
+                        piece[j] = p.bytes[p.lo[k] : p.lo[k] + p.n[k] + LENGTH - 1].tobytes()
+                text, lo = p.text[own], p.lo[own]
+                where = np.where(big[own], mixed_ids[text] % SLICES, 0)
+                cols = (p.seed[own], where, p.context[own], ids.take(pa.array(text)), tags[text], lo + p.shift[own], p.n[own], p.at[own] - lo, piece)
+                filled = [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(cols, _RUN, strict=False)]
+                yield pa.RecordBatch.from_arrays([*filled, pa.nulls(len(own), pa.int64())], schema=_RUN)
 
     return run
 
@@ -234,37 +263,41 @@ def cropped(strings: list[bytes], at: np.ndarray, group: np.ndarray) -> tuple[np
 
 
 class Shard:
-    """Turns the rows of one shard, sorted by seed, slice and context, into marks."""
+    """Turns the rows of one shard, sorted by seed, slice and context, into marks.
+    A row: context, doc_id, tag, start, number of starts, place of the seed, bytes."""
 
     def __init__(self) -> None:
-        self.waiting: list[tuple[list, list]] = []  # (runs by context, bytes by context) of one seed
+        self.waiting: list[list[list[tuple]]] = []  # by seed, by context
         self.strings = 0
 
-    def group(self, rows: list[dict], total: int | None) -> Iterator[tuple]:
+    def group(self, rows: list[tuple], total: int | None) -> Iterator[tuple]:
         """All rows of one seed and slice."""
         if not rows or (total or 0) < 2:
             return
-        by: dict[int, list[dict]] = {}
-        for r in rows:
-            by.setdefault(r["context"], []).append(r)
-        if len(by) == 1:
+        if rows[0][0] == rows[-1][0]:
             # the seed's only context, or all that this slice of copies has of it
-            for r in rows:
-                yield r["doc_id"], r["tag"], r["start"], r["start"] + r["n"]
+            for _, doc_id, tag, start, n, *_ in rows:
+                yield doc_id, tag, start, start + n
             return
-        self.waiting.append((list(by.values()), [next((r["bytes"] for r in rs if r["bytes"] is not None)) for rs in by.values()]))
-        self.strings += len(by)
+        sets: list[list[tuple]] = []
+        for r in rows:
+            if sets and sets[-1][0][0] == r[0]:
+                sets[-1].append(r)
+            else:
+                sets.append([r])
+        self.waiting.append(sets)
+        self.strings += len(sets)
         if self.strings >= BATCH_STRINGS:
             yield from self.flush()
 
     def flush(self) -> Iterator[tuple]:
         todo, self.waiting, self.strings = self.waiting, [], 0
-        sets = [rs for group, _ in todo for rs in group]
-        strings = [s for _, group in todo for s in group]
-        if not strings:
+        sets = [rs for group in todo for rs in group]
+        if not sets:
             return
-        at = np.array([rs[0]["at"] for rs in sets])
-        left, right = cropped(strings, at, np.repeat(np.arange(len(todo)), [len(g) for g, _ in todo]))
+        strings = [next(r[6] for r in rs if r[6] is not None) for rs in sets]
+        at = np.array([rs[0][5] for rs in sets])
+        left, right = cropped(strings, at, np.repeat(np.arange(len(todo)), [len(g) for g in todo]))
         keep = np.flatnonzero(left + right + GRAM >= LENGTH)
         flags = [np.empty(0, bool)] * len(strings)
         if len(keep):
@@ -275,13 +308,13 @@ class Shard:
                 a += len(s)
         for k, rs in enumerate(sets):
             if len(rs) > 1:
-                spans = [(0, rs[0]["n"])]
+                spans_ = [(0, rs[0][4])]
             else:
                 edge = np.flatnonzero(np.diff(np.concatenate([[0], flags[k].view(np.int8), [0]]))) + (at[k] - left[k])
-                spans = list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True))
-            for r in rs:
-                for x, y in spans:
-                    yield r["doc_id"], r["tag"], r["start"] + x, r["start"] + y
+                spans_ = list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True))
+            for _, doc_id, tag, start, *_ in rs:
+                for x, y in spans_:
+                    yield doc_id, tag, start + x, start + y
 
 
 MARK = "doc_id long, tag long, a long, b long"
@@ -294,21 +327,20 @@ def _mark_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Starts a to b (exclusive) of a document are repeated.  Heads sort first in their group."""
-    shard, now, rows, total, out = Shard(), None, [], None, []
+    shard, now, rows, total = Shard(), None, [], None
     for batch in batches:
-        for r in batch.to_pylist():
-            key = (r["seed"], r["slice"])
-            if key != now:
+        out: list[tuple] = []
+        names = [f.name for f in _RUN]
+        for seed, where, context, doc_id, tag, start, n, at, piece, count in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+            if (seed, where) != now:
                 out += shard.group(rows, total)
-                now, rows, total = key, [], None
-            if r["total"] is not None:
-                total = r["total"]
+                now, rows, total = (seed, where), [], None
+            if count is not None:
+                total = count
             else:
-                rows.append(r)
+                rows.append((context, doc_id, tag, start, n, at, piece))
         yield _mark_batch(out)
-        out = []
-    out += shard.group(rows, total)
-    out += shard.flush()
+    out = [*shard.group(rows, total), *shard.flush()]
     yield _mark_batch(out)
 
 
@@ -330,17 +362,19 @@ def _hot(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, several, hot = shared.value
         for batch in batches:
-            for doc_id, tag, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for sums, part, a, seed, _, lo, n, _ in runs(np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)):
-                    own = np.flatnonzero(several.has(seed) & hot.has(seed))
-                    if not len(own):
-                        continue
-                    p = np.concatenate([np.arange(lo[k], lo[k] + n[k]) for k in own])
-                    h = range_hash(sums, p, p + LENGTH), range_hash(prefix_sums(part, TABLE2), p, p + LENGTH)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(h[0].view(np.int64)), pa.array(h[1].view(np.int64)), pa.array([doc_id] * len(p), pa.int64()), pa.array(np.full(len(p), tag)), pa.array(p + a)],
-                        ["h0", "h1", "doc_id", "tag", "a"],
-                    )
+            ids, tags = batch.column(0), batch.column(1).to_numpy()
+            for part in parts(batch.column(2).to_pylist()):
+                own = np.flatnonzero(several.has(part.seed) & hot.has(part.seed))
+                if not len(own):
+                    continue
+                k = np.repeat(own, part.n[own])
+                p = part.lo[k] + np.arange(len(k)) - np.searchsorted(k, k)
+                h = range_hash(part.sums, p, p + LENGTH), range_hash(prefix_sums(part.bytes, TABLE2), p, p + LENGTH)
+                text = part.text[k]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(h[0].view(np.int64)), pa.array(h[1].view(np.int64)), ids.take(pa.array(text)), pa.array(tags[text]), pa.array(p + part.shift[k])],
+                    ["h0", "h1", "doc_id", "tag", "a"],
+                )
 
     return run
 
@@ -355,7 +389,7 @@ def repeated_marks(own: DataFrame, bits: int = BITS, hot: int = HOT) -> DataFram
     rows = own.mapInArrow(_runs(shared), RUN).unionByName(seeds.select("seed", "n").mapInArrow(_heads(shared), RUN))
     marks = rows.repartition("seed", "slice").sortWithinPartitions("seed", "slice", F.col("total").isNull(), "context").mapInArrow(_marks, MARK)
     if seeds.where(F.col("n") > 1).select("seed").mapInArrow(_left_to_hot(shared), "seed long").limit(1).count():
-        strings = own.mapInArrow(_hot(shared), "h0 long, h1 long, doc_id long, tag long, a long").withColumn("one", F.xxhash64("doc_id", "a"))
+        strings = materialise(own.mapInArrow(_hot(shared), "h0 long, h1 long, doc_id long, tag long, a long"), "strings").withColumn("one", F.xxhash64("doc_id", "a"))
         groups = spread_groups(strings, ["h0", "h1"], "one", SLICES).where("group_rows > 1")
         again = strings.withColumn("salt", F.pmod(F.xxhash64("one"), F.lit(SLICES)).cast("int")).join(groups, ["h0", "h1", "salt"])
         marks = marks.unionByName(again.select("doc_id", "tag", "a", (F.col("a") + 1).alias("b")))

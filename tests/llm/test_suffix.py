@@ -77,5 +77,5 @@ def test_pieces_of_long_texts(monkeypatch):
     rng = np.random.default_rng(1)
     b = rng.integers(97, 100, 3000).astype(np.uint8)
     monkeypatch.setattr(suffix, "CHUNK", 700)
-    starts = [a + lo + k for _, _, a, _, _, los, ns, _ in suffix.runs(b) for lo, n in zip(los, ns, strict=True) for k in range(n)]
-    assert sorted(starts) == list(range(len(b) - 199))
+    found = [(t, s + lo + k) for p in suffix.parts([b.tobytes().decode(), "x", "y" * 205]) for t, s, lo, n in zip(p.text, p.shift, p.lo, p.n, strict=True) for k in range(n)]
+    assert sorted(found) == [(0, k) for k in range(len(b) - 199)] + [(2, k) for k in range(6)]
