@@ -157,7 +157,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with the row of the smallest id of every component; all columns."""
+    """docs with the row of the smallest id of every component; all columns.
+
+    What leaves is written as a list of ids: it is usually the shorter side,
+    and Spark broadcasts it only below its own size threshold.
+    """
     found = near_duplicates(docs, id_col, text_col)
-    stay = materialise(found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__loom_id")).distinct(), "stay")
-    return docs.join(stay, docs[id_col].cast("long").eqNullSafe(stay["__loom_id"]), "left_semi")
+    gone = materialise(found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__loom_id")).distinct(), "gone")
+    return docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone["__loom_id"]), "left_anti")
