@@ -19,7 +19,8 @@ bytes its strings cover is its context.
    column-wise construction, as many seeds at a time as BATCH_STRINGS allows.
    A string whose row has a common prefix of 200 bytes with a neighbour starts
    in more than one place.
-3. A seed with more than HOT runs and different contexts could fill a task:
+3. A seed with more than HOT runs and different contexts could fill a task
+   (HOT contexts of 368 bytes take about 0.5 GB in the construction):
    its single strings are counted by 128-bit hash instead, spread over slices.
    Copies of one context under such a seed are spread in the same way.
 
@@ -51,7 +52,7 @@ LENGTH = 200
 GRAM = 32
 WINDOW = LENGTH - GRAM + 1
 BITS = 1 << 26
-HOT = 4096
+HOT = 32768
 SLICES = 64
 CHUNK = 1 << 18
 CROP = 12
