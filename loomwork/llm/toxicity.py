@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from .common import id_and_text, texts
 from .sample import sample_ids, sampled
 
-PER_CLASS = 4096
-MARKERS = 3072
+PER_CLASS = 3072
+MARKERS = 2048
 STRONG = 512
 FOLDS = 5
 CATEGORIES = ("marked", "repeated", "toxic")
