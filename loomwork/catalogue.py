@@ -1,10 +1,443 @@
-"""Registered queries with their SQL counterparts."""
+"""Registered queries over the driver's tables, each with its SQL counterpart.
+
+Document lines stand for steps, conversations for sections, a user's events
+for an ordered list, nation, part and supplier for authorities.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import text as T
+from .operators import diff, quality, resolve, sequence, structure
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+#: Leading words and what they stand for, in rule order.
+VERBS = [("the", "article"), ("of", "genitive"), ("in", "place"), ("de", "genitive"), ("la", "article"), ("and", "link"), ("to", "aim")]
+CLASSES = [(r"^$", "blank"), (r"\|", "table"), (r"[%&$*#]{3}", "noise"), (r"!!", "shout"), (r"[0-9]", "digits")]
+LINES = "SELECT doc_id, unnest(range(len(l))) AS line_no, trim(unnest(l), ' ') AS line FROM (SELECT doc_id, string_split(replace(text, chr(13) || chr(10), chr(10)), chr(10)) AS l FROM documents)"
+NORM = r"lower(trim(regexp_replace(line, '\s+', ' ', 'g')))"
+EVENTS = "SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos FROM events"
+
+
+def registered(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def step_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return structure.lines(read(spark, sf_dir, "documents"))
+
+
+def step_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return structure.duplicate_ordinals(read(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], "pos0").withColumn("pos", (F.col("pos0") + 1).cast("long")).drop("pos0")
+
+
+# --- document structure ---------------------------------------------------
+
+
+@registered(LINES)
+def lines_explode(spark, sf_dir):
+    return step_lines(spark, sf_dir)
+
+
+_CASES = " ".join(f"WHEN regexp_matches(line, '{p}') THEN '{n}'" for p, n in CLASSES)
+
+
+@registered(f"SELECT kind, count(*) AS n_lines, count(DISTINCT doc_id) AS n_docs FROM (SELECT *, CASE {_CASES} ELSE 'prose' END AS kind FROM ({LINES})) GROUP BY kind")
+def line_classify(spark, sf_dir):
+    kinds = step_lines(spark, sf_dir).withColumn("kind", structure.classify(F.col("line"), CLASSES, "prose"))
+    return kinds.groupBy("kind").agg(F.count(F.lit(1)).alias("n_lines"), F.countDistinct("doc_id").alias("n_docs"))
+
+
+@registered("""SELECT conv_id, block, min(turn) AS first_turn, max(turn) AS last_turn, count(*) AS n_turns FROM (
+  SELECT *, sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING) AS block FROM conversations) GROUP BY conv_id, block""")
+def block_segment(spark, sf_dir):
+    b = structure.blocks(read(spark, sf_dir, "conversations"), ["conv_id"], ["turn", "role", "text"], F.col("role") == "user")
+    return b.groupBy("conv_id", "block").agg(F.min("turn").alias("first_turn"), F.max("turn").alias("last_turn"), F.count(F.lit(1)).alias("n_turns"))
+
+
+@registered(f"""WITH e AS ({EVENTS}), s AS (SELECT *, CASE WHEN event_type = 'signup' THEN CAST(floor(value) AS BIGINT) END AS lit, CASE WHEN event_type = 'click' THEN 1 ELSE 0 END AS d FROM e),
+  g AS (SELECT *, sum(CASE WHEN lit IS NOT NULL THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS seg FROM s)
+  SELECT event_id, CAST(coalesce(first_value(lit) OVER w, 0) + sum(d) OVER w AS BIGINT) AS counter FROM g WINDOW w AS (PARTITION BY user_id, seg ORDER BY pos ROWS UNBOUNDED PRECEDING)""")
+def counter_simulation(spark, sf_dir):
+    lit = F.when(F.col("event_type") == "signup", F.floor("value").cast("long"))
+    got = structure.counters(step_events(spark, sf_dir), ["user_id"], ["pos"], lit, F.when(F.col("event_type") == "click", 1).otherwise(0), "counter")
+    return got.select("event_id", F.col("counter").cast("long").alias("counter"))
+
+
+@registered("""SELECT conv_id, turn, role, last_value(CASE WHEN role = 'user' THEN turn END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING) AS header_turn FROM conversations""")
+def header_carry(spark, sf_dir):
+    c = structure.carried(read(spark, sf_dir, "conversations"), ["conv_id"], ["turn", "role", "text"], F.when(F.col("role") == "user", F.col("turn")), "header_turn")
+    return c.select("conv_id", "turn", "role", "header_turn")
+
+
+_IDS = f"""SELECT doc_id, line_no, dup, left(sha1(CAST(doc_id AS VARCHAR) || '|' || norm || CASE WHEN dup > 0 THEN '#' || CAST(dup AS VARCHAR) ELSE '' END), 10) AS step_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, norm ORDER BY line_no) - 1 AS dup FROM (SELECT *, {NORM} AS norm FROM ({LINES})) WHERE norm <> '')"""
+
+
+@registered(_IDS)
+def step_ids(spark, sf_dir):
+    return structure.stable_ids(step_lines(spark, sf_dir), "doc_id", "line", ["line_no"]).select("doc_id", "line_no", F.col("dup").cast("long").alias("dup"), "step_id")
+
+
+@registered(f"SELECT doc_id, line_no, row_number() OVER (PARTITION BY doc_id, line ORDER BY line_no) - 1 AS dup FROM ({LINES})")
+def dup_ordinals(spark, sf_dir):
+    return structure.duplicate_ordinals(step_lines(spark, sf_dir), ["doc_id", "line"], ["line_no"]).select("doc_id", "line_no", F.col("dup").cast("long").alias("dup"))
+
+
+# --- text to fields -------------------------------------------------------
+
+
+@registered("""SELECT page_id, pos, link FROM (SELECT page_id, unnest(l) AS link, unnest(range(len(l))) AS pos FROM (SELECT page_id, regexp_extract_all(html, 'href="([^"]*)"', 1) AS l FROM pages))""")
+def links_extract(spark, sf_dir):
+    found = F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))
+    return read(spark, sf_dir, "pages").select("page_id", F.posexplode(found).alias("pos", "link"))
+
+
+@registered("""SELECT page_id, pos, regexp_replace(u, '[.,;:)]+$', '') AS url FROM (SELECT page_id, unnest(l) AS u, unnest(range(len(l))) AS pos FROM (SELECT page_id, regexp_extract_all(html, '(https?://[^\\s"<>\\]]+)', 1) AS l FROM pages))""")
+def urls_extract(spark, sf_dir):
+    return read(spark, sf_dir, "pages").select("page_id", F.posexplode(T.urls(F.col("html"))).alias("pos", "url"))
+
+
+@registered(r"""SELECT doc_id, unnest(l) AS numbers, unnest(range(len(l))) AS pos FROM (SELECT doc_id, regexp_extract_all(text, '\(([0-9]+(?:\s*,\s*[0-9]+)*)\)', 1) AS l FROM documents)""")
+def tuple_extract(spark, sf_dir):
+    return read(spark, sf_dir, "documents").select("doc_id", F.posexplode(T.number_tuples(F.col("text"))).alias("pos", "numbers"))
+
+
+_VERB = " ".join(f"WHEN lower(line) = '{p}' OR substr(lower(line), 1, {len(p) + 1}) IN ('{p} ', '{p}:', '{p}-') THEN '{i}'" for p, i in VERBS)
+
+
+@registered(f"SELECT doc_id, line_no, intent FROM (SELECT *, CASE {_VERB} END AS intent FROM ({LINES})) WHERE intent IS NOT NULL")
+def verb_rules(spark, sf_dir):
+    return structure.verb_rules(step_lines(spark, sf_dir), "line", VERBS).where("intent is not null").select("doc_id", "line_no", "intent")
+
+
+@registered(f"SELECT doc_id, line_no, regexp_extract(line, '((?:[A-Z][a-z]+ )+[A-Z][a-z]+)', 1) AS name FROM ({LINES}) WHERE regexp_matches(line, '((?:[A-Z][a-z]+ )+[A-Z][a-z]+)')")
+def proper_noun_run(spark, sf_dir):
+    name = F.regexp_extract("line", "((?:[A-Z][a-z]+ )+[A-Z][a-z]+)", 1)
+    return step_lines(spark, sf_dir).withColumn("name", name).where("name <> ''").select("doc_id", "line_no", "name")
+
+
+@registered(r"""SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '\{\{[^}]*\}\}', ' ', 'g'), '\s+', ' ', 'g')) AS plain FROM pages""")
+def pages_text(spark, sf_dir):
+    return read(spark, sf_dir, "pages").select("page_id", T.plain_markup(F.col("html")).alias("plain"))
+
+
+# --- names to entities ----------------------------------------------------
+
+
+@registered("""SELECT name, string_agg(DISTINCT intent, ',' ORDER BY intent) AS intents FROM (
+  SELECT lower(p_name) AS name, 'item' AS intent FROM part UNION ALL SELECT lower(s_name), 'npc' FROM supplier UNION ALL SELECT lower(n_name), 'place' FROM nation UNION ALL SELECT lower(r_name), 'nav' FROM region) GROUP BY name""")
+def candidates_intents(spark, sf_dir):
+    sides = [("part", "p_name", "item"), ("supplier", "s_name", "npc"), ("nation", "n_name", "place"), ("region", "r_name", "nav")]
+    rows = None
+    for name, col, intent in sides:
+        one = read(spark, sf_dir, name).select(F.lower(col).alias("name"), F.lit(intent).alias("intent"))
+        rows = one if rows is None else rows.unionByName(one)
+    return rows.groupBy("name").agg(F.array_join(F.sort_array(F.collect_set("intent")), ",").alias("intents"))
+
+
+_SING = "CASE WHEN length({0}) < 4 THEN {0} WHEN {0} LIKE '%ies' THEN regexp_replace({0}, 'ies$', '') || 'y' WHEN {0} LIKE '%ss' THEN {0} WHEN {0} LIKE '%s' THEN regexp_replace({0}, 's$', '') ELSE {0} END"
+_CASE = "upper(substr({0}, 1, 1)) || lower(substr({0}, 2))"
+
+
+@registered(f"""WITH v AS (SELECT p_partkey, p_name AS a, {_SING.format('p_name')} AS b FROM part), w AS (SELECT p_partkey, unnest([a, b, {_CASE.format('a')}, {_CASE.format('b')}]) AS variant, unnest([0, 1, 2, 3]) AS k FROM v)
+  SELECT p_partkey, string_agg(variant, '|' ORDER BY k) AS variants FROM (SELECT p_partkey, variant, min(k) AS k FROM w GROUP BY p_partkey, variant) GROUP BY p_partkey""")
+def title_variants(spark, sf_dir):
+    return read(spark, sf_dir, "part").select("p_partkey", F.array_join(T.title_variants(F.col("p_name")), "|").alias("variants"))
+
+
+@registered("""WITH a(alias, target) AS (VALUES ('N1', 'NATION_1'), ('NATION_1', 'NATION_2'), ('x', 'y'))
+  SELECT n_name, coalesce(c.target, b.target, n_name) AS page FROM nation LEFT JOIN a b ON n_name = b.alias LEFT JOIN a c ON coalesce(b.target, n_name) = c.alias""")
+def redirect_chain(spark, sf_dir):
+    hop = spark.createDataFrame([("N1", "NATION_1"), ("NATION_1", "NATION_2"), ("x", "y")], "alias string, target string")
+    return resolve.chase(read(spark, sf_dir, "nation").select("n_name"), [(hop, "alias", "target")] * 2, "n_name", "page")
+
+
+@registered("""WITH d AS (SELECT lower(p_name) AS k, min(p_partkey) AS v FROM part WHERE p_size <= 10 GROUP BY 1), e AS (SELECT lower(p_brand) AS k, min(p_partkey) AS v FROM part GROUP BY 1)
+  SELECT p_partkey, coalesce(d.v, e.v) AS resolved, CASE WHEN d.v IS NOT NULL THEN 'exact' WHEN e.v IS NOT NULL THEN 'brand' ELSE 'unresolved' END AS resolved_source
+  FROM part LEFT JOIN d ON lower(p_name) = d.k LEFT JOIN e ON lower(p_brand) = e.k AND p_size > 25""")
+def resolver_cascade(spark, sf_dir):
+    part = read(spark, sf_dir, "part")
+    exact = part.where("p_size <= 10").groupBy(F.lower("p_name").alias("k")).agg(F.min("p_partkey").alias("v"))
+    brand = part.groupBy(F.lower("p_brand").alias("k")).agg(F.min("p_partkey").alias("v"))
+    dims = [(exact, "exact", F.lower("p_name")), (brand, "brand", F.when(F.col("p_size") > 25, F.lower("p_brand")))]
+    return resolve.cascade(part, dims, "k", "v", "resolved").select("p_partkey", "resolved", "resolved_source")
+
+
+@registered("SELECT doc_id, lang FROM documents WHERE NOT EXISTS (SELECT 1 FROM labels WHERE labels.doc_id = documents.doc_id)")
+def unresolved_antijoin(spark, sf_dir):
+    return quality.orphans(read(spark, sf_dir, "documents"), "doc_id", read(spark, sf_dir, "labels"), "doc_id").select("doc_id", "lang")
+
+
+@registered("SELECT name_key, count(DISTINCT p_partkey) AS n_values, count(*) AS n_rows FROM (SELECT regexp_replace(lower(p_name), '[^a-z0-9]', '', 'g') AS name_key, p_partkey FROM part) GROUP BY name_key HAVING count(DISTINCT p_partkey) > 1")
+def ambiguous_keys(spark, sf_dir):
+    return resolve.ambiguous(read(spark, sf_dir, "part").select(T.squash(F.col("p_name")).alias("name_key"), "p_partkey"), "name_key", "p_partkey")
+
+
+@registered("SELECT l_orderkey, CASE WHEN bool_and(l_quantity >= 5) THEN CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) END AS total, count(*) AS n_members FROM lineitem GROUP BY l_orderkey")
+def all_or_nothing_collection(spark, sf_dir):
+    return resolve.all_or_nothing(read(spark, sf_dir, "lineitem"), "l_orderkey", F.col("l_quantity") >= 5, F.col("l_quantity").cast("long"), "total")
+
+
+@registered("""SELECT l_partkey, l_suppkey, rank FROM (SELECT l_partkey, l_suppkey, row_number() OVER (PARTITION BY l_partkey ORDER BY n DESC, l_suppkey) AS rank FROM (SELECT l_partkey, l_suppkey, count(*) AS n FROM lineitem GROUP BY 1, 2)) WHERE rank <= 12""")
+def topk_sellers(spark, sf_dir):
+    n = read(spark, sf_dir, "lineitem").groupBy("l_partkey", "l_suppkey").agg(F.count(F.lit(1)).alias("n"))
+    return sequence.top_k(n, ["l_partkey"], [F.desc("n"), F.asc("l_suppkey")], 12).select("l_partkey", "l_suppkey", F.col("rank").cast("long").alias("rank"))
+
+
+@registered("SELECT l_partkey, count(*) AS n_lines FROM lineitem GROUP BY l_partkey HAVING count(*) <= 25")
+def having_drop_large(spark, sf_dir):
+    return read(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n_lines")).where("n_lines <= 25")
+
+
+_LABELS = [("a", "NATION_1,NATION_2"), ("b", "NATION_3, nation_4"), ("c", "nowhere")]
+
+
+@registered("""WITH r(route, labels) AS (VALUES ('a', 'NATION_1,NATION_2'), ('b', 'NATION_3, nation_4'), ('c', 'nowhere')), x AS (SELECT route, regexp_replace(lower(unnest(string_split(labels, ','))), '[^a-z0-9]', '', 'g') AS k FROM r)
+  SELECT route, n_nationkey FROM x JOIN nation ON regexp_replace(lower(n_name), '[^a-z0-9]', '', 'g') = k""")
+def label_list_join(spark, sf_dir):
+    routes = spark.createDataFrame(_LABELS, "route string, labels string").select("route", F.explode(F.split("labels", ",")).alias("l"))
+    nation = read(spark, sf_dir, "nation").withColumn("k", T.squash(F.col("n_name")))
+    return routes.withColumn("k", T.squash(F.col("l"))).join(nation, "k").select("route", "n_nationkey")
+
+
+@registered("""SELECT a.p_brand, a.p_size, arg_min(b.p_size, abs(b.p_size - a.p_size) * 1000 + b.p_size) AS near_size FROM (SELECT DISTINCT p_brand, p_size FROM part) a JOIN (SELECT DISTINCT p_brand, p_size FROM part) b
+  ON a.p_brand = b.p_brand AND a.p_size <> b.p_size AND abs(b.p_size - a.p_size) <= 30 GROUP BY 1, 2""")
+def nearest_range(spark, sf_dir):
+    sizes = read(spark, sf_dir, "part").select("p_brand", "p_size").distinct()
+    both = sizes.join(sizes.withColumnRenamed("p_size", "near_size"), "p_brand").where("p_size <> near_size").withColumn("one", F.concat_ws("|", "p_brand", "p_size"))
+    return resolve.nearest(both, "one", "near_size", F.abs(F.col("near_size") - F.col("p_size")), 30, [F.asc("near_size")]).select("p_brand", "p_size", "near_size")
+
+
+PHRASES = ["ring", "hot ring", "small", "small part", "part", "blue", "red part"]
+
+
+@registered("SELECT p_partkey, (SELECT arg_max(p, length(p) * 100 - k) FROM (VALUES " + ", ".join(f"('{p}', {k})" for k, p in enumerate(sorted(PHRASES))) + ") v(p, k) WHERE contains(lower(p_name), p)) AS phrase FROM part")
+def longest_match_contains(spark, sf_dir):
+    return read(spark, sf_dir, "part").select("p_partkey", resolve.longest_contained(F.lower("p_name"), PHRASES).alias("phrase"))
+
+
+@registered("SELECT DISTINCT s_nationkey, s_suppkey, partner FROM (SELECT a.s_nationkey, a.s_suppkey, b.s_suppkey AS partner, row_number() OVER (PARTITION BY a.s_suppkey ORDER BY b.s_suppkey) AS n FROM supplier a JOIN supplier b ON a.s_nationkey = b.s_nationkey AND a.s_suppkey <> b.s_suppkey) WHERE n <= 4")
+def self_join_network(spark, sf_dir):
+    s = read(spark, sf_dir, "supplier").select("s_nationkey", "s_suppkey")
+    pairs = s.join(s.withColumnRenamed("s_suppkey", "partner"), "s_nationkey").where("s_suppkey <> partner")
+    return sequence.top_k(pairs, ["s_suppkey"], [F.asc("partner")], 4).select("s_nationkey", "s_suppkey", "partner")
+
+
+@registered("SELECT s_suppkey FROM supplier WHERE s_suppkey IN (SELECT l_suppkey FROM lineitem WHERE l_quantity > 45)")
+def semi_referenced(spark, sf_dir):
+    used = read(spark, sf_dir, "lineitem").where("l_quantity > 45").select(F.col("l_suppkey").alias("s_suppkey"))
+    return read(spark, sf_dir, "supplier").join(used, "s_suppkey", "left_semi").select("s_suppkey")
+
+
+_KEY = "regexp_replace(lower(text), '[^a-z0-9]', '', 'g')"
+
+
+@registered(f"WITH k AS (SELECT item_id, {_KEY} AS t FROM benchmark) SELECT a.item_id, min(levenshtein(a.t, b.t)) AS distance FROM k a JOIN k b ON a.item_id <> b.item_id GROUP BY a.item_id")
+def similarity_topk(spark, sf_dir):
+    b = read(spark, sf_dir, "benchmark").select("item_id", T.squash(F.col("text")).alias("t"))
+    pairs = b.join(b.select(F.col("item_id").alias("other"), F.col("t").alias("u")), F.col("item_id") != F.col("other"))
+    return pairs.groupBy("item_id").agg(F.min(F.levenshtein("t", "u")).cast("long").alias("distance"))
+
+
+# --- ordered passes -------------------------------------------------------
+
+
+@registered(f"SELECT event_id, coalesce(v, lead(v) OVER (PARTITION BY user_id ORDER BY pos)) AS borrowed FROM (SELECT *, CASE WHEN event_type = 'purchase' THEN event_id END AS v FROM ({EVENTS}))")
+def lead_borrow(spark, sf_dir):
+    e = step_events(spark, sf_dir).withColumn("v", F.when(F.col("event_type") == "purchase", F.col("event_id")))
+    return sequence.lead_borrow(e, ["user_id"], ["pos"], "v", "borrowed").select("event_id", "borrowed")
+
+
+@registered(f"""SELECT user_id, island, min(pos) AS first_pos, count(*) AS n, min(event_type) AS kind FROM (SELECT *, sum(nw) OVER (PARTITION BY user_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS island FROM (
+  SELECT *, CASE WHEN event_type = lag(event_type) OVER (PARTITION BY user_id ORDER BY pos) THEN 0 ELSE 1 END AS nw FROM ({EVENTS}))) GROUP BY user_id, island""")
+def sibling_islands(spark, sf_dir):
+    from pyspark.sql import Window
+
+    same = F.col("event_type") == F.lag("event_type").over(Window.partitionBy("user_id").orderBy("pos"))
+    got = sequence.islands(step_events(spark, sf_dir), ["user_id"], ["pos"], same)
+    return got.groupBy("user_id", "island").agg(F.min("pos").alias("first_pos"), F.count(F.lit(1)).alias("n"), F.min("event_type").alias("kind"))
+
+
+_DEPTH = "SELECT conv_id, turn, CAST(1 + turn % 4 AS INTEGER) AS depth FROM conversations"
+
+
+@registered(f"""SELECT conv_id, turn, depth, (SELECT max(b.turn) FROM ({_DEPTH}) b WHERE b.conv_id = a.conv_id AND b.turn < a.turn AND b.depth < a.depth) AS parent FROM ({_DEPTH}) a""")
+def ancestor_carry(spark, sf_dir):
+    c = read(spark, sf_dir, "conversations").select("conv_id", "turn", (1 + F.col("turn") % 4).cast("int").alias("depth"))
+    return sequence.ancestor(c, ["conv_id"], "turn", "depth", 4)
+
+
+@registered(f"""SELECT event_id, CASE WHEN m IS NULL AND b = a THEN b END AS filled FROM (SELECT event_id, m, last_value(m IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b,
+  first_value(m IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS a FROM (SELECT *, CASE WHEN event_type = 'purchase' THEN CAST(floor(value) AS BIGINT) % 3 END AS m FROM ({EVENTS})))""")
+def span_fill(spark, sf_dir):
+    mark = F.when(F.col("event_type") == "purchase", F.floor("value").cast("long") % 3)
+    return sequence.span_fill(step_events(spark, sf_dir), ["user_id"], ["pos"], mark).select("event_id", "filled")
+
+
+@registered("SELECT l_orderkey, l_linenumber, max(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) OVER (PARTITION BY l_orderkey) AS worked FROM lineitem")
+def group_exists_demote(spark, sf_dir):
+    return sequence.exists_in_group(read(spark, sf_dir, "lineitem"), ["l_orderkey"], F.col("l_returnflag") == "R", "worked").select("l_orderkey", "l_linenumber", "worked")
+
+
+@registered(f"SELECT event_id, CASE WHEN pos < min(CASE WHEN event_type = 'signup' THEN pos END) OVER (PARTITION BY user_id) THEN 1 ELSE 0 END AS early FROM ({EVENTS})")
+def before_first(spark, sf_dir):
+    return sequence.before_first(step_events(spark, sf_dir), ["user_id"], "pos", F.col("event_type") == "signup").select("event_id", "early")
+
+
+@registered(f"""WITH RECURSIVE e AS (SELECT user_id, pos, CAST(floor(value) AS BIGINT) % 50 AS c FROM ({EVENTS})), r AS (SELECT user_id, CAST(0 AS BIGINT) AS pos, CAST(NULL AS BIGINT) AS placed, CAST(-1 AS BIGINT) AS fl FROM (SELECT DISTINCT user_id FROM e)
+  UNION ALL SELECT e.user_id, e.pos, CASE WHEN c >= fl THEN c WHEN c + 20 >= fl THEN c + 20 END, CASE WHEN c >= fl THEN c WHEN c + 20 >= fl THEN c + 20 ELSE fl END FROM r JOIN e ON e.user_id = r.user_id AND e.pos = r.pos + 1)
+  SELECT user_id, pos, placed FROM r WHERE pos > 0""")
+def monotone_place(spark, sf_dir):
+    c = F.floor("value").cast("long") % 50
+    return sequence.monotone_place(step_events(spark, sf_dir).withColumn("c", F.array(c, c + 20)), ["user_id"], "pos", "c")
+
+
+@registered(f"SELECT event_id, first_value(nullif(v, 0) IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_value FROM (SELECT *, CAST(floor(value) AS BIGINT) % 4 AS v FROM ({EVENTS}))")
+def next_nonzero(spark, sf_dir):
+    return sequence.next_nonzero(step_events(spark, sf_dir).withColumn("v", F.floor("value").cast("long") % 4), ["user_id"], ["pos"], "v").select("event_id", "next_value")
+
+
+@registered("SELECT o_custkey, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS n FROM orders) WHERE n = 1")
+def last_per_key(spark, sf_dir):
+    return sequence.last_per_key(read(spark, sf_dir, "orders"), ["o_custkey"], [F.desc("o_orderdate"), F.desc("o_orderkey")]).select("o_custkey", "o_orderkey")
+
+
+@registered("SELECT conv_id, turn, last_value(CASE WHEN role = 'assistant' THEN turn END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS anchor FROM conversations")
+def anchor_link(spark, sf_dir):
+    a = F.when(F.col("role") == "assistant", F.col("turn"))
+    return sequence.anchor_link(read(spark, sf_dir, "conversations"), ["conv_id"], ["turn", "role", "text"], a).select("conv_id", "turn", "anchor")
+
+
+@registered(f"SELECT event_id, previous FROM (SELECT event_id, v, lag(v) OVER (PARTITION BY user_id ORDER BY pos) AS previous FROM (SELECT *, CAST(floor(value) AS BIGINT) AS v FROM ({EVENTS}))) WHERE previous > v")
+def monotonic_violations(spark, sf_dir):
+    return sequence.falls(step_events(spark, sf_dir).withColumn("v", F.floor("value").cast("long")), ["user_id"], ["pos"], "v").select("event_id", "previous")
+
+
+# --- releases -------------------------------------------------------------
+
+
+@registered("""WITH b AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN lang || '!' ELSE lang END AS lang FROM documents WHERE doc_id % 7 <> 0 UNION ALL SELECT doc_id + 10000000, lang FROM documents WHERE doc_id % 11 = 0)
+  SELECT coalesce(a.doc_id, b.doc_id) AS doc_id, CASE WHEN a.doc_id IS NULL THEN 'added' WHEN b.doc_id IS NULL THEN 'removed' WHEN a.lang IS NOT DISTINCT FROM b.lang THEN 'same' ELSE 'reworded' END AS status FROM documents a FULL JOIN b ON a.doc_id = b.doc_id""")
+def migration_added_removed(spark, sf_dir):
+    a = read(spark, sf_dir, "documents").select("doc_id", "lang")
+    b = a.where("doc_id % 7 <> 0").withColumn("lang", F.when(F.col("doc_id") % 5 == 0, F.concat("lang", F.lit("!"))).otherwise(F.col("lang")))
+    return diff.compare(a, b.unionByName(a.where("doc_id % 11 = 0").withColumn("doc_id", F.col("doc_id") + 10000000)), ["doc_id"], "lang")
+
+
+@registered()
+def migration_greedy(spark, sf_dir):
+    ids = structure.stable_ids(step_lines(spark, sf_dir), "doc_id", "line", ["line_no"])
+    old = ids.select(F.col("doc_id").alias("section"), F.col("line_no").alias("ordinal"), F.col("step_id").alias("id"), F.col("norm").alias("text"))
+    edit = step_lines(spark, sf_dir).withColumn("line", F.when(F.col("line_no") % 3 == 0, F.concat("line", F.lit(" more"))).otherwise(F.col("line")))
+    new = structure.stable_ids(edit, "doc_id", "line", ["line_no"]).select(F.col("doc_id").alias("section"), F.col("line_no").alias("ordinal"), F.col("step_id").alias("id"), F.col("norm").alias("text"))
+    return diff.migrations(old, new)
+
+
+@registered("SELECT * FROM (VALUES ('a', 'c'), ('b', 'c'), ('x', 'y')) t(old_id, new_id)")
+def migration_chain(spark, sf_dir):
+    carried = spark.createDataFrame([("a", "b"), ("x", "z"), ("c", "b")], "old_id string, new_id string")
+    new = spark.createDataFrame([("b", "c"), ("x", "y")], "old_id string, new_id string")
+    return diff.carry(carried, new)
+
+
+# --- trees, conditions, ranges, indexes -----------------------------------
+
+TREE = "(VALUES ('root', NULL, 0), ('a', 'root', 0), ('b', 'root', 1), ('a1', 'a', 0), ('a2', 'a', 1), ('b1', 'b', 0)) t(node, parent, pos)"
+_TREE_SQL = f"""WITH RECURSIVE t AS (SELECT * FROM {TREE}), w AS (SELECT node, CAST(lpad(CAST(pos AS {{0}}), 3, '0') AS {{0}}) AS path, 0 AS depth FROM t WHERE parent IS NULL
+  UNION ALL SELECT t.node, w.path || '.' || lpad(CAST(t.pos AS {{0}}), 3, '0'), w.depth + 1 FROM w JOIN t ON t.parent = w.node) SELECT node, path, depth FROM w"""
+
+
+@registered(_TREE_SQL.format("VARCHAR"))
+def tree_flatten(spark, sf_dir):
+    return spark.sql(_TREE_SQL.format("STRING"))
+
+
+@registered("""WITH s AS (SELECT user_id, count(*) FILTER (WHERE event_type = 'purchase') AS bought, count(*) FILTER (WHERE event_type = 'error') AS failed, max(value) AS top FROM events GROUP BY user_id)
+  SELECT user_id, CASE WHEN bought >= 15 AND failed < 12 THEN 'loyal' WHEN bought >= 12 OR NOT top >= 1 THEN 'buyer' ELSE 'other' END AS branch FROM s""")
+def condition_eval(spark, sf_dir):
+    n = lambda kind: F.count_if(F.col("event_type") == kind)
+    s = read(spark, sf_dir, "events").groupBy("user_id").agg(n("purchase").alias("bought"), n("error").alias("failed"), F.max("value").alias("top"))
+    branch = F.when((F.col("bought") >= 15) & (F.col("failed") < 12), "loyal").when((F.col("bought") >= 12) | ~(F.col("top") >= 1), "buyer").otherwise("other")
+    return s.select("user_id", branch.alias("branch"))
+
+
+@registered("SELECT o_orderkey, zone FROM orders JOIN (VALUES ('low', 0, 1000), ('mid', 1000, 100000), ('wide', 500, 200000)) z(zone, lo, hi) ON o_totalprice BETWEEN lo AND hi")
+def zone_contains(spark, sf_dir):
+    zones = spark.createDataFrame([("low", 0, 1000), ("mid", 1000, 100000), ("wide", 500, 200000)], "zone string, lo int, hi int")
+    return read(spark, sf_dir, "orders").join(F.broadcast(zones), F.col("o_totalprice").between(F.col("lo"), F.col("hi"))).select("o_orderkey", "zone")
+
+
+@registered("SELECT p_size, count(DISTINCT p_brand) AS n_brands, string_agg(DISTINCT p_brand, ',' ORDER BY p_brand) AS brands FROM part GROUP BY p_size")
+def inverted_index(spark, sf_dir):
+    b = F.sort_array(F.collect_set("p_brand"))
+    return read(spark, sf_dir, "part").groupBy("p_size").agg(F.size(b).cast("long").alias("n_brands"), F.array_join(b, ",").alias("brands"))
+
+
+@registered("SELECT * FROM (VALUES ('a', 'b', 2), ('a', 'c', 1), ('b', 'c', 1)) t(left_key, right_key, n_shared)")
+def array_overlap_pairs(spark, sf_dir):
+    s = spark.createDataFrame([("a", [1, 2, 3]), ("b", [2, 3, 4]), ("c", [3, 9]), ("d", [7])], "k string, v array<int>").select("k", F.explode("v").alias("v"))
+    pairs = s.select(F.col("k").alias("left_key"), "v").join(s.select(F.col("k").alias("right_key"), "v"), "v").where("left_key < right_key")
+    return pairs.groupBy("left_key", "right_key").agg(F.count(F.lit(1)).cast("int").alias("n_shared"))
+
+
+# --- coverage and gates ---------------------------------------------------
+
+
+@registered("SELECT lang, count(*) AS n_docs, count(l.doc_id) AS n_labelled, count(*) FILTER (WHERE quality = 1) AS n_good FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id GROUP BY lang")
+def coverage_report(spark, sf_dir):
+    lab = read(spark, sf_dir, "labels").withColumn("has", F.lit(1))
+    return read(spark, sf_dir, "documents").join(lab, "doc_id", "left").groupBy("lang").agg(F.count(F.lit(1)).alias("n_docs"), F.count("has").alias("n_labelled"), F.count_if(F.col("quality") == 1).alias("n_good"))
+
+
+@registered("""WITH c AS (SELECT lang AS metric, 100.0 * count(l.doc_id) / count(*) AS value FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id GROUP BY lang)
+  SELECT metric FROM c LEFT JOIN (VALUES ('en', 90.0), ('de', 10.0), ('fr', 100.0)) b(metric_b, before) ON metric = metric_b WHERE value - coalesce(before, 0) < -2""")
+def metric_vs_baseline(spark, sf_dir):
+    now = coverage_report(spark, sf_dir).select(F.col("lang").alias("metric"), (100.0 * F.col("n_labelled") / F.col("n_docs")).alias("value"))
+    base = spark.createDataFrame([("en", 90.0), ("de", 10.0), ("fr", 100.0)], "metric string, value double")
+    return quality.regressed(now, base).select("metric")
+
+
+@registered("""SELECT 'doc_text' AS check_name, count(*) AS population, count(*) FILTER (WHERE text IS NULL OR text = '') AS violations FROM documents
+  UNION ALL SELECT 'label_range', count(*), count(*) FILTER (WHERE quality NOT IN (0, 1) OR toxic NOT IN (0, 1)) FROM labels
+  UNION ALL SELECT 'discount_range', count(*), count(*) FILTER (WHERE l_discount > 0.05) FROM lineitem
+  UNION ALL SELECT 'role_kind', count(*), count(*) FILTER (WHERE role NOT IN ('user', 'assistant')) FROM conversations""")
+def schema_violations(spark, sf_dir):
+    r = lambda name: read(spark, sf_dir, name)
+    return quality.violations(
+        [("doc_text", r("documents"), F.col("text").isNull() | (F.col("text") == "")), ("label_range", r("labels"), ~F.col("quality").isin(0, 1) | ~F.col("toxic").isin(0, 1)),
+         ("discount_range", r("lineitem"), F.col("l_discount") > 0.05), ("role_kind", r("conversations"), ~F.col("role").isin("user", "assistant"))]
+    )
+
+
+@registered("SELECT doc_id AS key_value, count(*) AS n_rows FROM labels GROUP BY doc_id HAVING count(*) > 1 UNION ALL SELECT conv_id, count(*) FROM (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS n FROM conversations) WHERE turn <> n GROUP BY conv_id")
+def invariants(spark, sf_dir):
+    again = quality.repeated_keys(read(spark, sf_dir, "labels"), ["doc_id"]).select(F.col("doc_id").alias("key_value"), "n_rows")
+    dense = structure.duplicate_ordinals(read(spark, sf_dir, "conversations"), ["conv_id"], ["turn"], "n").where("turn <> n")
+    return again.unionByName(dense.groupBy(F.col("conv_id").alias("key_value")).agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+@registered(f"""WITH s AS ({_IDS}), k AS (SELECT s.step_id, s.doc_id, CASE {_VERB} ELSE 'none' END AS intent FROM s JOIN ({LINES}) USING (doc_id, line_no))
+  SELECT intent, count(*) AS n_steps, count(l.doc_id) AS n_labelled, count(DISTINCT step_id) AS n_ids FROM k LEFT JOIN labels l ON k.doc_id = l.doc_id GROUP BY intent""")
+def flagship_steps(spark, sf_dir):
+    steps = structure.verb_rules(structure.stable_ids(step_lines(spark, sf_dir), "doc_id", "line", ["line_no"]), "line", VERBS)
+    lab = read(spark, sf_dir, "labels").select("doc_id", F.lit(1).alias("has"))
+    kinds = steps.withColumn("intent", F.coalesce("intent", F.lit("none"))).join(lab, "doc_id", "left")
+    return kinds.groupBy("intent").agg(F.count(F.lit(1)).alias("n_steps"), F.count("has").alias("n_labelled"), F.countDistinct("step_id").alias("n_ids"))
