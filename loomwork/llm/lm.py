@@ -9,7 +9,8 @@ loss in bits per symbol under the target model minus that under the background
 model: lower means more like the target.
 
 Counts are summed where the text is read and then by n-gram, over all of the
-corpus.  There are at most 64 ** 4 n-grams, whatever the size of the corpus,
+corpus.  The wanted ids grow with the corpus, so they are joined by shuffle at
+every size.  There are at most 64 ** 4 n-grams, whatever the size of the corpus,
 and that bounds what is broadcast.  Null and empty texts have no symbols and
 score 0.  Repeated rows each get their own row.
 """
@@ -115,7 +116,7 @@ def score_difference(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     """doc_id, n_tokens, target_loss, background_loss, score."""
     own = id_and_text(docs, id_col, text_col)
     target = labels.where(F.col(label_col) == wanted).select(F.col(id_col).cast("long").alias("doc_id"))
-    both = counts(own).withColumnRenamed("n", "b").join(counts(own.join(target, "doc_id", "left_semi")), "gram", "left")
+    both = counts(own).withColumnRenamed("n", "b").join(counts(own.join(target.hint("merge"), "doc_id", "left_semi")), "gram", "left")
     got = both.select("gram", "b", F.coalesce("n", F.lit(0)).alias("t")).toPandas().sort_values("gram")
     at = got.gram.to_numpy(np.int64)
     b, t = (got[c].to_numpy(np.float64) for c in "bt")
