@@ -55,25 +55,26 @@ def grams(text: str) -> np.ndarray:
     return (s[:-3] << 18) | (s[1:-2] << 12) | (s[2:-1] << 6) | s[3:]
 
 
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _counter(out: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """One sum per task, so a gram leaves a task once at most."""
-    total, any_text = np.zeros(SIZE, np.uint32), False
-    for batch in batches:
-        for text in texts(batch):
-            g = grams(text)
-            any_text = any_text or len(g) > 0
-            if len(g) > 1 << 16:
-                total += np.bincount(g, minlength=SIZE).astype(np.uint32)
-            else:
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, any_text = np.zeros(SIZE, np.int64), False
+        for batch in batches:
+            for text in texts(batch):
+                g = grams(text)
+                any_text = any_text or len(g) > 0
                 u, n = np.unique(g, return_counts=True)
-                total[u] += n.astype(np.uint32)
-    if any_text:
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at].astype(np.int64))], ["gram", "n"])
+                total[u] += n
+        if any_text:
+            at = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at])], ["gram", out])
+
+    return run
 
 
-def counts(texts_: DataFrame) -> DataFrame:
-    return texts_.select("text").mapInArrow(_counts, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+def counts(texts_: DataFrame, out: str) -> DataFrame:
+    return texts_.select("text").mapInArrow(_counter(out), f"gram long, {out} long").groupBy("gram").agg(F.sum(out).alias(out))
 
 
 def losses(gram: np.ndarray, n: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -116,8 +117,8 @@ def score_difference(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     """doc_id, n_tokens, target_loss, background_loss, score."""
     own = id_and_text(docs, id_col, text_col)
     target = labels.where(F.col(label_col) == wanted).select(F.col(id_col).cast("long").alias("doc_id"))
-    both = counts(own).withColumnRenamed("n", "b").join(counts(own.join(target.hint("merge"), "doc_id", "left_semi")), "gram", "left")
-    got = both.select("gram", "b", F.coalesce("n", F.lit(0)).alias("t")).toPandas().sort_values("gram")
+    both = counts(own, "b").join(counts(own.join(target.hint("merge"), "doc_id", "left_semi"), "t"), "gram", "left")
+    got = both.select("gram", "b", F.coalesce("t", F.lit(0)).alias("t")).toPandas().sort_values("gram")
     at = got.gram.to_numpy(np.int64)
     b, t = (got[c].to_numpy(np.float64) for c in "bt")
     held = t > 0
