@@ -11,8 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions import goods, predicates
 from .functions import text as T
-from .operators import diff, quality, resolve, sequence, structure
+from .operators import conditions, diff, quality, resolve, sequence, structure
+from .sources import lookup, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -441,3 +443,102 @@ def flagship_steps(spark, sf_dir):
     lab = read(spark, sf_dir, "labels").select("doc_id", F.lit(1).alias("has"))
     kinds = steps.withColumn("intent", F.coalesce("intent", F.lit("none"))).join(lab, "doc_id", "left")
     return kinds.groupBy("intent").agg(F.count(F.lit(1)).alias("n_steps"), F.count("has").alias("n_labelled"), F.countDistinct("step_id").alias("n_ids"))
+
+
+# --- goods, classifiers, conditions ----------------------------------------
+
+
+@registered()
+def item_list_split(spark, sf_dir):
+    items = step_lines(spark, sf_dir).select("doc_id", "line_no", F.posexplode(goods.goods(F.col("line"))).alias("item_no", "item"))
+    return items.select("doc_id", "line_no", "item_no", F.col("item.name").alias("name"), F.col("item.count").alias("n"))
+
+
+_ADVICE = predicates.advice_pattern().replace("'", "''")
+
+
+@registered(rf"""SELECT doc_id, line_no FROM ({LINES}) WHERE regexp_matches(line, '{_ADVICE}') OR regexp_matches(line, '^[^a-z]{{{predicates.SHOUT_CHARS},}}') OR regexp_matches(line, '^\s*[\[(].*[\])]\s*$')""")
+def advice_lines(spark, sf_dir):
+    return step_lines(spark, sf_dir).where(predicates.is_advice(F.col("line"))).select("doc_id", "line_no")
+
+
+@registered("SELECT l_orderkey, greatest(max(l_partkey) - min(l_partkey), max(l_suppkey) - min(l_suppkey)) > 64 AS scattered FROM lineitem GROUP BY l_orderkey")
+def scattered_points(spark, sf_dir):
+    points = read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.array("l_partkey", "l_suppkey")).alias("points"))
+    return points.select("l_orderkey", predicates.is_scattered(F.col("points")).alias("scattered"))
+
+
+_BOUGHT = {"var": {"kind": "varplayer", "id": 1, "op": ">=", "value": 15}}
+_FAILED_ODD = {"var": {"kind": "varplayer", "id": 2, "bit": 0, "set": True}}
+_BRANCHES = [
+    ({"all": [_BOUGHT, {"not": _FAILED_ODD}]}, "steady"),
+    ({"any": [_BOUGHT, {"var": {"kind": "varplayer", "id": 9, "op": "==", "value": 0}}]}, "never"),
+    ({"item": {"ids": [3, 4], "count": 28}}, "busy"),
+    ({"zone": [[0, 0, 0, 9, 12, 0]]}, "near"),
+]
+
+
+@registered("""WITH s AS (SELECT user_id, count(*) FILTER (WHERE event_type = 'purchase') AS bought, count(*) FILTER (WHERE event_type = 'error') AS failed, count(*) FILTER (WHERE event_type = 'click') AS clicks,
+  count(*) FILTER (WHERE event_type = 'view') AS views FROM events GROUP BY user_id)
+  SELECT user_id, CASE WHEN bought >= 15 AND failed % 2 = 0 THEN 'steady' WHEN clicks + views >= 28 THEN 'busy' WHEN bought <= 9 AND failed <= 12 THEN 'near' ELSE 'other' END AS branch FROM s""")
+def condition_algebra(spark, sf_dir):
+    n = lambda kind: F.count_if(F.col("event_type") == kind)
+    s = read(spark, sf_dir, "events").groupBy("user_id").agg(n("purchase").alias("bought"), n("error").alias("failed"), n("click").alias("clicks"), n("view").alias("views"))
+    state = conditions.State(
+        values=F.create_map(F.lit("varplayer:1"), "bought", F.lit("varplayer:2"), "failed"),
+        held=F.create_map(F.lit(3), "clicks", F.lit(4), "views"),
+        at=F.array("bought", "failed", F.lit(0)),
+    )
+    return s.select("user_id", conditions.branch(_BRANCHES, "other", state).alias("branch"))
+
+
+@registered(f"SELECT event_id, coalesce(bool_or(event_type = 'purchase') OVER (PARTITION BY user_id ORDER BY pos ROWS UNBOUNDED PRECEDING), false) AS bought FROM ({EVENTS})")
+def latched_fact(spark, sf_dir):
+    rows = conditions.latched(step_events(spark, sf_dir), ["user_id"], ["pos"], F.col("event_type") == "purchase", "bought")
+    return rows.select("event_id", "bought")
+
+
+# --- sources and sinks -----------------------------------------------------
+
+
+def _even_brands(names: list[str]) -> dict[str, str]:
+    return {n: n.lower() for n in names if n[-1] in "02468"}
+
+
+@registered("SELECT p_partkey, CASE WHEN p_brand LIKE 'Brand#1%' THEN 'cached' WHEN right(p_brand, 1) IN ('0', '2', '4', '6', '8') THEN lower(p_brand) END AS value FROM part")
+def cached_lookup(spark, sf_dir):
+    part = read(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    cache = part.where("p_brand like 'Brand#1%'").select("p_brand", F.lit("cached").alias("value")).distinct()
+    new = lookup.fetched(lookup.missing(part, cache, "p_brand"), "p_brand", _even_brands)
+    return lookup.resolved(part, cache.unionByName(new), "p_brand").select("p_partkey", "value")
+
+
+@registered("SELECT p_partkey, p_name FROM part QUALIFY row_number() OVER (PARTITION BY lower(p_name) ORDER BY p_partkey) = 1")
+def first_wins(spark, sf_dir):
+    return lookup.first_wins(read(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_name", ["p_partkey"])
+
+
+@registered("SELECT doc_id, n_chars FROM documents WHERE doc_id % 2 = 1 OR doc_id % 4 = 0")
+def changed_versions(spark, sf_dir):
+    now = read(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    seen = now.where("doc_id % 2 = 0").withColumn("n_chars", F.when(F.col("doc_id") % 4 == 0, F.col("n_chars") + 1).otherwise(F.col("n_chars")))
+    return lookup.changed(now, seen, "doc_id", "n_chars")
+
+
+@registered("""SELECT conv_id, turn, label, role AS cell FROM (SELECT *, last_value(CASE WHEN role = 'user' AND turn <> 2 THEN turn::VARCHAR END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn
+  ROWS UNBOUNDED PRECEDING) AS label FROM conversations) WHERE role <> 'user'""")
+def commented_table(spark, sf_dir):
+    line = F.when(F.col("role") == "user", F.concat(F.lit("# "), F.col("turn").cast("string"))).otherwise(F.concat_ws("\t", F.col("turn").cast("string"), "role"))
+    rows = lookup.commented_table(read(spark, sf_dir, "conversations").select("conv_id", "turn", line.alias("line")), ["conv_id"], "turn", "line", r"^# 2$")
+    return rows.select("conv_id", "turn", "label", F.col("cells")[1].alias("cell"))
+
+
+@registered("SELECT p_partkey, p_name FROM part WHERE p_partkey % 3 <> 0")
+def append_checked(spark, sf_dir):
+    part = read(spark, sf_dir, "part").select("p_partkey", "p_name")
+    return sinks.append_checked(part, part.where("p_partkey % 3 = 0"), "p_partkey", "p_name")
+
+
+@registered("SELECT '| ' || s_suppkey || ' | ' || s_name || ' |' AS value FROM supplier")
+def markdown_report(spark, sf_dir):
+    return sinks.markdown(read(spark, sf_dir, "supplier").select("s_suppkey", "s_name"))
