@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions import goods, predicates
+from .functions import goods, predicates, sentences
 from .functions import text as T
 from .operators import conditions, diff, quality, resolve, sequence, structure
 from .sources import lookup, sinks
@@ -454,6 +454,14 @@ def item_list_split(spark, sf_dir):
     return items.select("doc_id", "line_no", "item_no", F.col("item.name").alias("name"), F.col("item.count").alias("n"))
 
 
+@registered("""SELECT n_nationkey, n_name AS place, n_nationkey % 3 <> 2 AS is_journey, CASE WHEN n_nationkey % 3 = 0 THEN 'kill' END AS phrase, CASE WHEN n_nationkey % 3 = 0 THEN 'npc' END AS intent FROM nation""")
+def sentence_fields(spark, sf_dir):
+    kind, name = F.col("n_nationkey") % 3, F.col("n_name")
+    raw = F.when(kind == 0, F.concat(F.lit("Take the boat to "), name, F.lit(" and kill a Goblin"))).when(kind == 1, F.concat(F.lit("Charter a ship to the "), name)).otherwise(F.concat(F.lit("Buy 2x Rope in "), name, F.lit(" for later")))
+    rows = read(spark, sf_dir, "nation").select("n_nationkey", sentences.destination(raw).alias("d"), sentences.interior_verb(raw, [("talk to", "npc"), ("kill", "npc")]).alias("v"))
+    return rows.select("n_nationkey", "d.place", "d.is_journey", "v.phrase", "v.intent")
+
+
 _ADVICE = predicates.advice_pattern().replace("'", "''")
 
 
