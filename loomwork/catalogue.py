@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from .functions import goods, predicates, sentences
 from .functions import text as T
-from .operators import conditions, diff, quality, resolve, sequence, structure
+from .operators import conditions, diff
+from .operators import pages as page_names
+from .operators import quality, resolve, sequence, structure
 from .sources import lookup, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -462,6 +464,17 @@ def sentence_fields(spark, sf_dir):
     return rows.select("n_nationkey", "d.place", "d.is_journey", "v.phrase", "v.intent")
 
 
+@registered("""SELECT s_name AS name, CASE s_suppkey % 4 WHEN 0 THEN 'item' WHEN 1 THEN 'place' END AS kind, CASE s_suppkey % 4 WHEN 0 THEN s_suppkey::VARCHAR || ',7' WHEN 1 THEN '' END AS ids,
+  CASE s_suppkey % 4 WHEN 0 THEN 0 WHEN 1 THEN 1 END AS n_points, CASE s_suppkey % 4 WHEN 2 THEN 'choice needed' WHEN 3 THEN 'no page' END AS refusal FROM supplier""")
+def page_resolve(spark, sf_dir):
+    s, k = read(spark, sf_dir, "supplier").select("s_suppkey", "s_name"), F.col("s_suppkey") % 4
+    item = F.concat(F.lit("{{Infobox Item\n|id = "), F.col("s_suppkey").cast("string"), F.lit(", 7, 7\n}}"))
+    place = F.concat(F.lit("{{Infobox Location\n|map = {{Map|x = 3200|y = "), F.col("s_suppkey").cast("string"), F.lit("}}\n}}\n{{map|3089,3265|type=maplink}}"))
+    pages = s.select(F.col("s_name").alias("title"), F.when(k == 0, item).when(k == 1, place).when(k == 2, F.lit("{{Disambig}} [[a]] [[b|c]]")).alias("markup"))
+    got = page_names.resolve_names(s, pages, "s_name")
+    return got.select("name", "kind", F.array_join("ids", ",").alias("ids"), F.when(F.col("points").isNotNull(), F.size("points")).alias("n_points"), "refusal")
+
+
 _ADVICE = predicates.advice_pattern().replace("'", "''")
 
 

@@ -16,6 +16,8 @@ GOODS = {
     "1,200 Nature Runes and a Knife": [("Nature Runes", 1200), ("Knife", None)],
     "Coal+Iron": [("Coal", None), ("Iron", None)],
     "100+ Coins": [("Coins", 100)],
+    "Raw Rat / Chicken": [("Raw Rat", None), ("Raw Chicken", None)],
+    "0 Cat / Kitten/ ": [("Cat", 0), ("Kitten", 0)],
     "6xAir/2 Water Runes": [("Air Runes", 6), ("Water Runes", 2)],
     "Raw Rat/Chicken/Beef": [("Raw Rat", None), ("Raw Chicken", None), ("Raw Beef", None)],
     "5x Fire/Air/Earth Pack": [("Fire Pack", 5), ("Air Pack", 5), ("Earth Pack", 5)],
