@@ -11,11 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions import goods, predicates, sentences
+from .functions import goods, predicates, sentences, verdicts
 from .functions import text as T
-from .operators import conditions, diff
+from .operators import boundaries, conditions, diff
 from .operators import pages as page_names
-from .operators import quality, resolve, sequence, structure
+from .operators import quality, resolve, sequence, structure, travel
 from .sources import lookup, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -563,3 +563,81 @@ def append_checked(spark, sf_dir):
 @registered("SELECT '| ' || s_suppkey || ' | ' || s_name || ' |' AS value FROM supplier")
 def markdown_report(spark, sf_dir):
     return sinks.markdown(read(spark, sf_dir, "supplier").select("s_suppkey", "s_name"))
+
+
+# --- verdicts, boundaries, journeys ----------------------------------------
+
+
+def _words(pattern: list[str]) -> str:
+    return rf"\b(?:{'|'.join(pattern)})\b".replace("'", "''")
+
+
+@registered(rf"""SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'R' THEN 'own rule' WHEN l_quantity % 2 = 1 THEN 'something before or after'
+    WHEN l_partkey = l_suppkey THEN 'overlapping items' END AS blocker, l_linenumber > 1 OR l_quantity % 3 = 0 AS preparation FROM lineitem""")
+def step_verdicts(spark, sf_dir):
+    """Pickups that prove themselves, and preparation against doing."""
+    line, odd = read(spark, sf_dir, "lineitem"), F.col("l_quantity") % 2 == 1
+    pickup = F.when(odd, "Take the Rope and use it").otherwise("Take the Rope")
+    task = F.when(F.col("l_quantity") % 3 == 0, "Go up and collect logs").otherwise("Go up to start it and collect logs")
+    blocker = verdicts.pickup_blocker(pickup, F.col("l_returnflag") == "R", F.array(F.array("l_partkey"), F.array("l_suppkey")))
+    return line.select("l_orderkey", "l_linenumber", blocker.alias("blocker"), verdicts.is_preparation(task, F.col("l_linenumber")).alias("preparation"))
+
+
+@registered(rf"""SELECT doc_id, line_no, regexp_matches(line, '(?i){_words(verdicts.FETCHES_INSIDE)}') OR regexp_matches(line, '(?i)^\s*(?:when|during)\b[^,]*,\s*take\b')
+    OR regexp_matches(line, '(?i)^\s*(?:{'|'.join([*verdicts.FETCHES, 'train', 'camp'])})\b') OR regexp_matches(regexp_extract(line, '^[^.!;(]*'), '(?i)\b(xp|experience)\b') AS preparation
+    FROM ({LINES}) WHERE NOT regexp_matches(line, '(?i){_words(verdicts.DOES)}|\buntil\b')""")
+def preparation_lines(spark, sf_dir):
+    lines = step_lines(spark, sf_dir).where(~F.col("line").rlike(rf"(?i){_words(verdicts.DOES)}|\buntil\b"))
+    return lines.select("doc_id", "line_no", verdicts.is_preparation(F.col("line"), F.lit(1)).alias("preparation"))
+
+
+@registered(f"""WITH e AS (SELECT *, CASE WHEN event_type = 'purchase' THEN CAST(floor(value) AS BIGINT) % 7 END AS p, CASE WHEN event_type = 'view' THEN CAST(floor(value) AS BIGINT) % 9 END AS f FROM ({EVENTS})),
+  a AS (SELECT *, lead(1) OVER w IS NULL AS final, event_type = 'signup' AS ends, event_type = 'click' AS starts FROM e WINDOW w AS (PARTITION BY user_id ORDER BY pos)),
+  b AS (SELECT *, coalesce(p, CASE WHEN final AND ends THEN 6 END) AS q FROM a),
+  c AS (SELECT *, first_value(nullif(q, 0) IGNORE NULLS) OVER x AS boundary, final AND NOT (starts AND NOT ends) AS completes, coalesce(first_value(nullif(f, 0) IGNORE NULLS) OVER x, CASE WHEN lead(ends) OVER y THEN 8 END) AS hand
+    FROM b WINDOW x AS (PARTITION BY user_id ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), y AS (PARTITION BY user_id ORDER BY pos)),
+  d AS (SELECT *, coalesce(last_value(boundary IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS opened FROM c)
+  SELECT event_id, boundary, completes, CASE WHEN (boundary IS NULL OR boundary <= opened) AND hand > coalesce(f, 0) AND hand IN (2, 4, 6, 8) AND NOT final AND NOT ends AND NOT completes THEN hand END AS fine_boundary FROM d""")
+def boundary_rulers(spark, sf_dir):
+    """Coarse boundaries, and the finer ruler where they say nothing."""
+    part = lambda kind, m: F.when(F.col("event_type") == kind, F.floor("value").cast("long") % m)
+    e = step_events(spark, sf_dir).withColumn("p", part("purchase", 7)).withColumn("f", part("view", 9))
+    ends, starts = F.col("event_type") == "signup", F.col("event_type") == "click"
+    one = boundaries.coarse(e, ["user_id"], ["pos"], "p", ends, starts, F.lit(6).cast("long"))
+    reach = F.array(*[F.lit(n).cast("long") for n in (2, 4, 6, 8)])
+    return boundaries.finer(one, ["user_id"], ["pos"], "f", ends, F.lit(9).cast("long"), reach).select("event_id", "boundary", "completes", "fine_boundary")
+
+
+@registered("""SELECT s_suppkey, CASE WHEN n_nationkey % 2 = 0 THEN 'boats' ELSE 'ships' END AS kind, n_nationkey AS x, CASE WHEN s_suppkey % 2 = 0 THEN 1 ELSE 9 END AS y, 2 AS n_departures
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_suppkey % 3 <> 0""")
+def travel_routes(spark, sf_dir):
+    """Suppliers sail to a side of their nation: by name, then by the nearest end of the route."""
+    nation = read(spark, sf_dir, "nation").withColumn("port", F.concat(F.lit("Port "), F.regexp_replace(F.initcap(F.translate("n_name", "_", " ")), "[^A-Za-z0-9 ]", "")))
+    sides = nation.select("n_nationkey", "port", F.explode(F.array(F.lit(1), F.lit(9))).alias("y"), "n_regionkey")
+    point = lambda x, y: F.array(x.cast("int"), y.cast("int"), F.lit(0))
+    docks = sides.select("*", F.explode(F.array(F.lit(20), F.lit(30))).alias("dock"))
+    routes = docks.select(
+        F.when(F.col("n_nationkey") % 2 == 0, "boats").otherwise("ships").alias("kind"), F.concat(F.lit("Elsewhere, "), F.col("port")).alias("label"), point(F.lit(99), F.col("dock")).alias("origin"),
+        point(F.col("n_nationkey"), F.col("y")).alias("destination"), "dock", F.lit("sail").alias("action"),
+    ).withColumnRenamed("dock", "id")
+    none = "kind string, label string, origin array<int>, destination array<int>, id int, action string"
+    supplier = read(spark, sf_dir, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    said = F.concat(F.when(F.col("s_suppkey") % 3 == 0, F.lit("Teleport to ")).otherwise(F.lit("Take the boat to ")), F.col("port"), F.lit(" and bank"))
+    steps = supplier.select("s_suppkey", travel.journey(said).alias("j"), F.array(point(F.col("n_nationkey"), F.when(F.col("s_suppkey") % 2 == 0, 0).otherwise(8))).alias("place_points"))
+    steps = steps.select("s_suppkey", "j.vehicle", F.col("j.place").alias("place_name"), "place_points")
+    empty = spark.createDataFrame([], none)
+    got = travel.travel(steps, "s_suppkey", routes, empty.drop("destination"), empty.select("kind", "label", "destination"), spark.createDataFrame([], "place string, kind string"))
+    return got.select("s_suppkey", "kind", F.col("destination")[0].alias("x"), F.col("destination")[1].alias("y"), F.size("departures").alias("n_departures"))
+
+
+@registered("""WITH d AS (SELECT lower(p_name) AS name, list_sort(list(DISTINCT p_size)) AS pts, list_sort(list(DISTINCT p_size) FILTER (WHERE p_partkey % 17 = 0)) AS tel FROM part WHERE p_partkey % 5 <> 0 GROUP BY 1),
+  j AS (SELECT p_partkey, CASE WHEN len(pts) > 1 AND coalesce(len(tel), 0) = 1 THEN tel ELSE pts END AS pts FROM part LEFT JOIN d ON lower(p_name) = name)
+  SELECT p_partkey, array_to_string(pts, ',') AS points, CASE WHEN pts IS NOT NULL THEN 'location' END AS points_source, coalesce(len(pts) > 1, false) AS ambiguous FROM j""")
+def destination_pin(spark, sf_dir):
+    """Every point of a place, pinned to its only teleport where there is one."""
+    part = read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
+    place = part.where("p_partkey % 5 <> 0").select(F.col("p_name").alias("name"), F.when(F.col("p_partkey") % 17 == 0, "teleport").otherwise("dungeon").alias("kind"), F.array("p_size").alias("point"))
+    empty = spark.createDataFrame([], "name string, kind string, point array<int>")
+    got = travel.destinations(part, "p_name", spark.createDataFrame([], "spelling string, name string"), place, empty, empty)
+    flat = F.array_join(F.flatten("points").cast("array<string>"), ",")
+    return got.select("p_partkey", flat.alias("points"), "points_source", "ambiguous")
