@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions import goods, predicates, sentences, verdicts
+from .functions import annotate, goods, predicates, sentences, verdicts
 from .functions import text as T
 from .operators import boundaries, conditions, diff
 from .operators import pages as page_names
@@ -641,3 +641,32 @@ def destination_pin(spark, sf_dir):
     got = travel.destinations(part, "p_name", spark.createDataFrame([], "spelling string, name string"), place, empty, empty)
     flat = F.array_join(F.flatten("points").cast("array<string>"), ",")
     return got.select("p_partkey", flat.alias("points"), "points_source", "ambiguous")
+
+
+@registered("""WITH k AS (SELECT *, p_partkey % 5 AS k, upper(left(p_name, 1)) || substr(p_name, 2) AS n FROM part)
+  SELECT p_partkey, CASE k WHEN 0 THEN 'withdraw' WHEN 1 THEN 'object' WHEN 2 THEN 'npc' WHEN 3 THEN 'item' ELSE 'nav' END AS intent,
+    CASE k WHEN 1 THEN n || ' rocks' WHEN 2 THEN 'Redbeard Frank' END AS target, CASE WHEN k IN (0, 1, 4) THEN n END AS item, CASE WHEN k IN (0, 1, 4) AND p_size > 1 THEN p_size END AS n_items,
+    CASE WHEN k = 3 THEN 'Brimhaven' END AS destination, CASE WHEN k = 2 THEN 'Pirate' END AS tag, CASE k WHEN 0 THEN 'withdraw' WHEN 1 THEN 'collects' WHEN 4 THEN 'buys' END AS way FROM k""")
+def annotate_steps(spark, sf_dir):
+    """Whole sentences made from parts, read into all their fields."""
+    name, k = F.concat(F.upper(F.substring("p_name", 1, 1)), F.substr("p_name", F.lit(2))), F.col("p_partkey") % 5
+    count = F.concat(F.col("p_size").cast("string"), F.lit("x "), name)
+    said = (
+        F.when(k == 0, F.concat(F.lit("Withdraw: "), count, F.lit(" & Rope"))).when(k == 1, F.concat(F.lit("Mine "), count, F.lit(" on the way")))
+        .when(k == 2, F.lit("Head West and talk to Redbeard Frank [Pirate]")).when(k == 3, F.lit("Take the boat to Brimhaven"))
+        .otherwise(F.concat(F.lit("Head South and buy "), count, F.lit(" then go")))
+    )
+    got = annotate.annotate(read(spark, sf_dir, "part").select("p_partkey", said.alias("said")), "said")
+    f = lambda c: F.col(f"fields.{c}")
+    way = F.when(f("withdraw"), "withdraw").when(f("collects"), "collects").when(f("buys"), "buys")
+    first = F.try_element_at(f("items"), F.lit(1))
+    return got.select("p_partkey", f("intent").alias("intent"), f("target").alias("target"), first["name"].alias("item"), first["count"].alias("n_items"), f("destination").alias("destination"), f("tags")[0].alias("tag"), way.alias("way"))
+
+
+@registered()
+def annotate_lines(spark, sf_dir):
+    """Every line of every document read into all fields; those with something found."""
+    got = annotate.annotate(step_lines(spark, sf_dir), "line")
+    f = lambda c: F.col(f"fields.{c}")
+    flat = got.select("doc_id", "line_no", f("intent").alias("intent"), f("target").alias("target"), F.size(f("items")).alias("n_items"), f("destination").alias("destination"), f("teleport_item").alias("teleport_item"))
+    return flat.where("coalesce(intent, target, destination, teleport_item) IS NOT NULL OR n_items > 0")
