@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact, langid, lm, packing, pii, quality, simhash, suffix, toxicity
+from . import decontaminate, exact, langid, packing, pii, quality, simhash, suffix, toxicity, wordlm
 from .common import table
 
 
@@ -31,7 +31,7 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.score_difference(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return wordlm.score_difference(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
