@@ -64,7 +64,7 @@ def fingerprint(text: str) -> int:
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([fingerprint(t) for t in batch.column(1).to_pylist()], pa.int64())], ["doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([fingerprint(t) for t in batch.column(1).to_pylist()], pa.int64())], ["doc_id", "text_key", "fp"])
 
 
 def _reduced(x: int) -> int:
@@ -143,9 +143,10 @@ def links(reps: DataFrame) -> DataFrame:
     return home.join(replica, close).select(F.col("home_rep").alias("a"), F.col("rep").alias("b"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id: one row per input row."""
-    rows = materialise(id_and_text(docs, id_col, text_col).mapInArrow(_fingerprints, "doc_id long, fp long"), "fingerprints")
+def _found(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, text_key (XXH64 of the text), fp, component_id: one row per input row."""
+    own = id_and_text(docs, id_col, text_col).select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    rows = materialise(own.mapInArrow(_fingerprints, "doc_id long, text_key long, fp long"), "fingerprints")
     sliced = rows.withColumn("salt", salt("doc_id"))
     part = sliced.groupBy("fp", "salt").agg(F.min("doc_id").alias("rep"))
     reps = materialise(part.groupBy("fp").agg(F.min("rep").alias("rep"), F.collect_set("salt").alias("salts")), "distinct")
@@ -153,15 +154,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = reps.join(label, reps["rep"] == label["node"], "left").select(
         "fp", F.explode("salts").alias("salt"), F.coalesce("label", "rep").alias("component_id")
     )
-    return sliced.join(named, ["fp", "salt"]).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return sliced.join(named, ["fp", "salt"]).select("doc_id", "text_key", "fp", "component_id")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id: one row per input row."""
+    return _found(docs, id_col, text_col).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with the row of the smallest id of every component; all columns.
+    """docs with the row of the smallest id of every component, and all rows of
+    components without an id; all columns.
 
-    What leaves is written as a list of ids: it is usually the shorter side,
-    and Spark broadcasts it only below its own size threshold.
+    Every row is decided by its id and text, as an id may have several texts and
+    many rows may have no id.  What leaves is written as a list of both: it is
+    usually the shorter side, and Spark broadcasts it only below its own size
+    threshold.
     """
-    found = near_duplicates(docs, id_col, text_col)
-    gone = materialise(found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__loom_id")).distinct(), "gone")
-    return docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone["__loom_id"]), "left_anti")
+    leaves = F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id"))
+    found = _found(docs, id_col, text_col).where(leaves)
+    gone = materialise(found.select(F.col("doc_id").alias("__loom_id"), F.col("text_key").alias("__loom_text")).distinct(), "gone")
+    text_key = F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit("")))
+    return docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone["__loom_id"]) & (text_key == gone["__loom_text"]), "left_anti")
