@@ -10,8 +10,9 @@ fingerprints the one is thus at the home anchor of the other, and both are
 compared there, over all 64 bits.  Only distinct fingerprints are replicated.
 
 Null or empty texts have fingerprint zero and link like any other.  Repeated
-rows share a fingerprint.  A row with a null id gets its component but never
-names one; a group of null ids only has a null component.
+rows share a fingerprint.  Fingerprints are linked whatever the ids of their
+rows.  A row with a null id gets its component, and links others, but never
+names one; a component of null ids only is null.
 """
 
 from __future__ import annotations
@@ -121,40 +122,49 @@ def anchors(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _replicas(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for a in range(0, batch.num_rows, 4096):
-            part = batch.slice(a, 4096)
-            fp, rep = part.column(0).to_numpy(), part.column(1).to_numpy()
+            fp = batch.column(0).slice(a, 4096).to_numpy()
             _, row, anchor = anchors(fp)
-            yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(fp[row]), pa.array(rep[row])], ["anchor", "fp", "rep"])
+            yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(fp[row])], ["anchor", "fp"])
 
 
 def _homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         fp = batch.column(0).to_numpy()
         home = np.concatenate([anchors(fp[a : a + 4096])[0] for a in range(0, len(fp), 4096)]) if len(fp) else np.empty(0, np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(home, pa.int64()), batch.column(0), batch.column(1)], ["home", "home_fp", "home_rep"])
+        yield pa.RecordBatch.from_arrays([pa.array(home, pa.int64()), batch.column(0)], ["home", "home_fp"])
 
 
-def links(reps: DataFrame) -> DataFrame:
-    """reps: fp, rep (distinct fingerprints and the smallest id of each).  a, b: linked ids, both directions."""
-    known = reps.where("rep is not null")
-    replica = known.mapInArrow(_replicas, "anchor long, fp long, rep long")
-    home = known.mapInArrow(_homes, "home long, home_fp long, home_rep long")
-    close = (F.col("home") == F.col("anchor")) & (F.col("home_rep") != F.col("rep")) & (F.bit_count(F.col("home_fp").bitwiseXOR(F.col("fp"))) <= THRESHOLD)
-    return home.join(replica, close).select(F.col("home_rep").alias("a"), F.col("rep").alias("b"))
+def links(fps: DataFrame) -> DataFrame:
+    """fps: fp (distinct fingerprints).  a, b: linked fingerprints, both directions."""
+    replica = fps.mapInArrow(_replicas, "anchor long, fp long")
+    home = fps.mapInArrow(_homes, "home long, home_fp long")
+    close = (F.col("home") == F.col("anchor")) & (F.col("home_fp") != F.col("fp")) & (F.bit_count(F.col("home_fp").bitwiseXOR(F.col("fp"))) <= THRESHOLD)
+    return home.join(replica, close).select(F.col("home_fp").alias("a"), F.col("fp").alias("b"))
 
 
 def _found(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, text_key (XXH64 of the text), fp, component_id: one row per input row."""
+    """doc_id, text_key (XXH64 of the text), fp, component_id, first_fp: one row per input row.
+
+    first_fp is the smallest fingerprint under the id that names the component.
+    """
     own = id_and_text(docs, id_col, text_col).select("doc_id", "text", F.xxhash64("text").alias("text_key"))
     rows = materialise(own.mapInArrow(_fingerprints, "doc_id long, text_key long, fp long"), "fingerprints")
     sliced = rows.withColumn("salt", salt("doc_id"))
     part = sliced.groupBy("fp", "salt").agg(F.min("doc_id").alias("rep"))
     reps = materialise(part.groupBy("fp").agg(F.min("rep").alias("rep"), F.collect_set("salt").alias("salts")), "distinct")
-    label = components(links(reps.select("fp", "rep")))
-    named = reps.join(label, reps["rep"] == label["node"], "left").select(
-        "fp", F.explode("salts").alias("salt"), F.coalesce("label", "rep").alias("component_id")
+    label = components(links(reps.select("fp")))
+    linked = materialise(label.join(reps, label["node"] == reps["fp"]).select("node", "label", "rep"), "linked")
+    least = F.min(F.when(F.col("rep").isNotNull(), F.struct("rep", "node")))
+    first = materialise(linked.groupBy("label").agg(least.alias("first")).select(F.col("label").alias("of"), "first.rep", "first.node"), "first")
+    member = linked.join(first, linked["label"] == first["of"]).select(linked["node"], first["rep"].alias("component_id"), first["node"].alias("first_fp"))
+    alone = F.col("node").isNull()
+    named = reps.join(member, reps["fp"] == member["node"], "left").select(
+        "fp",
+        F.explode("salts").alias("salt"),
+        F.when(alone, F.col("rep")).otherwise(F.col("component_id")).alias("component_id"),
+        F.when(alone, F.col("fp")).otherwise(F.col("first_fp")).alias("first_fp"),
     )
-    return sliced.join(named, ["fp", "salt"]).select("doc_id", "text_key", "fp", "component_id")
+    return sliced.join(named, ["fp", "salt"]).select("doc_id", "text_key", "fp", "component_id", "first_fp")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -163,15 +173,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with the row of the smallest id of every component, and all rows of
-    components without an id; all columns.
+    """docs with the row of the smallest id of every component (of its fingerprints
+    there, the smallest), and all rows of components without an id; all columns.
 
     Every row is decided by its id and text, as an id may have several texts and
     many rows may have no id.  What leaves is written as a list of both: it is
     usually the shorter side, and Spark broadcasts it only below its own size
     threshold.
     """
-    leaves = F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id"))
+    leaves = F.col("component_id").isNotNull() & ~(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("fp") == F.col("first_fp")))
     found = _found(docs, id_col, text_col).where(leaves)
     gone = materialise(found.select(F.col("doc_id").alias("__loom_id"), F.col("text_key").alias("__loom_text")).distinct(), "gone")
     text_key = F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit("")))

@@ -23,3 +23,15 @@ def test_null_ids_leave_by_row(spark):
 def test_id_with_two_texts_leaves_by_row(spark):
     other = B.upper()
     assert kept(spark, [(5, A), (5, B), (3, other), (None, C)]) == Counter([(5, A), (3, other), (None, C)])
+
+
+def test_null_ids_link(spark):
+    """Neighbours of the three are one or two bits apart, the outer two more."""
+    one, two, three = (" ".join(f"w{k}" for k in range(n)) for n in (46, 47, 48))
+    fp = [simhash.fingerprint(t) for t in (one, two, three)]
+    assert [(fp[a] ^ fp[b]).bit_count() for a, b in ((0, 1), (1, 2), (0, 2))] == [1, 2, 3]
+    docs = spark.createDataFrame([(7, one), (None, two), (4, three), (None, A)], "doc_id long, text string")
+    got = Counter((r.doc_id, r.component_id) for r in simhash.near_duplicates(docs).collect())
+    assert got == Counter([(7, 4), (None, 4), (4, 4), (None, None)])
+    assert kept(spark, [(7, one), (None, two), (4, three), (None, A)]) == Counter([(4, three), (None, A)])
+    assert kept(spark, [(7, one), (7, two)]).total() == 1
