@@ -31,7 +31,7 @@ from .common import id_and_text, texts
 from .sample import sample_ids, sampled
 
 PER_CLASS = 3072
-MARKERS = 2048
+MARKERS = 3072
 STRONG = 512
 FOLDS = 5
 CATEGORIES = ("marked", "repeated", "toxic")
@@ -77,23 +77,72 @@ def _feature_rows(at: dict[str, int], strong: frozenset[str]):
     return run
 
 
-def logistic(x: np.ndarray, y: np.ndarray, l2: float = 0.3, steps: int = 300) -> np.ndarray:
+class Design:
+    """Rows of marker numbers and of dense columns, which come after the markers; no zero is stored.
+
+    numbers: the markers of all rows, row after row; size: how many each row has.
+    """
+
+    def __init__(self, numbers: np.ndarray, size: np.ndarray, markers: int, dense: np.ndarray):
+        self.numbers, self.size, self.markers, self.dense = numbers, size, markers, dense
+        self.row = np.repeat(np.arange(len(size), dtype=np.int32), size)
+        self.full = np.flatnonzero(size)
+        self.starts = (np.cumsum(size) - size)[self.full]
+        self.by_marker = self.row[np.argsort(numbers, kind="stable")]
+        each = np.bincount(numbers, minlength=markers)
+        self.used = np.flatnonzero(each)
+        self.marker_starts = (np.cumsum(each) - each)[self.used]
+
+    def __len__(self) -> int:
+        return len(self.size)
+
+    @property
+    def width(self) -> int:
+        return self.markers + self.dense.shape[1]
+
+    def times(self, v: np.ndarray) -> np.ndarray:
+        out = self.dense @ v[self.markers :]
+        if len(self.full):
+            out[self.full] += np.add.reduceat(v[self.numbers], self.starts)
+        return out
+
+    def back(self, g: np.ndarray) -> np.ndarray:
+        """The transpose times g."""
+        out = np.zeros(self.width, np.float32)
+        out[self.markers :] = self.dense.T @ g
+        if len(self.used):
+            out[self.used] = np.add.reduceat(g[self.by_marker], self.marker_starts)
+        return out
+
+    def rows(self, mask: np.ndarray) -> Design:
+        return Design(self.numbers[mask[self.row]], self.size[mask], self.markers, self.dense[mask])
+
+    def beside(self, column: np.ndarray) -> Design:
+        return Design(self.numbers, self.size, self.markers, np.hstack([self.dense, column[:, None]]))
+
+
+def design(x: np.ndarray) -> Design:
+    """All columns dense."""
+    return Design(np.empty(0, np.int64), np.zeros(len(x), np.int64), 0, x)
+
+
+def logistic(x: Design, y: np.ndarray, l2: float = 0.3, steps: int = 300) -> np.ndarray:
     """Weights, the last for the constant; accelerated gradient descent on the mean
     log loss, in which a rarer positive class counts more (by the root of its rarity)."""
     positive = max(1.0, float(y.sum()))
     each = np.where(y > 0, np.sqrt(max(1.0, (len(y) - positive) / positive)), 1.0).astype(np.float32)
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
-    penalty = np.full(x.shape[1], l2 / len(x), np.float32)
+    x = x.beside(np.ones(len(x), np.float32))
+    penalty = np.full(x.width, l2 / len(x), np.float32)
     penalty[-1] = 0
-    v = np.ones(x.shape[1], np.float32) / np.sqrt(x.shape[1])
+    v = np.ones(x.width, np.float32) / np.sqrt(x.width)
     for _ in range(8):  # the largest curvature, by power iteration
-        v = x.T @ (each * (x @ v))
+        v = x.back(each * x.times(v))
         size = float(np.linalg.norm(v))
         v /= max(size, 1e-9)
     rate = 1 / (0.25 * size / len(x) * 1.1 + l2 / len(x) + 1e-9)
-    w = look = np.zeros(x.shape[1], np.float32)
+    w = look = np.zeros(x.width, np.float32)
     for t in range(steps):
-        grad = x.T @ (each * (sigmoid(x @ look) - y)) / len(x) + penalty * look
+        grad = x.back(each * (sigmoid(x.times(look)) - y)) / len(x) + penalty * look
         new = look - rate * grad
         look = new + t / (t + 3) * (new - w)
         w = new
@@ -104,8 +153,9 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit_chain(x: np.ndarray, targets: np.ndarray, folds: np.ndarray) -> list[np.ndarray]:
+def fit_chain(x: np.ndarray | Design, targets: np.ndarray, folds: np.ndarray) -> list[np.ndarray]:
     """One weight vector per category; out-of-fold probabilities join x for the next."""
+    x = x if isinstance(x, Design) else design(x)
     chain = []
     for j in range(targets.shape[1]):
         y = targets[:, j]
@@ -114,9 +164,9 @@ def fit_chain(x: np.ndarray, targets: np.ndarray, folds: np.ndarray) -> list[np.
         for f in range(FOLDS):
             test = folds == f
             if test.any():
-                w = logistic(x[~test], y[~test]) if (~test).any() else chain[-1]
-                out[test] = sigmoid(x[test] @ w[:-1] + w[-1])
-        x = np.hstack([x, out[:, None]])
+                w = logistic(x.rows(~test), y[~test]) if (~test).any() else chain[-1]
+                out[test] = sigmoid(x.rows(test).times(w[:-1]) + w[-1])
+        x = x.beside(out)
     return chain
 
 
@@ -136,12 +186,10 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> dict
     strong = frozenset([r.term for r in best if r.z > 0 and r.n1 >= 0.5 * r.n][:STRONG])
     got = rows.mapInArrow(_feature_rows(at, strong), "doc_id long, cls int, idx binary, dense binary").toPandas().sort_values(["doc_id", "idx"], kind="stable")
     drawn.unpersist()
-    x = np.zeros((len(got), len(at) + 2), np.float32)
-    k = np.zeros(len(got))
-    for r, (i, d) in enumerate(zip(got.idx, got.dense, strict=True)):
-        x[r, np.frombuffer(i, "<u2")] = 1
-        x[r, len(at) :] = np.frombuffer(d, np.float32)[:2]
-        k[r] = np.frombuffer(d, np.float32)[2]
+    numbers = [np.frombuffer(i, "<u2") for i in got.idx]
+    dense = np.array([np.frombuffer(d, np.float32) for d in got.dense], np.float32).reshape(-1, 3)
+    x = Design(np.concatenate([*numbers, np.empty(0, "<u2")]).astype(np.int32), np.array([len(i) for i in numbers], np.int64), len(at), np.ascontiguousarray(dense[:, :2]))
+    k = dense[:, 2]
     y = got.cls.to_numpy(np.float32)
     targets = np.stack([y * (k >= 1), y * (k >= DENSE), y], 1).astype(np.float32)
     folds = (got.doc_id.to_numpy(np.int64) * 2654435761 >> 7) % FOLDS
