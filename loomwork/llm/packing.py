@@ -20,6 +20,8 @@ pieces of their own.  Ties are broken by id, then piece.
 from __future__ import annotations
 
 import base64
+import json
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
@@ -55,10 +57,18 @@ class Encoder:
     distinct word once; any other text is encoded whole.  The tokenizer itself
     reads the words: byte by byte merges from the ranked twin of the
     vocabulary where there is one beside it, else the file's own library.
+    encode() takes all text as ordinary; document() reads the file's added
+    tokens as their own ids, and splits the text at them.
     """
 
     def __init__(self, vocabulary: str):
         self.cache: dict[str, bytes] = {}
+        with open(vocabulary, encoding="utf-8") as f:
+            added = json.load(f).get("added_tokens") or []
+        if any(t.get(k) for t in added for k in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError("added tokens that take in or depend on the text beside them are not supported")
+        self.added = {t["content"]: np.array([t["id"]], "<u4").tobytes() for t in added}
+        self.split = re.compile("(" + "|".join(re.escape(c) for c in sorted(self.added, key=len, reverse=True)) + ")") if added else None
         try:
             import tiktoken
             from public_tokenizers import PATTERN
@@ -76,6 +86,11 @@ class Encoder:
     def whole(self, text: str) -> bytes:
         return np.array(self.ids(text), "<u4").tobytes()
 
+    def document(self, text: str) -> bytes:
+        if not self.split or not any(c in text for c in self.added):
+            return self.encode(text)
+        return b"".join(self.added[p] if k % 2 else self.encode(p) for k, p in enumerate(self.split.split(text)) if p)
+
     def encode(self, text: str) -> bytes:
         plain = not ("  " in text or "\n\n" in text or "\n " in text or " \n" in text or text[:1].isspace() or text[-1:].isspace())
         if not plain or any(c in text for c in OTHER_SPACE):
@@ -110,7 +125,7 @@ def _pieces(vocabulary: str, length: int) -> Callable[[Iterator[pa.RecordBatch]]
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), texts(batch), strict=True):
-                ids = encoder.encode(text) + CLOSING
+                ids = encoder.document(text) + CLOSING
                 rows += [(doc_id, k, a, n, zlib.crc32(ids[4 * a : 4 * (a + n)])) for k, (a, n) in enumerate(cut(len(ids) // 4, length))]
             cols = list(zip(*rows, strict=True)) or [[]] * 5
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
