@@ -6,50 +6,20 @@ for an ordered list, nation, part and supplier for authorities.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions import annotate, goods, predicates, sentences, verdicts
-from .functions import text as T
-from .operators import boundaries, conditions, diff
-from .operators import pages as page_names
-from .operators import quality, resolve, sequence, structure, travel
-from .sources import lookup, sinks
-
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLE_SQL: dict[str, str] = {}
+from ..functions import annotate, goods, predicates, sentences, verdicts
+from ..functions import text as T
+from ..operators import boundaries, conditions, diff
+from ..operators import pages as page_names
+from ..operators import quality, resolve, sequence, structure, travel
+from ..sources import lookup, sinks
+from .registry import EVENTS, LINES, read, registered, step_events, step_lines
 
 #: Leading words and what they stand for, in rule order.
 VERBS = [("the", "article"), ("of", "genitive"), ("in", "place"), ("de", "genitive"), ("la", "article"), ("and", "link"), ("to", "aim")]
 CLASSES = [(r"^$", "blank"), (r"\|", "table"), (r"[%&$*#]{3}", "noise"), (r"!!", "shout"), (r"[0-9]", "digits")]
-LINES = "SELECT doc_id, unnest(range(len(l))) AS line_no, trim(unnest(l), ' ') AS line FROM (SELECT doc_id, string_split(replace(text, chr(13) || chr(10), chr(10)), chr(10)) AS l FROM documents)"
 NORM = r"lower(trim(regexp_replace(line, '\s+', ' ', 'g')))"
-EVENTS = "SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos FROM events"
-
-
-def registered(sql: str | None = None) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def step_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return structure.lines(read(spark, sf_dir, "documents"))
-
-
-def step_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return structure.duplicate_ordinals(read(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], "pos0").withColumn("pos", (F.col("pos0") + 1).cast("long")).drop("pos0")
 
 
 # --- document structure ---------------------------------------------------
