@@ -30,7 +30,9 @@ class RangeMin:
         pad = np.full(-(-n // SPAN) * SPAN + SPAN, 255, np.uint8)
         pad[:n] = x
         self.pad, self.rows = pad, pad.reshape(-1, SPAN)
-        level = self.rows.min(1)
+        level = pad
+        while len(level) * SPAN > len(pad):
+            level = np.minimum(level[::2], level[1::2])
         self.levels = [level]
         while len(level) > 1:
             step = 1 << (len(self.levels) - 1)
@@ -112,7 +114,7 @@ def build(strings: list[bytes], cap: int = CAP) -> tuple[np.ndarray, np.ndarray]
         # of two new rows side by side both give the same value for the second
         fresh[np.concatenate([place[left], place[right] + 1])] = np.minimum(minima(lo, hi), cap - 1) + 1
         # name rows of this round from here on
-        rows, lcp = old_to[both], fresh
+        rows, lcp = np.take(old_to, both), fresh
         rows[:m] = np.arange(m)
         first[1:] += np.concatenate([[0], np.cumsum(added)])
         row = old_to[row]

@@ -19,18 +19,26 @@ bytes its strings cover is its context.
    column-wise construction, as many seeds at a time as BATCH_STRINGS allows.
    A string whose row has a common prefix of 200 bytes with a neighbour starts
    in more than one place.
-3. A seed with more than HOT runs and different contexts could fill a task
-   (HOT contexts of 368 bytes take about 0.5 GB in the construction):
-   its single strings are counted by 128-bit hash instead, spread over slices.
-   Copies of one context under such a seed are spread in the same way.
-
-Seeds go to the second scan as fixed-size Bloom filters (at most BITS bits);
-the exact counts travel to the shards as rows, so a false positive costs a
-shuffled row, never a wrong answer.
-
-Null text is empty.  Texts of less than 200 bytes lose nothing.  A row is told
-from others of its id by a checksum of its text; repeated rows count as two
-documents, so all their strings of 200 bytes are repeated.
+3. A seed with more than HOT runs and different contexts would be too much for
+   one shard.  The contexts of its runs, and only they, are written and go
+   round again under longer seeds (SEEDS), which deal them out more finely; the
+   last seed is the string itself, so every group ends as small enough or as
+   copies of one string.  Copies under a seed with more than HOT runs are
+   spread over slices.
+
+Rows travel packed, one blob for a batch and shuffle partition, so that the
+exchanges move a few large values instead of millions of small rows.
+
+Seeds go to the second scan as Bloom filters, sized by the number of seeds up
+to BITS bits; the exact counts travel to the shards, so a false positive costs
+a moved row, never a wrong answer.  Past that bound the filters let more rows
+through, up to all of them.
+
+Null text is empty.  Texts of less than 200 bytes lose nothing; a text of any
+length is read in pieces.  A row is told from others of its id by a checksum of
+its text; repeated rows count as two documents, so all their strings of 200
+bytes are repeated.  A null id is an id like any other.  An empty table gives
+an empty result.  Other columns are never read.
 """
 
 from __future__ import annotations
@@ -42,21 +50,21 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bcr import repeated_starts
-from .common import id_and_text, materialise, spread_groups
+from .common import id_and_text, materialise
 
 LENGTH = 200
-GRAM = 32
-WINDOW = LENGTH - GRAM + 1
-BITS = 1 << 26
-HOT = 32768
+SEEDS = (32, 116, 200)
+GRAM = SEEDS[0]
+BITS = 1 << 27
+HOT = 8192
 SLICES = 64
 CHUNK = 1 << 18
 CROP = 12
-BATCH_STRINGS = 3000
+BATCH_STRINGS = 1500
 
 _BASE = 0x9E3779B97F4A7C15
 _LOW = np.uint64((1 << 24) - 1)
@@ -104,43 +112,50 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
 
 
 class Part:
-    """Texts, or pieces of long ones, side by side, and their runs.
-
-    By run: which text of the batch, seed, context hash, first start in this
-    part, number of starts, place of the seed.  shift + a place in this part
-    is a place in the text.
-    """
+    """Texts, or pieces of long ones, side by side."""
 
     def __init__(self, pieces: list[tuple[int, int, bytes]]):
-        size = np.array([len(p) for _, _, p in pieces])
-        base = np.cumsum(size) - size
-        self.bytes = np.frombuffer(b"".join([p for _, _, p in pieces]), np.uint8)
-        n = len(self.bytes)
+        self.size = np.array([len(p) for _, _, p in pieces])
+        self.base = np.cumsum(self.size) - self.size
+        self.data = b"".join([p for _, _, p in pieces])
+        self.bytes = np.frombuffer(self.data, np.uint8)
         self.sums = prefix_sums(self.bytes)
-        gram = mixed((self.sums[GRAM:] - self.sums[:-GRAM]) * powers(n + 1)[1][: n - GRAM + 1])
-        least = sliding_min((gram & ~_LOW) | np.arange(len(gram), dtype=np.uint64), WINDOW)
+        self.text = np.array([t for t, _, _ in pieces])
+        self.shift = np.array([a for _, a, _ in pieces]) - self.base
+
+
+class Runs:
+    """The runs of a part under seeds of `gram` bytes.
+
+    By run: which text of the batch, seed, context hash, first start in the
+    part, number of starts, place of the seed.  shift + a place in the part is
+    a place in the text.
+    """
+
+    def __init__(self, part: Part, gram: int = GRAM):
+        n = len(part.bytes)
+        hashes = mixed((part.sums[gram:] - part.sums[:-gram]) * powers(n + 1)[1][: n - gram + 1])
+        least = sliding_min((hashes & ~_LOW) | np.arange(len(hashes), dtype=np.uint64), LENGTH - gram + 1)
         new = np.concatenate([[True], least[1:] != least[:-1]])
-        new[base] = True
+        new[part.base] = True
         lo = np.flatnonzero(new)
-        which = np.searchsorted(base, lo, side="right") - 1
-        past = (base + size - LENGTH + 1)[which]  # later strings would reach into the next text
+        which = np.searchsorted(part.base, lo, side="right") - 1
+        past = (part.base + part.size - LENGTH + 1)[which]  # later strings would reach into the next text
         end = np.minimum(np.append(lo[1:], len(least)), past)
         own = np.flatnonzero(end > lo)
         self.lo, which = lo[own], which[own]
         self.n = end[own] - self.lo
         self.at = (least[self.lo] & _LOW).astype(np.int64)
-        self.seed = gram[self.at].view(np.int64)
+        self.seed = hashes[self.at]
         near = mixed((self.at - self.lo).astype(np.uint64) + np.uint64(1))
-        self.context = (range_hash(self.sums, self.lo, self.lo + self.n + LENGTH - 1) + near).view(np.int64)
-        self.text = np.array([t for t, _, _ in pieces])[which]
-        self.shift = (np.array([a for _, a, _ in pieces]) - base)[which]
+        self.context = range_hash(part.sums, self.lo, self.lo + self.n + LENGTH - 1) + near
+        self.text, self.shift = part.text[which], part.shift[which]
 
 
-def parts(texts_: list[str]) -> Iterator[Part]:
+def parts(texts: list[bytes]) -> Iterator[Part]:
     """All texts of a batch, about CHUNK bytes at a time; a longer text in pieces that overlap by a string."""
     held, size = [], 0
-    for k, text in enumerate(texts_):
-        data = text.encode("utf-8", "surrogatepass")
+    for k, data in enumerate(texts):
         for a in range(0, len(data) - LENGTH + 1, CHUNK):
             held.append((k, a, data[a : a + CHUNK + LENGTH - 1]))
             size += len(held[-1][2])
@@ -151,26 +166,11 @@ def parts(texts_: list[str]) -> Iterator[Part]:
         yield Part(held)
 
 
-def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """seed, runs, smallest and largest context: one row a seed and batch."""
-    for batch in batches:
-        found = [(p.seed, p.context) for p in parts(batch.column(0).to_pylist())]
-        if not found:
-            continue
-        seed, context = (np.concatenate(x) for x in zip(*found, strict=True))
-        order = np.argsort(seed, kind="stable")
-        seed, context = seed[order], context[order]
-        edge = np.flatnonzero(np.concatenate([[True], seed[1:] != seed[:-1]]))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(seed[edge]), pa.array(np.diff(np.append(edge, len(seed)))), pa.array(np.minimum.reduceat(context, edge)), pa.array(np.maximum.reduceat(context, edge))],
-            ["seed", "n", "lo", "hi"],
-        )
-
-
 class Bloom:
-    """Membership of 64-bit hashes, from two of their parts."""
+    """Membership of 64-bit hashes, from two of their parts; 16 bits a seed up to the bound."""
 
-    def __init__(self, seeds: DataFrame, bits: int):
+    def __init__(self, seeds: DataFrame, most: int):
+        bits = min(most, 1 << max(10, (16 * seeds.count()).bit_length()))
         mask = bits - 1
         places = seeds.select(F.explode(F.array(F.col("seed").bitwiseAND(F.lit(mask)), F.shiftrightunsigned("seed", 33).bitwiseAND(F.lit(mask)))).alias("p"))
         words = places.groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("m")).toPandas()
@@ -181,63 +181,190 @@ class Bloom:
     def has(self, seed: np.ndarray) -> np.ndarray:
         if not self.any:
             return np.zeros(len(seed), bool)
-        s, out = seed.view(np.uint64), np.ones(len(seed), bool)
-        for p in (s & self.mask, (s >> np.uint64(33)) & self.mask):
+        out = np.ones(len(seed), bool)
+        for p in (seed & self.mask, (seed >> np.uint64(33)) & self.mask):
             out &= (self.words[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63))) & np.uint64(1) == 1
         return out
 
 
-_RUN = pa.schema(
-    [("seed", pa.int64()), ("slice", pa.int32()), ("context", pa.int64()), ("doc_id", pa.int64()), ("tag", pa.int64()),
-     ("start", pa.int64()), ("n", pa.int32()), ("at", pa.int32()), ("bytes", pa.binary()), ("total", pa.int64())]
-)
-RUN = "seed long, slice int, context long, doc_id long, tag long, start long, n int, at int, bytes binary, total long"
+class Filters:
+    """Of one length of seed: which repeat, which have several contexts, which have more than HOT runs."""
+
+    def __init__(self, seeds: DataFrame, bits: int, hot: int, last: bool):
+        self.repeated, self.several, self.big = Bloom(seeds, bits), Bloom(seeds.where("lo <> hi"), bits), Bloom(seeds.where(F.col("n") > hot), bits)
+        self.last = last
+
+    def left(self, seed: np.ndarray) -> np.ndarray:
+        """Seeds whose strings go round again, rightly or not; a shard and the next round ask this alike."""
+        return np.zeros(len(seed), bool) if self.last else self.several.has(seed) & self.big.has(seed)
+
+
+SEED = np.dtype([("seed", "<u8"), ("n", "<i8"), ("lo", "<u8"), ("hi", "<u8")])
+RUN = np.dtype([("seed", "<u8"), ("context", "<u8"), ("doc", "<i8"), ("tag", "<i8"), ("start", "<i8"), ("n", "<i4"), ("at", "<i4"), ("slice", "<i4"), ("null", "?"), ("sent", "?")])
+OWNER = np.dtype([("doc", "<i8"), ("tag", "<i8"), ("start", "<i8"), ("size", "<i4"), ("null", "?")])
+HEAD = np.dtype([("seed", "<u8"), ("n", "<i8")])
+MARK = np.dtype([("doc", "<i8"), ("tag", "<i8"), ("a", "<i8"), ("n", "<i4"), ("null", "?")])
+PACKED = pa.schema([("bucket", pa.int64()), ("rows", pa.binary()), ("pieces", pa.binary()), ("heads", pa.binary())])
+PACKED_SQL = "bucket long, rows binary, pieces binary, heads binary"
+
+
+def bucket_of(seed: np.ndarray, where: np.ndarray | int, buckets: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        h = mixed(seed + np.asarray(where, np.uint64) * np.uint64(_BASE))
+    return ((h >> np.uint64(11)) % np.uint64(buckets)).astype(np.int64)
 
 
-def _runs(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows of runs whose seed repeats; bytes once a batch and context, where a seed has several.
-    Runs under hot seeds with several contexts are left to _hot."""
+def dealt(bucket: np.ndarray, rows: np.ndarray, column: str, pieces: list[bytes] | None = None) -> pa.RecordBatch:
+    """One row a bucket; pieces: one for every row, empty where none travels."""
+    order = np.argsort(bucket, kind="stable")
+    bucket, rows = bucket[order], rows[order]
+    edge = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.empty(0, np.int64)
+    ends = np.append(edge[1:], len(bucket)) if len(edge) else edge
+    cols = {"bucket": pa.array(bucket[edge], pa.int64()), column: pa.array([rows[x:y].tobytes() for x, y in zip(edge.tolist(), ends.tolist(), strict=True)], pa.binary())}
+    if pieces is not None:
+        at = order.tolist()
+        cols["pieces"] = pa.array([b"".join([pieces[k] for k in at[x:y]]) for x, y in zip(edge.tolist(), ends.tolist(), strict=True)], pa.binary())
+    return pa.RecordBatch.from_arrays([cols.get(f.name, pa.nulls(len(edge), f.type)) for f in PACKED], schema=PACKED)
+
+
+def unpacked(column: pa.Array, kind: np.dtype) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_buffer(), kind) for x in column if x.is_valid]
+
+
+def _totals(rows: np.ndarray) -> np.ndarray:
+    rows = rows[np.argsort(rows["seed"], kind="stable")]
+    edge = np.flatnonzero(np.concatenate([[True], rows["seed"][1:] != rows["seed"][:-1]])) if len(rows) else np.empty(0, np.int64)
+    out = np.empty(len(edge), SEED)
+    if len(edge):
+        out["seed"], out["n"] = rows["seed"][edge], np.add.reduceat(rows["n"], edge)
+        out["lo"], out["hi"] = np.minimum.reduceat(rows["lo"], edge), np.maximum.reduceat(rows["hi"], edge)
+    return out
+
+
+def _seeds(gram: int, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Runs, smallest and largest context of every seed of a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        repeated, several, hot = shared.value
         for batch in batches:
+            found = []
+            for part in parts(owned(batch)[1]):
+                r = Runs(part, gram)
+                one = np.empty(len(r.seed), SEED)
+                one["seed"], one["n"], one["lo"], one["hi"] = r.seed, 1, r.context, r.context
+                found.append(one)
+            if found:
+                seeds = _totals(np.concatenate(found))
+                yield dealt(bucket_of(seeds["seed"], 0, buckets), seeds, "rows")
+
+    return run
+
+
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """seed, runs, smallest and largest context of the seeds of a few buckets that occur more than once."""
+    found = [x for batch in batches for x in unpacked(batch.column(0), SEED)]
+    if found:
+        out = _totals(np.concatenate(found))
+        out = out[out["n"] > 1]
+        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(out[c]).view(np.int64)) for c in SEED.names], list(SEED.names))
+
+
+def _runs(gram: int, filters, buckets: int, slices: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Runs whose seed repeats; bytes once a batch and context, where a seed has several."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now = filters.value
+        for batch in batches:
+            owners, texts = owned(batch)
+            held, pieces = [], []
             sent: set[tuple[int, int]] = set()
-            ids, tags = batch.column(0), batch.column(1).to_numpy()
-            mixed_ids = tags + pc.fill_null(ids, 0).to_numpy()
-            for p in parts(batch.column(2).to_pylist()):
-                many, big = several.has(p.seed), hot.has(p.seed)
-                own = np.flatnonzero(repeated.has(p.seed) & ~(many & big))
-                piece = [None] * len(own)
-                for j, k in enumerate(own.tolist()):
-                    if many[k] and (key := (int(p.seed[k]), int(p.context[k]))) not in sent:
+            for part in parts(texts):
+                r = Runs(part, gram)
+                own = np.flatnonzero(now.repeated.has(r.seed) & ~now.left(r.seed))
+                whose, one = owners[r.text[own]], np.zeros(len(own), RUN)
+                one["seed"], one["context"], one["n"], one["at"] = r.seed[own], r.context[own], r.n[own], r.at[own] - r.lo[own]
+                for c in ("doc", "tag", "null"):
+                    one[c] = whose[c]
+                one["start"] = whose["start"] + r.lo[own] + r.shift[own]
+                one["slice"] = np.where(now.big.has(one["seed"]), (whose["doc"] ^ whose["tag"]) % slices, 0)
+                here, many = [b""] * len(own), np.flatnonzero(now.several.has(one["seed"]))
+                for k, key, a, n in zip(many.tolist(), zip(one["seed"][many].tolist(), one["context"][many].tolist(), strict=True), r.lo[own[many]].tolist(), one["n"][many].tolist(), strict=True):
+                    if key not in sent:
                         sent.add(key)
-                        piece[j] = p.bytes[p.lo[k] : p.lo[k] + p.n[k] + LENGTH - 1].tobytes()
-                text, lo = p.text[own], p.lo[own]
-                where = np.where(big[own], mixed_ids[text] % SLICES, 0)
-                cols = (p.seed[own], where, p.context[own], ids.take(pa.array(text)), tags[text], lo + p.shift[own], p.n[own], p.at[own] - lo, piece)
-                filled = [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(cols, _RUN, strict=False)]
-                yield pa.RecordBatch.from_arrays([*filled, pa.nulls(len(own), pa.int64())], schema=_RUN)
+                        here[k] = part.data[a : a + n + LENGTH - 1]
+                        one["sent"][k] = True
+                held.append(one)
+                pieces += here
+            if held:
+                rows = np.concatenate(held)
+                yield dealt(bucket_of(rows["seed"], rows["slice"], buckets), rows, "rows", pieces)
 
     return run
 
 
-def _heads(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A row for every repeated seed, in each slice that its runs can be in; total counts its runs."""
+STRING_SQL = "heads binary, data binary"
+LEFT_BYTES = 1 << 20
+
+
+def owned(batch: pa.RecordBatch) -> tuple[np.ndarray, list[bytes]]:
+    """OWNER rows and their bytes: of texts (doc_id, tag, data), or of contexts packed by _left."""
+    if batch.schema.names == ["heads", "data"]:
+        heads, data = unpacked(batch.column(0), OWNER), batch.column(1).to_pylist()
+        pieces = [d[b - n : b] for h, d in zip(heads, data, strict=True) for b, n in zip(np.cumsum(h["size"]).tolist(), h["size"].tolist(), strict=True)]
+        return np.concatenate([np.empty(0, OWNER), *heads]), pieces
+    owners = np.zeros(batch.num_rows, OWNER)
+    ids = batch.column(0)
+    owners["doc"], owners["null"], owners["tag"] = pc.fill_null(ids, 0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False), batch.column(1).to_numpy()
+    return owners, batch.column(2).to_pylist()
+
+
+def _left(gram: int, filters) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The contexts of the runs that go round again, about LEFT_BYTES to a row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, several, hot = shared.value
+        now = filters.value
         for batch in batches:
-            seed, total = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            big = hot.has(seed)
-            k = np.repeat(np.flatnonzero(~(several.has(seed) & big)), np.where(big, SLICES, 1)[~(several.has(seed) & big)])
-            where = np.arange(len(k)) - np.searchsorted(k, k)
-            blank = [pa.nulls(len(k), f.type) for f in list(_RUN)[3:9]]
-            yield pa.RecordBatch.from_arrays([pa.array(seed[k]), pa.array(where, pa.int32()), pa.nulls(len(k), pa.int64()), *blank, pa.array(total[k], pa.int64())], schema=_RUN)
+            owners, texts = owned(batch)
+            heads, data, size = [], [], 0
+            for part in parts(texts):
+                r = Runs(part, gram)
+                own = np.flatnonzero(now.left(r.seed))
+                h = owners[r.text[own]]
+                h["start"] += r.lo[own] + r.shift[own]
+                h["size"] = r.n[own] + (LENGTH - 1)
+                heads.append(h)
+                data += [part.data[a : a + n] for a, n in zip(r.lo[own].tolist(), h["size"].tolist(), strict=True)]
+                size += int(h["size"].sum())
+                if size >= LEFT_BYTES:
+                    yield _packed_strings(heads, data)
+                    heads, data, size = [], [], 0
+            if size:
+                yield _packed_strings(heads, data)
 
     return run
 
 
-def cropped(strings: list[bytes], at: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _packed_strings(heads: list[np.ndarray], data: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([np.concatenate(heads).tobytes()], pa.binary()), pa.array([b"".join(data)], pa.binary())], ["heads", "data"])
+
+
+def _heads(filters, buckets: int, slices: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The number of runs of every repeated seed, for each slice that its runs can be in."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now = filters.value
+        for batch in batches:
+            heads = np.empty(batch.num_rows, HEAD)
+            heads["seed"], heads["n"] = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()
+            heads = heads[~now.left(heads["seed"])]
+            times = np.where(now.big.has(heads["seed"]), slices, 1)
+            where = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            heads = np.repeat(heads, times)
+            yield dealt(bucket_of(heads["seed"], where, buckets), heads, "heads")
+
+    return run
+
+
+def cropped(strings: list[bytes], at: np.ndarray, group: np.ndarray, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
     """How far left and right of its seed each context can share bytes with
     another of its group: to the next multiple of CROP after the longest
     stretch that some other context also has."""
@@ -246,14 +373,14 @@ def cropped(strings: list[bytes], at: np.ndarray, group: np.ndarray) -> tuple[np
     sums = prefix_sums(np.frombuffer(b"".join(strings), np.uint8))
     reach = []
     for side in (-1, 1):
-        room = at if side < 0 else size - at - GRAM
+        room = at if side < 0 else size - at - gram
         best = np.zeros(len(strings), np.int64)
         live = np.arange(len(strings))
-        for step in range(CROP, WINDOW, CROP):
+        for step in range(CROP, LENGTH - gram + 1, CROP):
             live = live[room[live] >= step]
             if not len(live):
                 break
-            edge = begin[live] + at[live] + (GRAM if side > 0 else 0)
+            edge = begin[live] + at[live] + (gram if side > 0 else 0)
             h = range_hash(sums, edge - (step if side < 0 else 0), edge + (step if side > 0 else 0))
             order = np.lexsort([h, group[live]])
             same = (np.diff(h[order].view(np.int64)) == 0) & (np.diff(group[live][order]) == 0)
@@ -263,137 +390,111 @@ def cropped(strings: list[bytes], at: np.ndarray, group: np.ndarray) -> tuple[np
     return reach[0], reach[1]
 
 
-class Shard:
-    """Turns the rows of one shard, sorted by seed, slice and context, into marks.
-    A row: context, doc_id, tag, start, number of starts, place of the seed, bytes."""
-
-    def __init__(self) -> None:
-        self.waiting: list[list[list[tuple]]] = []  # by seed, by context
-        self.strings = 0
-
-    def group(self, rows: list[tuple], total: int | None) -> Iterator[tuple]:
-        """All rows of one seed and slice."""
-        if not rows or (total or 0) < 2:
-            return
-        if rows[0][0] == rows[-1][0]:
-            # the seed's only context, or all that this slice of copies has of it
-            for _, doc_id, tag, start, n, *_ in rows:
-                yield doc_id, tag, start, start + n
-            return
-        sets: list[list[tuple]] = []
-        for r in rows:
-            if sets and sets[-1][0][0] == r[0]:
-                sets[-1].append(r)
-            else:
-                sets.append([r])
-        self.waiting.append(sets)
-        self.strings += len(sets)
-        if self.strings >= BATCH_STRINGS:
-            yield from self.flush()
-
-    def flush(self) -> Iterator[tuple]:
-        todo, self.waiting, self.strings = self.waiting, [], 0
-        sets = [rs for group in todo for rs in group]
-        if not sets:
-            return
-        strings = [next(r[6] for r in rs if r[6] is not None) for rs in sets]
-        at = np.array([rs[0][5] for rs in sets])
-        left, right = cropped(strings, at, np.repeat(np.arange(len(todo)), [len(g) for g in todo]))
-        keep = np.flatnonzero(left + right + GRAM >= LENGTH)
-        flags = [np.empty(0, bool)] * len(strings)
-        if len(keep):
-            cut = [strings[k][at[k] - left[k] : at[k] + GRAM + right[k]] for k in keep]
-            flat, a = repeated_starts(cut, LENGTH), 0
-            for k, s in zip(keep, cut, strict=True):
-                flags[k] = flat[a : a + len(s)]
-                a += len(s)
-        for k, rs in enumerate(sets):
-            if len(rs) > 1:
-                spans_ = [(0, rs[0][4])]
-            else:
-                edge = np.flatnonzero(np.diff(np.concatenate([[0], flags[k].view(np.int8), [0]]))) + (at[k] - left[k])
-                spans_ = list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True))
-            for _, doc_id, tag, start, *_ in rs:
-                for x, y in spans_:
-                    yield doc_id, tag, start + x, start + y
-
-
-MARK = "doc_id long, tag long, a long, b long"
-_MARK = pa.schema([(c, pa.int64()) for c in ("doc_id", "tag", "a", "b")])
-
-
-def _mark_batch(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*rows, strict=True) if rows else [[]] * 4)], schema=_MARK)
-
-
-def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Starts a to b (exclusive) of a document are repeated.  Heads sort first in their group."""
-    shard, now, rows, total = Shard(), None, [], None
-    for batch in batches:
-        out: list[tuple] = []
-        names = [f.name for f in _RUN]
-        for seed, where, context, doc_id, tag, start, n, at, piece, count in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
-            if (seed, where) != now:
-                out += shard.group(rows, total)
-                now, rows, total = (seed, where), [], None
-            if count is not None:
-                total = count
-            else:
-                rows.append((context, doc_id, tag, start, n, at, piece))
-        yield _mark_batch(out)
-    out = [*shard.group(rows, total), *shard.flush()]
-    yield _mark_batch(out)
-
-
-def _left_to_hot(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Seeds that the filters (right or not) keep out of the shards."""
+def _spans(strings: list[bytes], at: np.ndarray, group: np.ndarray, gram: int) -> Iterator[tuple[int, int, int]]:
+    """(context, first, past the last) of the starts that are repeated, by the column-wise construction."""
+    left, right = cropped(strings, at, group, gram)
+    keep = np.flatnonzero(left + right + gram >= LENGTH)
+    if not len(keep):
+        return
+    cut = [strings[k][at[k] - left[k] : at[k] + gram + right[k]] for k in keep]
+    flat, a = repeated_starts(cut, LENGTH), 0
+    for k, s in zip(keep.tolist(), cut, strict=True):
+        flags = flat[a : a + len(s)]
+        a += len(s)
+        if flags.any():
+            edge = np.flatnonzero(np.diff(np.concatenate([[0], flags.view(np.int8), [0]]))) + (at[k] - left[k])
+            yield from ((k, x, y) for x, y in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True))
+
+
+def marked(rows: np.ndarray, pieces: bytes, heads: np.ndarray, gram: int) -> Iterator[np.ndarray]:
+    """Marks of the repeated starts among the runs of a few buckets."""
+    heads = heads[np.argsort(heads["seed"], kind="stable")]
+    if not len(heads) or not len(rows):
+        return
+    size = np.where(rows["sent"], rows["n"] + (LENGTH - 1), 0).astype(np.int64)
+    begin = np.cumsum(size) - size
+    known = heads["seed"][np.minimum(np.searchsorted(heads["seed"], rows["seed"]), len(heads) - 1)] == rows["seed"]
+    own = np.flatnonzero(known)
+    if not len(own):
+        return
+    own = own[np.lexsort((rows["context"][own], rows["slice"][own], rows["seed"][own]))]
+    r, begin = rows[own], begin[own]
+    change = lambda c: np.concatenate([[True], r[c][1:] != r[c][:-1]])
+    new_group = change("seed") | change("slice")
+    new = new_group | change("context")
+    edge, context = np.flatnonzero(new), np.cumsum(new) - 1
+    times = np.diff(np.append(edge, len(r)))
+    group = (np.cumsum(new_group) - 1)[edge]
+    several = np.bincount(group)[group] > 1
+
+    def marks(k: np.ndarray, first: np.ndarray | int, n: np.ndarray) -> np.ndarray:
+        out = np.empty(len(k), MARK)
+        for c in ("doc", "tag", "null"):
+            out[c] = r[c][k]
+        out["a"], out["n"] = r["start"][k] + first, n
+        return out
+
+    whole = np.flatnonzero((~several | (times > 1))[context])  # copies of a context
+    yield marks(whole, 0, r["n"][whole])
+    todo = np.flatnonzero(several)
+    if not len(todo):
+        return
+    sent = np.maximum.reduceat(np.where(r["sent"], np.arange(len(r)), -1), edge)
+    ends = np.append(np.flatnonzero(np.diff(group[todo])) + 1, len(todo)).tolist()
+    a = 0
+    for n, b in enumerate(ends):
+        if b - a < BATCH_STRINGS and n + 1 < len(ends):
+            continue
+        part, a = todo[a:b], b
+        at = sent[part]
+        strings = [pieces[x : x + y] for x, y in zip(begin[at].tolist(), (r["n"][at] + (LENGTH - 1)).tolist(), strict=True)]
+        found = [(part[k], x, y - x) for k, x, y in _spans(strings, r["at"][at].astype(np.int64), group[part], gram) if times[part[k]] == 1]
+        if found:
+            c, x, n_ = (np.array(v) for v in zip(*found, strict=True))
+            yield marks(edge[c], x, n_)
+
+
+def _marks(gram: int, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """From the runs of a few buckets to marks, dealt out by document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, several, hot = shared.value
+        rows, pieces, heads = [np.empty(0, RUN)], [], [np.empty(0, HEAD)]
         for batch in batches:
-            seed = batch.column(0).to_numpy()
-            yield batch.filter(pa.array(several.has(seed) & hot.has(seed)))
+            rows += unpacked(batch.column(1), RUN)
+            pieces += [x.as_py() for x in batch.column(2) if x.is_valid]
+            heads += unpacked(batch.column(3), HEAD)
+        for m in marked(np.concatenate(rows), b"".join(pieces), np.concatenate(heads), gram):
+            if len(m):
+                yield dealt((m["doc"] ^ m["tag"]) % buckets, m, "rows")
 
     return run
 
 
-def _hot(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Every single string of the runs under hot seeds with several contexts, by hash."""
+def _packed(df: DataFrame, fn: Callable) -> DataFrame:
+    return df.mapInArrow(fn, PACKED_SQL)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, several, hot = shared.value
-        for batch in batches:
-            ids, tags = batch.column(0), batch.column(1).to_numpy()
-            for part in parts(batch.column(2).to_pylist()):
-                own = np.flatnonzero(several.has(part.seed) & hot.has(part.seed))
-                if not len(own):
-                    continue
-                k = np.repeat(own, part.n[own])
-                p = part.lo[k] + np.arange(len(k)) - np.searchsorted(k, k)
-                h = range_hash(part.sums, p, p + LENGTH), range_hash(prefix_sums(part.bytes, TABLE2), p, p + LENGTH)
-                text = part.text[k]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h[0].view(np.int64)), pa.array(h[1].view(np.int64)), ids.take(pa.array(text)), pa.array(tags[text]), pa.array(p + part.shift[k])],
-                    ["h0", "h1", "doc_id", "tag", "a"],
-                )
 
-    return run
+def _buckets(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def repeated_marks(own: DataFrame, bits: int = BITS, hot: int = HOT) -> DataFrame:
-    """own: doc_id, tag, text.  doc_id, tag, a, b: the starts of repeated strings, as ranges."""
+    """own: doc_id, tag, text.  bucket, rows: the starts of repeated strings, as packed MARKs by document."""
     spark = own.sparkSession
-    counted = own.select("text").mapInArrow(_seeds, "seed long, n long, lo long, hi long").groupBy("seed").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    seeds = materialise(counted.where("n > 1"), "seeds")
-    filters = Bloom(seeds, bits), Bloom(seeds.where("lo <> hi"), bits), Bloom(seeds.where(F.col("n") > hot), bits)
-    shared = spark.sparkContext.broadcast(filters)
-    rows = own.mapInArrow(_runs(shared), RUN).unionByName(seeds.select("seed", "n").mapInArrow(_heads(shared), RUN))
-    marks = rows.repartition("seed", "slice").sortWithinPartitions("seed", "slice", F.col("total").isNull(), "context").mapInArrow(_marks, MARK)
-    if seeds.where(F.col("n") > 1).select("seed").mapInArrow(_left_to_hot(shared), "seed long").limit(1).count():
-        strings = materialise(own.mapInArrow(_hot(shared), "h0 long, h1 long, doc_id long, tag long, a long"), "strings").withColumn("one", F.xxhash64("doc_id", "a"))
-        groups = spread_groups(strings, ["h0", "h1"], "one", SLICES).where("group_rows > 1")
-        again = strings.withColumn("salt", F.pmod(F.xxhash64("one"), F.lit(SLICES)).cast("int")).join(groups, ["h0", "h1", "salt"])
-        marks = marks.unionByName(again.select("doc_id", "tag", "a", (F.col("a") + 1).alias("b")))
+    buckets = _buckets(spark)
+    slices = max(SLICES, buckets)
+    strings = own.select("doc_id", "tag", F.col("text").cast("binary").alias("data"))
+    marks = None
+    for k, gram in enumerate(SEEDS):
+        counted = _packed(strings, _seeds(gram, buckets))
+        seeds = materialise(counted.repartitionById(buckets, F.col("bucket").cast("int")).select("rows").mapInArrow(_repeated, "seed long, n long, lo long, hi long"), "seeds")
+        shared = spark.sparkContext.broadcast(Filters(seeds, bits, hot, last=k + 1 == len(SEEDS)))
+        rows = _packed(strings, _runs(gram, shared, buckets, slices)).unionByName(_packed(seeds.select("seed", "n"), _heads(shared, buckets, slices)))
+        found = _packed(rows.repartitionById(buckets, F.col("bucket").cast("int")), _marks(gram, buckets)).select("bucket", "rows")
+        marks = found if marks is None else marks.unionByName(found)
+        if not seeds.where((F.col("n") > hot) & (F.col("lo") != F.col("hi"))).limit(1).count():
+            break
+        strings = materialise(strings.mapInArrow(_left(gram, shared), STRING_SQL), "left")
     return marks
 
 
@@ -405,30 +506,61 @@ def spans(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a[new], end[np.append(np.flatnonzero(new)[1:] - 1, len(end) - 1)]
 
 
+class Marks:
+    """The marks of a partition by row."""
+
+    def __init__(self, found: list[np.ndarray]):
+        m = np.concatenate([np.empty(0, MARK), *found])
+        self.m = m[np.lexsort((m["tag"], m["doc"], m["null"]))]
+        change = lambda c: self.m[c][1:] != self.m[c][:-1]
+        edge = np.concatenate([[0], np.flatnonzero(change("tag") | change("doc") | change("null")) + 1]) if len(m) else np.empty(0, np.int64)
+        first = self.m[edge]
+        doc = [None if n else d for d, n in zip(first["doc"].tolist(), first["null"].tolist(), strict=True)]
+        self.at = dict(zip(zip(doc, first["tag"].tolist(), strict=True), zip(edge.tolist(), np.append(edge[1:], len(m)).tolist() if len(edge) else [], strict=True), strict=True))
+
+    def of(self, doc_id: int | None, tag: int) -> tuple[np.ndarray, np.ndarray] | None:
+        if (at := self.at.get((doc_id, tag))) is None:
+            return None
+        m = self.m[at[0] : at[1]]
+        return spans(m["a"], m["a"] + m["n"])
+
+
 def _results(keep_text: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Marks come before texts."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, marks = [], None
         for batch in batches:
+            found += unpacked(batch.column(3), MARK)
+            texts = batch.filter(batch.column(3).is_null())
+            if not texts.num_rows:
+                continue
+            marks = marks or Marks(found)
             out = []
-            for doc_id, text, starts, ends in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for doc_id, tag, text in zip(*(texts.column(k).to_pylist() for k in range(3)), strict=True):
                 data = text.encode("utf-8", "surrogatepass")
                 kept, removed, n = data, 0, 0
-                if starts:
-                    lo, hi = spans(np.array(starts, np.int64), np.array(ends, np.int64))
+                if (where := marks.of(doc_id, tag)) is not None:
+                    lo, hi = where
                     n, removed = len(lo), int((hi - lo).sum())
                     kept = b"".join(data[x:y] for x, y in zip([0, *hi.tolist()], [*lo.tolist(), len(data)], strict=True))
                 out.append((doc_id, len(data), removed, n, kept if keep_text else hashlib.sha256(kept).hexdigest()))
-            cols = list(zip(*out, strict=True)) or [[]] * 5
+            cols = list(zip(*out, strict=True))
             kinds = [pa.int64()] * 4 + [pa.binary() if keep_text else pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept" if keep_text else "kept_sha256"])
 
     return run
 
 
+def _document_bucket(buckets: int) -> Column:
+    return F.pmod(F.coalesce("doc_id", F.lit(0)).bitwiseXOR(F.col("tag")), F.lit(buckets)).alias("bucket")
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False, bits: int = BITS, hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, and the digest of the remaining bytes (or, with keep_text, those bytes)."""
     own = id_and_text(docs, id_col, text_col).select("doc_id", F.crc32(F.col("text").cast("binary")).alias("tag"), "text")
-    by_doc = repeated_marks(own, bits, hot).groupBy("doc_id", "tag").agg(F.collect_list("a").alias("a"), F.collect_list("b").alias("b"))
-    marks = by_doc.select(F.col("doc_id").alias("i"), F.col("tag").alias("t"), "a", "b")
-    met = own.join(marks, own["doc_id"].eqNullSafe(marks["i"]) & (own["tag"] == marks["t"]), "left").select("doc_id", "text", "a", "b")
+    texts = own.select(_document_bucket(_buckets(own.sparkSession)), "doc_id", "tag", "text", F.lit(None).cast("binary").alias("marks"))
+    marks = repeated_marks(own, bits, hot).select("bucket", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("tag"), F.lit(None).cast("string").alias("text"), F.col("rows").alias("marks"))
+    met = marks.unionByName(texts).repartitionById(_buckets(own.sparkSession), F.col("bucket").cast("int")).sortWithinPartitions(F.col("marks").isNull()).select("doc_id", "tag", "text", "marks")
     last = "kept binary" if keep_text else "kept_sha256 string"
     return met.mapInArrow(_results(keep_text), f"doc_id long, n_bytes long, n_removed long, n_spans long, {last}")

@@ -55,7 +55,7 @@ def repeats(rng):
     return out + out[:6] + [out[7][:-1], "", "z" * 199, "z" * 200, "y" * 201, out[8] + out[8]]
 
 
-@pytest.mark.parametrize(("hot", "bits", "chunk"), [(suffix.HOT, suffix.BITS, suffix.CHUNK), (3, 1 << 10, suffix.CHUNK), (3, suffix.BITS, suffix.CHUNK)])
+@pytest.mark.parametrize(("hot", "bits", "chunk"), [(suffix.HOT, suffix.BITS, suffix.CHUNK), (3, 1 << 10, suffix.CHUNK), (3, suffix.BITS, suffix.CHUNK), (1, suffix.BITS, suffix.CHUNK)])
 def test_against_all_strings(spark, hot, bits, chunk):
     rows = [(k if k % 9 else 7, t) for k, t in enumerate(repeats(np.random.default_rng(hot)))] + [(None, None), (None, "q" * 300)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
@@ -77,5 +77,5 @@ def test_pieces_of_long_texts(monkeypatch):
     rng = np.random.default_rng(1)
     b = rng.integers(97, 100, 3000).astype(np.uint8)
     monkeypatch.setattr(suffix, "CHUNK", 700)
-    found = [(t, s + lo + k) for p in suffix.parts([b.tobytes().decode(), "x", "y" * 205]) for t, s, lo, n in zip(p.text, p.shift, p.lo, p.n, strict=True) for k in range(n)]
+    found = [(t, s + lo + k) for p in suffix.parts([b.tobytes(), b"x", b"y" * 205]) for r in [suffix.Runs(p)] for t, s, lo, n in zip(r.text, r.shift, r.lo, r.n, strict=True) for k in range(n)]
     assert sorted(found) == [(0, k) for k in range(len(b) - 199)] + [(2, k) for k in range(6)]
