@@ -46,44 +46,47 @@ def ids(spark: SparkSession, sf_dir: str, prefix: str = "ItemID.K") -> DataFrame
 
 
 c = F.col
-ITEM = [said("ItemRequirement v", c("r"), " = new ItemRequirement(\"", c("name"), ", (\\\"big\\\"\" + \")\", ItemID.K", c("k"), ", ", c("s") % 4, ")", F.when(c("b") % 2 == 0, ".highlighted()").otherwise(""), "; // ItemID.X)"),
-        F.when(c("s") % 3 == 0, said("v", c("r"), ".addAlternates(ItemID.K", c("k"), ", ItemID.K", c("k") + FILES, ", 7);"))]
+
+def item() -> list[Column]:
+    return [said("ItemRequirement v", c("r"), " = new ItemRequirement(\"", c("name"), ", (\\\"big\\\"\" + \")\", ItemID.K", c("k"), ", ", c("s") % 4, ")", F.when(c("b") % 2 == 0, ".highlighted()").otherwise(""), "; // ItemID.X)"),
+            F.when(c("s") % 3 == 0, said("v", c("r"), ".addAlternates(ItemID.K", c("k"), ", ItemID.K", c("k") + FILES, ", 7);"))]
 
 
 @registered(f"WITH {_PARTS} SELECT file, r AS nth, name || ', (\"big\")' AS label, 'ItemID.K' || k AS constant, CAST(greatest(s % 4, 1) AS INTEGER) AS n, b % 2 = 0 AS highlighted, CASE WHEN s % 3 = 0 THEN 2 ELSE 0 END AS n_alternates FROM q")
 def source_items(spark, sf_dir):
     """Item declarations with counts, marks and alternates."""
-    got = extract.items(relation(spark, sf_dir, *ITEM))
+    got = extract.items(relation(spark, sf_dir, *item()))
     return got.select("file", F.regexp_extract("name", "[0-9]+", 0).cast("long").alias("nth"), "label", "constant", F.col("count").alias("n"), "highlighted", F.size("alternates").alias("n_alternates"))
 
 
 @registered(f"WITH {_PARTS} SELECT file, label, min(id) AS id FROM (SELECT file, name || ', (\"big\")' AS label, first_value(k) OVER (PARTITION BY file, name ORDER BY r) AS id FROM q) GROUP BY 1, 2")
 def source_required(spark, sf_dir):
     """The first id of every label of a file."""
-    return extract.required_items(relation(spark, sf_dir, *ITEM), ids(spark, sf_dir))
+    return extract.required_items(relation(spark, sf_dir, *item()), ids(spark, sf_dir))
 
 
 @registered(f"WITH {_PARTS} SELECT q.file, q.k AS id, CASE WHEN z.k IS NULL THEN q.k::VARCHAR ELSE q.k || ',' || z.k END AS other_ids FROM q LEFT JOIN q z ON z.k = q.k + {FILES} WHERE q.s % 3 = 0")
 def source_substitutes(spark, sf_dir):
     """What may stand for an item."""
-    return extract.substitutes(relation(spark, sf_dir, *ITEM), ids(spark, sf_dir))
+    return extract.substitutes(relation(spark, sf_dir, *item()), ids(spark, sf_dir))
 
 
-STEP = [said("step", c("r"), " = new NpcStep(this, NpcID.K", c("k"), ", new WorldPoint(", c("s"), ", ", c("b"), ", 0), \"Talk to \" + \"", c("name"), ".\", v", c("r"), ", v0, v", c("r"), ");")]
+def step() -> list[Column]:
+    return [said("step", c("r"), " = new NpcStep(this, NpcID.K", c("k"), ", new WorldPoint(", c("s"), ", ", c("b"), ", 0), \"Talk to \" + \"", c("name"), ".\", v", c("r"), ", v0, v", c("r"), ");")]
 
 
 @registered(f"WITH {_PARTS}, a AS (SELECT q.file, q.r AS nth, z.name || ', (\"big\")' AS label, CAST(greatest(z.s % 4, 1) AS INTEGER) AS n, CASE WHEN z.r = q.r THEN 0 ELSE 1 END AS ord FROM q JOIN q z ON q.file = z.file AND (z.r = q.r OR z.r = 0)) "
             "SELECT file, nth, label, min(ord) AS position, arg_min(n, ord) AS n FROM a GROUP BY 1, 2, 3")
 def source_step_items(spark, sf_dir):
     """The items that a step names, each once, in order."""
-    got = extract.step_items(relation(spark, sf_dir, *ITEM, *STEP))
+    got = extract.step_items(relation(spark, sf_dir, *item(), *step()))
     return got.select("file", F.regexp_extract("step", "[0-9]+", 0).cast("long").alias("nth"), "label", "position", F.col("count").alias("n"))
 
 
 @registered(f"WITH {_PARTS} SELECT file, r AS nth, 'NpcID.K' || k AS constant, k AS id, s || ',' || b || ',0' AS point, 'Talk to ' || name || '.' AS words FROM q")
 def source_steps(spark, sf_dir):
     """First id, first point and first text among a step's arguments, ids put in."""
-    d = extract.declarations(relation(spark, sf_dir, *STEP)).where(F.col("type") == "NpcStep")
+    d = extract.declarations(relation(spark, sf_dir, *step())).where(F.col("type") == "NpcStep")
     flat = d.select("file", F.regexp_extract("name", "[0-9]+", 0).cast("long").alias("nth"), extract.first_id(c("args")).alias("constant"), F.array_join(extract.first_point(c("args")).cast("array<string>"), ",").alias("point"), extract.first_text(c("args")).alias("words"))
     return extract.resolved_nodes(flat, ids(spark, sf_dir, "NpcID.K"), ["constant"]).withColumnRenamed("constant_id", "id")
 
@@ -144,8 +147,8 @@ def source_marks(spark, sf_dir):
 @registered(f"WITH {_PARTS} SELECT file, r AS nth, 'option' AS kind, name AS text, NULL AS other FROM q UNION ALL SELECT file, r, 'option', 'No.', NULL FROM q WHERE s % 2 = 0 UNION ALL SELECT file, r, 'unless', 'Yes (1)', 'I\"m' FROM q UNION ALL SELECT file, r, 'change', 'old', name FROM q")
 def source_dialogue(spark, sf_dir):
     """Words to choose, to avoid and to show changed."""
-    step = said("step", c("r"))
-    lines = [said(step, ".addDialogStep(\"", c("name"), "\");"), F.when(c("s") % 2 == 0, said(step, ".addDialogSteps(\"", c("name"), "\", \"No.\");")), said(step, ".addDialogStepWithExclusion(\"Yes (1)\", \"I\\\"m\"); ", step, ".addDialogChange(\"old\", \"", c("name"), "\");")]
+    own = said("step", c("r"))
+    lines = [said(own, ".addDialogStep(\"", c("name"), "\");"), F.when(c("s") % 2 == 0, said(own, ".addDialogSteps(\"", c("name"), "\", \"No.\");")), said(own, ".addDialogStepWithExclusion(\"Yes (1)\", \"I\\\"m\"); ", own, ".addDialogChange(\"old\", \"", c("name"), "\");")]
     return extract.dialogue(relation(spark, sf_dir, *lines)).select("file", F.regexp_extract("step", "[0-9]+", 0).cast("long").alias("nth"), "kind", "text", "other")
 
 
@@ -156,15 +159,16 @@ def source_panels(spark, sf_dir):
     return got.select("file", F.regexp_extract("step", "[0-9]+", 0).cast("long").alias("nth"), c("place").cast("long").alias("place"))
 
 
-_OWNER = said("cs", c("r") % 3)
-BRANCH = [F.when(c("r") < 3, said(_OWNER, " = new ConditionalStep(this, step", c("r"), ");")), F.when(c("r") >= 3, said(_OWNER, ".addStep(", F.when(c("s") % 5 == 0, F.lit("strange()")).otherwise(said("in", c("r"))), ", step", c("r"), ");"))]
+def branch() -> list[Column]:
+    owner = said("cs", c("r") % 3)
+    return [F.when(c("r") < 3, said(owner, " = new ConditionalStep(this, step", c("r"), ");")), F.when(c("r") >= 3, said(owner, ".addStep(", F.when(c("s") % 5 == 0, F.lit("strange()")).otherwise(said("in", c("r"))), ", step", c("r"), ");"))]
 
 
 @registered(f"WITH {_PARTS}, b AS (SELECT file, r % 3 AS owner, r, CASE WHEN r < 3 THEN NULL WHEN s % 5 = 0 THEN 'strange()' ELSE 'in' || r END AS condition FROM q), o AS (SELECT *, row_number() OVER (PARTITION BY file, owner ORDER BY r < 3, r) - 1 AS ord FROM b) "
             "SELECT file, owner, ord AS place, condition, 'step' || r AS step, coalesce(bool_or(condition = 'strange()') OVER (PARTITION BY file, owner ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS conditional FROM o QUALIFY condition IS DISTINCT FROM 'strange()'")
 def source_branches(spark, sf_dir):
     """Branches in order, the default last, and what stands behind an unreadable one."""
-    rows = extract.branches(relation(spark, sf_dir, *BRANCH))
+    rows = extract.branches(relation(spark, sf_dir, *branch()))
     got = extract.certain_branches(rows, ["file", "owner"], "at", ~F.coalesce(c("condition") == "strange()", F.lit(False)))
     return got.select("file", F.substring("owner", 3, 9).cast("long").alias("owner"), c("at").cast("long").alias("place"), "condition", "step", "conditional")
 
@@ -189,8 +193,8 @@ def source_delegates(spark, sf_dir):
 @registered(f"WITH {_PARTS}, m AS (SELECT file, s AS value, r, CASE WHEN b % 2 = 0 THEN 'inner' || r ELSE 'step' || r END AS step FROM q WHERE file % 2 = 0) SELECT file, value, arg_max(step, r) AS step FROM m GROUP BY 1, 2 UNION ALL SELECT DISTINCT file, 0, 'cs' FROM q WHERE file % 2 = 1")
 def source_progress(spark, sf_dir):
     """The step at each value, by name or by the method that returns it; the only root otherwise."""
-    step = F.when(c("b") % 2 == 0, said("get", c("r"), "()")).otherwise(said("step", c("r")))
-    put = F.when(c("file") % 2 == 0, said("steps.put(", c("s"), ", ", step, ");")).otherwise(F.when(c("r") == 0, F.lit("cs = new ConditionalStep(this, x);")))
+    name = F.when(c("b") % 2 == 0, said("get", c("r"), "()")).otherwise(said("step", c("r")))
+    put = F.when(c("file") % 2 == 0, said("steps.put(", c("s"), ", ", name, ");")).otherwise(F.when(c("r") == 0, F.lit("cs = new ConditionalStep(this, x);")))
     method = F.when(c("b") % 2 == 0, said("} Step get", c("r"), "() { if (x) { return early; } return inner", c("r"), "; } void more", c("r"), "() {"))
     return extract.progress(relation(spark, sf_dir, put, method))
 

@@ -325,25 +325,8 @@ def migration_greedy(spark, sf_dir):
     return diff.migrations(old, new)
 
 
-@registered("SELECT * FROM (VALUES ('a', 'c'), ('b', 'c'), ('x', 'y')) t(old_id, new_id)")
-def migration_chain(spark, sf_dir):
-    carried = spark.createDataFrame([("a", "b"), ("x", "z"), ("c", "b")], "old_id string, new_id string")
-    new = spark.createDataFrame([("b", "c"), ("x", "y")], "old_id string, new_id string")
-    return diff.carry(carried, new)
-
-
 # --- trees, conditions, ranges, indexes -----------------------------------
 
-TREE = "(VALUES ('root', NULL, 0), ('a', 'root', 0), ('b', 'root', 1), ('a1', 'a', 0), ('a2', 'a', 1), ('b1', 'b', 0)) t(node, parent, pos)"
-_TREE_SQL = f"""WITH RECURSIVE t AS (SELECT * FROM {TREE}), w AS (SELECT node, CAST(lpad(CAST(pos AS {{0}}), 3, '0') AS {{0}}) AS path, 0 AS depth FROM t WHERE parent IS NULL
-  UNION ALL SELECT t.node, w.path || '.' || lpad(CAST(t.pos AS {{0}}), 3, '0'), w.depth + 1 FROM w JOIN t ON t.parent = w.node) SELECT node, path, depth FROM w"""
-
-
-@registered(_TREE_SQL.format("VARCHAR"))
-def tree_flatten(spark, sf_dir):
-    return spark.sql(_TREE_SQL.format("STRING"))
-
-
 @registered("""WITH s AS (SELECT user_id, count(*) FILTER (WHERE event_type = 'purchase') AS bought, count(*) FILTER (WHERE event_type = 'error') AS failed, max(value) AS top FROM events GROUP BY user_id)
   SELECT user_id, CASE WHEN bought >= 15 AND failed < 12 THEN 'loyal' WHEN bought >= 12 OR NOT top >= 1 THEN 'buyer' ELSE 'other' END AS branch FROM s""")
 def condition_eval(spark, sf_dir):
@@ -365,13 +348,6 @@ def inverted_index(spark, sf_dir):
     return read(spark, sf_dir, "part").groupBy("p_size").agg(F.size(b).cast("long").alias("n_brands"), F.array_join(b, ",").alias("brands"))
 
 
-@registered("SELECT * FROM (VALUES ('a', 'b', 2), ('a', 'c', 1), ('b', 'c', 1)) t(left_key, right_key, n_shared)")
-def array_overlap_pairs(spark, sf_dir):
-    s = spark.createDataFrame([("a", [1, 2, 3]), ("b", [2, 3, 4]), ("c", [3, 9]), ("d", [7])], "k string, v array<int>").select("k", F.explode("v").alias("v"))
-    pairs = s.select(F.col("k").alias("left_key"), "v").join(s.select(F.col("k").alias("right_key"), "v"), "v").where("left_key < right_key")
-    return pairs.groupBy("left_key", "right_key").agg(F.count(F.lit(1)).cast("int").alias("n_shared"))
-
-
 # --- coverage and gates ---------------------------------------------------
 
 

@@ -19,6 +19,8 @@ EVENTS = "SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_i
 
 def registered(sql: str | None = None) -> Callable[[Query], Query]:
     def add(f: Query) -> Query:
+        if f.__name__ in QUERIES:
+            raise ValueError(f"two queries are called {f.__name__}")
         QUERIES[f.__name__] = f
         if sql:
             ORACLE_SQL[f.__name__] = sql
