@@ -16,9 +16,11 @@ def missing(keys: DataFrame, cache: DataFrame, key: str) -> DataFrame:
     return keys.select(key).where(F.col(key).isNotNull()).distinct().join(cache.select(key), key, "left_anti")
 
 
-def fetched(keys: DataFrame, key: str, fetch: Callable[[list], dict], value_type: str = "string", batch: int = BATCH) -> DataFrame:
+def fetched(keys: DataFrame, key: str, fetch: Callable[[list], dict], value_type: str = "string", batch: int = BATCH, strict: bool = True) -> DataFrame:
     """key, value for every key, asked for in batches; keys without an answer get null, to be cached too.
 
+    Unless strict, a batch that fails has no answers (S2).
+
     Append the result to the cache before reading on: a lost executor asks again.
     """
 
@@ -27,12 +29,27 @@ def fetched(keys: DataFrame, key: str, fetch: Callable[[list], dict], value_type
             names = frame[key].tolist()
             for a in range(0, len(names), batch):
                 part = names[a : a + batch]
-                answer = fetch(part)
+                try:
+                    answer = fetch(part)
+                except Exception:
+                    if strict:
+                        raise
+                    answer = {}
                 yield pd.DataFrame({key: part, "value": [answer.get(k) for k in part]})
 
     return keys.select(key).mapInPandas(ask, f"{key} {dict(keys.dtypes)[key]}, value {value_type}")
 
 
+def looked_up(keys: DataFrame, key: str, path: str, fetch: Callable[[list], dict]) -> DataFrame:
+    """Every key row with its value; what the cache at `path` lacks is asked for and written there first, answers or none (K7)."""
+    from .files import optional_json
+
+    spark, schema = keys.sparkSession, f"{key} {dict(keys.dtypes)[key]}, value string"
+    new = fetched(missing(keys, optional_json(spark, path, schema), key), key, fetch)
+    new.write.mode("append").option("ignoreNullFields", "false").json(path)
+    return resolved(keys, optional_json(spark, path, schema), key)
+
+
 def resolved(keys: DataFrame, cache: DataFrame, key: str) -> DataFrame:
     """Every key row with its cached value."""
     return keys.join(cache.select(key, "value"), key, "left")

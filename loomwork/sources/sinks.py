@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -34,3 +34,45 @@ def append_checked(new: DataFrame, held: DataFrame, key: str, value: str) -> Dat
     if clash:
         raise ValueError(f"conflicting values for {key}: {clash}")
     return new.dropDuplicates([key]).join(held.select(key), key, "left_anti")
+
+
+def write_all(tables: dict[str, DataFrame], path: str) -> None:
+    """Every named table as JSON lines below the path: what a stage gives besides its result (K2)."""
+    for name, rows in tables.items():
+        documents(rows).write.mode("overwrite").text(f"{path}/{name}")
+
+
+def yaml_text(rows: DataFrame, doubt: DataFrame, key: str, value: str, header: str) -> DataFrame:
+    """value: the lines of a curated file: a header, the entries in order, and the keys in doubt with their names (K3).
+
+    One row, made where the table is: a curated file is small enough to be read by a person.
+    """
+    entry = F.concat(F.lit("  - "), F.to_json(F.struct(F.col(key), F.col(value))))
+    block = lambda df, title, line: df.select(line.alias("l")).agg(F.concat_ws("\n", F.lit(title), F.array_join(F.sort_array(F.collect_list("l")), "\n")).alias("t"))
+    one = block(rows, "entries:", entry)
+    two = block(doubt, "ambiguous:", F.concat(F.lit("  - "), F.to_json(F.struct("key", "names"))))
+    return one.crossJoin(two.withColumnRenamed("t", "u")).select(F.concat_ws("\n", F.lit(f"# {header}"), "t", "u").alias("value"))  # one row each
+
+
+def packed(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """path, content: the listed files, packed with gzip; any that is missing stops the run (K5)."""
+    import gzip
+
+    files = spark.read.format("binaryFile").load(paths).select("path", "content")
+    found = files.count()
+    if found < len(set(paths)):
+        raise FileNotFoundError(f"{len(set(paths)) - found} of {len(set(paths))} listed files are missing")
+    pack = F.udf(lambda b: gzip.compress(bytes(b), 9, mtime=0), "binary")
+    return files.select("path", pack("content").alias("content"))
+
+
+def report(title: str, sections: dict[str, DataFrame]) -> DataFrame:
+    """place, line: a page of a title and named tables of text rows (K4)."""
+    rows = None
+    for n, (name, table) in enumerate(sections.items()):
+        head = table.sparkSession.createDataFrame([(n, 0, 0, f"## {name}")], "section int, part int, at long, line string")
+        body = markdown(table).select(F.lit(n).alias("section"), F.lit(1).alias("part"), F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"))
+        both = head.unionByName(body)
+        rows = both if rows is None else rows.unionByName(both)
+    top = next(iter(sections.values())).sparkSession.createDataFrame([(-1, 0, 0, f"# {title}")], "section int, part int, at long, line string")
+    return top.unionByName(rows)
