@@ -7,39 +7,20 @@ touched.  A null text counts as an empty one unless an operator says otherwise.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.tables import settled
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from spark.checkpoint.dir.
-
-    Only where the setting is absent (a single machine, as in the tests) is a
-    folder of our own made and recorded in the session.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="loomwork-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write df into the shared folder and read it back: lineage ends here and
-    a lost executor costs only a reread."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+materialise = settled
 
 
 def id_and_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -67,6 +48,11 @@ def arrow_rows(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[
     return df.mapInArrow(fn, schema)
 
 
+def slices(spark: SparkSession, least: int = 64) -> int:
+    """Into how many slices a hot key is dealt: as many as there are shuffle partitions, `least` at least."""
+    return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def spread_groups(rows: DataFrame, key: list[str], id_col: str, salts: int = 64) -> DataFrame:
     """(key..., salt) -> smallest id and row count of the key's whole group.
 
