@@ -3,9 +3,9 @@
 Pass one sets two bit positions for the digest of every text and keeps the
 positions that were set more than once.  Pass two tests every row: one with a
 position that was set once is certainly unique and passes straight through;
-only the rest shuffle, to be grouped exactly by SHA-256.  The filter has a
-fixed number of bits, so what is broadcast is at most BITS / 64 words; a full
-filter costs shuffled digests, never a wrong answer.
+only the rest shuffle, to be grouped exactly by SHA-256.  The filter has about
+PER_ROW bits a row up to BITS, so what is broadcast is at most BITS / 64 words;
+beyond that bound a fuller filter costs shuffled digests, never a wrong answer.
 
 Texts are equal when identical after every run of white space (space, tab to
 carriage return) becomes one space; null counts as empty.  Of equal texts the
@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 from .common import id_and_text, materialise, salt, spread_groups
 
-BITS = 1 << 26
+BITS = 1 << 27
+PER_ROW = 16
 HASHES = 2
 
 
@@ -31,6 +32,11 @@ def digest(text: Column) -> Column:
     return F.sha2(normal.cast("binary"), 256)
 
 
+def bits_for(rows: DataFrame, most: int) -> int:
+    """A power of two, PER_ROW bits a row or a little more, at most `most`."""
+    return min(most, 1 << max(10, (PER_ROW * rows.count() - 1).bit_length()))
+
+
 def positions(sha: Column, bits: int) -> list[Column]:
     return [F.xxhash64(sha, F.lit(k)).bitwiseAND(F.lit(bits - 1)) for k in range(HASHES)]
 
@@ -45,6 +51,12 @@ def repeated_bits(shas: DataFrame, bits: int) -> DataFrame:
     )
 
 
+def set_bits(keys: DataFrame, bits: int) -> DataFrame:
+    """(word, mask): the positions that any row set; keys has a column sha."""
+    hit = keys.select(F.explode(F.array(*positions(F.col("sha"), bits))).alias("p"))
+    return hit.groupBy(F.shiftright("p", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("mask"))
+
+
 def mark_possible(rows: DataFrame, sha_col: str, filter_words: DataFrame, bits: int, out: str) -> DataFrame:
     """rows plus the boolean `out`: false means that no other row has this digest."""
     marked = rows.withColumn(out, F.lit(True))
@@ -62,6 +74,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """doc_id, keep_id, group_size, kept, text_sha256: one row per input row."""
     own = id_and_text(docs, id_col, text_col)
     rows = materialise(own.select("doc_id", digest(F.col("text")).alias("sha")), "digests")
+    bits = bits_for(rows, bits)
     marked = mark_possible(rows, "sha", repeated_bits(rows, bits), bits, "possible")
     lone = marked.where("not possible").select("doc_id", "sha", F.col("doc_id").alias("group_min"), F.lit(1).cast("long").alias("group_rows"))
     some = marked.where("possible").select("doc_id", "sha", salt("doc_id").alias("salt"))
@@ -76,16 +89,29 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS) -> DataFrame:
-    """docs with one row of each group of equal texts; all columns.  Rows that cannot have an equal never shuffle."""
-    own = docs.withColumn("__loom_sha", digest(F.col(text_col)))
-    marked = mark_possible(own, "__loom_sha", repeated_bits(own.select(F.col("__loom_sha").alias("sha")), bits), bits, "__loom_possible")
-    lone = marked.where(~F.col("__loom_possible")).select(*docs.columns)
-    some = marked.where("__loom_possible").withColumn("__loom_id", F.col(id_col).cast("long")).withColumn("__loom_salt", salt("__loom_id"))
-    groups = spread_groups(some.select("__loom_sha", "__loom_id"), ["__loom_sha"], "__loom_id").select(
-        "__loom_sha", F.col("salt").alias("__loom_salt"), F.col("group_min").alias("__loom_min")
+    """docs with one row of each group of equal texts; all columns.
+
+    Digests are written once with their ids and decided there.  The ids of rows
+    that may have an equal go into a filter of the same kind, so a row whose id
+    is not in it passes straight through, its text not read again; only the
+    others take their digest with them and shuffle.
+    """
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), digest(F.col(text_col)).alias("sha"))
+    rows = materialise(own, "digests")
+    bits = bits_for(rows, bits)
+    possible = materialise(mark_possible(rows, "sha", repeated_bits(rows, bits), bits, "possible").where("possible").select("doc_id", "sha"), "possible")
+    ids = possible.select(F.col("doc_id").alias("sha"))
+    id_bits = bits_for(ids, bits)
+    asked = mark_possible(docs.withColumn("__loom_id", F.col(id_col).cast("long")), "__loom_id", set_bits(ids, id_bits), id_bits, "__loom_possible")
+    lone = asked.where(~F.col("__loom_possible")).select(*docs.columns)
+    some = asked.where("__loom_possible").withColumn("__loom_sha", digest(F.col(text_col))).withColumn("__loom_salt", salt("__loom_id"))
+    groups = spread_groups(possible, ["sha"], "doc_id").where("group_rows > 1").select(
+        F.col("sha").alias("__loom_sha"), F.col("salt").alias("__loom_salt"), F.col("group_min").alias("__loom_min"), F.lit(True).alias("__loom_group")
     )
-    first = some.join(groups, ["__loom_sha", "__loom_salt"]).where(F.col("__loom_id").eqNullSafe(F.col("__loom_min")))
-    return lone.unionByName(first.dropDuplicates(["__loom_sha"]).select(*docs.columns))
+    met = some.join(groups, ["__loom_sha", "__loom_salt"], "left")
+    alone = met.where("__loom_group is null").select(*docs.columns)
+    first = met.where(F.col("__loom_group") & F.col("__loom_id").eqNullSafe(F.col("__loom_min")))
+    return lone.unionByName(alone).unionByName(first.dropDuplicates(["__loom_sha"]).select(*docs.columns))
 
 
 ORACLE_SQL = r"""
