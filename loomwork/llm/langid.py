@@ -8,7 +8,8 @@ keeps the similarity that nearly all its members reach; a document below it is
 marked rejected, which never changes lang_pred.
 
 `und` marks a null text or one without any letter (score 0, rejected).  With
-no labelled row at all every document is `und`.  A tie goes to the language
+no labelled row at all every document is `und`.  An id with several languages
+has the one that sorts last.  A tie goes to the language
 that sorts first.  Repeated rows each get their own row.
 """
 
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import fold, id_and_raw_text, texts
-from .sample import sample_ids, sampled
+from .sample import one_label, sample_ids, sampled
 
 PER_LANGUAGE = 768
 TERMS = 1 << 13
@@ -73,7 +74,7 @@ def clusters(x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 def fit(docs: DataFrame, langs: DataFrame, per_language: int = PER_LANGUAGE, centroids: int = CENTROIDS) -> dict | None:
     """docs: doc_id, text; langs: doc_id, cls, already restricted to the learning rows."""
-    rows = sampled(docs.where(F.col("text").isNotNull()), sample_ids(langs.dropDuplicates(["doc_id"]), per_language))
+    rows = sampled(docs.where(F.col("text").isNotNull()), sample_ids(one_label(langs), per_language))
     got = rows.mapInArrow(_term_rows, "doc_id long, cls string, tf binary").toPandas()
     if got.empty:
         return None

@@ -5,7 +5,9 @@ one of two shapes, each ASCII sign as itself) and buckets of three repetition
 ratios.  A truncated singular value decomposition of the labelled sample's
 TF-IDF matrix gives latent vectors; the labelled vectors are broadcast, and
 for every document the exact cosines to all of them come from blocked matrix
-products.  The NEIGHBOURS nearest vote with their similarity as weight.
+products.  The NEIGHBOURS nearest vote with their similarity as weight; of equally
+similar ones at the edge the one with the smaller id votes.  An id with several
+labels has the largest of them.
 
 The labelled sample holds at most PER_CLASS rows of either label, so what is
 broadcast is at most 2 * PER_CLASS * DIMS floats.  Null and empty texts have
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import fold, id_and_text, texts
-from .sample import sample_ids, sampled
+from .sample import one_label, sample_ids, sampled
 
 PER_CLASS = 2048
 TERMS = 1 << 13
@@ -33,6 +35,8 @@ WIDTH = TERMS + 3 * BUCKETS
 DIMS = 48
 NEIGHBOURS = 21
 BLOCK = 2048
+#: Similarities are compared to so many digits, whatever the block.
+DIGITS = 4
 
 
 def _shapes() -> np.ndarray:
@@ -89,7 +93,7 @@ def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> dict[str, np.ndarray] | None:
     """docs: doc_id, text; labels: doc_id, cls (0 or 1), already restricted to the learning rows."""
     # docs comes first: a label without its document teaches nothing
-    known = docs.select("doc_id").join(labels, "doc_id").dropDuplicates(["doc_id"])
+    known = one_label(docs.select("doc_id").join(labels, "doc_id"))
     rows = sampled(docs, sample_ids(known, per_class)).mapInArrow(_term_rows, "doc_id long, cls int, idx binary, tf binary").toPandas()
     if rows.empty:
         return None
@@ -110,15 +114,21 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> dict[
     return {"idf": idf, "base": base, "latent": latent, "label": rows.cls.to_numpy(np.float32)}
 
 
+def nearest(sims: np.ndarray, k: int) -> np.ndarray:
+    """In every row the k largest; of equals at the edge those that come first."""
+    edge = np.partition(sims, sims.shape[1] - k, axis=1)[:, sims.shape[1] - k, None]
+    above, at = sims > edge, sims == edge
+    return above | (at & (np.cumsum(at, axis=1) <= k - above.sum(1, keepdims=True)))
+
+
 def vote(z: np.ndarray, model: dict[str, np.ndarray]) -> np.ndarray:
     """Scores of latent rows z from exact cosines, a block of documents at a time."""
     z = z / np.maximum(1e-9, np.linalg.norm(z, axis=1, keepdims=True))
     k, out = min(NEIGHBOURS, len(model["label"])), np.empty(len(z))
     for a in range(0, len(z), BLOCK):
-        sims = z[a : a + BLOCK] @ model["latent"].T
-        near = np.argpartition(-sims, k - 1, axis=1)[:, :k]
-        w = np.maximum(np.take_along_axis(sims, near, 1).astype(np.float64), 1e-6) ** 16
-        out[a : a + BLOCK] = (w * model["label"][near]).sum(1) / w.sum(1)
+        sims = np.round(z[a : a + BLOCK] @ model["latent"].T, DIGITS)
+        w = np.where(nearest(sims, k), np.maximum(sims.astype(np.float64), 1e-6), 0.0)
+        out[a : a + BLOCK] = w @ model["label"] / w.sum(1)
     return np.clip(out, 0, 1)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SLICES = 16
+SLICES = 64
 
 
 def sample_ids(rows: DataFrame, per_class: int) -> DataFrame:
@@ -25,6 +25,11 @@ def sample_ids(rows: DataFrame, per_class: int) -> DataFrame:
     )
 
 
+def one_label(rows: DataFrame) -> DataFrame:
+    """doc_id, cls: an id with several labels has the largest of them."""
+    return rows.groupBy("doc_id").agg(F.max("cls").alias("cls"))
+
+
 def sampled(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The sampled rows' texts: doc_id, cls, text.  ids is bounded by sample_ids, so it is broadcast."""
     return docs.join(F.broadcast(ids), "doc_id").select("doc_id", "cls", "text")
