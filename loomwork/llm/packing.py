@@ -262,12 +262,15 @@ def _placer(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBa
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, length: int = LENGTH) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
-    A size is numbered within SLICES slices of its pieces, so that a size with
-    a third of all pieces reaches no task whole; the driver gets at most
-    length * SLICES counts.
+    A full piece is a sequence of its own and is numbered where it is read,
+    below zero.  Any other size is numbered within SLICES slices of its pieces,
+    so that a size with a third of all pieces reaches no task whole; the driver
+    gets at most length * SLICES counts.
     """
     part = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SLICES)).cast("int")
-    got = materialise(pieces(docs, id_col, text_col, vocabulary, length), "pieces").withColumn("part", part)
+    written = materialise(pieces(docs, id_col, text_col, vocabulary, length), "pieces")
+    full = written.where(F.col("length") == length).select("doc_id", "piece", "start", "length", "ids_crc32", (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    got = written.where(F.col("length") < length).withColumn("part", part)
     slices: dict[int, np.ndarray] = defaultdict(lambda: np.zeros(SLICES, np.int64))
     for r in got.groupBy("length", "part").count().collect():
         slices[r["length"]][r["part"]] = r["count"]
@@ -275,6 +278,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabu
     base = {s: np.concatenate([[0], np.cumsum(c)[:-1]]) for s, c in slices.items()}
     shared = docs.sparkSession.sparkContext.broadcast((base, where))
     numbered = got.withColumn("number", F.row_number().over(Window.partitionBy("length", "part").orderBy("doc_id", "piece", "start")).cast("long"))
-    return numbered.select("doc_id", "piece", "start", "length", "ids_crc32", "part", "number").mapInArrow(
+    placed = numbered.select("doc_id", "piece", "start", "length", "ids_crc32", "part", "number").mapInArrow(
         _placer(shared), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
     )
+    return placed.unionByName(full)
