@@ -11,7 +11,10 @@ STRONG clearest terms), `repeated` (with three or more of them), `toxic` (the
 label itself).  Each later model also gets the earlier categories'
 probabilities: while learning, those are out-of-fold predictions, so that a
 later model sees errors as they will be; when scoring, those of the models
-fitted on all sampled rows.
+fitted on all sampled rows.  A fold's predictions come from models, markers and
+strong terms that its rows had no part in.  The label knows no finer kinds of
+toxicity, so the two earlier categories are the label's, narrowed by how plainly
+a row speaks.  An id with several labels has the largest of them.
 
 Null and empty texts have no terms and score as such, well below 0.5.  Without
 labelled rows of both kinds every probability is 0.  Repeated rows each get
@@ -27,8 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, texts
-from .sample import sample_ids, sampled
+from .common import id_and_text, materialise, texts
+from .sample import one_label, sample_ids, sampled
 
 PER_CLASS = 3072
 MARKERS = 3072
@@ -49,29 +52,49 @@ def terms(found: set[str]) -> set[str]:
     return found.union({"^" + w[:5] for w in found if len(w) > 5}, {"^" + w[:7] for w in found if len(w) > 7})
 
 
+def fold_of(doc_id: np.ndarray) -> np.ndarray:
+    return (doc_id * 2654435761 >> 7) % FOLDS
+
+
 def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for doc_id, cls, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts(batch), strict=True):
+        fold = fold_of(batch.column(0).to_numpy())
+        for f, cls, text in zip(fold.tolist(), batch.column(1).to_pylist(), texts(batch), strict=True):
             found = sorted(terms(words(text)))
-            yield pa.RecordBatch.from_arrays([pa.array([doc_id] * len(found), pa.int64()), pa.array([cls] * len(found), pa.int32()), pa.array(found, pa.string())], ["doc_id", "cls", "term"])
+            yield pa.RecordBatch.from_arrays([pa.array([f] * len(found), pa.int32()), pa.array([cls] * len(found), pa.int32()), pa.array(found, pa.string())], ["fold", "cls", "term"])
+
+
+#: Words kept with their markers in a worker; a full cache starts again.
+CACHE_WORDS = 400_000
+
+
+class Markers:
+    """Numbers of the markers that a text holds."""
 
+    def __init__(self, at: dict[str, int]):
+        self.at, self.cache = at, {}
 
-def features(text: str, at: dict[str, int], strong: frozenset[str]) -> tuple[list[int], np.ndarray]:
-    """Numbers of the markers present, and the dense features; the third counts strong markers."""
-    found = words(text)
-    here = terms(found) & at.keys()
-    n = len(found)
-    k = len(here & strong)
-    return sorted(at[t] for t in here), np.array([k / (n + 20), np.log1p(n), k], np.float32)
+    def of(self, text: str) -> tuple[list[int], int]:
+        """Ascending numbers, and how many different words there are."""
+        if len(self.cache) > CACHE_WORDS:
+            self.cache.clear()
+        found, here = words(text), set()
+        for w in found:
+            own = self.cache.get(w)
+            if own is None:
+                own = self.cache[w] = tuple(self.at[t] for t in terms({w}) if t in self.at)
+            here.update(own)
+        return sorted(here), len(found)
 
 
-def _feature_rows(at: dict[str, int], strong: frozenset[str]):
+def _feature_rows(at: dict[str, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        markers = Markers(at)
         for batch in batches:
-            got = [features(t, at, strong) for t in texts(batch)]
+            got = [markers.of(t) for t in texts(batch)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([np.array(i, "<u2").tobytes() for i, _ in got], pa.binary()), pa.array([d.tobytes() for _, d in got], pa.binary())],
-                ["doc_id", "cls", "idx", "dense"],
+                [batch.column(0), batch.column(1), pa.array([np.array(i, "<u2").tobytes() for i, _ in got], pa.binary()), pa.array([n for _, n in got], pa.int64())],
+                ["doc_id", "cls", "idx", "n"],
             )
 
     return run
@@ -153,65 +176,102 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit_chain(x: np.ndarray | Design, targets: np.ndarray, folds: np.ndarray) -> list[np.ndarray]:
-    """One weight vector per category; out-of-fold probabilities join x for the next."""
+def fit_chain(x: np.ndarray | Design, targets: np.ndarray, folds: np.ndarray, views: list[tuple[Design, np.ndarray]] | None = None) -> list[np.ndarray]:
+    """One weight vector per category; out-of-fold probabilities join x for the next.
+
+    views: by fold, the design and targets made without that fold's rows; else those of all rows.
+    """
     x = x if isinstance(x, Design) else design(x)
+    views = views or [(x, targets)] * FOLDS
+    designs = [d for d, _ in views]
     chain = []
     for j in range(targets.shape[1]):
-        y = targets[:, j]
-        chain.append(logistic(x, y))
-        out = np.empty(len(x), np.float32)
-        for f in range(FOLDS):
+        chain.append(logistic(x, targets[:, j]))
+        out = np.zeros(len(x), np.float32)
+        for f, (_, y) in enumerate(views):
             test = folds == f
-            if test.any():
-                w = logistic(x.rows(~test), y[~test]) if (~test).any() else chain[-1]
-                out[test] = sigmoid(x.rows(test).times(w[:-1]) + w[-1])
+            if test.any() and not test.all():
+                w = logistic(designs[f].rows(~test), y[~test, j])
+                out[test] = sigmoid(designs[f].rows(test).times(w[:-1]) + w[-1])
         x = x.beside(out)
+        designs = [d.beside(out) for d in designs]
     return chain
 
 
+def _view(numbers: np.ndarray, size: np.ndarray, n: np.ndarray, y: np.ndarray, keep: np.ndarray, strong: np.ndarray) -> tuple[Design, np.ndarray]:
+    """The design over the markers `keep`, and the categories that the strong ones among them make."""
+    row = np.repeat(np.arange(len(size)), size)
+    k = np.bincount(row[strong[numbers]], minlength=len(size)).astype(np.float32)
+    own = keep[numbers]
+    column = np.cumsum(keep) - 1
+    dense = np.stack([k / (n + 20), np.log1p(n)], 1).astype(np.float32)
+    x = Design(column[numbers[own]].astype(np.int32), np.bincount(row[own], minlength=len(size)), int(keep.sum()), dense)
+    return x, np.stack([y * (k >= 1), y * (k >= DENSE), y], 1).astype(np.float32)
+
+
+def _chosen(counts: DataFrame, size: dict[tuple[int, int], int], without: int | None) -> tuple[list[str], set[str]]:
+    """The clearest terms, and the strong ones among them, as counted without one fold."""
+    folds = [f for f in range(FOLDS) if f != without]
+    n1, n = (sum((F.col(f"{c}{f}") for f in folds), F.lit(0)) for c in ("one", "all"))
+    rate = [(m + 0.5) / (sum(size.get((f, c), 0) for f in folds) + 1.0) for c, m in ((1, n1), (0, n - n1))]
+    z = F.log(rate[0] / rate[1]) * F.sqrt(n)
+    best = counts.select("term", z.alias("z"), n1.alias("n1"), n.alias("n")).where("n >= 4").orderBy(F.abs("z").desc(), "term").limit(MARKERS).collect()
+    return [r.term for r in best], set([r.term for r in best if r.z > 0 and r.n1 >= 0.5 * r.n][:STRONG])
+
+
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> dict | None:
     """docs: doc_id, text; labels: doc_id, cls (1: toxic)."""
-    drawn = sample_ids(docs.select("doc_id").join(labels, "doc_id").dropDuplicates(["doc_id"]), per_class).persist()
-    size = {r.cls: r["count"] for r in drawn.groupBy("cls").count().collect()}
-    if len(size) < 2:
+    drawn = materialise(sample_ids(one_label(docs.select("doc_id").join(labels, "doc_id")), per_class), "drawn")
+    rows = materialise(sampled(docs, drawn), "sample")
+    seen = rows.mapInArrow(_term_rows, "fold int, cls int, term string")
+    each = [a for f in range(FOLDS) for a in (F.sum(F.when(F.col("fold") == f, F.col("cls")).otherwise(0)).alias(f"one{f}"), F.count_if(F.col("fold") == f).alias(f"all{f}"))]
+    counts = materialise(seen.groupBy("term").agg(*each), "terms")
+    known = drawn.toPandas()
+    if known.cls.nunique() < 2:
         return None
-    rows = sampled(docs, drawn)
-    seen = rows.mapInArrow(_term_rows, "doc_id long, cls int, term string")
-    one, zero = F.sum("cls"), F.count(F.lit(1)) - F.sum("cls")
-    rate = [(n + 0.5) / (F.lit(size[c]) + 1.0) for c, n in ((1, one), (0, zero))]
-    counts = seen.groupBy("term").agg((F.log(rate[0] / rate[1]) * F.sqrt(F.count(F.lit(1)))).alias("z"), one.alias("n1"), F.count(F.lit(1)).alias("n"))
-    best = counts.where("n >= 4").orderBy(F.abs("z").desc(), "term").limit(MARKERS).collect()
-    at = {r.term: k for k, r in enumerate(best)}
-    strong = frozenset([r.term for r in best if r.z > 0 and r.n1 >= 0.5 * r.n][:STRONG])
-    got = rows.mapInArrow(_feature_rows(at, strong), "doc_id long, cls int, idx binary, dense binary").toPandas().sort_values(["doc_id", "idx"], kind="stable")
-    drawn.unpersist()
+    size = {k: int(v) for k, v in known.groupby([fold_of(known.doc_id.to_numpy(np.int64)), known.cls.to_numpy()]).size().items()}
+    picked = [_chosen(counts, size, f) for f in (None, *range(FOLDS))]
+    at = {t: k for k, t in enumerate(dict.fromkeys(t for best, _ in picked for t in best))}
+    got = rows.mapInArrow(_feature_rows(at), "doc_id long, cls int, idx binary, n long").toPandas().sort_values(["doc_id", "idx"], kind="stable")
     numbers = [np.frombuffer(i, "<u2") for i in got.idx]
-    dense = np.array([np.frombuffer(d, np.float32) for d in got.dense], np.float32).reshape(-1, 3)
-    x = Design(np.concatenate([*numbers, np.empty(0, "<u2")]).astype(np.int32), np.array([len(i) for i in numbers], np.int64), len(at), np.ascontiguousarray(dense[:, :2]))
-    k = dense[:, 2]
-    y = got.cls.to_numpy(np.float32)
-    targets = np.stack([y * (k >= 1), y * (k >= DENSE), y], 1).astype(np.float32)
-    folds = (got.doc_id.to_numpy(np.int64) * 2654435761 >> 7) % FOLDS
-    return {"at": at, "strong": strong, "chain": fit_chain(x, targets, folds)}
-
-
-def chances(text: str, model: dict | None) -> list[float]:
-    """The categories' probabilities, in the chain's order."""
-    if model is None:
-        return [0.0] * len(CATEGORIES)
-    idx, dense = features(text, model["at"], model["strong"])
-    n, out = len(model["at"]), []
-    for w in model["chain"]:
-        z = float(w[idx].sum() + w[n : n + 2] @ dense[:2] + w[-1]) + sum(p * float(c) for p, c in zip(out, w[n + 2 : -1], strict=True))
-        out.append(float(sigmoid(np.float64(z))))
-    return out
+    flat, sizes = np.concatenate([*numbers, np.empty(0, "<u2")]).astype(np.int64), np.array([len(i) for i in numbers], np.int64)
+    has = lambda some: np.isin(np.arange(len(at)), [at[t] for t in some])
+    views = [_view(flat, sizes, got.n.to_numpy(np.float32), got.cls.to_numpy(np.float32), has(best), has(strong)) for best, strong in picked]
+    (x, targets), folds = views[0], fold_of(got.doc_id.to_numpy(np.int64))
+    best, strong = picked[0]
+    return {"at": {t: k for k, t in enumerate(best)}, "strong": np.array([t in strong for t in best], bool), "chain": fit_chain(x, targets, folds, views[1:])}
+
+
+class Chances:
+    """The categories' probabilities of texts, in the chain's order."""
+
+    def __init__(self, model: dict | None):
+        self.model = model
+        if model:
+            self.markers, self.n = Markers(model["at"]), len(model["at"])
+
+    def __call__(self, texts_: list[str]) -> np.ndarray:
+        if self.model is None:
+            return np.zeros((len(texts_), len(CATEGORIES)))
+        found = [self.markers.of(t) for t in texts_]
+        size = np.array([len(i) for i, _ in found], np.int64)
+        numbers = np.array([i for here, _ in found for i in here], np.int64)
+        row = np.repeat(np.arange(len(found)), size)
+        add = lambda w: np.bincount(row, w[numbers], len(found))
+        k, words_ = add(self.model["strong"].astype(np.float64)), np.array([n for _, n in found], np.float64)
+        columns = [k / (words_ + 20), np.log1p(words_)]
+        out = []
+        for w in self.model["chain"]:
+            z = add(w[: self.n].astype(np.float64)) + sum(float(c) * x for c, x in zip(w[self.n : -1], [*columns, *out], strict=True)) + float(w[-1])
+            out.append(sigmoid(z))
+        return np.stack(out, 1)
 
 
 def _scorer(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chances = Chances(shared.value)
         for batch in batches:
-            p = np.array([chances(t, shared.value) for t in texts(batch)]).reshape(-1, len(CATEGORIES))
+            p = chances(texts(batch))
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(p[:, j], pa.float64()) for j in range(len(CATEGORIES)))], ["doc_id", *(f"p_{c}" for c in CATEGORIES)])
 
     return run
@@ -219,8 +279,9 @@ def _scorer(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBa
 
 def _keeper(shared, text_col: str, threshold: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chances = Chances(shared.value)
         for batch in batches:
-            yield batch.filter(pa.array([chances(t or "", shared.value)[-1] < threshold for t in texts(batch, text_col)], pa.bool_()))
+            yield batch.filter(pa.array(chances([t or "" for t in texts(batch, text_col)])[:, -1] < threshold, pa.bool_()))
 
     return run
 
