@@ -1,6 +1,6 @@
 """All registered queries over the driver's tables, each beside its SQL."""
 
-from . import codebase, core, gates, merge, parser, sources  # noqa: F401
+from . import codebase, core, gates, lists, merge, parser, sources  # noqa: F401
 from .registry import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]

@@ -78,12 +78,6 @@ def dup_ordinals(spark, sf_dir):
 # --- text to fields -------------------------------------------------------
 
 
-@registered("""SELECT page_id, pos, link FROM (SELECT page_id, unnest(l) AS link, unnest(range(len(l))) AS pos FROM (SELECT page_id, regexp_extract_all(html, 'href="([^"]*)"', 1) AS l FROM pages))""")
-def links_extract(spark, sf_dir):
-    found = F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))
-    return read(spark, sf_dir, "pages").select("page_id", F.posexplode(found).alias("pos", "link"))
-
-
 @registered("""SELECT page_id, pos, regexp_replace(u, '[.,;:)]+$', '') AS url FROM (SELECT page_id, unnest(l) AS u, unnest(range(len(l))) AS pos FROM (SELECT page_id, regexp_extract_all(html, '(https?://[^\\s"<>\\]]+)', 1) AS l FROM pages))""")
 def urls_extract(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", F.posexplode(T.urls(F.col("html"))).alias("pos", "url"))
@@ -102,12 +96,6 @@ def verb_rules(spark, sf_dir):
     return structure.verb_rules(step_lines(spark, sf_dir), "line", VERBS).where("intent is not null").select("doc_id", "line_no", "intent")
 
 
-@registered(f"SELECT doc_id, line_no, regexp_extract(line, '((?:[A-Z][a-z]+ )+[A-Z][a-z]+)', 1) AS name FROM ({LINES}) WHERE regexp_matches(line, '((?:[A-Z][a-z]+ )+[A-Z][a-z]+)')")
-def proper_noun_run(spark, sf_dir):
-    name = F.regexp_extract("line", "((?:[A-Z][a-z]+ )+[A-Z][a-z]+)", 1)
-    return step_lines(spark, sf_dir).withColumn("name", name).where("name <> ''").select("doc_id", "line_no", "name")
-
-
 @registered(r"""SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '\{\{[^}]*\}\}', ' ', 'g'), '\s+', ' ', 'g')) AS plain FROM pages""")
 def pages_text(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", T.plain_markup(F.col("html")).alias("plain"))
@@ -116,17 +104,6 @@ def pages_text(spark, sf_dir):
 # --- names to entities ----------------------------------------------------
 
 
-@registered("""SELECT name, string_agg(DISTINCT intent, ',' ORDER BY intent) AS intents FROM (
-  SELECT lower(p_name) AS name, 'item' AS intent FROM part UNION ALL SELECT lower(s_name), 'npc' FROM supplier UNION ALL SELECT lower(n_name), 'place' FROM nation UNION ALL SELECT lower(r_name), 'nav' FROM region) GROUP BY name""")
-def candidates_intents(spark, sf_dir):
-    sides = [("part", "p_name", "item"), ("supplier", "s_name", "npc"), ("nation", "n_name", "place"), ("region", "r_name", "nav")]
-    rows = None
-    for name, col, intent in sides:
-        one = read(spark, sf_dir, name).select(F.lower(col).alias("name"), F.lit(intent).alias("intent"))
-        rows = one if rows is None else rows.unionByName(one)
-    return rows.groupBy("name").agg(F.array_join(F.sort_array(F.collect_set("intent")), ",").alias("intents"))
-
-
 _SING = "CASE WHEN length({0}) < 4 THEN {0} WHEN {0} LIKE '%ies' THEN regexp_replace({0}, 'ies$', '') || 'y' WHEN {0} LIKE '%ss' THEN {0} WHEN {0} LIKE '%s' THEN regexp_replace({0}, 's$', '') ELSE {0} END"
 _CASE = "upper(substr({0}, 1, 1)) || lower(substr({0}, 2))"
 
@@ -176,11 +153,6 @@ def topk_sellers(spark, sf_dir):
     return sequence.top_k(n, ["l_partkey"], [F.desc("n"), F.asc("l_suppkey")], 12).select("l_partkey", "l_suppkey", F.col("rank").cast("long").alias("rank"))
 
 
-@registered("SELECT l_partkey, count(*) AS n_lines FROM lineitem GROUP BY l_partkey HAVING count(*) <= 25")
-def having_drop_large(spark, sf_dir):
-    return read(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n_lines")).where("n_lines <= 25")
-
-
 _LABELS = [("a", "NATION_1,NATION_2"), ("b", "NATION_3, nation_4"), ("c", "nowhere")]
 
 
@@ -208,29 +180,9 @@ def longest_match_contains(spark, sf_dir):
     return read(spark, sf_dir, "part").select("p_partkey", resolve.longest_contained(F.lower("p_name"), PHRASES).alias("phrase"))
 
 
-@registered("SELECT DISTINCT s_nationkey, s_suppkey, partner FROM (SELECT a.s_nationkey, a.s_suppkey, b.s_suppkey AS partner, row_number() OVER (PARTITION BY a.s_suppkey ORDER BY b.s_suppkey) AS n FROM supplier a JOIN supplier b ON a.s_nationkey = b.s_nationkey AND a.s_suppkey <> b.s_suppkey) WHERE n <= 4")
-def self_join_network(spark, sf_dir):
-    s = read(spark, sf_dir, "supplier").select("s_nationkey", "s_suppkey")
-    pairs = s.join(s.withColumnRenamed("s_suppkey", "partner"), "s_nationkey").where("s_suppkey <> partner")
-    return sequence.top_k(pairs, ["s_suppkey"], [F.asc("partner")], 4).select("s_nationkey", "s_suppkey", "partner")
-
-
-@registered("SELECT s_suppkey FROM supplier WHERE s_suppkey IN (SELECT l_suppkey FROM lineitem WHERE l_quantity > 45)")
-def semi_referenced(spark, sf_dir):
-    used = read(spark, sf_dir, "lineitem").where("l_quantity > 45").select(F.col("l_suppkey").alias("s_suppkey"))
-    return read(spark, sf_dir, "supplier").join(used, "s_suppkey", "left_semi").select("s_suppkey")
-
-
 _KEY = "regexp_replace(lower(text), '[^a-z0-9]', '', 'g')"
 
 
-@registered(f"WITH k AS (SELECT item_id, {_KEY} AS t FROM benchmark) SELECT a.item_id, min(levenshtein(a.t, b.t)) AS distance FROM k a JOIN k b ON a.item_id <> b.item_id GROUP BY a.item_id")
-def similarity_topk(spark, sf_dir):
-    b = read(spark, sf_dir, "benchmark").select("item_id", T.squash(F.col("text")).alias("t"))
-    pairs = b.join(b.select(F.col("item_id").alias("other"), F.col("t").alias("u")), F.col("item_id") != F.col("other"))
-    return pairs.groupBy("item_id").agg(F.min(F.levenshtein("t", "u")).cast("long").alias("distance"))
-
-
 # --- ordered passes -------------------------------------------------------
 
 
@@ -276,14 +228,6 @@ def before_first(spark, sf_dir):
     return sequence.before_first(step_events(spark, sf_dir), ["user_id"], "pos", F.col("event_type") == "signup").select("event_id", "early")
 
 
-@registered(f"""WITH RECURSIVE e AS (SELECT user_id, pos, CAST(floor(value) AS BIGINT) % 50 AS c FROM ({EVENTS})), r AS (SELECT user_id, CAST(0 AS BIGINT) AS pos, CAST(NULL AS BIGINT) AS placed, CAST(-1 AS BIGINT) AS fl FROM (SELECT DISTINCT user_id FROM e)
-  UNION ALL SELECT e.user_id, e.pos, CASE WHEN c >= fl THEN c WHEN c + 20 >= fl THEN c + 20 END, CASE WHEN c >= fl THEN c WHEN c + 20 >= fl THEN c + 20 ELSE fl END FROM r JOIN e ON e.user_id = r.user_id AND e.pos = r.pos + 1)
-  SELECT user_id, pos, placed FROM r WHERE pos > 0""")
-def monotone_place(spark, sf_dir):
-    c = F.floor("value").cast("long") % 50
-    return sequence.monotone_place(step_events(spark, sf_dir).withColumn("c", F.array(c, c + 20)), ["user_id"], "pos", "c")
-
-
 @registered(f"SELECT event_id, first_value(nullif(v, 0) IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_value FROM (SELECT *, CAST(floor(value) AS BIGINT) % 4 AS v FROM ({EVENTS}))")
 def next_nonzero(spark, sf_dir):
     return sequence.next_nonzero(step_events(spark, sf_dir).withColumn("v", F.floor("value").cast("long") % 4), ["user_id"], ["pos"], "v").select("event_id", "next_value")
@@ -327,14 +271,6 @@ def migration_greedy(spark, sf_dir):
 
 # --- trees, conditions, ranges, indexes -----------------------------------
 
-@registered("""WITH s AS (SELECT user_id, count(*) FILTER (WHERE event_type = 'purchase') AS bought, count(*) FILTER (WHERE event_type = 'error') AS failed, max(value) AS top FROM events GROUP BY user_id)
-  SELECT user_id, CASE WHEN bought >= 15 AND failed < 12 THEN 'loyal' WHEN bought >= 12 OR NOT top >= 1 THEN 'buyer' ELSE 'other' END AS branch FROM s""")
-def condition_eval(spark, sf_dir):
-    n = lambda kind: F.count_if(F.col("event_type") == kind)
-    s = read(spark, sf_dir, "events").groupBy("user_id").agg(n("purchase").alias("bought"), n("error").alias("failed"), F.max("value").alias("top"))
-    branch = F.when((F.col("bought") >= 15) & (F.col("failed") < 12), "loyal").when((F.col("bought") >= 12) | ~(F.col("top") >= 1), "buyer").otherwise("other")
-    return s.select("user_id", branch.alias("branch"))
-
 
 @registered("SELECT o_orderkey, zone FROM orders JOIN (VALUES ('low', 0, 1000), ('mid', 1000, 100000), ('wide', 500, 200000)) z(zone, lo, hi) ON o_totalprice BETWEEN lo AND hi")
 def zone_contains(spark, sf_dir):
@@ -342,12 +278,6 @@ def zone_contains(spark, sf_dir):
     return read(spark, sf_dir, "orders").join(F.broadcast(zones), F.col("o_totalprice").between(F.col("lo"), F.col("hi"))).select("o_orderkey", "zone")
 
 
-@registered("SELECT p_size, count(DISTINCT p_brand) AS n_brands, string_agg(DISTINCT p_brand, ',' ORDER BY p_brand) AS brands FROM part GROUP BY p_size")
-def inverted_index(spark, sf_dir):
-    b = F.sort_array(F.collect_set("p_brand"))
-    return read(spark, sf_dir, "part").groupBy("p_size").agg(F.size(b).cast("long").alias("n_brands"), F.array_join(b, ",").alias("brands"))
-
-
 # --- coverage and gates ---------------------------------------------------
 
 
@@ -429,12 +359,6 @@ def advice_lines(spark, sf_dir):
     return step_lines(spark, sf_dir).where(predicates.is_advice(F.col("line"))).select("doc_id", "line_no")
 
 
-@registered("SELECT l_orderkey, greatest(max(l_partkey) - min(l_partkey), max(l_suppkey) - min(l_suppkey)) > 64 AS scattered FROM lineitem GROUP BY l_orderkey")
-def scattered_points(spark, sf_dir):
-    points = read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.array("l_partkey", "l_suppkey")).alias("points"))
-    return points.select("l_orderkey", predicates.is_scattered(F.col("points")).alias("scattered"))
-
-
 _BOUGHT = {"var": {"kind": "varplayer", "id": 1, "op": ">=", "value": 15}}
 _FAILED_ODD = {"var": {"kind": "varplayer", "id": 2, "bit": 0, "set": True}}
 _BRANCHES = [

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Openings that mark a line as advice, not as something to do.
@@ -33,3 +33,8 @@ def extent(points: Column) -> Column:
 
 def is_scattered(points: Column, limit: int = ONE_PLACE) -> Column:
     return F.coalesce(extent(points) > limit, F.lit(False))
+
+
+def spread(rows: DataFrame, key: str, sides: list[str], limit: int = ONE_PLACE) -> DataFrame:
+    """key, scattered: the same for points that are rows; only the ends of each side are kept."""
+    return rows.groupBy(key).agg((F.greatest(*[F.max(s) - F.min(s) for s in sides]) > limit).alias("scattered"))

@@ -19,12 +19,19 @@ def compare(old: DataFrame, new: DataFrame, keys: list[str], value: str) -> Data
     return a.join(b, keys, "full").select(*keys, status.alias("status"))
 
 
-def acceptable(old: str, new: str, gap: int) -> bool:
-    """One text starts the other for long enough, or they are alike and close by."""
+def likeness(old: str, new: str, gap: int) -> float | None:
+    """How alike two texts are, if one may stand for the other: one starts the
+    other for long enough, or they are alike and close by; else null.  The order
+    of the two matters."""
     short, long = sorted((old, new), key=len)
-    if len(short) >= PREFIX_CHARS and long.startswith(short) and len(short) >= PREFIX_SHARE * len(long):
-        return True
-    return gap <= ORDINAL_GAP and SequenceMatcher(None, old, new).ratio() >= RATIO
+    starts = len(short) >= PREFIX_CHARS and long.startswith(short) and len(short) >= PREFIX_SHARE * len(long)
+    if not starts and (gap > ORDINAL_GAP or 2 * len(short) < RATIO * (len(short) + len(long))):
+        return None
+    m = SequenceMatcher(None, old, new)
+    if not starts and (m.real_quick_ratio() < RATIO or m.quick_ratio() < RATIO):
+        return None
+    ratio = m.ratio()
+    return ratio if starts or ratio >= RATIO else None
 
 
 def greedy_matches(removed: list[tuple[int, str, str]], added: list[tuple[int, str, str]]) -> list[tuple[str, str]]:
@@ -33,10 +40,9 @@ def greedy_matches(removed: list[tuple[int, str, str]], added: list[tuple[int, s
     for ordinal, old_id, old in sorted(removed):
         best, score = None, -1.0
         for cand in free:
-            if acceptable(old, cand[2], abs(ordinal - cand[0])):
-                ratio = SequenceMatcher(None, old, cand[2]).ratio()
-                if ratio > score:
-                    best, score = cand, ratio
+            ratio = likeness(old, cand[2], abs(ordinal - cand[0]))
+            if ratio is not None and ratio > score:
+                best, score = cand, ratio
         if best:
             free.remove(best)
             out.append((old_id, best[1]))

@@ -64,3 +64,37 @@ def chase(names: DataFrame, hops: list[tuple[DataFrame, str, str]], name: str, o
         side = hop.select(F.col(a).alias(f"__a{n}"), F.col(b).alias(f"__b{n}"))
         cur = cur.join(side, cur[out] == side[f"__a{n}"], "left").withColumn(out, F.coalesce(f"__b{n}", out)).drop(f"__a{n}", f"__b{n}")
     return cur
+
+
+def candidates(sides: Sequence[tuple[DataFrame, str, str]], out: str = "name") -> DataFrame:
+    """name, intents: every name that any of (rows, column, intent) gives, without regard to case, with all its intents sorted."""
+    rows = None
+    for side, column, intent in sides:
+        one = side.select(F.lower(F.trim(column)).alias(out), F.lit(intent).alias("intent")).where(F.col(out) != "")
+        rows = one if rows is None else rows.unionByName(one)
+    return rows.groupBy(out).agg(F.array_sort(F.collect_set("intent")).alias("intents"))
+
+
+def few(rows: DataFrame, key: str, most: int) -> DataFrame:
+    """The rows of keys that have at most `most` of them; a key with more is dropped, not cut."""
+    keep = rows.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") <= most).select(key)
+    return rows.join(keep, key, "left_semi")
+
+
+def partners(rows: DataFrame, group: str, member: str, most: int) -> DataFrame:
+    """group, member, partner: for every member the first others of its group.
+
+    Only the first most + 1 members of a group can be anybody's partner, so
+    nothing meets all others.
+    """
+    first = rows.select(group, F.col(member).alias("partner")).distinct().withColumn("__n", F.row_number().over(Window.partitionBy(group).orderBy("partner"))).where(F.col("__n") <= most + 1)
+    met = rows.select(group, member).distinct().join(first, group).where(F.col(member) != F.col("partner"))
+    n = F.row_number().over(Window.partitionBy(group, member).orderBy("partner"))
+    return met.withColumn("__n", n).where(F.col("__n") <= most).select(group, member, "partner")
+
+
+def nearest_texts(rows: DataFrame, key: str, text: str, block: Column) -> DataFrame:
+    """key, distance: the least edit distance to another text of the same block; rows alone in a block have none."""
+    b = rows.select(key, F.col(text).alias("__t"), block.alias("__b"))
+    pairs = b.join(b.select(F.col(key).alias("__other"), F.col("__t").alias("__u"), "__b"), "__b").where(F.col(key) != F.col("__other"))
+    return pairs.groupBy(key).agg(F.min(F.levenshtein("__t", "__u")).cast("long").alias("distance"))

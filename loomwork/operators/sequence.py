@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,16 +53,26 @@ def before_first(rows: DataFrame, keys: list[str], order: str, start: Column, ou
 def monotone_place(rows: DataFrame, keys: list[str], order: str, candidates: str, out: str = "placed") -> DataFrame:
     """In order, each row takes its smallest candidate that is not below the
     last one taken; a row without one takes none and leaves the floor alone.
-    Path-dependent, hence a fold over each group's rows."""
-    rows_ = F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col(candidates).alias("c"))))
-    zero = F.expr("struct(cast(null as bigint) as floor, cast(array() as array<struct<o: bigint, p: bigint>>) as taken)")
 
-    def step(acc: Column, x: Column) -> Column:
-        p = F.array_min(F.filter(x["c"], lambda v: acc["floor"].isNull() | (v >= acc["floor"])))
-        return F.struct(F.coalesce(p, acc["floor"]).alias("floor"), F.concat(acc["taken"], F.array(F.struct(x["o"].cast("bigint").alias("o"), p.alias("p")))).alias("taken"))
-
-    folded = rows.groupBy(*keys).agg(F.aggregate(rows_, zero, step).alias("f"))
-    return folded.select(*keys, F.explode("f.taken").alias("t")).select(*keys, F.col("t.o").alias(order), F.col("t.p").alias(out))
+    Path-dependent, so the rows of a key are read in order, one after another,
+    with nothing held but the floor; a key of any length needs no more memory.
+    """
+
+    def place(frames):
+        key, floor = None, None
+        for frame in frames:
+            taken = []
+            for k, c in zip(zip(*(frame[x] for x in keys), strict=True), frame[candidates], strict=True):
+                if k != key:
+                    key, floor = k, None
+                best = min((v for v in (c if c is not None else []) if v is not None and (floor is None or v >= floor)), default=None)
+                floor = floor if best is None else best
+                taken.append(best)
+            yield frame[[*keys, order]].assign(**{out: pd.Series(taken, index=frame.index, dtype="Int64")})
+
+    kinds = dict(rows.dtypes)
+    dealt = rows.select(*keys, order, candidates).repartition(*keys).sortWithinPartitions(*keys, order)
+    return dealt.mapInPandas(place, ", ".join(f"{k} {kinds[k]}" for k in [*keys, order]) + f", {out} bigint")
 
 
 def next_nonzero(rows: DataFrame, keys: list[str], order: list[str], value: str, out: str = "next_value") -> DataFrame:
