@@ -35,6 +35,11 @@ def number_tuples(c: Column) -> Column:
     return F.regexp_extract_all(c, F.lit(r"\(([0-9]+(?:\s*,\s*[0-9]+)*)\)"), F.lit(1))
 
 
+def number_lists(c: Column) -> Column:
+    """Every (1,2,...) as an array of its numbers."""
+    return F.transform(number_tuples(c), lambda t: F.transform(F.split(t, r"\s*,\s*"), lambda n: n.cast("int")))
+
+
 def bracket_tags(c: Column) -> Column:
     return F.regexp_extract_all(without_links(c), F.lit(r"\[([^\]\[]+)\]"), F.lit(1))
 
