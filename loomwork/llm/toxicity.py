@@ -40,11 +40,16 @@ FOLDS = 5
 CATEGORIES = ("marked", "repeated", "toxic")
 DENSE = 3
 
-_SPACE = str.maketrans({c: " " for c in map(chr, range(128)) if not c.isalnum() and c != "'"})
+_SPACE = bytes(b if b >= 128 or chr(b).isalnum() or b == ord("'") else 32 for b in range(256))
+
+
+def _words(text: str) -> set[bytes]:
+    """Different runs of letters, digits, apostrophes and signs beyond ASCII, in lower case."""
+    return set(text.lower().encode("utf-8", "surrogatepass").translate(_SPACE).split())
 
 
 def words(text: str) -> set[str]:
-    return set(text.lower().translate(_SPACE).split())
+    return {w.decode("utf-8", "surrogatepass") for w in _words(text)}
 
 
 def terms(found: set[str]) -> set[str]:
@@ -78,12 +83,13 @@ class Markers:
         """Ascending numbers, and how many different words there are."""
         if len(self.cache) > CACHE_WORDS:
             self.cache.clear()
-        found, here = words(text), set()
+        found, here = _words(text), set()
         for w in found:
             own = self.cache.get(w)
             if own is None:
-                own = self.cache[w] = tuple(self.at[t] for t in terms({w}) if t in self.at)
-            here.update(own)
+                own = self.cache[w] = tuple(self.at[t] for t in terms({w.decode("utf-8", "surrogatepass")}) if t in self.at)
+            if own:
+                here.update(own)
         return sorted(here), len(found)
 
 
