@@ -14,6 +14,8 @@ from dataclasses import dataclass, field
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from ..plans.tables import settled
+
 LEXEME = re.compile(r"""(?P<text>"(?:\\.|[^"\\])*"?|'(?:\\.|[^'\\])*'?)|(?P<note>//[^\n]*|/\*.*?(?:\*/|\Z))|(?P<mark>[()\[\]{},;])""", re.S)
 CALLEE = re.compile(r"(?:\b(?P<new>new)\s+)?(?P<path>\.?\s*[A-Za-z_]\w*(?:\s*\.\s*\w+)*)\s*(?:<[\w\s,.<>?]*>)?\s*$")
 TARGET = re.compile(r"(?:(?P<type>[\w.]+(?:<[\w\s,.<>?]*>)?(?:\[\])?)\s+)?(?P<name>(?:this\.)?[A-Za-z_]\w*)\s*=(?!=)\s*", re.S)
@@ -133,12 +135,17 @@ def _statement(text: str, start: int, end: int, here: dict) -> list[dict]:
     return [row | {"name": "other"}] if body else []
 
 
-def read_sources(files: DataFrame, key: str = "file", text: str = "source") -> DataFrame:
-    """key and the columns of COLUMNS: one row a call or statement; a null text has none."""
+def read_sources(files: DataFrame, key: str = "file", text: str = "source", settle: bool = True) -> DataFrame:
+    """key and the columns of COLUMNS: one row a call or statement; a null text has none.
+
+    The relation is written once, as what is declared is read out of it by
+    several joins; unless settle, each of them reads the sources again.
+    """
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = [(k, *(r[n] for n in NAMES)) for k, s in zip(frame[key], frame[text], strict=True) if s is not None for r in relations(s)]
             yield pd.DataFrame(rows, columns=[key, *NAMES], dtype=object)
 
-    return files.select(key, text).mapInPandas(read, f"{key} {dict(files.dtypes)[key]}, {COLUMNS}")
+    rel = files.select(key, text).mapInPandas(read, f"{key} {dict(files.dtypes)[key]}, {COLUMNS}")
+    return settled(rel, "relation") if settle else rel

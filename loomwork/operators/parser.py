@@ -3,7 +3,8 @@
 Lines are given as rows (document, line number, trimmed text).  What a line is
 depends on its text; whether it stands in a block depends on the latest
 structural line before it, so both are columns and every pass is a window over
-one document's lines.  All windows share one partitioning, hence one shuffle.
+one document's lines.  The marked lines are written once, as all results read
+them.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import display_text, id_text, short_hash, slug
+from ..plans.tables import settled
 from .structure import classify
 
 # The markup of the page format, in the order in which a line is asked.
@@ -115,12 +117,13 @@ class Page:
             "episode": episode,
         })
         inside = F.coalesce(F.col("before.kind") == "open", F.lit(False)) & ~F.col("kind").isin(STRUCTURAL)
-        return rows.withColumns({
+        done = rows.withColumns({
             "inside": inside,
             "closes": (F.col("kind") == "close") & F.coalesce(F.col("before.kind") == "open", F.lit(False)),
             "episode_no": F.sum(F.col("episode").isNotNull().cast("int")).over(w.rowsBetween(start, 0)),
             "current_episode": F.last("episode", ignorenulls=True).over(w.rowsBetween(start, 0)),
         })
+        return settled(done, "lines")  # sections, steps, anchors and warnings all read it
 
     @cached_property
     def pending(self) -> DataFrame:

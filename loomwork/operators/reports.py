@@ -72,14 +72,27 @@ def goals(now: DataFrame, before: DataFrame, key: str, fields: list[str], status
     return now.join(old, key, "left").select(key, status.alias("status"), changed.alias("changed"))
 
 
+STRETCHES = 1024
+
+
 def union_in_order(*tables: tuple[DataFrame, str]) -> DataFrame:
-    """value, place: every value once, in the order of the tables and, within one, of its order column (X5).  tables: (rows with value, order column)."""
+    """value, place: every value once, in the order of the tables and, within one, of its order column (X5).  tables: (rows with value, whole-number order column).
+
+    Rows are numbered within STRETCHES stretches of each table's order, whose
+    sizes are summed first; only those few sums meet in one task.
+    """
     rows = None
     for n, (t, order) in enumerate(tables):
         one = t.select("value", F.struct(F.lit(n).alias("t"), F.col(order).cast("long").alias("o")).alias("at"))
         rows = one if rows is None else rows.unionByName(one)
-    first = rows.groupBy("value").agg(F.min("at").alias("at"))
-    return first.select("value", (F.row_number().over(Window.orderBy("at", "value")) - 1).alias("place"))
+    first = rows.groupBy("value").agg(F.min("at").alias("at")).select("value", "at.t", "at.o")
+    ends = first.groupBy("t").agg(F.min("o").alias("low"), F.max("o").alias("high"))
+    share = (F.col("o") - F.col("low")) / (F.col("high") - F.col("low") + 1)
+    dealt = first.join(ends, "t").select("value", "t", "o", F.floor(share * STRETCHES).alias("s"))
+    sums = dealt.groupBy("t", "s").agg(F.count(F.lit(1)).alias("n"))
+    before = sums.select("t", "s", (F.sum("n").over(Window.orderBy("t", "s")) - F.col("n")).alias("before"))
+    n = F.row_number().over(Window.partitionBy("t", "s").orderBy("o", "value")) - 1
+    return dealt.withColumn("n", n).join(before, ["t", "s"]).select("value", (F.col("before") + F.col("n")).alias("place"))
 
 
 def release_report(old: DataFrame, new: DataFrame, key: str, text: str, section: str) -> DataFrame:

@@ -51,7 +51,8 @@ def yaml_text(rows: DataFrame, doubt: DataFrame, key: str, value: str, header: s
     block = lambda df, title, line: df.select(line.alias("l")).agg(F.concat_ws("\n", F.lit(title), F.array_join(F.sort_array(F.collect_list("l")), "\n")).alias("t"))
     one = block(rows, "entries:", entry)
     two = block(doubt, "ambiguous:", F.concat(F.lit("  - "), F.to_json(F.struct("key", "names"))))
-    return one.crossJoin(two.withColumnRenamed("t", "u")).select(F.concat_ws("\n", F.lit(f"# {header}"), "t", "u").alias("value"))  # one row each
+    met = one.withColumn("__one", F.lit(1)).join(two.select(F.col("t").alias("u"), F.lit(1).alias("__one")), "__one")  # one row each
+    return met.select(F.concat_ws("\n", F.lit(f"# {header}"), "t", "u").alias("value"))
 
 
 def packed(spark: SparkSession, paths: list[str]) -> DataFrame:
