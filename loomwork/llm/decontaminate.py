@@ -11,8 +11,10 @@ merged into the hit words of each document.
 
 A null text has no words: nothing is hit and nothing is contaminated.
 Repeated items count by distinct item id; items with a null id or text take no part.
-The item list is broadcast in blocks of at most BLOCK_BYTES of item text, one
-pass over the corpus per block, so its size is bounded.
+The item list is broadcast in blocks of at most BLOCK_BYTES of item text (a
+block takes about eight times that in memory), one pass over the corpus per
+block.  At most TOGETHER passes run in one stage, then what is known so far is
+written, so neither a worker nor an executor holds more than that many blocks.
 """
 
 from __future__ import annotations
@@ -24,13 +26,15 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .common import id_and_text, texts
+from .common import id_and_text, materialise, texts
 from .fmindex import FMIndex
 
 WINDOW = 13
 SHARE = 20
-BLOCK_BYTES = 64 << 20
+BLOCK_BYTES = 16 << 20
+TOGETHER = 4
 #: Words of a shard at most (a longer document is a shard of its own).
 SHARD_WORDS = 4_000_000
 
@@ -42,19 +46,24 @@ def words(text: str | None) -> list[bytes]:
 
 
 class Items:
-    """The windows of a block of items, as word numbers, by length."""
+    """The windows of a block of items, as word numbers, by length; owners: by window, the items that have it, from `first` on."""
 
     def __init__(self, items: list[tuple[object, str]]):
         self.number: dict[bytes, int] = {}
-        owners: dict[tuple[int, ...], set[str]] = defaultdict(set)
-        for item_id, text in items:
-            seq = [self.number.setdefault(w, len(self.number) + 1) for w in words(text)]
-            for a in range(max(1, len(seq) - WINDOW + 1) if seq else 0):
-                owners[tuple(seq[a : a + WINDOW])].add(str(item_id))
-        self.by_length: dict[int, tuple[np.ndarray, list[set[str]]]] = {}
-        for n in {len(w) for w in owners}:
-            own = [w for w in owners if len(w) == n]
-            self.by_length[n] = np.array(own, np.int64), [owners[w] for w in own]
+        self.names = [str(i) for i, _ in items]
+        found: dict[int, list[tuple[np.ndarray, int]]] = defaultdict(list)
+        for k, (_, text) in enumerate(items):
+            seq = np.array([self.number.setdefault(w, len(self.number) + 1) for w in words(text)], np.int32)
+            if len(seq):
+                n = min(WINDOW, len(seq))
+                found[n].append((np.lib.stride_tricks.sliding_window_view(seq, n), k))
+        self.by_length: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for n, parts in found.items():
+            patterns, which = np.unique(np.concatenate([w for w, _ in parts]), axis=0, return_inverse=True)
+            owner = np.repeat(np.array([k for _, k in parts], np.int32), [len(w) for w, _ in parts])
+            order = np.argsort(which.ravel(), kind="stable")
+            first = np.concatenate([[0], np.cumsum(np.bincount(which.ravel(), minlength=len(patterns)))])
+            self.by_length[n] = patterns, first, owner[order]
         self.shortest = min(self.by_length, default=0)
 
 
@@ -72,7 +81,7 @@ def occurrences(numbers: np.ndarray, items: Items) -> Iterator[tuple[np.ndarray,
     where = np.arange(size.sum()) + np.repeat(start - np.concatenate([[0], np.cumsum(size)[:-1]]), size)
     kept = np.append(numbers, 0)[where]
     index = FMIndex(kept, len(items.number))
-    for n, (patterns, _) in items.by_length.items():
+    for n, (patterns, *_) in items.by_length.items():
         lo, hi = index.search(patterns)
         count = hi - lo
         which = np.repeat(np.arange(len(patterns)), count)
@@ -87,8 +96,11 @@ def shard_hits(numbers: np.ndarray, bounds: np.ndarray, items: Items) -> tuple[n
         np.add.at(change, starts, 1)
         np.add.at(change, starts + n, -1)
         doc = np.searchsorted(bounds, starts, side="right") - 1
-        for d, w in set(zip(doc.tolist(), which.tolist(), strict=True)):
-            found[d] |= items.by_length[n][1][w]
+        _, first, owner = items.by_length[n]
+        times = first[which + 1] - first[which]
+        at = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(first[which], times)
+        for d, k in set(zip(np.repeat(doc, times).tolist(), owner[at].tolist(), strict=True)):
+            found[d].add(items.names[k])
     return np.cumsum(change)[:-1] > 0, found
 
 
@@ -161,26 +173,30 @@ def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes:
 def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated: one row per input row."""
     sc = docs.sparkSession.sparkContext
-    blocks = [sc.broadcast(Items(b)) for b in item_blocks(benchmark, item_col, item_text, block_bytes)]
-    out = id_and_text(docs, id_col, text_col)
-    for k, shared in enumerate(blocks):
-        last = k == len(blocks) - 1
-        out = out.mapInArrow(
-            _pass(shared, k, last),
-            "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean" if last else "doc_id long, text string, hit binary, items array<string>",
-        )
+    out, blocks = id_and_text(docs, id_col, text_col), item_blocks(benchmark, item_col, item_text, block_bytes)
+    k, block = 0, next(blocks)
+    while block is not None:
+        after = next(blocks, None)
+        known = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
+        out = out.mapInArrow(_pass(sc.broadcast(Items(block)), k, after is None), known if after is None else "doc_id long, text string, hit binary, items array<string>")
+        k, block = k + 1, after
+        if after is not None and k % TOGETHER == 0:
+            out = materialise(out, "passes")
     return out
 
 
-def _keeper(shared: list, text_col: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _marker(shared, text_col: str, last: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Adds to the hit words (packed bits) in the last column; the last pass drops it and the contaminated rows."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items = shared.value
         for batch in batches:
-            hits = None
-            for items in (s.value for s in shared):
-                now = [h for _, h, _ in batch_hits(texts(batch, text_col), items)]
-                hits = now if hits is None else [a | b for a, b in zip(hits, now, strict=True)]
-            clean = [not (h.any() and SHARE * int(h.sum()) >= len(h)) for h in hits]
-            yield batch.filter(pa.array(clean, pa.bool_()))
+            own, before = batch.drop_columns(["__loom_hit"]), batch.column(batch.num_columns - 1).to_pylist()
+            hits = [h | np.unpackbits(np.frombuffer(b, np.uint8), count=n).astype(bool) if b else h for (n, h, _), b in zip(batch_hits(texts(batch, text_col), items), before, strict=True)]
+            if last:
+                yield own.filter(pa.array([not (h.any() and SHARE * int(h.sum()) >= len(h)) for h in hits], pa.bool_()))
+            else:
+                yield own.append_column("__loom_hit", pa.array([np.packbits(h).tobytes() for h in hits], pa.binary()))
 
     return run
 
@@ -188,5 +204,13 @@ def _keeper(shared: list, text_col: str) -> Callable[[Iterator[pa.RecordBatch]],
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """docs without contaminated rows; all columns, no shuffle of texts."""
     sc = docs.sparkSession.sparkContext
-    shared = [sc.broadcast(Items(b)) for b in item_blocks(benchmark, item_col, item_text, block_bytes)]
-    return docs.mapInArrow(_keeper(shared, text_col), docs.schema)
+    out, blocks = docs.withColumn("__loom_hit", F.lit(None).cast("binary")), item_blocks(benchmark, item_col, item_text, block_bytes)
+    wide = out.schema
+    k, block = 0, next(blocks)
+    while block is not None:
+        after = next(blocks, None)
+        out = out.mapInArrow(_marker(sc.broadcast(Items(block)), text_col, after is None), docs.schema if after is None else wide)
+        k, block = k + 1, after
+        if after is not None and k % TOGETHER == 0:
+            out = materialise(out, "passes")
+    return out
