@@ -53,15 +53,15 @@ def slices(spark: SparkSession, least: int = 64) -> int:
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def spread_groups(rows: DataFrame, key: list[str], id_col: str, salts: int = 64) -> DataFrame:
+def spread_groups(rows: DataFrame, key: list[str], id_col: str) -> DataFrame:
     """(key..., salt) -> smallest id and row count of the key's whole group.
 
-    A group is first summed within each of `salts` slices of its ids, so that a
-    key with a third of all rows reaches no task whole; then the at most
-    `salts` partial rows of a key are summed and handed back to its slices.
+    A group is first summed within each of its slices of ids (salt()), so that a
+    key with a third of all rows reaches no task whole; then a key's partial
+    rows, at most one a slice, are summed and handed back to its slices.
     Join rows on key and salt (see salt()) to learn about their group.
     """
-    part = rows.groupBy(*key, salt(id_col, salts).alias("salt")).agg(
+    part = rows.groupBy(*key, salt(rows.sparkSession, id_col).alias("salt")).agg(
         F.min(id_col).alias("m"), F.count(F.lit(1)).alias("c")
     )
     return (
@@ -71,5 +71,5 @@ def spread_groups(rows: DataFrame, key: list[str], id_col: str, salts: int = 64)
     )
 
 
-def salt(id_col: str, salts: int = 64) -> Column:
-    return F.pmod(F.xxhash64(F.col(id_col)), F.lit(salts)).cast("int")
+def salt(spark: SparkSession, id_col: str) -> Column:
+    return F.pmod(F.xxhash64(F.col(id_col)), F.lit(slices(spark))).cast("int")

@@ -149,7 +149,7 @@ def _found(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """
     own = id_and_text(docs, id_col, text_col).select("doc_id", "text", F.xxhash64("text").alias("text_key"))
     rows = materialise(own.mapInArrow(_fingerprints, "doc_id long, text_key long, fp long"), "fingerprints")
-    sliced = rows.withColumn("salt", salt("doc_id"))
+    sliced = rows.withColumn("salt", salt(docs.sparkSession, "doc_id"))
     part = sliced.groupBy("fp", "salt").agg(F.min("doc_id").alias("rep"))
     reps = materialise(part.groupBy("fp").agg(F.min("rep").alias("rep"), F.collect_set("salt").alias("salts")), "distinct")
     label = components(links(reps.select("fp")))
