@@ -77,7 +77,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     bits = bits_for(rows, bits)
     marked = mark_possible(rows, "sha", repeated_bits(rows, bits), bits, "possible")
     lone = marked.where("not possible").select("doc_id", "sha", F.col("doc_id").alias("group_min"), F.lit(1).cast("long").alias("group_rows"))
-    some = marked.where("possible").select("doc_id", "sha", salt("doc_id").alias("salt"))
+    some = marked.where("possible").select("doc_id", "sha", salt(docs.sparkSession, "doc_id").alias("salt"))
     met = some.join(spread_groups(some.select("doc_id", "sha"), ["sha"], "doc_id"), ["sha", "salt"]).select("doc_id", "sha", "group_min", "group_rows")
     return lone.unionByName(met).select(
         "doc_id",
@@ -99,12 +99,11 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), digest(F.col(text_col)).alias("sha"))
     rows = materialise(own, "digests")
     bits = bits_for(rows, bits)
-    possible = materialise(mark_possible(rows, "sha", repeated_bits(rows, bits), bits, "possible").where("possible").select("doc_id", "sha"), "possible")
+    possible = mark_possible(rows, "sha", repeated_bits(rows, bits), bits, "possible").where("possible").select("doc_id", "sha")
     ids = possible.select(F.col("doc_id").alias("sha"))
-    id_bits = bits_for(ids, bits)
-    asked = mark_possible(docs.withColumn("__loom_id", F.col(id_col).cast("long")), "__loom_id", set_bits(ids, id_bits), id_bits, "__loom_possible")
+    asked = mark_possible(docs.withColumn("__loom_id", F.col(id_col).cast("long")), "__loom_id", set_bits(ids, bits), bits, "__loom_possible")
     lone = asked.where(~F.col("__loom_possible")).select(*docs.columns)
-    some = asked.where("__loom_possible").withColumn("__loom_sha", digest(F.col(text_col))).withColumn("__loom_salt", salt("__loom_id"))
+    some = asked.where("__loom_possible").withColumn("__loom_sha", digest(F.col(text_col))).withColumn("__loom_salt", salt(docs.sparkSession, "__loom_id"))
     groups = spread_groups(possible, ["sha"], "doc_id").where("group_rows > 1").select(
         F.col("sha").alias("__loom_sha"), F.col("salt").alias("__loom_salt"), F.col("group_min").alias("__loom_min"), F.lit(True).alias("__loom_group")
     )
