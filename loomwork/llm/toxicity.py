@@ -1,7 +1,7 @@
 """Toxicity by a chain of linear classifiers.
 
-Terms of a document are its distinct lower-cased words and their 5- and
-7-letter beginnings.  From a bounded labelled sample the MARKERS terms that
+Terms of a document are its distinct lower-cased words and their beginnings of
+four to eight letters.  From a bounded labelled sample the MARKERS terms that
 speak most clearly for or against the label are kept; every model is a
 logistic regression on their presence, the share of marker words and the
 document's length.
@@ -27,10 +27,10 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_and_text, materialise, texts
+from .common import id_and_text, texts
 from .sample import one_label, sample_ids, sampled
 
 PER_CLASS = 3072
@@ -39,6 +39,7 @@ STRONG = 512
 FOLDS = 5
 CATEGORIES = ("marked", "repeated", "toxic")
 DENSE = 3
+BEGINNINGS = (4, 5, 6, 7, 8)
 
 _SPACE = bytes(b if b >= 128 or chr(b).isalnum() or b == ord("'") else 32 for b in range(256))
 
@@ -53,8 +54,8 @@ def words(text: str) -> set[str]:
 
 
 def terms(found: set[str]) -> set[str]:
-    """Words, and beginnings marked by a leading separator."""
-    return found.union({"^" + w[:5] for w in found if len(w) > 5}, {"^" + w[:7] for w in found if len(w) > 7})
+    """Words, and their beginnings marked by a leading sign."""
+    return found.union(*({"^" + w[:n] for w in found if len(w) > n} for n in BEGINNINGS))
 
 
 def fold_of(doc_id: np.ndarray) -> np.ndarray:
@@ -215,28 +216,38 @@ def _view(numbers: np.ndarray, size: np.ndarray, n: np.ndarray, y: np.ndarray, k
     return x, np.stack([y * (k >= 1), y * (k >= DENSE), y], 1).astype(np.float32)
 
 
-def _chosen(counts: DataFrame, size: dict[tuple[int, int], int], without: int | None) -> tuple[list[str], set[str]]:
-    """The clearest terms, and the strong ones among them, as counted without one fold."""
-    folds = [f for f in range(FOLDS) if f != without]
-    n1, n = (sum((F.col(f"{c}{f}") for f in folds), F.lit(0)) for c in ("one", "all"))
-    rate = [(m + 0.5) / (sum(size.get((f, c), 0) for f in folds) + 1.0) for c, m in ((1, n1), (0, n - n1))]
-    z = F.log(rate[0] / rate[1]) * F.sqrt(n)
-    best = counts.select("term", z.alias("z"), n1.alias("n1"), n.alias("n")).where("n >= 4").orderBy(F.abs("z").desc(), "term").limit(MARKERS).collect()
-    return [r.term for r in best], set([r.term for r in best if r.z > 0 and r.n1 >= 0.5 * r.n][:STRONG])
+def _chosen(seen: DataFrame, size: dict[tuple[int, int], int], k: int = MARKERS) -> list[tuple[list[str], set[str]]]:
+    """The k clearest terms, clearest first, and the strong ones among them: as counted over all folds, then without each of them.
+
+    seen: fold, cls, term.  What reaches the driver is k rows for each of the
+    FOLDS + 1 views.
+    """
+    each = [a for f in range(FOLDS) for a in (F.sum(F.when(F.col("fold") == f, F.col("cls")).otherwise(0)).alias(f"one{f}"), F.count_if(F.col("fold") == f).alias(f"all{f}"))]
+    views = []
+    for without in (None, *range(FOLDS)):
+        folds = [f for f in range(FOLDS) if f != without]
+        n1, n = (sum((F.col(f"{c}{f}") for f in folds), F.lit(0)) for c in ("one", "all"))
+        rate = [(m + 0.5) / (sum(size.get((f, c), 0) for f in folds) + 1.0) for c, m in ((1, n1), (0, n - n1))]
+        z = F.log(rate[0] / rate[1]) * F.sqrt(n)
+        views.append(F.struct(F.lit(len(views)).alias("view"), z.alias("z"), n1.alias("n1"), n.alias("n")))
+    scored = seen.groupBy("term").agg(*each).select("term", F.inline(F.array(*views))).where("n >= 4")
+    place = F.row_number().over(Window.partitionBy("view").orderBy(F.abs("z").desc(), "term"))
+    best = scored.withColumn("place", place).where(F.col("place") <= k).toPandas().sort_values(["view", "place"])
+    out = []
+    for view in range(FOLDS + 1):
+        own = best[best.view == view]
+        out.append((own.term.tolist(), set(own.term[(own.z > 0) & (own.n1 >= 0.5 * own.n)].tolist()[:STRONG])))
+    return out
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> dict | None:
     """docs: doc_id, text; labels: doc_id, cls (1: toxic)."""
-    drawn = materialise(sample_ids(one_label(docs.select("doc_id").join(labels, "doc_id")), per_class), "drawn")
-    rows = materialise(sampled(docs, drawn), "sample")
-    seen = rows.mapInArrow(_term_rows, "fold int, cls int, term string")
-    each = [a for f in range(FOLDS) for a in (F.sum(F.when(F.col("fold") == f, F.col("cls")).otherwise(0)).alias(f"one{f}"), F.count_if(F.col("fold") == f).alias(f"all{f}"))]
-    counts = materialise(seen.groupBy("term").agg(*each), "terms")
-    known = drawn.toPandas()
+    known = sample_ids(one_label(docs.select("doc_id").join(labels, "doc_id")), per_class).toPandas()
     if known.cls.nunique() < 2:
         return None
+    rows = sampled(docs, docs.sparkSession.createDataFrame(known, "doc_id long, cls int"))
     size = {k: int(v) for k, v in known.groupby([fold_of(known.doc_id.to_numpy(np.int64)), known.cls.to_numpy()]).size().items()}
-    picked = [_chosen(counts, size, f) for f in (None, *range(FOLDS))]
+    picked = _chosen(rows.mapInArrow(_term_rows, "fold int, cls int, term string"), size)
     at = {t: k for k, t in enumerate(dict.fromkeys(t for best, _ in picked for t in best))}
     got = rows.mapInArrow(_feature_rows(at), "doc_id long, cls int, idx binary, n long").toPandas().sort_values(["doc_id", "idx"], kind="stable")
     numbers = [np.frombuffer(i, "<u2") for i in got.idx]
