@@ -95,10 +95,9 @@ def test_terms_are_chosen_without_the_fold(spark):
     rows = [(k, k % 2, ("zzzz " if n < 20 and k % 2 else "") + ("bad here" if k % 2 else "fine there")) for n, k in enumerate(ids)]
     docs = spark.createDataFrame([(k, t) for k, _, t in rows], "doc_id long, text string")
     seen = docs.join(spark.createDataFrame([(k, c) for k, c, _ in rows], "doc_id long, cls int"), "doc_id").select("doc_id", "cls", "text").mapInArrow(toxicity._term_rows, "fold int, cls int, term string")
-    each = [a for f in range(toxicity.FOLDS) for a in (F.sum(F.when(F.col("fold") == f, F.col("cls")).otherwise(0)).alias(f"one{f}"), F.count_if(F.col("fold") == f).alias(f"all{f}"))]
-    counts = seen.groupBy("term").agg(*each)
     size = Counter((int(toxicity.fold_of(np.array([k]))[0]), c) for k, c, _ in rows)
-    assert "zzzz" in toxicity._chosen(counts, size, None)[0] and "zzzz" not in toxicity._chosen(counts, size, 0)[0]
+    picked = toxicity._chosen(seen, size)
+    assert "zzzz" in picked[0][0] and "zzzz" not in picked[1][0] and all("zzzz" in best for best, _ in picked[2:])
 
 
 def test_several_labels_are_one(spark, small):
@@ -170,3 +169,27 @@ def test_drop_copies_with_a_full_filter(odd):
     for bits in (64, exact.BITS):
         got = rows_of(exact.drop_copies(odd, bits=bits))
         assert len(got) == len(want) and {hashlib.sha256(squeezed(t).encode()).hexdigest() for _, t in got} == want
+
+
+def test_contamination_in_many_blocks(spark, odd, monkeypatch):
+    """One item a block, written every other pass, against all items at once."""
+    monkeypatch.setattr(decontaminate, "TOGETHER", 2)
+    texts = [t for _, t in rows_of(odd) if t and len(t.split()) > 15][:7] + ["a b c", "the the", ""]
+    bench = spark.createDataFrame([(k % 8, t) for k, t in enumerate(texts)] + [(None, "x"), (3, None)], "item_id long, text string")
+    cols = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    one, many = (Counter(map(tuple, decontaminate.find_contamination(odd, bench, block_bytes=b).select(*cols).collect())) for b in (1 << 20, 1))
+    assert one == many and any(k[-1] for k in one)
+    left = [Counter(rows_of(decontaminate.drop_contaminated(odd, bench, block_bytes=b))) for b in (1 << 20, 1)]
+    assert left[0] == left[1] and sum(left[0].values()) == sum(n for k, n in one.items() if not k[-1])
+
+
+def test_items_take_little_memory():
+    """A block's windows take at most some ten times its text."""
+    import random
+
+    rng = random.Random(1)
+    vocabulary = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(2000)]
+    text = " ".join(rng.choices(vocabulary, k=40_000))
+    items = decontaminate.Items([(k, text[k * 20_000 : (k + 1) * 20_000]) for k in range(14)])
+    held = sum(a.nbytes for arrays in items.by_length.values() for a in arrays)
+    assert held < 12 * len(text)

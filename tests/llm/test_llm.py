@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 pytest.importorskip("loomwork.llm")
-from loomwork.llm import decontaminate, exact, langid, lm, packing, pii, quality, simhash, toxicity  # noqa: E402
+from loomwork.llm import decontaminate, exact, langid, packing, pii, quality, simhash, toxicity  # noqa: E402
 from loomwork.llm.components import components  # noqa: E402
 from loomwork.llm.fmindex import FMIndex  # noqa: E402
 
@@ -195,51 +195,6 @@ def test_drop_near_duplicates(odd, none):
     assert simhash.drop_near_duplicates(none).count() == 0
 
 
-# --- language-model scores ----------------------------------------------
-
-
-def plain_lm(all_texts, target_texts):
-    def model(texts_):
-        c = [Counter() for _ in range(5)]
-        for t in texts_:
-            s = [0, 0, 0, *lm.SYMBOL[np.frombuffer(t.encode(), np.uint8)].tolist()]
-            for k in range(3, len(s)):
-                for n in range(1, 5):
-                    c[n][tuple(s[k - n + 1 : k + 1])] += 1
-        total, kinds = defaultdict(int), defaultdict(int)
-        for n in range(1, 5):
-            for g, x in c[n].items():
-                total[n, g[:-1]] += x
-                kinds[n, g[:-1]] += 1
-
-        def p(g):
-            if not g:
-                return 1 / 64
-            n, back = len(g), p(g[1:])
-            t, k = total[n, g[:-1]], kinds[n, g[:-1]]
-            return (c[n][g] + k * back) / (t + k) if t else back
-
-        return p
-
-    both = model(target_texts), model(all_texts)
-    out = []
-    for t in all_texts:
-        s = [0, 0, 0, *lm.SYMBOL[np.frombuffer(t.encode(), np.uint8)].tolist()]
-        loss = [sum(-np.log2(p(tuple(s[k - 3 : k + 1]))) for k in range(3, len(s))) / max(1, len(s) - 3) for p in both]
-        out.append(loss[0] - loss[1])
-    return out
-
-
-def test_lm_scores(spark, none, odd):
-    texts_ = ["the cat sat", "the cat ran.", "Zß 19, x", "", "the the the"]
-    docs = spark.createDataFrame(list(enumerate(texts_)), "doc_id long, text string")
-    labels = spark.createDataFrame([(0, 1), (1, 1), (2, 0)], "doc_id long, quality int")
-    got = by_id(lm.score_difference(docs, labels))
-    assert [got[k].score for k in range(5)] == pytest.approx(plain_lm(texts_, texts_[:2]), abs=1e-5)
-    assert lm.score_difference(odd, labels).count() == odd.count()
-    assert lm.score_difference(none, labels).count() == 0
-
-
 # --- decontamination -----------------------------------------------------
 
 
