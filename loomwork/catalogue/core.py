@@ -275,7 +275,7 @@ def migration_greedy(spark, sf_dir):
 @registered("SELECT o_orderkey, zone FROM orders JOIN (VALUES ('low', 0, 1000), ('mid', 1000, 100000), ('wide', 500, 200000)) z(zone, lo, hi) ON o_totalprice BETWEEN lo AND hi")
 def zone_contains(spark, sf_dir):
     zones = spark.createDataFrame([("low", 0, 1000), ("mid", 1000, 100000), ("wide", 500, 200000)], "zone string, lo int, hi int")
-    return read(spark, sf_dir, "orders").join(F.broadcast(zones), F.col("o_totalprice").between(F.col("lo"), F.col("hi"))).select("o_orderkey", "zone")
+    return read(spark, sf_dir, "orders").join(zones, F.col("o_totalprice").between(F.col("lo"), F.col("hi"))).select("o_orderkey", "zone")
 
 
 # --- coverage and gates ---------------------------------------------------

@@ -2,7 +2,9 @@
 
 import pytest
 
-from loomwork.operators import gates, merge, sequence
+from pyspark.sql import functions as F
+
+from loomwork.operators import gates, loose, merge, reports, resolve, sequence
 from loomwork.sources import files, lookup, sinks
 
 
@@ -49,3 +51,50 @@ def test_one_page_and_failing_lookups(spark):
     with pytest.raises(Exception):
         lookup.fetched(keys, "k", lambda ks: 1 / 0).collect()
     assert files.newest(["v1.9.jar", "v1.10.jar"]) == "v1.9.jar" and files.newest([]) is None
+
+
+def test_containment_against_all_pairs(spark):
+    """Short and long phrases, in the middle of words, at the ends, in other cases; nothing is in nothing."""
+    texts = ["Talk to the Cook's friend", "a", "", None, "ab", "Straße zum Schloss", "cook", "the the the", "x" * 300 + "Cook"]
+    phrases = ["cook", "A", "the", "STRASSE", "straße", "", "ok's f", "ab", "xx", "zum schloss"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    side = spark.createDataFrame([(p,) for p in phrases], "p string")
+    got = {(r.i, r.p) for r in loose.containing(rows, "t", side, "p").collect()}
+    assert got == {(i, p) for i, t in enumerate(texts) for p in phrases if t and p and p.lower() in t.lower()}
+    whole = {(r.i, r.p) for r in loose.containing(rows, "t", side, "p", whole_words=True).collect()}
+    assert (0, "cook") in whole and (8, "cook") not in whole and (7, "the") in whole and (0, "ok's f") not in whole
+
+
+def test_suggestions(spark):
+    got = loose.suggestions(spark.createDataFrame([("Varrok",), ("zzz",), (None,)], "t string"), "t", ["Varrock", "Falador"])
+    assert {r.t: r.suggested for r in got.collect()} == {"Varrok": ["Varrock"], "zzz": [], None: []}
+
+
+def test_union_in_order_over_uneven_tables(spark):
+    a = spark.createDataFrame([("x", 10**12), ("y", -5), ("x", 3)], "value string, o long")
+    b = spark.createDataFrame([("z", 0), ("y", 1), ("w", 0)], "value string, o long")
+    got = reports.union_in_order((a, "o"), (b, "o"))
+    assert [r.value for r in got.orderBy("place").collect()] == ["y", "x", "w", "z"] and sorted(r.place for r in got.collect()) == [0, 1, 2, 3]
+
+
+def test_partners_are_the_first_others(spark):
+    rows = spark.createDataFrame([("g", k) for k in (5, 3, 9, 1, 7, 3)] + [("h", 1)], "g string, m int")
+    got = {}
+    for r in resolve.partners(rows, "g", "m", 2).collect():
+        got.setdefault((r.g, r.m), []).append(r.partner)
+    assert {k: sorted(v) for k, v in got.items()} == {("g", 1): [3, 5], ("g", 3): [1, 5], ("g", 5): [1, 3], ("g", 7): [1, 3], ("g", 9): [1, 3]}
+
+
+def test_canonical_json():
+    assert reports.canonical('{"b": [{"x": 1, "a": 2}], "a": null}', ("x",)) == '{"a":null,"b":[{"a":2}]}'
+    assert reports.canonical("{nope") is None and reports.canonical(None) is None
+
+
+def test_milestones_by_hand(spark):
+    rows = [(1, "Start X by talking to Bob", "q", 5, None, None), (2, "Start X", "q", 5, None, None), (3, "Continue X until you get sand", "q", None, "sand", [1]),
+            (4, "Do X to unlock the door", "q", None, None, None), (5, "Start X", None, 5, None, None), (6, "Start X and kill Bob, talk to him", "q", 5, None, None)]
+    df = spark.createDataFrame([("s", *r) for r in rows], "s string, o int, t string, q string, v int, stop string, ids array<int>")
+    got = merge.milestones(df, ["s"], "o", "t", "q", "v", "stop", "ids")
+    assert {r.o: (r.follow, r.stop_unresolved, r.start_only, r.done_at) for r in got.select("o", "follow", "stop_unresolved", "start_only", F.col("done_at")).collect()} == {
+        1: (False, False, True, 5), 2: (False, False, True, 5), 3: (True, False, False, None), 4: (False, True, False, None), 5: (False, False, False, None), 6: (False, False, False, None),
+    }
