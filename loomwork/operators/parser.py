@@ -19,22 +19,24 @@ from ..functions.text import display_text, id_text, short_hash, slug
 from ..plans.tables import settled
 from .structure import classify
 
+def _begins(template: str) -> str:
+    return rf"(?i)^\{{\{{\s*{template}\s*\|"
+
+
 # The markup of the page format, in the order in which a line is asked.
 KINDS = [
-    (r"(?i)^\{\{\s*Checklist\s*\|\s*title\s*=", "open"),
-    (r"^(=+)\s*.+?\s*\1$", "heading"),
-    (r"(?i)^\{\{\s*Extimage\s*\|[^|}]+", "image"),
-    (r"(?i)^\{\{\s*Youtube\s*\|[^|}]+", "video"),
-    (r"^<!--.*?-->$", "comment"),
+    (_begins("Checklist") + r"\s*title\s*=", "open"),
+    ("^=.+=$", "heading"),
+    (_begins("Extimage") + "[^|}]", "image"),
+    (_begins("Youtube") + "[^|}]", "video"),
+    ("^<!--.*-->$", "comment"),
     (r"\{\{Var", "var"),
     (r"^\}\}$", "close"),
-    (r"^$", "blank"),
+    ("^$", "blank"),
     (r"^\{\{", "template"),
 ]
 STRUCTURAL = ["open", "heading", "image", "video", "comment", "var", "close"]
-VALUE = r"(?i)\{\{\s*Var\s*\|\s*(\w+)\s*\|\s*([0-9]+)\s*\}\}"
-CHANGE = r"(?i)\{\{\s*Var\s*\|\s*(\w+)\s*\|\s*\{\{\s*#expr\s*:\s*\{\{\s*#var\s*:\s*(\w+)\s*\}\}\s*([+-])\s*([0-9]+)\s*\}\}\s*\}\}"
-READING = r"(?i)(\{\{\s*#expr\s*:\s*\{\{\s*#var\s*:\s*(\w+)\s*\}\}\s*([+-])\s*([0-9]+)\s*\}\})"
+ASSIGNS, READS = r"(?i)\{\{\s*Var\s*\|", r"(?i)\{\{\s*#expr\s*:"
 BANK_TITLE, BANK_NOTE = r"(?i)^Bank\s*([0-9]+)\s*([A-Z]?)\s*$", r"(?i)^\s*Bank\s*([0-9]+)([A-Z]?)\s*$"
 EPISODE, EPISODE_END = r"(?i)^Episode\s+([0-9]+)\b", r"(?i)^End of (Episode\s*[0-9]+|Series)\b"
 UNTITLED = "Untitled"
@@ -47,30 +49,48 @@ def mirrored(url: Column, host: str, base: str) -> Column:
     return F.when(u.rlike(host), F.concat(F.lit(base), F.regexp_extract(u, host, 1), F.lit(".png"))).otherwise(u)
 
 
-def _signed(sign: Column, digits: Column) -> Column:
-    return F.when(sign == "-", -digits.cast("int")).otherwise(digits.cast("int"))
+def _sum(c: Column) -> Column:
+    """src, by of "variable plus or minus number" that opens the text behind a sign of a sum; by is null for anything else."""
+    src = F.regexp_extract(c, r"(?i)^\s*(?:\{\{\s*#expr\s*:\s*)?\{\{\s*#var\s*:\s*(\w+)", 1)
+    number = F.regexp_extract(c, r"^[^}]*\}\}\s*([+-])\s*([0-9]+)\s*\}\}", 2)
+    sign = F.regexp_extract(c, r"^[^}]*\}\}\s*([+-])\s*([0-9]+)\s*\}\}", 1)
+    by = F.when((src != "") & (number != ""), F.when(sign == "-", -number.try_cast("int")).otherwise(number.try_cast("int")))
+    return F.struct(src.alias("src"), by.alias("by"))
+
 
+def _behind(c: Column, sign: str) -> Column:
+    """The text behind every sign."""
+    parts = F.split(c, sign)
+    return F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
 
-def _all(c: Column, pattern: str, groups: dict[str, int]) -> Column:
-    """Every match as a struct of its groups."""
-    return F.arrays_zip(*[F.regexp_extract_all(c, F.lit(pattern), F.lit(k)).alias(n) for n, k in groups.items()])
+
+def _argument() -> Column:
+    """The first argument of the template on a line."""
+    return F.regexp_extract("line", r"^[^|]*\|([^|}]+)", 1)
 
 
 def _put(state: Column, name: Column, value: Column) -> Column:
     return F.map_concat(F.map_filter(state, lambda k, _: k != name), F.create_map(name, value))
 
 
+def _held(state: Column, name: Column) -> Column:
+    return F.coalesce(F.try_element_at(state, name), F.lit(0))
+
+
 def assigned(state: Column, line: Column) -> Column:
     """The variables behind a line: its changes first, then its plain values."""
-    held = lambda s, name: F.coalesce(F.try_element_at(s, name), F.lit(0))
-    after = F.aggregate(_all(line, CHANGE, {"name": 1, "src": 2, "sign": 3, "by": 4}), state, lambda s, m: _put(s, m["name"], held(s, m["src"]) + _signed(m["sign"], m["by"])))
-    return F.aggregate(_all(line, VALUE, {"name": 1, "value": 2}), after, lambda s, m: _put(s, m["name"], m["value"].cast("int")))
+    parts = F.transform(_behind(line, ASSIGNS), lambda p: F.struct(F.trim(F.substring_index(p, "|", 1)).alias("name"), F.regexp_replace(p, r"^[^|]*\|", "").alias("rest")))
+    sums = F.filter(F.transform(parts, lambda p: F.struct(p["name"].alias("name"), _sum(p["rest"]).alias("s"))), lambda p: p["s"]["by"].isNotNull())
+    plain = F.filter(F.transform(parts, lambda p: F.struct(p["name"].alias("name"), F.regexp_extract(p["rest"], r"^\s*([0-9]+)\s*\}\}", 1).alias("n"))), lambda p: p["n"] != "")
+    after = F.aggregate(sums, state, lambda st, p: _put(st, p["name"], _held(st, p["s"]["src"]) + p["s"]["by"]))
+    return F.aggregate(plain, after, lambda st, p: _put(st, p["name"], p["n"].cast("int")))
 
 
 def resolved_title(title: Column, state: Column) -> Column:
     """Every reading of a variable replaced by its value."""
-    value = lambda m: F.coalesce(F.try_element_at(state, m["src"]), F.lit(0)) + _signed(m["sign"], m["by"])
-    return F.trim(F.aggregate(_all(title, READING, {"all": 1, "src": 2, "sign": 3, "by": 4}), title, lambda t, m: F.replace(t, m["all"], value(m).cast("string"))))
+    parts = F.transform(_behind(title, READS), lambda p: F.struct(p.alias("text"), _sum(p).alias("s"), F.regexp_replace(p, r"^[^}]*\}\}[^}]*\}\}", "").alias("rest")))
+    value = lambda p: F.when(p["s"]["by"].isNull(), F.concat(F.lit("{{#expr:"), p["text"])).otherwise(F.concat((_held(state, p["s"]["src"]) + p["s"]["by"]).cast("string"), p["rest"]))
+    return F.trim(F.concat(F.split(title, READS)[0], F.array_join(F.transform(parts, value), "")))
 
 
 @dataclass
@@ -103,7 +123,7 @@ class Page:
         w, start = self._window(), Window.unboundedPreceding
         rows = self.lines.join(self.states, [self.doc, "line_no"], "left").withColumn("kind", classify(F.col("line"), KINDS, "text"))
         mark = F.when(F.col("kind").isin(STRUCTURAL), F.struct("kind", "line_no"))
-        title = F.regexp_replace("line", r"(?i)^\{\{\s*Checklist\s*\|\s*title\s*=", "")
+        title = F.regexp_replace("line", KINDS[0][0], "")
         heading = F.trim(F.regexp_replace("line", "^=+|=+$", ""))
         episode = F.when(F.col("kind") == "heading", F.nullif(F.regexp_extract(display_text(heading), EPISODE, 1), F.lit("")).cast("int"))
         rows = rows.withColumns({
@@ -128,7 +148,7 @@ class Page:
     @cached_property
     def pending(self) -> DataFrame:
         """doc, block, images, note: what stands before a section and belongs to it."""
-        image = F.when(F.col("kind") == "image", F.struct("line_no", F.regexp_extract("line", r"(?i)^\{\{\s*Extimage\s*\|([^|}]+)", 1).alias("url")))
+        image = F.when(F.col("kind") == "image", F.struct("line_no", _argument().alias("url")))
         body = F.trim(F.regexp_extract("line", r"^<!--(.*?)-->$", 1))
         note = F.when((F.col("kind") == "comment") & body.rlike(BANK_NOTE), F.struct("line_no", body.alias("body")))
         some = self.rows.where(F.col("kind").isin("image", "comment"))
@@ -190,7 +210,7 @@ class Page:
         on_heading = (F.col("previous") == "heading") & (F.col("episode_no") > 0)
         in_section = (F.col("block") > 0) & (F.col("latest.block") == F.col("block"))
         anchor = F.when(on_heading, "episode").when(in_section, "step").when(F.col("episode_no") > 0, "episode").otherwise("none")
-        video = F.trim(F.regexp_extract("line", r"(?i)^\{\{\s*Youtube\s*\|([^|}]+)", 1))
+        video = F.trim(_argument())
         at = F.when(anchor == "episode", F.col("episode_no")).when(anchor == "step", F.col("latest.line_no"))
         return rows.where("kind = 'video'").select(self.doc, "line_no", video.alias("video"), anchor.alias("anchor"), at.cast("long").alias("at"))
 
