@@ -42,10 +42,23 @@ def templates(text: str, name: str) -> list[list[str]]:
 
 def plain(markup: str) -> str:
     """Words that a person reads: no templates, links as their labels, no quotes for weight, no empty brackets."""
-    text = re.sub(r"\{\{[^{}]*\}\}", "", markup)
-    text = re.sub(r"\[\[(?:[^\]|]*\|)?([^\]|]+)\]\]", r"\1", text)
-    text = re.sub(r"\(\s*\)", "", re.sub("'{2,}", "", text))
-    return re.sub(r"\s+", " ", text).strip(" -–")
+    words, link, depth, last = [], None, 0, 0
+    for m in [*SIGN.finditer(markup), None]:
+        piece, sign = markup[last : m.start() if m else None], m[0] if m else ""
+        last = m.end() if m else last
+        if depth == 0:
+            (words if link is None else link).append(piece)
+        if sign in ("{{", "}}"):
+            depth = max(0, depth + (1 if sign == "{{" else -1))
+        elif sign == "[[" and depth == 0:
+            link = []
+        elif sign == "|" and depth == 0:
+            words += [sign] if link is None else []
+            link = link if link is None else []  # a label follows
+        elif sign == "]]" and link is not None:
+            words, link = words + link, None
+    text = " ".join("".join(words + (link or [])).replace("'''", "").replace("''", "").split())
+    return " ".join(text.replace("( )", "").replace("()", "").split()).strip(" -–")
 
 
 def spawn(parts: list[str]) -> dict | None:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.phrases import behind, first_word, opens
+from ..functions.phrases import before, behind, behind_opening, first_word, opens, says, without_opening
 from ..functions.sentences import name_run
 from ..functions.text import collapsed, display_text, spoken_key, squash
 from ..functions.verdicts import casts
@@ -27,6 +27,9 @@ SHORTEST_SQUASH = 10
 USES = ["use", "put", "give", "show", "hand", "place", "insert", "offer", "feed", "pour", "sprinkle", "add", "plant"]
 USE_ENDS = ["on", "in", "into", "to", "back", "onto", "over", "at", "with", "inside", "under"]
 NOT_AN_ITEM = ["it", "them", "this", "that", "one", "these", "those", "him", "her", "everything", "all", "both"]
+NO_INTERACTION = ["to kill", "for golems", "per inv", "to enter"]
+OPERAND_ENDS = ["and", "then", "to", "for", "at", "from", "in"]
+PLACE_OPENS = ["in", "at", "on", "under", "north", "south", "east", "west", "to start"]
 NO_IDS = "cast(array() as array<bigint>)"
 NO_POINTS = "cast(array() as array<array<int>>)"
 
@@ -201,6 +204,11 @@ def spells(steps: DataFrame, place: str, raw: str, by_place: DataFrame, widgets:
     return rows.join(w, F.col("__spell") == F.col("__w"), "left").withColumn("spell", F.col("__w")).drop("__p", "__s", "__spell", "__w")
 
 
+def uncounted(c: Column) -> Column:
+    """The text behind a leading number."""
+    return F.regexp_replace(c, r"(?i)^[0-9]+ *x? +", "")
+
+
 # --- inventory -------------------------------------------------------------
 
 
@@ -231,11 +239,11 @@ def inventory_actions(steps: DataFrame, key: str, raw: str, items: DataFrame, kn
     made = F.regexp_extract(text, r"(?i)^make\s+(?:[0-9]+\s*x?\s+)?(.+?)[.!]?$", 1)
     verb = first_word(text)
     direct = verb.isin("use", "fill", "eat", "drink", "read", "wear", "wield", "equip", "drop", "empty", "light", "open")
-    water = (verb == "fill") & text.rlike(r"(?i)\bof water\b")
-    other = (verb == "use") & text.rlike(r"(?i)\b(?:to kill|for golems|per inv|to enter)\b")
-    tail = F.split(F.regexp_replace(text, r"^\S+\s*", ""), r"(?i)[.;\[(]|\s+(?:and|then|to|for|at|from|in)\s+|\s*&\s*", 2)[0]
-    operands = F.when(verb == "use", F.split(tail, r"(?i)\s+(?:on|with)\s+", 2)).otherwise(F.array(tail))
-    bare = F.transform(operands, lambda o: collapsed(F.regexp_replace(F.regexp_replace(F.trim(o), r"(?i)^(?:the|a|an|your)\s+", ""), r"(?i)^[0-9]+\s*x?\s+", "")))
+    water = (verb == "fill") & says(text, ["of water"])
+    other = (verb == "use") & says(text, NO_INTERACTION)
+    tail = before(F.split(F.regexp_replace(text, r"^\S+\s*", ""), r"[.;\[(&]", 2)[0], OPERAND_ENDS)
+    pair = F.filter(F.array(before(tail, ["on", "with"]), behind(tail, ["on", "with"])), lambda o: o.isNotNull())
+    bare = F.transform(F.when(verb == "use", pair).otherwise(F.array(tail)), lambda o: collapsed(uncounted(without_opening(F.trim(o), ["the", "a", "an", "your"]))))
     rows = steps.select(key, F.nullif(collapsed(made), F.lit("")).alias("made"), F.when(direct & ~water & ~other, bare).alias("operands"), F.when(water, "water").when(other, "other").alias("refused"))
     by_item = rows.select(key, F.explode("operands").alias("item_key")).join(items, "item_key", "left").groupBy(key).agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))).alias("ids"), F.array_join(F.array_sort(F.collect_list(F.when(F.col("ids").isNull(), F.col("item_key")))), ", ").alias("missing")
@@ -319,8 +327,8 @@ def stop_items(phrases: DataFrame, key: str, quest: str, phrase: str, items: Dat
     index = items.where("size(ids) > 0").select(F.col(quest), spoken_key(F.col("name")).alias("item_key"), F.array_sort(F.array_distinct("ids")).alias("ids"))
     index = index.groupBy(quest, "item_key").agg(F.min("ids").alias("ids"), F.countDistinct("ids").alias("__n")).where("__n = 1").drop("__n")
     clean = F.regexp_replace(F.trim(F.regexp_replace(phrase, r"\s*\[[^\]]*\]\s*$", "")), r"[.! ]+$", "")
-    bare = lambda p: spoken_key(F.regexp_replace(F.regexp_replace(F.trim(p), r"(?i)^(?:the|a|an)\s+", ""), r"(?i)^[0-9]+\s*x?\s+", ""))
-    parts = F.transform(F.concat(F.array(clean), F.split(clean, r"(?i)\s*[,&]\s*|\s+and\s+")), bare)
+    bare = lambda p: spoken_key(uncounted(without_opening(F.trim(p), ["the", "a", "an"])))
+    parts = F.transform(F.concat(F.array(clean), F.split(clean, r"(?i)[,&]|\band\b")), bare)
     each = phrases.select(key, quest, F.posexplode(parts).alias("at", "item_key")).join(index, [quest, "item_key"], "left")
     whole = F.min(F.when(F.col("at") == 0, F.col("ids")))
     flat = F.flatten(F.collect_list(F.when(F.col("at") > 0, F.col("ids"))))
@@ -334,11 +342,11 @@ def starters(steps: DataFrame, key: str, quest: str, text: str, ids: str, instru
 
     instructions: quest, place, text, ids.
     """
-    said = spoken_key(F.regexp_extract("i_text", r"(?i)^(?:Talk|Speak) to\s+(.+?)(?:\s+(?:in|at|on|under|north|south|east|west|to start)\b|[.!]|$)", 1))
+    said = spoken_key(F.split(before(behind_opening(F.col("i_text"), ["talk to", "speak to"]), PLACE_OPENS), "[.!]", 2)[0])
     i = instructions.select(F.col(quest), "place", F.col("text").alias("i_text"), F.col("ids").alias("i_ids"))
     met = steps.select(key, quest, F.col(text).alias("text"), F.col(ids).alias("own")).join(i, quest)
-    spoken = spoken_key(F.regexp_extract("text", r"(?i)\btalking to\s+(.+?)(?:\s*[(\[]|[.!;]|$)", 1))
-    hit = F.coalesce(F.arrays_overlap("own", "i_ids"), F.lit(False)) | ((spoken != "") & (spoken == said))
+    spoken = spoken_key(F.split(behind(F.col("text"), ["talking to"]), r"[(\[.!;]", 2)[0])
+    hit = F.coalesce(F.arrays_overlap("own", "i_ids"), F.lit(False)) | F.coalesce((spoken != "") & (spoken == said), F.lit(False))
     return met.where(hit).groupBy(key).agg(F.min("place").alias("place"))
 
 
