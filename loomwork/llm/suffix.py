@@ -62,8 +62,10 @@ GRAM = SEEDS[0]
 BITS = 1 << 27
 HOT = 8192
 SLICES = 64
-CHUNK = 1 << 18
+CHUNK = 1 << 16
 CROP = 12
+#: Rows after which a task hands on what it holds of a batch.
+ROWS = 1 << 18
 BATCH_STRINGS = 1500
 
 _BASE = 0x9E3779B97F4A7C15
@@ -151,6 +153,20 @@ class Runs:
         self.context = range_hash(part.sums, self.lo, self.lo + self.n + LENGTH - 1) + near
         self.text, self.shift = part.text[which], part.shift[which]
 
+    def stretches(self, own: np.ndarray, alike: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Of runs right behind one another in a text (and, if `alike`, with one seed and context) the first, and how many they are.
+
+        A text that repeats itself every few bytes has a run for each of them.
+        """
+        if not len(own):
+            return own, own
+        a, b = own[:-1], own[1:]
+        same = (self.text[a] == self.text[b]) & (self.lo[b] == self.lo[a] + self.n[a])
+        if alike:
+            same &= (self.seed[a] == self.seed[b]) & (self.context[a] == self.context[b])
+        first = np.flatnonzero(np.concatenate([[True], ~same]))
+        return own[first], np.diff(np.append(first, len(own)))
+
 
 def parts(texts: list[bytes]) -> Iterator[Part]:
     """All texts of a batch, about CHUNK bytes at a time; a longer text in pieces that overlap by a string."""
@@ -200,10 +216,10 @@ class Filters:
 
 
 SEED = np.dtype([("seed", "<u8"), ("n", "<i8"), ("lo", "<u8"), ("hi", "<u8")])
-RUN = np.dtype([("seed", "<u8"), ("context", "<u8"), ("doc", "<i8"), ("tag", "<i8"), ("start", "<i8"), ("n", "<i4"), ("at", "<i4"), ("slice", "<i4"), ("null", "?"), ("sent", "?")])
+RUN = np.dtype([("seed", "<u8"), ("context", "<u8"), ("doc", "<i8"), ("tag", "<i8"), ("start", "<i8"), ("n", "<i4"), ("at", "<i4"), ("times", "<i4"), ("slice", "<i4"), ("null", "?"), ("sent", "?")])
 OWNER = np.dtype([("doc", "<i8"), ("tag", "<i8"), ("start", "<i8"), ("size", "<i4"), ("null", "?")])
 HEAD = np.dtype([("seed", "<u8"), ("n", "<i8")])
-MARK = np.dtype([("doc", "<i8"), ("tag", "<i8"), ("a", "<i8"), ("n", "<i4"), ("null", "?")])
+MARK = np.dtype([("doc", "<i8"), ("tag", "<i8"), ("a", "<i8"), ("n", "<i8"), ("null", "?")])
 PACKED = pa.schema([("bucket", pa.int64()), ("rows", pa.binary()), ("pieces", pa.binary()), ("heads", pa.binary())])
 PACKED_SQL = "bucket long, rows binary, pieces binary, heads binary"
 
@@ -246,12 +262,19 @@ def _seeds(gram: int, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
+            found, size = [], 0
             for part in parts(owned(batch)[1]):
                 r = Runs(part, gram)
                 one = np.empty(len(r.seed), SEED)
                 one["seed"], one["n"], one["lo"], one["hi"] = r.seed, 1, r.context, r.context
                 found.append(one)
+                size += len(one)
+                if size >= ROWS:
+                    found = [_totals(np.concatenate(found))]
+                    size = len(found[0])
+                    if size >= ROWS // 2:
+                        yield dealt(bucket_of(found[0]["seed"], 0, buckets), found[0], "rows")
+                        found, size = [], 0
             if found:
                 seeds = _totals(np.concatenate(found))
                 yield dealt(bucket_of(seeds["seed"], 0, buckets), seeds, "rows")
@@ -280,12 +303,15 @@ def _runs(gram: int, filters, buckets: int, slices: int) -> Callable[[Iterator[p
             for part in parts(texts):
                 r = Runs(part, gram)
                 own = np.flatnonzero(now.repeated.has(r.seed) & ~now.left(r.seed))
+                own, times = r.stretches(own, alike=True)
                 whose, one = owners[r.text[own]], np.zeros(len(own), RUN)
+                one["times"] = times
                 one["seed"], one["context"], one["n"], one["at"] = r.seed[own], r.context[own], r.n[own], r.at[own] - r.lo[own]
                 for c in ("doc", "tag", "null"):
                     one[c] = whose[c]
                 one["start"] = whose["start"] + r.lo[own] + r.shift[own]
-                one["slice"] = np.where(now.big.has(one["seed"]), (whose["doc"] ^ whose["tag"]) % slices, 0)
+                spot = mixed((whose["doc"] ^ whose["tag"] ^ one["start"]).view(np.uint64)) >> np.uint64(11)
+                one["slice"] = np.where(now.big.has(one["seed"]), spot % np.uint64(slices), 0)
                 here, many = [b""] * len(own), np.flatnonzero(now.several.has(one["seed"]))
                 for k, key, a, n in zip(many.tolist(), zip(one["seed"][many].tolist(), one["context"][many].tolist(), strict=True), r.lo[own[many]].tolist(), one["n"][many].tolist(), strict=True):
                     if key not in sent:
@@ -294,6 +320,10 @@ def _runs(gram: int, filters, buckets: int, slices: int) -> Callable[[Iterator[p
                         one["sent"][k] = True
                 held.append(one)
                 pieces += here
+                if len(pieces) >= ROWS:
+                    rows, held = np.concatenate(held), []
+                    yield dealt(bucket_of(rows["seed"], rows["slice"], buckets), rows, "rows", pieces)
+                    pieces = []
             if held:
                 rows = np.concatenate(held)
                 yield dealt(bucket_of(rows["seed"], rows["slice"], buckets), rows, "rows", pieces)
@@ -318,7 +348,7 @@ def owned(batch: pa.RecordBatch) -> tuple[np.ndarray, list[bytes]]:
 
 
 def _left(gram: int, filters) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The contexts of the runs that go round again, about LEFT_BYTES to a row."""
+    """The contexts of the runs that go round again, those side by side as one, about LEFT_BYTES to a row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now = filters.value
@@ -327,10 +357,12 @@ def _left(gram: int, filters) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
             heads, data, size = [], [], 0
             for part in parts(texts):
                 r = Runs(part, gram)
-                own = np.flatnonzero(now.left(r.seed))
+                all_left = np.flatnonzero(now.left(r.seed))
+                own, times = r.stretches(all_left, alike=False)
+                last = all_left[np.cumsum(times) - 1]
                 h = owners[r.text[own]]
                 h["start"] += r.lo[own] + r.shift[own]
-                h["size"] = r.n[own] + (LENGTH - 1)
+                h["size"] = r.lo[last] + r.n[last] - r.lo[own] + (LENGTH - 1)
                 heads.append(h)
                 data += [part.data[a : a + n] for a, n in zip(r.lo[own].tolist(), h["size"].tolist(), strict=True)]
                 size += int(h["size"].sum())
@@ -423,7 +455,7 @@ def marked(rows: np.ndarray, pieces: bytes, heads: np.ndarray, gram: int) -> Ite
     new_group = change("seed") | change("slice")
     new = new_group | change("context")
     edge, context = np.flatnonzero(new), np.cumsum(new) - 1
-    times = np.diff(np.append(edge, len(r)))
+    times = np.add.reduceat(r["times"].astype(np.int64), edge)
     group = (np.cumsum(new_group) - 1)[edge]
     several = np.bincount(group)[group] > 1
 
@@ -435,7 +467,7 @@ def marked(rows: np.ndarray, pieces: bytes, heads: np.ndarray, gram: int) -> Ite
         return out
 
     whole = np.flatnonzero((~several | (times > 1))[context])  # copies of a context
-    yield marks(whole, 0, r["n"][whole])
+    yield marks(whole, 0, r["n"][whole].astype(np.int64) * r["times"][whole])
     todo = np.flatnonzero(several)
     if not len(todo):
         return

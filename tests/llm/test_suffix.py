@@ -63,6 +63,23 @@ def test_against_all_strings(spark, hot, bits, chunk):
     assert Counter(map(tuple, got.collect())) == plain(rows)
 
 
+def test_texts_that_repeat_themselves(spark, monkeypatch):
+    """Every byte starts a run of its own; they travel as stretches, whatever the limits."""
+    rng = np.random.default_rng(4)
+    noise = "".join(rng.choice(list("abcdef "), 700))
+    rows = [(1, "x" * 4000), (2, "ab" * 900 + noise), (3, noise[:300] + "x" * 900 + "y"), (4, "abc" * 300), (5, "x" * 201), (None, "x" * 260 + noise[300:]), (6, "abcde" * 200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = plain(rows)
+    for hot in (2, 50, suffix.HOT):
+        assert Counter(map(tuple, suffix.remove_repeats(docs, hot=hot).collect())) == want
+    r = suffix.Runs(next(suffix.parts([b"x" * 3000])))
+    own, times = r.stretches(np.arange(len(r.seed)), alike=True)
+    assert len(r.seed) > 2500 and len(own) < 5 and times.sum() == len(r.seed)
+    monkeypatch.setattr(suffix, "ROWS", 8)
+    found = list(suffix._seeds(32, 4)(iter([suffix.pa.RecordBatch.from_arrays([suffix.pa.array([1, 2]), suffix.pa.array([5, 6]), suffix.pa.array([noise.encode(), noise.encode()], suffix.pa.binary())], ["doc_id", "tag", "data"])])))
+    assert sum(int(x["n"].sum()) for b in found for x in suffix.unpacked(b.column(1), suffix.SEED)) == 2 * sum(len(suffix.Runs(p).seed) for p in suffix.parts([noise.encode()]))
+
+
 def test_tables(spark, odd, none, small):
     rows = [(r.doc_id, r.text) for r in odd.select("doc_id", "text").collect()]
     assert Counter(map(tuple, suffix.remove_repeats(odd).collect())) == plain(rows)
