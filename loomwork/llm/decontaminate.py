@@ -15,6 +15,9 @@ The item list is broadcast in blocks of at most BLOCK_BYTES of item text (a
 block takes about eight times that in memory), one pass over the corpus per
 block.  At most TOGETHER passes run in one stage, then what is known so far is
 written, so neither a worker nor an executor holds more than that many blocks.
+
+An empty benchmark hits nothing; an empty table gives an empty result.  Texts of
+any length are read whole; other columns are kept as they are.
 """
 
 from __future__ import annotations

@@ -12,6 +12,9 @@ carriage return) becomes one space; null counts as empty.  Of equal texts the
 smallest id stays; null ids never win against others.  Rows that share id and
 text are all marked kept by exact_groups (their id is the group's), and
 drop_copies leaves one of them.
+
+An empty table gives an empty result.  A text of any length is one digest; other
+columns, whatever their names, are kept as they are.
 """
 
 from __future__ import annotations

@@ -11,6 +11,8 @@ marked rejected, which never changes lang_pred.
 no labelled row at all every document is `und`.  An id with several languages
 has the one that sorts last.  A tie goes to the language
 that sorts first.  Repeated rows each get their own row.
+
+An empty table gives an empty result.  Texts of any length are read whole.
 """
 
 from __future__ import annotations

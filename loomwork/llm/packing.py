@@ -15,6 +15,8 @@ of that size in order.
 
 Null text counts as empty (a document of one id).  Equal ids or rows are
 pieces of their own.  Ties are broken by id, then piece.
+
+An empty table gives an empty result.  Texts of any length are cut, never shortened.
 """
 
 from __future__ import annotations

@@ -8,6 +8,9 @@ raised by nearby context words, reaches THRESHOLD.
 Null or empty text has no spans.  Offsets are code points, ends exclusive.
 Every scan is linear in the text: no pattern can restart inside a run it has
 already failed on.  Repeated rows each give their own output row.
+
+An empty table gives an empty result.  Texts of any length are read whole; other
+columns, whatever their names, are never read.
 """
 
 from __future__ import annotations

@@ -13,6 +13,9 @@ Null or empty texts have fingerprint zero and link like any other.  Repeated
 rows share a fingerprint.  Fingerprints are linked whatever the ids of their
 rows.  A row with a null id gets its component, and links others, but never
 names one; a component of null ids only is null.
+
+A bit that exactly half of the shingles have set is 0.  An empty table gives an
+empty result.  Texts of any length are read whole; other columns are kept.
 """
 
 from __future__ import annotations

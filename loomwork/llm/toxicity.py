@@ -19,6 +19,10 @@ a row speaks.  An id with several labels has the largest of them.
 Null and empty texts have no terms and score as such, well below 0.5.  Without
 labelled rows of both kinds every probability is 0.  Repeated rows each get
 their own row.
+
+Of terms that speak as clearly the one that sorts first is kept; a probability of
+exactly 0.5 is toxic.  An empty table gives an empty result.  Texts of any length
+are read whole; other columns are kept as they are.
 """
 
 from __future__ import annotations

@@ -18,6 +18,10 @@ and buckets are as many as the text needs.
 
 Null and empty texts have no words and score 0.  Repeated rows each get their
 own row.  Rows with a null id are dealt by their text and are never wanted.
+
+Without any wanted row the target model has counted nothing and every word costs
+it the same.  An empty table gives an empty result.  Texts of any length are read
+whole; a document is never divided between blocks.
 """
 
 from __future__ import annotations
