@@ -188,18 +188,18 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     return out
 
 
-def _marker(shared, text_col: str, last: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _marker(shared, text_col: str, hit: str, last: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Adds to the hit words (packed bits) in the last column; the last pass drops it and the contaminated rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = shared.value
         for batch in batches:
-            own, before = batch.drop_columns(["__loom_hit"]), batch.column(batch.num_columns - 1).to_pylist()
+            own, before = batch.drop_columns([hit]), batch.column(batch.num_columns - 1).to_pylist()
             hits = [h | np.unpackbits(np.frombuffer(b, np.uint8), count=n).astype(bool) if b else h for (n, h, _), b in zip(batch_hits(texts(batch, text_col), items), before, strict=True)]
             if last:
                 yield own.filter(pa.array([not (h.any() and SHARE * int(h.sum()) >= len(h)) for h in hits], pa.bool_()))
             else:
-                yield own.append_column("__loom_hit", pa.array([np.packbits(h).tobytes() for h in hits], pa.binary()))
+                yield own.append_column(hit, pa.array([np.packbits(h).tobytes() for h in hits], pa.binary()))
 
     return run
 
@@ -207,12 +207,15 @@ def _marker(shared, text_col: str, last: bool) -> Callable[[Iterator[pa.RecordBa
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """docs without contaminated rows; all columns, no shuffle of texts."""
     sc = docs.sparkSession.sparkContext
-    out, blocks = docs.withColumn("__loom_hit", F.lit(None).cast("binary")), item_blocks(benchmark, item_col, item_text, block_bytes)
+    hit = "__loom_hit"
+    while hit in docs.columns:
+        hit += "_"
+    out, blocks = docs.withColumn(hit, F.lit(None).cast("binary")), item_blocks(benchmark, item_col, item_text, block_bytes)
     wide = out.schema
     k, block = 0, next(blocks)
     while block is not None:
         after = next(blocks, None)
-        out = out.mapInArrow(_marker(sc.broadcast(Items(block)), text_col, after is None), docs.schema if after is None else wide)
+        out = out.mapInArrow(_marker(sc.broadcast(Items(block)), text_col, hit, after is None), docs.schema if after is None else wide)
         k, block = k + 1, after
         if after is not None and k % TOGETHER == 0:
             out = materialise(out, "passes")

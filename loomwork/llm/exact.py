@@ -104,16 +104,17 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     bits = bits_for(rows, bits)
     possible = mark_possible(rows, "sha", repeated_bits(rows, bits), bits, "possible").where("possible").select("doc_id", "sha")
     ids = possible.select(F.col("doc_id").alias("sha"))
-    asked = mark_possible(docs.withColumn("__loom_id", F.col(id_col).cast("long")), "__loom_id", set_bits(ids, bits), bits, "__loom_possible")
-    lone = asked.where(~F.col("__loom_possible")).select(*docs.columns)
-    some = asked.where("__loom_possible").withColumn("__loom_sha", digest(F.col(text_col))).withColumn("__loom_salt", salt(docs.sparkSession, "__loom_id"))
+    whole = docs.select(F.struct(*docs.columns).alias("__loom_row"), F.col(id_col).cast("long").alias("__loom_id"))  # no column of docs meets one used here
+    asked = mark_possible(whole, "__loom_id", set_bits(ids, bits), bits, "__loom_possible")
+    lone = asked.where(~F.col("__loom_possible")).select("__loom_row.*")
+    some = asked.where("__loom_possible").withColumn("__loom_sha", digest(F.col("__loom_row").getField(text_col))).withColumn("__loom_salt", salt(docs.sparkSession, "__loom_id"))
     groups = spread_groups(possible, ["sha"], "doc_id").where("group_rows > 1").select(
         F.col("sha").alias("__loom_sha"), F.col("salt").alias("__loom_salt"), F.col("group_min").alias("__loom_min"), F.lit(True).alias("__loom_group")
     )
     met = some.join(groups, ["__loom_sha", "__loom_salt"], "left")
-    alone = met.where("__loom_group is null").select(*docs.columns)
+    alone = met.where("__loom_group is null").select("__loom_row.*")
     first = met.where(F.col("__loom_group") & F.col("__loom_id").eqNullSafe(F.col("__loom_min")))
-    return lone.unionByName(alone).unionByName(first.dropDuplicates(["__loom_sha"]).select(*docs.columns))
+    return lone.unionByName(alone).unionByName(first.dropDuplicates(["__loom_sha"]).select("__loom_row.*"))
 
 
 ORACLE_SQL = r"""

@@ -193,3 +193,19 @@ def test_items_take_little_memory():
     items = decontaminate.Items([(k, text[k * 20_000 : (k + 1) * 20_000]) for k in range(14)])
     held = sum(a.nbytes for arrays in items.by_length.values() for a in arrays)
     assert held < 12 * len(text)
+
+
+def test_edges_of_fitted_operators(spark, odd, none):
+    """Empty tables, no labels, extra columns with the names that operators use inside."""
+    few = spark.createDataFrame([(1, 0, 1), (4, 1, 0)], "doc_id long, quality int, toxic int")
+    for run in (lambda d: quality.held_out_scores(d, few), lambda d: toxicity.score_toxicity(d, few), langid.held_out_languages, lambda d: packing.pack(d)):
+        assert run(none).count() == 0
+        assert {r.doc_id for r in run(odd).select("doc_id").collect()} == {r.doc_id for r in odd.select("doc_id").collect()}
+    assert {r.p_toxic for r in toxicity.score_toxicity(odd, few.where("false")).collect()} == {0.0}
+    noise = odd.withColumn("seed", F.lit(1)).withColumn("bucket", F.lit("x")).withColumn("__loom_hit", F.lit("y"))
+    assert toxicity.drop_toxic(noise, few).columns == noise.columns
+    bench = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
+    noise = noise.withColumn("__loom_id", F.lit(7)).withColumn("__loom_sha", F.lit("z")).withColumn("__loom_p", F.lit(0)).withColumn("part", F.lit(1))
+    for drop in (exact.drop_copies, simhash.drop_near_duplicates, lambda d: decontaminate.drop_contaminated(d, bench)):
+        got = drop(noise)
+        assert got.columns == noise.columns and {r.doc_id for r in got.collect()} == {r.doc_id for r in drop(odd).collect()}
