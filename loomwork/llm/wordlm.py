@@ -31,6 +31,7 @@ import zlib
 from collections.abc import Callable
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -94,8 +95,11 @@ def _block(docs: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     parts = [keys(t) for t in docs.column("text").to_pylist()]
     size = np.array([len(p[0]) for p in parts], np.int64)
     flat = np.concatenate([np.concatenate([p[k] for p in parts]) for k in range(3)]) if parts else np.empty(0, np.uint64)
-    distinct, place = np.unique(flat, return_inverse=True)
-    return distinct, place.reshape(3, -1), size
+    code, found = pd.factorize(flat)  # by a hash table, several times faster than by sorting all of them
+    order = np.argsort(found)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return found[order], rank[code].reshape(3, -1), size
 
 
 def _asker(buckets: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
@@ -122,7 +126,7 @@ def _asker(buckets: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
 def _answer(asked: pa.Table) -> pa.Table:
     """Sums over all blocks for each block; the first row also has the bucket's totals over words."""
     gram = [np.cumsum(_unpack(x), dtype=np.uint64) for x in asked.column("gram").to_pylist()]
-    distinct, place = np.unique(np.concatenate(gram), return_inverse=True)
+    place, distinct = pd.factorize(np.concatenate(gram))
     total = [np.bincount(place, np.concatenate([_unpack(x) for x in asked.column(c).to_pylist()]).astype(np.float64), len(distinct)).astype(np.uint64) for c in "bt"]
     own = (distinct & _KINDS) == WORD
     sums = [int(own.sum()), int(total[0][own].sum()), int(total[1][own].sum())]
