@@ -1,8 +1,8 @@
 """Quality by nearest-neighbour voting over latent-semantic vectors.
 
-A document's terms are trigrams of character shapes (every letter counts as
-one of two shapes, each ASCII sign as itself) and buckets of three repetition
-ratios.  A truncated singular value decomposition of the labelled sample's
+A document's terms are its lower-cased words, trigrams of character shapes
+(every letter counts as one of two shapes, each ASCII sign as itself), both
+hashed to TERMS numbers, and buckets of three repetition ratios.  A truncated singular value decomposition of the labelled sample's
 TF-IDF matrix gives latent vectors; the labelled vectors are broadcast, and
 for every document the exact cosines to all of them come from blocked matrix
 products.  The NEIGHBOURS nearest vote with their similarity as weight; of equally
@@ -13,12 +13,15 @@ The labelled sample holds at most PER_CLASS rows of either label, so what is
 broadcast is at most 2 * PER_CLASS * DIMS floats.  Null and empty texts have
 the terms of an empty document and are scored like any other.  Without any
 labelled row every score is 0.5.  Repeated rows each get their own row.
+
+An empty table gives an empty result.  Texts of any length are read whole.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from itertools import pairwise
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +34,8 @@ from .sample import one_label, sample_ids, sampled
 PER_CLASS = 2048
 TERMS = 1 << 13
 BUCKETS = 8
-WIDTH = TERMS + 3 * BUCKETS
+WIDTH = 2 * TERMS + 3 * BUCKETS
+WORD_SHARE = 0.5
 DIMS = 48
 NEIGHBOURS = 21
 BLOCK = 2048
@@ -52,6 +56,10 @@ def _shapes() -> np.ndarray:
 SHAPE = _shapes()
 
 
+#: Signs and white space of ASCII end a word.
+_SPACE = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
+
+
 def ratios(text: str) -> tuple[float, float, float]:
     """Share of repeated words, of words equal to the one before, of repeated lines."""
     words, lines = text.split(), text.split("\n")
@@ -65,18 +73,24 @@ def ratios(text: str) -> tuple[float, float, float]:
 
 def terms(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Term numbers below WIDTH, and their weights before inverse document frequency."""
-    s = SHAPE[np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)]
+    data = text.encode("utf-8", "surrogatepass")
+    s = SHAPE[np.frombuffer(data, np.uint8)]
     code = (s[:-2] << 12) | (s[1:-1] << 6) | s[2:]
     count = np.bincount((code * np.uint32(2654435761)) >> np.uint32(19), minlength=TERMS)
-    idx = np.flatnonzero(count)
-    own = [TERMS + k * BUCKETS + min(BUCKETS - 1, int(r * BUCKETS)) for k, r in enumerate(ratios(text))]
-    return np.concatenate([idx, own]), np.concatenate([np.log1p(count[idx]), [0.0] * 3]).astype(np.float32)
+    shapes = np.flatnonzero(count)
+    found = text.lower().encode("utf-8", "surrogatepass").translate(_SPACE).split()
+    said = np.bincount(np.fromiter(map(crc32, found), np.uint32, len(found)) >> np.uint32(19), minlength=TERMS) if found else np.zeros(TERMS, np.int64)
+    spoken = np.flatnonzero(said)
+    own = [2 * TERMS + k * BUCKETS + min(BUCKETS - 1, int(r * BUCKETS)) for k, r in enumerate(ratios(text))]
+    return np.concatenate([shapes, TERMS + spoken, own]), np.concatenate([np.log1p(count[shapes]), np.log1p(said[spoken]), [0.0] * 3]).astype(np.float32)
 
 
 def weigh(idx: np.ndarray, tf: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    """Unit length over the trigrams; each ratio's bucket weighs half of that."""
+    """Unit length over the trigrams, WORD_SHARE over the words; each ratio's bucket weighs half."""
     w = tf * idf[idx]
-    w /= max(1e-9, float(np.sqrt(w @ w)))
+    words = slice(int(np.searchsorted(idx, TERMS)), len(w) - 3)
+    for part, length in ((slice(0, words.start), 1.0), (words, WORD_SHARE)):
+        w[part] *= length / max(1e-9, float(np.sqrt(w[part] @ w[part])))
     w[-3:] = 0.5
     return w
 
