@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 GRAM = 3
+#: Phrases of so many bytes together are broadcast; more of them meet the rows in a shuffle.
+MOST_BROADCAST = 8 << 20
 
 
 def _grams(text: Column, n: int) -> Column:
@@ -21,10 +23,17 @@ def _grams(text: Column, n: int) -> Column:
 
 
 def containing(rows: DataFrame, text: str, phrases: DataFrame, phrase: str, whole_words: bool = False) -> DataFrame:
-    """All pairs of a row and a phrase that its text contains, without regard to case; an empty phrase is in nothing."""
+    """All pairs of a row and a phrase that its text contains, without regard to case; an empty phrase is in nothing.
+
+    The size of the phrases is summed first: it decides which side moves, as
+    Spark cannot know how many pieces a text has, and how long the pieces are.
+    """
     low = F.lower(F.col(text))
     side = phrases.withColumn("__phrase", F.lower(phrase)).where("__phrase <> ''").withColumn("__gram", F.substring("__phrase", 1, GRAM))
-    grams = F.array_distinct(F.flatten(F.array(*[_grams(low, n) for n in range(1, GRAM + 1)])))
+    size = side.agg(F.sum(F.octet_length("__phrase") + 64), F.collect_set(F.length("__gram"))).first()
+    side = F.broadcast(side) if (size[0] or 0) <= MOST_BROADCAST else side.hint("merge")
+    lengths = [_grams(low, n) for n in sorted(size[1])] or [_grams(low, GRAM)]
+    grams = lengths[0] if len(lengths) == 1 else F.flatten(F.array(*lengths))
     met = rows.withColumn("__low", low).withColumn("__gram", F.explode(grams)).join(side, "__gram")
     hit = F.contains("__low", F.col("__phrase"))
     if whole_words:
