@@ -179,6 +179,8 @@ def _searcher(k: int, same: bool) -> Callable[[pa.Table, pa.Table], pa.Table]:
             for p in sorted((p for p in spans if p["dim"] == dim), key=lambda p: -p["longest"]):
                 least = [min((-np.inf if w.least is None else float(w.least) for w in wanted[n].values()), default=np.inf) for n in own]
                 still = np.flatnonzero(norm * p["longest"] * (1 + _NEAR) + 1 >= np.array(least) * (1 - _NEAR))
+                if not len(still):
+                    break  # all that follow are shorter
                 b, their_id, their_label = _matrix(p), np.frombuffer(p["ids"], "<i8"), np.frombuffer(p["labels"], "<i8")
                 for at in range(0, len(still), STRIP):
                     some = still[at : at + STRIP]
@@ -233,17 +235,17 @@ def search(anchors: DataFrame, packs: DataFrame, windows: DataFrame, k: int, sam
     return both.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def hard_negatives(rows: DataFrame, is_anchor: Column, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", label: Column | None = None) -> DataFrame:
+def hard_negatives(rows: DataFrame, is_anchor: Column, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", label: Column | None = None, bucket: int = BUCKET, span: int = SPAN, block: int = BLOCK) -> DataFrame:
     """anchor_id, positive_id, rank, negative_id, positive_score, negative_score.
 
     is_anchor and label are expressions over the table's own columns; label
     replaces the label column where it is given.
     """
     own = materialise(vectors(rows, id_col, vector_col, label_col, label), "vectors")
-    packs = packed(own, BUCKET, SPAN, "vector-packs")
+    packs = packed(own, bucket, span, "vector-packs")
     ids = rows.where(is_anchor).select(F.col(id_col).cast("long").alias("vec_id")).distinct()
     chosen = own.join(ids, "vec_id", "left_semi").select(F.col("vec_id").alias("anchor_id"), "label", "dim", "norm", "q").distinct()
-    blocks = max(1, -(-chosen.count() // BLOCK))
+    blocks = max(1, -(-chosen.count() // block))
     copy = F.row_number().over(Window.partitionBy("anchor_id").orderBy("label", "q"))
     anchors = materialise(chosen.withColumn("copy", copy).withColumn("block", F.pmod(F.xxhash64("anchor_id"), F.lit(blocks)).cast("int")), "anchors")
     every = anchors.select("anchor_id", "copy", F.lit(0).alias("place"), F.lit(None).cast("decimal(38,0)").alias("p"))
@@ -257,10 +259,10 @@ def hard_negatives(rows: DataFrame, is_anchor: Column, id_col: str = "vec_id", v
     )
 
 
-def mined(rows: DataFrame) -> DataFrame:
+def mined(rows: DataFrame, **sizes) -> DataFrame:
     """The hard negatives of the anchors whose id is divisible by 50, labels of ids divisible by 7 moved on by one."""
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
-    return hard_negatives(rows, F.col("vec_id") % 50 == 0, label=label)
+    return hard_negatives(rows, F.col("vec_id") % 50 == 0, label=label, **sizes)
 
 
 ORACLE_SQL = """

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact, langid, mixing, negatives, packing, pii, quality, simhash, suffix, toxicity, wordlm
+from . import collocations, decontaminate, exact, langid, mixing, negatives, packing, pii, quality, simhash, suffix, toxicity, wordlm
 from .common import table
 
 
@@ -58,8 +58,12 @@ def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_pii, op2_quality, op3_exact_dedup, op4_simhash, op5_suffix_dedup, op6_lm_score, op7_decontaminate, op8_packing, op9_toxicity, op10_language, op11_hard_negatives, op12_mixing)
+    for f in (op1_pii, op2_quality, op3_exact_dedup, op4_simhash, op5_suffix_dedup, op6_lm_score, op7_decontaminate, op8_packing, op9_toxicity, op10_language, op11_hard_negatives, op12_mixing, op13_collocations)
 }
-ORACLE_SQL: dict[str, str] = {"op3_exact_dedup": exact.ORACLE_SQL, "op11_hard_negatives": negatives.ORACLE_SQL, "op12_mixing": mixing.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_exact_dedup": exact.ORACLE_SQL, "op11_hard_negatives": negatives.ORACLE_SQL, "op12_mixing": mixing.ORACLE_SQL, "op13_collocations": collocations.ORACLE_SQL}
