@@ -3,6 +3,7 @@
 import hashlib
 import re
 import struct
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -376,12 +377,21 @@ def test_language_held_out(spark, odd, none):
     assert got.where("held_out").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("double"))).first()[0] > 0.97
     rows = langid.held_out_languages(odd).collect()
     assert len(rows) == odd.count() and all(0 <= r.score <= 1 for r in rows)
-    letters = {i: bool(re.search(r"[^\W\d_]", t or "")) for i, t in pairs(odd)}
+    letters = {i: any(unicodedata.category(x)[0] == "L" for x in t or "") for i, t in pairs(odd)}
     assert all((r.lang_pred == "und") == (not letters[r.doc_id]) for r in rows)
     assert langid.held_out_languages(none).count() == 0
     assert {r.lang_pred for r in langid.held_out_languages(odd.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def test_language_of_numerals(spark):
+    """Numerals of any kind (No, Nl, Nd) and marks are no letters."""
+    texts = ["²", "½ ①", "Ⅷ ↂ", "٣ 7", "\u0301", "_", "²a", "ª", "漢", "ǅ"]
+    assert {unicodedata.category(x) for t in texts for x in t} >= {"No", "Nl", "Nd", "Mn", "Ll", "Lo", "Lt"}
+    rows = [(k, "some english words", "en") for k in range(40)] + [(100 + k, t, "fr") for k, t in enumerate(texts)]
+    got = {r.doc_id: r.lang_pred for r in langid.held_out_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert [got[100 + k] == "und" for k in range(len(texts))] == [True] * 6 + [False] * 4
+
+
 def test_toxicity(spark, odd, none):
     path = "/root/testdata/sf0.1"
     docs, labels = docs_at(spark, path), spark.read.parquet(f"{path}/labels.parquet")
