@@ -35,9 +35,10 @@ a moved row, never a wrong answer.  Past that bound the filters let more rows
 through, up to all of them.
 
 Null text is empty.  Texts of less than 200 bytes lose nothing; a text of any
-length is read in pieces.  A row is told from others of its id by a checksum of
-its text; repeated rows count as two documents, so all their strings of 200
-bytes are repeated.  A null id is an id like any other.  An empty table gives
+length is read in pieces.  A row is told from others of its id by a 64-bit hash
+of its text, and where the id is null by a second one of another kind, so by 128
+bits; repeated rows count as two documents, so all their strings of 200 bytes
+are repeated.  An empty table gives
 an empty result.  Other columns are never read.
 """
 
@@ -116,12 +117,18 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
 class Part:
     """Texts, or pieces of long ones, side by side."""
 
+    def other_sums(self) -> np.ndarray:
+        if self.other is None:
+            self.other = prefix_sums(self.bytes, TABLE2)
+        return self.other
+
     def __init__(self, pieces: list[tuple[int, int, bytes]]):
         self.size = np.array([len(p) for _, _, p in pieces])
         self.base = np.cumsum(self.size) - self.size
         self.data = b"".join([p for _, _, p in pieces])
         self.bytes = np.frombuffer(self.data, np.uint8)
         self.sums = prefix_sums(self.bytes)
+        self.other = None
         self.text = np.array([t for t, _, _ in pieces])
         self.shift = np.array([a for _, a, _ in pieces]) - self.base
 
@@ -150,7 +157,8 @@ class Runs:
         self.at = (least[self.lo] & _LOW).astype(np.int64)
         self.seed = hashes[self.at]
         near = mixed((self.at - self.lo).astype(np.uint64) + np.uint64(1))
-        self.context = range_hash(part.sums, self.lo, self.lo + self.n + LENGTH - 1) + near
+        sums = part.sums if gram < LENGTH else part.other_sums()  # a seed that is the whole string has a context of other bits
+        self.context = range_hash(sums, self.lo, self.lo + self.n + LENGTH - 1) + near
         self.text, self.shift = part.text[which], part.shift[which]
 
     def stretches(self, own: np.ndarray, alike: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -342,9 +350,16 @@ def owned(batch: pa.RecordBatch) -> tuple[np.ndarray, list[bytes]]:
         pieces = [d[b - n : b] for h, d in zip(heads, data, strict=True) for b, n in zip(np.cumsum(h["size"]).tolist(), h["size"].tolist(), strict=True)]
         return np.concatenate([np.empty(0, OWNER), *heads]), pieces
     owners = np.zeros(batch.num_rows, OWNER)
-    ids = batch.column(0)
+    ids, data = batch.column(0), batch.column(2).to_pylist()
     owners["doc"], owners["null"], owners["tag"] = pc.fill_null(ids, 0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False), batch.column(1).to_numpy()
-    return owners, batch.column(2).to_pylist()
+    for k in np.flatnonzero(owners["null"]).tolist():
+        owners["doc"][k] = stand_in(data[k])
+    return owners, data
+
+
+def stand_in(data: bytes) -> int:
+    """What tells a text without an id from others, besides its tag."""
+    return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
 
 
 def _left(gram: int, filters) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -497,7 +512,7 @@ def _marks(gram: int, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
             heads += unpacked(batch.column(3), HEAD)
         for m in marked(np.concatenate(rows), b"".join(pieces), np.concatenate(heads), gram):
             if len(m):
-                yield dealt((m["doc"] ^ m["tag"]) % buckets, m, "rows")
+                yield dealt((np.where(m["null"], 0, m["doc"]) ^ m["tag"]) % buckets, m, "rows")
 
     return run
 
@@ -506,14 +521,18 @@ def _packed(df: DataFrame, fn: Callable) -> DataFrame:
     return df.mapInArrow(fn, PACKED_SQL)
 
 
-def _buckets(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+#: Bytes of text for one bucket, about.
+BUCKET_BYTES = 16 << 20
+
+
+def _buckets(spark: SparkSession, n_bytes: int) -> int:
+    """As many as there are shuffle partitions, or as the text needs."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // BUCKET_BYTES))
 
 
-def repeated_marks(own: DataFrame, bits: int = BITS, hot: int = HOT) -> DataFrame:
+def repeated_marks(own: DataFrame, buckets: int, bits: int = BITS, hot: int = HOT) -> DataFrame:
     """own: doc_id, tag, text.  bucket, rows: the starts of repeated strings, as packed MARKs by document."""
     spark = own.sparkSession
-    buckets = _buckets(spark)
     slices = max(SLICES, buckets)
     strings = own.select("doc_id", "tag", F.col("text").cast("binary").alias("data"))
     marks = None
@@ -547,11 +566,12 @@ class Marks:
         change = lambda c: self.m[c][1:] != self.m[c][:-1]
         edge = np.concatenate([[0], np.flatnonzero(change("tag") | change("doc") | change("null")) + 1]) if len(m) else np.empty(0, np.int64)
         first = self.m[edge]
-        doc = [None if n else d for d, n in zip(first["doc"].tolist(), first["null"].tolist(), strict=True)]
-        self.at = dict(zip(zip(doc, first["tag"].tolist(), strict=True), zip(edge.tolist(), np.append(edge[1:], len(m)).tolist() if len(edge) else [], strict=True), strict=True))
+        key = zip(*(first[c].tolist() for c in ("doc", "null", "tag")), strict=True)
+        self.at = dict(zip(key, zip(edge.tolist(), np.append(edge[1:], len(m)).tolist() if len(edge) else [], strict=True), strict=True))
 
-    def of(self, doc_id: int | None, tag: int) -> tuple[np.ndarray, np.ndarray] | None:
-        if (at := self.at.get((doc_id, tag))) is None:
+    def of(self, doc_id: int | None, tag: int, data: bytes) -> tuple[np.ndarray, np.ndarray] | None:
+        own = (stand_in(data) if doc_id is None else doc_id, doc_id is None, tag)
+        if (at := self.at.get(own)) is None:
             return None
         m = self.m[at[0] : at[1]]
         return spans(m["a"], m["a"] + m["n"])
@@ -572,7 +592,7 @@ def _results(keep_text: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
             for doc_id, tag, text in zip(*(texts.column(k).to_pylist() for k in range(3)), strict=True):
                 data = text.encode("utf-8", "surrogatepass")
                 kept, removed, n = data, 0, 0
-                if (where := marks.of(doc_id, tag)) is not None:
+                if (where := marks.of(doc_id, tag, data)) is not None:
                     lo, hi = where
                     n, removed = len(lo), int((hi - lo).sum())
                     kept = b"".join(data[x:y] for x, y in zip([0, *hi.tolist()], [*lo.tolist(), len(data)], strict=True))
@@ -590,9 +610,10 @@ def _document_bucket(buckets: int) -> Column:
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False, bits: int = BITS, hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, and the digest of the remaining bytes (or, with keep_text, those bytes)."""
-    own = id_and_text(docs, id_col, text_col).select("doc_id", F.crc32(F.col("text").cast("binary")).alias("tag"), "text")
-    texts = own.select(_document_bucket(_buckets(own.sparkSession)), "doc_id", "tag", "text", F.lit(None).cast("binary").alias("marks"))
-    marks = repeated_marks(own, bits, hot).select("bucket", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("tag"), F.lit(None).cast("string").alias("text"), F.col("rows").alias("marks"))
-    met = marks.unionByName(texts).repartitionById(_buckets(own.sparkSession), F.col("bucket").cast("int")).sortWithinPartitions(F.col("marks").isNull()).select("doc_id", "tag", "text", "marks")
+    own = id_and_text(docs, id_col, text_col).select("doc_id", F.xxhash64(F.col("text").cast("binary")).alias("tag"), "text")
+    buckets = _buckets(own.sparkSession, own.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0)
+    texts = own.select(_document_bucket(buckets), "doc_id", "tag", "text", F.lit(None).cast("binary").alias("marks"))
+    marks = repeated_marks(own, buckets, bits, hot).select("bucket", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("tag"), F.lit(None).cast("string").alias("text"), F.col("rows").alias("marks"))
+    met = marks.unionByName(texts).repartitionById(buckets, F.col("bucket").cast("int")).sortWithinPartitions(F.col("marks").isNull()).select("doc_id", "tag", "text", "marks")
     last = "kept binary" if keep_text else "kept_sha256 string"
     return met.mapInArrow(_results(keep_text), f"doc_id long, n_bytes long, n_removed long, n_spans long, {last}")

@@ -1,4 +1,5 @@
 import hashlib
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -80,6 +81,22 @@ def test_texts_that_repeat_themselves(spark, monkeypatch):
     assert sum(int(x["n"].sum()) for b in found for x in suffix.unpacked(b.column(1), suffix.SEED)) == 2 * sum(len(suffix.Runs(p).seed) for p in suffix.parts([noise.encode()]))
 
 
+def test_rows_whose_texts_share_a_checksum(spark):
+    """Null ids, and one id that two rows have: equal crc32, different texts."""
+    rng = np.random.default_rng(11)
+    letters = np.frombuffer(b"abcdefghijklmnop", np.uint8)
+    passage, lone = (letters[rng.integers(0, 16, 250)].tobytes() for _ in range(2))
+    tails = [letters[x].tobytes() for x in rng.integers(0, 16, (300_000, 9))]
+    with_passage = {zlib.crc32(passage + t): t for t in tails[:150_000]}
+    a, b = next((with_passage[c], t) for t in tails[150_000:] if (c := zlib.crc32(lone + t)) in with_passage)
+    one, other = (passage + a).decode(), (lone + b).decode()
+    assert zlib.crc32(one.encode()) == zlib.crc32(other.encode())
+    for i in (None, 4):
+        rows = [(i, one), (i, other), (9, passage.decode() + "end")]
+        got = suffix.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+        assert Counter(map(tuple, got.collect())) == plain(rows)
+
+
 def test_tables(spark, odd, none, small):
     rows = [(r.doc_id, r.text) for r in odd.select("doc_id", "text").collect()]
     assert Counter(map(tuple, suffix.remove_repeats(odd).collect())) == plain(rows)
