@@ -248,7 +248,7 @@ def key_aliases(spark, sf_dir):
 _EDGES = "SELECT n_nationkey AS a, (n_nationkey * 2 + 1) % 25 AS b FROM nation UNION SELECT n_nationkey, n_regionkey FROM nation"
 
 
-@registered(f"WITH RECURSIVE e AS ({_EDGES}), r AS (SELECT n_nationkey AS start, n_nationkey AS node, 0 AS depth FROM nation UNION SELECT r.start, e.b, r.depth + 1 FROM r JOIN e ON r.node = e.a WHERE r.depth < 25) SELECT start, node, min(depth) AS depth FROM r GROUP BY 1, 2")
+@registered(f"WITH RECURSIVE e AS ({_EDGES}), r AS (SELECT n_nationkey AS start, n_nationkey AS node, 0 AS depth FROM nation UNION SELECT r.start, e.b, r.depth + 1 FROM r JOIN e ON r.node = e.a WHERE r.depth < 25) SELECT start, node, min(depth) AS depth, false AS cut FROM r GROUP BY 1, 2")
 def reachable_nations(spark, sf_dir):
     """All that can be reached over links, each at its least depth."""
     n = read(spark, sf_dir, "nation")
@@ -259,7 +259,7 @@ def reachable_nations(spark, sf_dir):
 _NODES = """SELECT 'r' || r_regionkey AS node, NULL AS parent, r_regionkey AS pos FROM region UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey, n_nationkey FROM nation UNION ALL SELECT 's' || s_suppkey, 'n' || s_nationkey, s_suppkey FROM supplier"""
 
 
-@registered(f"WITH RECURSIVE t AS ({_NODES}), w AS (SELECT node, lpad(CAST(pos AS VARCHAR), 6, '0') AS path, 0 AS depth FROM t WHERE parent IS NULL UNION ALL SELECT t.node, w.path || '.' || lpad(CAST(t.pos AS VARCHAR), 6, '0'), w.depth + 1 FROM w JOIN t ON t.parent = w.node) SELECT node, path, depth FROM w")
+@registered(f"WITH RECURSIVE t AS ({_NODES}), w AS (SELECT node, [CAST(pos AS BIGINT)] AS path, 0::BIGINT AS depth FROM t WHERE parent IS NULL UNION ALL SELECT t.node, list_append(w.path, CAST(t.pos AS BIGINT)), w.depth + 1 FROM w JOIN t ON t.parent = w.node) SELECT node, row_number() OVER (ORDER BY path, node) - 1 AS place, depth FROM w")
 def tree_flatten(spark, sf_dir):
     """Regions, their nations and their suppliers in pre-order."""
     r, n, s = (read(spark, sf_dir, t) for t in ("region", "nation", "supplier"))

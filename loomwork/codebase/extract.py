@@ -20,6 +20,8 @@ LITERAL = r'"((?:\\.|[^"\\])*)"'
 LISTS = ["asList", "of", "singletonList"]
 REGION_BITS, REGION_SIDE, PACK_BITS = 8, 64, 16
 MOST_REACHED = 200
+#: Rounds kept apart before they are written together.
+MOST_WRITTEN = 16
 
 
 def calls(rel: DataFrame) -> DataFrame:
@@ -322,34 +324,70 @@ def squashed_keys(constant: Column) -> Column:
     return F.array_distinct(F.array(flat, F.regexp_replace(F.regexp_replace(F.lower(constant), "^the[^a-z0-9]+", ""), "[^a-z0-9]", "")))
 
 
-def reachable(edges: DataFrame, start: str, end: str, starts: DataFrame, limit: int = MOST_REACHED) -> DataFrame:
-    """start, node, depth: all that can be reached, itself at 0, to a depth of `limit`; a node counts once, at its least depth.
+def reachable(edges: DataFrame, start: str, end: str, starts: DataFrame, most: int = MOST_REACHED) -> DataFrame:
+    """start, node, depth, cut: all that can be reached, itself at 0; a node counts once, at its least depth.
 
-    starts has the column `start`.  Each round is written, so the plan stays as
-    long as one round.
+    starts has the column `start`.  Once a start has seen more than `most` nodes
+    it looks no further: what it has seen by then stays, and `cut` says so in all
+    its rows.  A round goes one link further for all starts that still look, at
+    any depth, and writes only what is new.
     """
-    step = edges.select(F.col(start).alias("node"), F.col(end).alias("next")).distinct()
-    seen = settled(starts.select("start", F.col("start").alias("node"), F.lit(0).alias("depth")).distinct(), "reached")
-    for depth in range(1, limit + 1):
-        new = seen.where(F.col("depth") == depth - 1).join(step, "node").select("start", F.col("next").alias("node")).distinct()
-        new = settled(new.join(seen, ["start", "node"], "left_anti").withColumn("depth", F.lit(depth)), "reached")
-        if not new.limit(1).count():
+    step = settled(edges.select(F.col(start).alias("node"), F.col(end).alias("next")).where("next is not null").distinct(), "links")
+    front = settled(starts.select("start", F.col("start").alias("node"), F.lit(0).alias("depth")).distinct(), "reached")
+    rounds, depth = [front], 0
+    while True:
+        depth += 1
+        seen = _all(rounds)
+        open_ = seen.groupBy("start").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= most).select("start")
+        new = front.join(open_, "start", "left_semi").join(step, "node").select("start", F.col("next").alias("node")).distinct()
+        front = settled(new.join(seen, ["start", "node"], "left_anti").withColumn("depth", F.lit(depth)), "reached")
+        if front.isEmpty():
             break
-        seen = settled(seen.unionByName(new), "reached")
-    return seen
-
-
-def preorder(nodes: DataFrame, key: str = "node", parent: str = "parent", at: str = "pos", limit: int = 64) -> DataFrame:
-    """node, path, depth of a forest: every node behind its parent, siblings by their place; one written round a level."""
-    place = F.lpad(F.col(at).cast("string"), 6, "0")
-    seen = front = nodes.where(F.col(parent).isNull()).select(F.col(key).alias("node"), place.alias("path"), F.lit(0).alias("depth"))
-    kids = nodes.where(F.col(parent).isNotNull()).select(F.col(key).alias("kid"), F.col(parent).alias("node"), place.alias("place"))
-    for depth in range(1, limit + 1):
-        front = settled(front.join(kids, "node").select(F.col("kid").alias("node"), F.concat_ws(".", "path", "place").alias("path"), F.lit(depth).alias("depth")), "level")
-        if not front.limit(1).count():
+        rounds.append(front)
+        if len(rounds) > MOST_WRITTEN:
+            rounds = [settled(_all(rounds), "reached")]
+    counts = seen.groupBy("start").agg((F.count(F.lit(1)) > most).alias("cut"))
+    return seen.join(counts, "start")
+
+
+def _all(tables: list[DataFrame]) -> DataFrame:
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.unionByName(t)
+    return out
+
+
+def preorder(nodes: DataFrame, key: str = "node", parent: str = "parent", at: str = "pos") -> DataFrame:
+    """node, place, depth of a forest: every node behind its parent, siblings and roots by their place (equal places by node); place counts from 0.
+
+    The walk around the forest enters and leaves every node once.  Each of these
+    steps knows the one after it, and by pointer doubling, in as many rounds as
+    the logarithm of their number, how many nodes are entered from it to the end
+    and how deep it lies; so any depth and any place will do.  Nodes that no root
+    leads to (a parent that is missing, a circle) are not walked.
+    """
+    own = settled(nodes.select(F.col(key).alias("node"), F.col(parent).alias("parent"), F.col(at).alias("at")), "nodes")
+    order = Window.partitionBy("parent").orderBy("at", "node")
+    kids = settled(own.withColumn("next", F.lead("node").over(order)).withColumn("first", F.row_number().over(order) == 1), "siblings")
+    step = lambda node, out: F.struct(node.alias("node"), out.alias("out"))
+    child = kids.where("first and parent is not null").select(F.col("parent").alias("node"), F.col("node").alias("child"))
+    into = own.join(child, "node", "left").select(
+        step(F.col("node"), F.lit(False)).alias("e"), F.when(F.col("child").isNotNull(), step(F.col("child"), F.lit(False))).otherwise(step(F.col("node"), F.lit(True))).alias("next"), F.lit(1).cast("long").alias("entered"), F.lit(1).cast("long").alias("up"),
+    )
+    onward = F.when(F.col("next").isNotNull(), step(F.col("next"), F.lit(False))).when(F.col("parent").isNotNull(), step(F.col("parent"), F.lit(True)))
+    out = kids.select(step(F.col("node"), F.lit(True)).alias("e"), onward.alias("next"), F.lit(0).cast("long").alias("entered"), F.lit(-1).cast("long").alias("up"))
+    walk = settled(into.unionByName(out), "walk")
+    for _ in range((2 * own.count()).bit_length()):
+        if walk.where("next is not null").isEmpty():
             break
-        seen = seen.unionByName(front)
-    return seen
+        a, b = walk.alias("a"), walk.alias("b")
+        walk = settled(a.join(b, F.col("a.next") == F.col("b.e"), "left").select(
+            "a.e", F.coalesce("b.next", F.when(F.col("b.e").isNull(), F.col("a.next"))).alias("next"),
+            (F.col("a.entered") + F.coalesce("b.entered", F.lit(0))).alias("entered"), (F.col("a.up") + F.coalesce("b.up", F.lit(0))).alias("up"),
+        ), "walk")
+    done = walk.where("not e.out and next is null").select("e.node", "entered", (-F.col("up")).alias("depth"))
+    total = done.agg(F.max("entered")).first()[0] or 0
+    return done.select("node", (F.lit(total) - F.col("entered")).alias("place"), "depth")
 
 
 def positions(rows: DataFrame, key: str, value: str) -> DataFrame:

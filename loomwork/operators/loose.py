@@ -1,45 +1,71 @@
 """Containment and likeness between texts, without comparing all with all.
 
-A text that contains a phrase contains its first letters, so both sides meet
-on those by equality and only then is the containment itself tested.
+Texts are read once for a block of phrases by an Aho-Corasick automaton, which
+finds all of them in one pass, whatever letters they begin with.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher, get_close_matches
 
+import ahocorasick
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-GRAM = 3
-#: Phrases of so many bytes together are broadcast; more of them meet the rows in a shuffle.
-MOST_BROADCAST = 8 << 20
+from ..plans.tables import settled
 
+#: Bytes of phrases in an automaton, about: what is broadcast at a time.
+BLOCK_BYTES = 4 << 20
+_WORD = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_")
 
-def _grams(text: Column, n: int) -> Column:
-    """All stretches of n letters, each once; one pass over the text."""
-    return F.array_distinct(F.regexp_extract_all(text, F.lit(rf"(?s)(?=(.{{{n}}}))"), F.lit(1)))
 
+def _finder(shared, whole_words: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Replaces the last column, a text, by the distinct phrases found in it."""
 
-def containing(rows: DataFrame, text: str, phrases: DataFrame, phrase: str, whole_words: bool = False) -> DataFrame:
-    """All pairs of a row and a phrase that its text contains, without regard to case; an empty phrase is in nothing.
+    def found(machine: ahocorasick.Automaton, text: str) -> list[str]:
+        if not whole_words:
+            return sorted({p for _, p in machine.iter(text)})
+        fits = lambda end, p: (end + 1 == len(text) or text[end + 1] not in _WORD) and (end < len(p) or text[end - len(p)] not in _WORD)
+        return sorted({p for end, p in machine.iter(text) if fits(end, p)})
 
-    The size of the phrases is summed first: it decides which side moves, as
-    Spark cannot know how many pieces a text has, and how long the pieces are.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = ahocorasick.Automaton()
+        for p in shared.value:
+            machine.add_word(p, p)
+        machine.make_automaton()
+        for b in batches:
+            hits = [found(machine, t) if t and len(machine) else [] for t in b.column(b.num_columns - 1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(hits, pa.list_(pa.string()))], names=[*b.schema.names[:-1], "__phrases"])
+
+    return run
+
+
+def containing(rows: DataFrame, text: str, phrases: DataFrame, phrase: str, whole_words: bool = False, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """All pairs of a row and a phrase that its text contains, without regard to case; an empty or null phrase is in nothing.
+
+    Phrases are dealt into blocks of about `block_bytes`, each once; a block is
+    broadcast and all texts are read against it.  Only the phrases that a row
+    holds go on, to meet the phrases' other columns by equality.
     """
-    low = F.lower(F.col(text))
-    side = phrases.withColumn("__phrase", F.lower(phrase)).where("__phrase <> ''").withColumn("__gram", F.substring("__phrase", 1, GRAM))
-    size = side.agg(F.sum(F.octet_length("__phrase") + 64), F.collect_set(F.length("__gram"))).first()
-    side = F.broadcast(side) if (size[0] or 0) <= MOST_BROADCAST else side.hint("merge")
-    lengths = [_grams(low, n) for n in sorted(size[1])] or [_grams(low, GRAM)]
-    grams = lengths[0] if len(lengths) == 1 else F.flatten(F.array(*lengths))
-    met = rows.withColumn("__low", low).withColumn("__gram", F.explode(grams)).join(side, "__gram")
-    hit = F.contains("__low", F.col("__phrase"))
-    if whole_words:
-        quoted = F.regexp_replace("__phrase", r"([^A-Za-z0-9_\s])", r"\\$1")
-        hit = hit & F.regexp_like("__low", F.concat(F.lit(r"(?<!\w)"), quoted, F.lit(r"(?!\w)")))
-    return met.where(hit).drop("__low", "__gram", "__phrase")
+    spark = rows.sparkSession
+    side = phrases.withColumn("__phrase", F.lower(phrase)).where("__phrase <> ''")
+    distinct = side.select("__phrase").distinct()
+    size = distinct.agg(F.sum(F.octet_length("__phrase") + 64).cast("long")).first()[0] or 0
+    blocks = max(1, -(-size // block_bytes))
+    dealt = distinct.withColumn("block", F.pmod(F.xxhash64("__phrase"), F.lit(blocks)))
+    dealt = settled(dealt, "phrases") if blocks > 1 else dealt
+    asked = rows.withColumn("__low", F.lower(F.col(text)))
+    schema = T.StructType([*rows.schema.fields, T.StructField("__phrases", T.ArrayType(T.StringType()))])
+    met = None
+    for k in range(blocks):
+        shared = spark.sparkContext.broadcast([r[0] for r in dealt.where(F.col("block") == k).select("__phrase").collect()])
+        hit = asked.mapInArrow(_finder(shared, whole_words), schema).withColumn("__phrase", F.explode("__phrases")).drop("__phrases")
+        met = hit if met is None else met.unionByName(hit)
+    return met.join(side, "__phrase").drop("__phrase")
 
 
 def first_contained(rows: DataFrame, key: str, text: str, phrases: DataFrame, phrase: str, order: list[str | Column]) -> DataFrame:

@@ -65,15 +65,13 @@ def test_containment_against_all_pairs(spark):
     assert (0, "cook") in whole and (8, "cook") not in whole and (7, "the") in whole and (0, "ok's f") not in whole
 
 
-def test_many_phrases_meet_in_a_shuffle(spark, monkeypatch):
-    rows = spark.createDataFrame([(1, "the cook"), (2, "a cat")], "i int, t string")
-    side = spark.createDataFrame([("cook",), ("cat",), ("dog",)], "p string")
-    want = {(1, "cook"), (2, "cat")}
-    for most in (loose.MOST_BROADCAST, 0):
-        monkeypatch.setattr(loose, "MOST_BROADCAST", most)
-        got = loose.containing(rows, "t", side, "p")
-        assert {(r.i, r.p) for r in got.collect()} == want
-        assert ("BroadcastHashJoin" in got._jdf.queryExecution().toString()) == (most > 0)
+def test_phrases_in_blocks(spark):
+    rows = spark.createDataFrame([(1, "the cook"), (2, "a cat"), (3, None)], "i int, t string")
+    side = spark.createDataFrame([("cook", 1), ("cat", 2), ("Cat", 3), ("dog", 4), (None, 5)], "p string, n int")
+    for block in (loose.BLOCK_BYTES, 70):
+        got = loose.containing(rows, "t", side, "p", block_bytes=block)
+        assert {tuple(r) for r in got.select("i", "p", "n").collect()} == {(1, "cook", 1), (2, "cat", 2), (2, "Cat", 3)}
+        assert ("Union" in got._jdf.queryExecution().toString()) == (block == 70)
 
 
 def test_suggestions(spark):
