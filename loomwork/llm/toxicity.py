@@ -12,7 +12,8 @@ label itself).  Each later model also gets the earlier categories'
 probabilities: while learning, those are out-of-fold predictions, so that a
 later model sees errors as they will be; when scoring, those of the models
 fitted on all sampled rows.  A fold's predictions come from models, markers and
-strong terms that its rows had no part in.  The label knows no finer kinds of
+strong terms that its rows had no part in.  The last model's constant is moved so
+that one half lies where its out-of-fold predictions decide best (decision()).  The label knows no finer kinds of
 toxicity, so the two earlier categories are the label's, narrowed by how plainly
 a row speaks.  An id with several labels has the largest of them.
 
@@ -43,6 +44,8 @@ STRONG = 512
 FOLDS = 5
 CATEGORIES = ("marked", "repeated", "toxic")
 DENSE = 3
+#: How far the point of decision may move from a probability of a half.
+MOVED = (0.25, 0.75)
 BEGINNINGS = (4, 5, 6, 7, 8)
 
 _SPACE = bytes(b if b >= 128 or chr(b).isalnum() or b == ord("'") else 32 for b in range(256))
@@ -187,8 +190,8 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit_chain(x: np.ndarray | Design, targets: np.ndarray, folds: np.ndarray, views: list[tuple[Design, np.ndarray]] | None = None) -> list[np.ndarray]:
-    """One weight vector per category; out-of-fold probabilities join x for the next.
+def fit_chain(x: np.ndarray | Design, targets: np.ndarray, folds: np.ndarray, views: list[tuple[Design, np.ndarray]] | None = None) -> tuple[list[np.ndarray], np.ndarray]:
+    """One weight vector per category, and the last one's out-of-fold probabilities; those of the others join x for the next.
 
     views: by fold, the design and targets made without that fold's rows; else those of all rows.
     """
@@ -206,7 +209,16 @@ def fit_chain(x: np.ndarray | Design, targets: np.ndarray, folds: np.ndarray, vi
                 out[test] = sigmoid(designs[f].rows(test).times(w[:-1]) + w[-1])
         x = x.beside(out)
         designs = [d.beside(out) for d in designs]
-    return chain
+    return chain, out
+
+
+def decision(p: np.ndarray, y: np.ndarray) -> float:
+    """The probability, within MOVED, from which saying toxic gives the largest F1 over rows that the models had no part in."""
+    order = np.argsort(-p, kind="stable")
+    hit = np.cumsum(y[order] > 0)
+    f1 = 2 * hit / (np.arange(1, len(p) + 1) + max(1, int((y > 0).sum())))
+    last = np.append(p[order][1:] != p[order][:-1], True)  # equal probabilities go together
+    return float(np.clip(p[order][last][f1[last].argmax()], *MOVED))
 
 
 def _view(numbers: np.ndarray, size: np.ndarray, n: np.ndarray, y: np.ndarray, keep: np.ndarray, strong: np.ndarray) -> tuple[Design, np.ndarray]:
@@ -260,7 +272,10 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> dict
     views = [_view(flat, sizes, got.n.to_numpy(np.float32), got.cls.to_numpy(np.float32), has(best), has(strong)) for best, strong in picked]
     (x, targets), folds = views[0], fold_of(got.doc_id.to_numpy(np.int64))
     best, strong = picked[0]
-    return {"at": {t: k for k, t in enumerate(best)}, "strong": np.array([t in strong for t in best], bool), "chain": fit_chain(x, targets, folds, views[1:])}
+    chain, out = fit_chain(x, targets, folds, views[1:])
+    at_half = decision(out, targets[:, -1])
+    chain[-1][-1] -= np.log(at_half / (1 - at_half))
+    return {"at": {t: k for k, t in enumerate(best)}, "strong": np.array([t in strong for t in best], bool), "chain": chain}
 
 
 class Chances:

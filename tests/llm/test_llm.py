@@ -398,7 +398,7 @@ def test_toxicity(spark, odd, none):
     learn = labels.where("crc32(cast(doc_id as string)) % 3 <> 1")
     got = toxicity.score_toxicity(docs, learn).withColumnRenamed("toxic", "p").join(labels, "doc_id").where("crc32(cast(doc_id as string)) % 3 = 1")
     r = got.agg(F.sum(F.expr("p * toxic")).alias("hit"), F.sum("p").alias("said"), F.sum("toxic").alias("all")).first()
-    assert r.hit / r["all"] > 0.7 and r.hit / r.said > 0.95
+    assert r.hit / r["all"] > 0.9 and r.hit / r.said > 0.95
     few = spark.createDataFrame([(1, 0), (4, 1), (25, None), (None, 1), (31, 0)], "doc_id long, toxic int")
     for d in (odd, none):
         rows = toxicity.score_toxicity(d, few).collect()
@@ -411,5 +411,5 @@ def test_chain_uses_out_of_fold():
     rng = np.random.default_rng(0)
     x = rng.standard_normal((200, 3)).astype(np.float32)
     y = np.stack([x[:, 0] > 0, x[:, 0] > 0.5], 1).astype(np.float32)
-    chain = toxicity.fit_chain(x, y, np.arange(200) % toxicity.FOLDS)
+    chain, _ = toxicity.fit_chain(x, y, np.arange(200) % toxicity.FOLDS)
     assert [len(w) for w in chain] == [4, 5]

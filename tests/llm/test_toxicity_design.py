@@ -18,7 +18,7 @@ def test_sparse_design_is_the_dense_one():
     assert np.allclose(sparse.times(v), x @ v, atol=1e-4) and np.allclose(sparse.back(g), x.T @ g, atol=1e-4)
     y = np.stack([marks[:, 0], marks[:, 1] | marks[:, 0]], 1).astype(np.float32)
     folds = np.arange(90) % toxicity.FOLDS
-    for a, b in zip(toxicity.fit_chain(x, y, folds), toxicity.fit_chain(sparse, y, folds), strict=True):
+    for a, b in zip(toxicity.fit_chain(x, y, folds)[0], toxicity.fit_chain(sparse, y, folds)[0], strict=True):
         assert np.allclose(a, b, atol=1e-2)
 
 
