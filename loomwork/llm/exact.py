@@ -1,11 +1,13 @@
 """Exact duplicates through a two-pass Bloom filter; DataFrame functions only.
 
-Pass one sets two bit positions for the digest of every text and keeps the
-positions that were set more than once.  Pass two tests every row: one with a
-position that was set once is certainly unique and passes straight through;
-only the rest shuffle, to be grouped exactly by SHA-256.  The filter has about
-PER_ROW bits a row up to BITS, so what is broadcast is at most BITS / 64 words;
-beyond that bound a fuller filter costs shuffled digests, never a wrong answer.
+Pass one sets one bit position for the digest of every text, so one number a row
+is what shuffles, summed before; it keeps the positions that were set more than
+once.  Pass two tests every row: one whose position was set once is certainly
+unique and passes straight through; only the rest shuffle, to be grouped exactly
+by SHA-256.  The filter has about PER_ROW bits a row up to BITS, so what is
+broadcast is at most BITS / 64 words, and only words with a repeated position.
+A fuller filter lets more digests through to the shuffle (40 bytes a row, a
+hundredth of its text or so), never a wrong answer.
 
 Texts are equal when identical after every run of white space (space, tab to
 carriage return) becomes one space; null counts as empty.  Of equal texts the
@@ -25,7 +27,8 @@ from pyspark.sql import functions as F
 from .common import id_and_text, materialise, salt, spread_groups
 
 BITS = 1 << 27
-PER_ROW = 16
+PER_ROW = 32
+#: Positions of a member in the second kind of filter, which only asks whether a key was set at all.
 HASHES = 2
 
 
@@ -46,7 +49,7 @@ def positions(sha: Column, bits: int) -> list[Column]:
 
 def repeated_bits(shas: DataFrame, bits: int) -> DataFrame:
     """(word, mask): the positions that more than one row set, 64 to a word; shas has a column sha."""
-    hit = shas.select(F.explode(F.array(*positions(F.col("sha"), bits))).alias("p")).groupBy("p").agg(F.count(F.lit(1)).alias("c"))
+    hit = shas.groupBy(positions(F.col("sha"), bits)[0].alias("p")).agg(F.count(F.lit(1)).alias("c"))
     return (
         hit.where("c > 1")
         .groupBy(F.shiftright("p", 6).alias("word"))
@@ -60,10 +63,10 @@ def set_bits(keys: DataFrame, bits: int) -> DataFrame:
     return hit.groupBy(F.shiftright("p", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("mask"))
 
 
-def mark_possible(rows: DataFrame, sha_col: str, filter_words: DataFrame, bits: int, out: str) -> DataFrame:
-    """rows plus the boolean `out`: false means that no other row has this digest."""
+def mark_possible(rows: DataFrame, sha_col: str, filter_words: DataFrame, bits: int, out: str, hashes: int = HASHES) -> DataFrame:
+    """rows plus the boolean `out`: false means that the filter certainly lacks this key."""
     marked = rows.withColumn(out, F.lit(True))
-    for k, p in enumerate(positions(F.col(sha_col), bits)):
+    for k, p in enumerate(positions(F.col(sha_col), bits)[:hashes]):
         word, mask = f"__loom_w{k}", f"__loom_m{k}"
         side = filter_words.select(F.col("word").alias(word), F.col("mask").alias(mask))
         at = marked.withColumn("__loom_p", p)
@@ -73,12 +76,28 @@ def mark_possible(rows: DataFrame, sha_col: str, filter_words: DataFrame, bits:
     return marked
 
 
+def without(docs: DataFrame, keys: list[Column], gone: DataFrame, bits: int = BITS) -> DataFrame:
+    """docs without the rows whose keys (null equals null) are in gone, a written table with one column for each of them.
+
+    The keys make a filter; a row that it lacks passes straight through, so only
+    rows that may leave move to be compared.
+    """
+    bits = bits_for(gone, bits)
+    own, theirs = [f"__loom_k{k}" for k in range(len(keys))], [f"__loom_g{k}" for k in range(len(keys))]
+    list_ = gone.toDF(*theirs)
+    whole = docs.select(F.struct(*docs.columns).alias("__loom_row"), *(k.alias(n) for k, n in zip(keys, own, strict=True))).withColumn("__loom_key", F.xxhash64(*own))
+    asked = mark_possible(whole, "__loom_key", set_bits(list_.select(F.xxhash64(*theirs).alias("sha")), bits), bits, "__loom_possible")
+    stays, some = asked.where(~F.col("__loom_possible")), asked.where("__loom_possible")
+    met = [some[a].eqNullSafe(list_[b]) for a, b in zip(own, theirs, strict=True)]
+    return stays.select("__loom_row.*").unionByName(some.join(list_, met, "left_anti").select("__loom_row.*"))
+
+
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256: one row per input row."""
     own = id_and_text(docs, id_col, text_col)
     rows = materialise(own.select("doc_id", digest(F.col("text")).alias("sha")), "digests")
     bits = bits_for(rows, bits)
-    marked = mark_possible(rows, "sha", repeated_bits(rows, bits), bits, "possible")
+    marked = mark_possible(rows, "sha", repeated_bits(rows, bits), bits, "possible", hashes=1)
     lone = marked.where("not possible").select("doc_id", "sha", F.col("doc_id").alias("group_min"), F.lit(1).cast("long").alias("group_rows"))
     some = marked.where("possible").select("doc_id", "sha", salt(docs.sparkSession, "doc_id").alias("salt"))
     met = some.join(spread_groups(some.select("doc_id", "sha"), ["sha"], "doc_id"), ["sha", "salt"]).select("doc_id", "sha", "group_min", "group_rows")
@@ -102,7 +121,7 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), digest(F.col(text_col)).alias("sha"))
     rows = materialise(own, "digests")
     bits = bits_for(rows, bits)
-    possible = mark_possible(rows, "sha", repeated_bits(rows, bits), bits, "possible").where("possible").select("doc_id", "sha")
+    possible = mark_possible(rows, "sha", repeated_bits(rows, bits), bits, "possible", hashes=1).where("possible").select("doc_id", "sha")
     ids = possible.select(F.col("doc_id").alias("sha"))
     whole = docs.select(F.struct(*docs.columns).alias("__loom_row"), F.col(id_col).cast("long").alias("__loom_id"))  # no column of docs meets one used here
     asked = mark_possible(whole, "__loom_id", set_bits(ids, bits), bits, "__loom_possible")

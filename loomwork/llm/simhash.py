@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from .common import id_and_text, materialise, salt
 from .components import components
+from .exact import without
 
 WORDS = 3
 THRESHOLD = 2
@@ -179,13 +180,10 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """docs with the row of the smallest id of every component (of its fingerprints
     there, the smallest), and all rows of components without an id; all columns.
 
-    Every row is decided by its id and text, as an id may have several texts and
-    many rows may have no id.  What leaves is written as a list of both: it is
-    usually the shorter side, and Spark broadcasts it only below its own size
-    threshold.
+    Every row is decided by its id and text, as an id may
+    have several texts and many rows may have no id.  What leaves is written as a
+    list; rows that a filter of it lacks pass straight through.
     """
     leaves = F.col("component_id").isNotNull() & ~(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("fp") == F.col("first_fp")))
-    found = _found(docs, id_col, text_col).where(leaves)
-    gone = materialise(found.select(F.col("doc_id").alias("__loom_id"), F.col("text_key").alias("__loom_text")).distinct(), "gone")
-    text_key = F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit("")))
-    return docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone["__loom_id"]) & (text_key == gone["__loom_text"]), "left_anti")
+    gone = materialise(_found(docs, id_col, text_col).where(leaves).select("doc_id", "text_key").distinct(), "gone")
+    return without(docs, [docs[id_col].cast("long"), F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit("")))], gone)
