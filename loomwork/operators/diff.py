@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from collections import defaultdict, deque
+from collections.abc import Iterator
 from difflib import SequenceMatcher
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.tables import settled
+from . import graph
+
 PREFIX_CHARS, PREFIX_SHARE, RATIO, ORDINAL_GAP = 12, 0.4, 0.85, 2
 
 
@@ -25,8 +31,11 @@ def likeness(old: str, new: str, gap: int) -> float | None:
     of the two matters."""
     short, long = sorted((old, new), key=len)
     starts = len(short) >= PREFIX_CHARS and long.startswith(short) and len(short) >= PREFIX_SHARE * len(long)
-    if not starts and (gap > ORDINAL_GAP or 2 * len(short) < RATIO * (len(short) + len(long))):
-        return None
+    return ratio_of(old, new, starts) if starts or gap <= ORDINAL_GAP else None
+
+
+def ratio_of(old: str, new: str, starts: bool) -> float | None:
+    """The share of letters in common stretches; null below RATIO unless one text starts the other."""
     m = SequenceMatcher(None, old, new)
     if not starts and (m.real_quick_ratio() < RATIO or m.quick_ratio() < RATIO):
         return None
@@ -34,37 +43,133 @@ def likeness(old: str, new: str, gap: int) -> float | None:
     return ratio if starts or ratio >= RATIO else None
 
 
-def greedy_matches(removed: list[tuple[int, str, str]], added: list[tuple[int, str, str]]) -> list[tuple[str, str]]:
-    """Old to new ids, in old order: the most alike unclaimed candidate, the first of equals."""
-    free, out = sorted(added), []
-    for ordinal, old_id, old in sorted(removed):
-        best, score = None, -1.0
-        for cand in free:
-            ratio = likeness(old, cand[2], abs(ordinal - cand[0]))
-            if ratio is not None and ratio > score:
-                best, score = cand, ratio
-        if best:
-            free.remove(best)
-            out.append((old_id, best[1]))
-    return out
+def starting(short: DataFrame, long: DataFrame) -> DataFrame:
+    """short, long: classes of texts of one section of which one starts the other for long enough.
 
+    Both: section, text, cls.  A longer text is cut to those lengths that the
+    section's shorter texts have, so the two meet by equality.
+    """
+    s = short.where(F.length("text") >= PREFIX_CHARS).select("section", "text", F.col("cls").alias("short"))
+    lengths = s.groupBy("section").agg(F.collect_set(F.length("text")).alias("lengths"))
+    n = F.length("text")
+    fits = F.filter("lengths", lambda x: (x <= n) & (x >= n * PREFIX_SHARE))
+    cut = long.join(lengths, "section").select("section", F.col("cls").alias("long"), "text", F.explode(fits).alias("n"))
+    return cut.select("section", "long", F.substring("text", F.lit(1), F.col("n")).alias("text")).join(s, ["section", "text"]).select("short", "long")
 
-def migrations(old: DataFrame, new: DataFrame) -> DataFrame:
-    """section, ordinal, id, text on either side: section, old_id, new_id.
 
-    Matching claims candidates in order, so it runs per section; a section is a
-    document, never a share of the table.
+def _rated(pairs: DataFrame) -> DataFrame:
+    """pairs: a, b, starts, old, new; those that may stand for each other, with their ratio instead of the texts."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            ratio = [ratio_of(*r) for r in zip(f["old"], f["new"], f["starts"], strict=True)]
+            yield f[["a", "b", "starts"]].assign(ratio=pd.Series(ratio, index=f.index, dtype=float)).dropna()
+
+    return pairs.select("a", "b", "starts", "old", "new").mapInPandas(run, "a long, b long, starts boolean, ratio double")
+
+
+def candidates(gone: DataFrame, come: DataFrame) -> DataFrame:
+    """a, b, starts, ratio: of texts that start one another a link between their classes, of neighbours that are alike one between rows.
+
+    Both sides: section, ordinal, text, row, cls.
+    """
+    a, b = (t.select("section", "text", "cls").distinct() for t in (gone, come))
+    pairs = starting(a, b).select(F.col("short").alias("a"), F.col("long").alias("b")).unionByName(starting(b, a).select(F.col("long").alias("a"), F.col("short").alias("b"))).distinct()
+    olds, news = a.select(F.col("cls").alias("a"), F.col("text").alias("old")), b.select(F.col("cls").alias("b"), F.col("text").alias("new"))
+    begun = pairs.join(olds, "a").join(news, "b").withColumn("starts", F.lit(True))
+    gaps = F.sequence(F.col("ordinal") - ORDINAL_GAP, F.col("ordinal") + ORDINAL_GAP)
+    around = gone.select("section", F.col("row").alias("a"), F.col("text").alias("old"), F.explode(gaps).alias("ordinal"))
+    close = around.join(come.select("section", "ordinal", F.col("row").alias("b"), F.col("text").alias("new")), ["section", "ordinal"])
+    x, y = F.length("old"), F.length("new")
+    close = close.where(2 * F.least(x, y) >= RATIO * (x + y)).withColumn("starts", F.lit(False))
+    columns = ["a", "b", "starts", "old", "new"]
+    return settled(_rated(begun.select(columns).unionByName(close.select(columns))), "candidates")
+
+
+def claimed(rows: list[tuple[bool, int, str, int, int]], links: list[tuple[int, int, bool, float]]) -> list[tuple[int, int]]:
+    """Pairs of rows of one connected part: in old order, the most alike unclaimed candidate, the first of equals.
+
+    rows: whether new, ordinal, id, row, class; links as in candidates().
     """
-    gone = old.join(new, ["section", "id"], "left_anti").withColumn("side", F.lit(0))
-    come = new.join(old, ["section", "id"], "left_anti").withColumn("side", F.lit(1))
+    place = {row: (ordinal, i, row) for _, ordinal, i, row, _ in rows}
+    near, begun, free = defaultdict(list), defaultdict(list), defaultdict(list)
+    for a, b, starts, ratio in links:
+        (begun if starts else near)[a].append((ratio, b))
+    for new, _, _, row, cls in rows:
+        if new:
+            free[cls].append(row)
+    free = {cls: deque(sorted(own, key=place.get)) for cls, own in free.items()}
+    taken, out = set(), []
+    for row, cls in sorted(((row, cls) for new, _, _, row, cls in rows if not new), key=lambda r: place[r[0]]):
+        found = [(-ratio, place[b]) for ratio, b in near[row] if b not in taken]
+        for ratio, other in begun[cls]:
+            own = free[other]
+            while own and own[0] in taken:
+                own.popleft()
+            if own:
+                found.append((-ratio, place[own[0]]))
+        if found:
+            best = min(found)[1][2]
+            taken.add(best)
+            out.append((row, best))
+    return out
+
 
-    def match(rows: pd.DataFrame) -> pd.DataFrame:
-        sides = [[(int(o), i, t) for o, i, t in zip(r.ordinal, r.id, r.text, strict=True)] for r in (rows[rows.side == 0], rows[rows.side == 1])]
-        got = greedy_matches(*sides)
-        return pd.DataFrame({"section": [rows.section.iloc[0]] * len(got), "old_id": [a for a, _ in got], "new_id": [b for _, b in got]}, dtype=object)
+def _claims(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows and links, sorted by part; one part is held at a time."""
+    part, rows, links = None, [], []
 
-    both = gone.select("section", "ordinal", "id", "text", "side").unionByName(come.select("section", "ordinal", "id", "text", "side"))
-    return both.groupBy("section").applyInPandas(match, f"section {dict(old.dtypes)['section']}, old_id string, new_id string")
+    def pairs() -> pa.RecordBatch:
+        got = claimed(rows, links)
+        return pa.RecordBatch.from_arrays([pa.array([pair[k] for pair in got], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    for batch in batches:
+        for r in zip(*(batch.column(k).to_pylist() for k in range(batch.num_columns)), strict=True):
+            if r[0] != part:
+                if links:
+                    yield pairs()
+                part, rows, links = r[0], [], []
+            if r[1] is None:
+                links.append(r[2:6])
+            else:
+                rows.append((r[1], *r[6:9], r[9]))
+    if links:
+        yield pairs()
+
+
+def migrations(old: DataFrame, new: DataFrame) -> DataFrame:
+    """section, ordinal, id, text on either side: section, old_id, new_id.
+
+    Ids of a section that only one side has are matched: the text of one starts
+    the other's for long enough, or they are alike and at most ORDINAL_GAP apart.
+    Candidates are found by equality (of beginnings, of places), their likeness
+    is asked once each, and old rows claim in order within a connected part of
+    the candidates only; a section is divided into as many parts as it has.
+    Equal texts of a section are one class, linked once.  Null and empty texts
+    match nothing; of equal candidates the first by place, then id, is claimed.
+    """
+    sides = []
+    for k, (own, other) in enumerate(((old, new), (new, old))):
+        left = own.join(other.select("section", "id"), ["section", "id"], "left_anti").where("text <> ''")
+        rows = settled(left.select("section", F.col("ordinal").cast("long").alias("ordinal"), F.col("id").cast("string").alias("id"), "text", (F.monotonically_increasing_id() * 2 + k).alias("row")), "unmatched")
+        first = rows.groupBy("section", "text").agg(F.min("row").alias("cls"))
+        sides.append(settled(rows.join(first, ["section", "text"]), "unmatched"))
+    gone, come = sides
+    links = candidates(gone, come)
+    every = gone.withColumn("new", F.lit(False)).unionByName(come.withColumn("new", F.lit(True))).drop("text")
+    begun = links.where("starts").select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    classes = every.join(begun, "cls", "left_semi").select(F.col("row").alias("a"), F.col("cls").alias("b"))
+    part = settled(graph.parts(links.select("a", "b").unionByName(classes)), "part")
+    none = lambda kind: F.lit(None).cast(kind)
+    members = every.join(part, every["row"] == part["node"]).select(
+        "part", "new", none("long").alias("a"), none("long").alias("b"), none("boolean").alias("starts"), none("double").alias("ratio"), "ordinal", "id", "row", "cls"
+    )
+    edges = links.join(part, links["a"] == part["node"]).select(
+        "part", none("boolean").alias("new"), "a", "b", "starts", "ratio", none("long").alias("ordinal"), none("string").alias("id"), none("long").alias("row"), none("long").alias("cls")
+    )
+    pairs = members.unionByName(edges).repartition("part").sortWithinPartitions("part").mapInArrow(_claims, "a long, b long")
+    mine = gone.select(F.col("row").alias("a"), "section", F.col("id").alias("old_id"))
+    return pairs.join(mine, "a").join(come.select(F.col("row").alias("b"), F.col("id").alias("new_id")), "b").select("section", "old_id", "new_id")
 
 
 def carry(carried: DataFrame, new: DataFrame) -> DataFrame:

@@ -1,8 +1,11 @@
 """Moves between releases, by hand and against every pairing."""
 
+import random
 from difflib import SequenceMatcher
 
-from loomwork.operators import diff
+from pyspark.sql import functions as F
+
+from loomwork.operators import diff, graph
 
 
 def test_likeness():
@@ -32,16 +35,53 @@ def plain(removed, added):
     return out
 
 
-def test_greedy_matches_against_all_pairs():
-    import random
+WORDS = ["take", "the", "red", "blue", "bucket", "and", "go", "to", "bank", "cook", "now"]
+ROW = "section string, ordinal int, id string, text string"
+
+
+def edited(rng, n, words):
+    """A section and its next release, with copies, moves, additions and ties."""
+    old = [(k, f"o{k}", " ".join(rng.choices(WORDS[:words], k=rng.randint(2, 7)))) for k in range(n)]
+    new = [(k, f"n{k}", t if rng.random() < 0.3 else t + rng.choice([" now", "s", " and then some", ""])) for k, (_, _, t) in enumerate(old) if rng.random() < 0.8]
+    return old, [(k, i, t) for k, (_, i, t) in enumerate(new)] if rng.random() < 0.5 else new
 
+
+def test_migrations_against_all_pairs(spark):
     rng = random.Random(3)
-    words = ["take", "the", "red", "blue", "bucket", "and", "go", "to", "bank", "cook", "now"]
-    for _ in range(60):
-        old = [(k, f"o{k}", " ".join(rng.choices(words, k=rng.randint(2, 7)))) for k in range(8)]
-        new = [(k, f"n{k}", t if rng.random() < 0.3 else t + rng.choice([" now", "s", " and then some"])) for k, (_, _, t) in enumerate(old) if rng.random() < 0.8]
-        rng.shuffle(new)
-        assert diff.greedy_matches(old, new) == plain(old, new)
+    sections = [edited(rng, rng.randint(0, 14), rng.choice([2, 5, 11])) for _ in range(80)]
+    sides = [spark.createDataFrame([(f"s{k}", *r) for k, s in enumerate(sections) for r in s[side]], ROW) for side in (0, 1)]
+    want = sorted((f"s{k}", *pair) for k, (old, new) in enumerate(sections) for pair in plain(old, new))
+    assert sorted(map(tuple, diff.migrations(*sides).collect())) == want and len(want) > 200
+
+
+def test_one_long_section_is_divided(spark):
+    """Lines far apart that are not alike share no part; copies share one, linked once."""
+    n = 3000
+    line = lambda k: f"{k * 7919 % 10007:05d} " + " ".join(WORDS[(k * p) % 11] for p in (3, 5, 7)) + f" {k:07d}"
+    old = spark.createDataFrame([("s", k, f"o{k}", line(k)) for k in range(n)] + [("s", n + k, f"c{k}", "the very same line") for k in range(400)], ROW)
+    new = spark.createDataFrame([("s", k, f"n{k}", line(k) + " and more") for k in range(n)] + [("s", n + k, f"d{k}", "the very same line now") for k in range(300)], ROW)
+    got = {tuple(r)[1:] for r in diff.migrations(old, new).collect()}
+    assert got == {(f"o{k}", f"n{k}") for k in range(n)} | {(f"c{k}", f"d{k}") for k in range(300)}
+    rows = [spark.createDataFrame([("s", k, "same", k * 2 + side, side) for k in range(400)], "section string, ordinal long, text string, row long, cls long").withColumn("text", F.lit("the very same line")) for side in (0, 1)]
+    links = diff.candidates(*rows)
+    assert links.where("starts").count() == 1 and links.where("not starts").count() <= 5 * 400
+
+
+def test_parts(spark):
+    rng = random.Random(1)
+    links = [(k, k + 1) for k in range(300)] + [(1000, 1000)] + [(2000 + rng.randrange(60), 2000 + rng.randrange(60)) for _ in range(40)] + [(5000, k) for k in range(4000, 4400)]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    got = {r.node: r.part for r in graph.parts(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {x: find(x) for x in {x for link in links for x in link}}
 
 
 def test_migrations(spark):
