@@ -63,23 +63,6 @@ def broken(rows: DataFrame, key: str, rules: list[Rule]) -> DataFrame:
     return rows.select(F.col(key), F.explode(F.filter(names, lambda n: n.isNotNull())).alias("rule"))
 
 
-def audited(checks: list[tuple[str, DataFrame, Column, str]], samples: int = 3) -> DataFrame:
-    """check_name, population, violations, sample: every named check with how many rows it saw, how many break it, and the first of those in order (V5).
-
-    checks: (name, rows, breach, column that names a row).
-    """
-    out = []
-    for name, rows, bad, label in checks:
-        wrong = F.when(F.coalesce(bad, F.lit(False)), F.col(label).cast("string"))
-        one = rows.agg(F.count(F.lit(1)).alias("population"), F.count(wrong).alias("violations"))
-        w = Window.orderBy("label")
-        few = rows.select(wrong.alias("label")).where("label is not null").orderBy("label").limit(samples)
-        few = few.withColumn("n", F.row_number().over(w)).agg(F.array_join(F.sort_array(F.collect_list("label")), ", ").alias("sample"))
-        met = one.withColumn("__one", F.lit(1)).join(few.withColumn("__one", F.lit(1)), "__one")  # one row each
-        out.append(met.select(F.lit(name).alias("check_name"), "population", "violations", "sample"))
-    return reduce(DataFrame.unionByName, out)
-
-
 def guide_invariants(sections: DataFrame, steps: DataFrame, episodes: DataFrame, migrations: DataFrame) -> DataFrame:
     """rule, subject: what a schema cannot say (V2).
 
