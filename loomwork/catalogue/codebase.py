@@ -1,6 +1,6 @@
 """Registered queries of the source reader.
 
-Every supplier's parts are written out as a source file; the SQL works on the
+Every LINES parts are written out as a source file; the SQL works on the
 tables and knows nothing of the source.  A part's place in its file is its
 rank by key; sizes, prices and brands give counts, places and kinds.
 """
@@ -13,15 +13,16 @@ from pyspark.sql import functions as F
 from ..codebase import conditions, extract, reader
 from .registry import read, registered, step_events
 
-FILES = 20
+#: Parts in a source file, so files grow in number with the table; how far away a part's alternate is.
+LINES, OTHER = 60, 20
 
-_PARTS = f"""p AS (SELECT p_partkey AS k, p_partkey % {FILES} AS file, p_size AS s, CAST(regexp_extract(p_brand, '[0-9]+$') AS INTEGER) AS b, p_name AS name, row_number() OVER (PARTITION BY p_partkey % {FILES} ORDER BY p_partkey) - 1 AS r FROM part),
+_PARTS = f"""p AS (SELECT p_partkey AS k, p_partkey // {LINES} AS file, p_size AS s, CAST(regexp_extract(p_brand, '[0-9]+$') AS INTEGER) AS b, p_name AS name, row_number() OVER (PARTITION BY p_partkey // {LINES} ORDER BY p_partkey) - 1 AS r FROM part),
   q AS (SELECT *, count(*) OVER (PARTITION BY file) AS n FROM p)"""
 
 
 def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = Window.partitionBy("file")
-    p = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), (F.col("p_partkey") % FILES).alias("file"), F.col("p_size").alias("s"), F.regexp_extract("p_brand", "[0-9]+$", 0).cast("int").alias("b"), F.col("p_name").alias("name"))
+    p = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), F.floor(F.col("p_partkey") / LINES).alias("file"), F.col("p_size").alias("s"), F.regexp_extract("p_brand", "[0-9]+$", 0).cast("int").alias("b"), F.col("p_name").alias("name"))
     return p.withColumn("r", (F.row_number().over(w.orderBy("k")) - 1).cast("long")).withColumn("n", F.count(F.lit(1)).over(w))
 
 
@@ -49,7 +50,7 @@ c = F.col
 
 def item() -> list[Column]:
     return [said("ItemRequirement v", c("r"), " = new ItemRequirement(\"", c("name"), ", (\\\"big\\\"\" + \")\", ItemID.K", c("k"), ", ", c("s") % 4, ")", F.when(c("b") % 2 == 0, ".highlighted()").otherwise(""), "; // ItemID.X)"),
-            F.when(c("s") % 3 == 0, said("v", c("r"), ".addAlternates(ItemID.K", c("k"), ", ItemID.K", c("k") + FILES, ", 7);"))]
+            F.when(c("s") % 3 == 0, said("v", c("r"), ".addAlternates(ItemID.K", c("k"), ", ItemID.K", c("k") + OTHER, ", 7);"))]
 
 
 @registered(f"WITH {_PARTS} SELECT file, r AS nth, name || ', (\"big\")' AS label, 'ItemID.K' || k AS constant, CAST(greatest(s % 4, 1) AS INTEGER) AS n, b % 2 = 0 AS highlighted, CASE WHEN s % 3 = 0 THEN 2 ELSE 0 END AS n_alternates FROM q")
@@ -65,7 +66,7 @@ def source_required(spark, sf_dir):
     return extract.required_items(relation(spark, sf_dir, *item()), ids(spark, sf_dir))
 
 
-@registered(f"WITH {_PARTS} SELECT q.file, q.k AS id, CASE WHEN z.k IS NULL THEN q.k::VARCHAR ELSE q.k || ',' || z.k END AS other_ids FROM q LEFT JOIN q z ON z.k = q.k + {FILES} WHERE q.s % 3 = 0")
+@registered(f"WITH {_PARTS} SELECT q.file, q.k AS id, CASE WHEN z.k IS NULL THEN q.k::VARCHAR ELSE q.k || ',' || z.k END AS other_ids FROM q LEFT JOIN q z ON z.k = q.k + {OTHER} WHERE q.s % 3 = 0")
 def source_substitutes(spark, sf_dir):
     """What may stand for an item."""
     return extract.substitutes(relation(spark, sf_dir, *item()), ids(spark, sf_dir))
@@ -190,6 +191,29 @@ def source_delegates(spark, sf_dir):
     return extract.resolved_steps(relation(spark, sf_dir, line)).join(whole.drop("whole"), ["file", "name"], "left_semi")
 
 
+@registered(f"""WITH {_PARTS}, x AS (SELECT file, r, r % 6 AS k, r - r % 6 AS base, n, k AS id, s, max(CASE WHEN r % 6 = 0 THEN s END) OVER w % 4 = 0 AS poor, max(CASE WHEN r % 6 = 0 THEN k END) OVER w AS id0, max(CASE WHEN r % 6 = 1 THEN k END) OVER w AS id1, max(CASE WHEN r % 6 = 3 THEN s END) OVER w % 2 = 0 AS worded,
+   max(CASE WHEN r % 6 = 4 THEN k END) OVER w AS id4, max(CASE WHEN r % 6 = 5 THEN s END) OVER w % 3 = 0 AS late FROM q WINDOW w AS (PARTITION BY file, r - r % 6)),
+   y AS (SELECT *, CASE WHEN poor THEN 'Unknown state.' ELSE 'inner ' || base END AS inner_text, CASE WHEN poor THEN NULL ELSE 'ObjectID.K' || id0 END AS inner_id FROM x WHERE base + 5 < n),
+   z AS (SELECT *, CASE WHEN worded THEN 'outer ' || (base + 3) WHEN poor THEN 'arm ' || (base + 4) ELSE inner_text END AS choice_text, CASE WHEN poor THEN 'NpcID.K' || id4 ELSE inner_id END AS choice_id FROM y)
+  SELECT file, 'd' || r AS name, CASE WHEN k < 3 THEN inner_text WHEN k = 4 THEN 'arm ' || r WHEN k = 5 AND late THEN 'last ' || r ELSE choice_text END AS text, CASE WHEN k < 3 THEN inner_id WHEN k = 4 THEN 'NpcID.K' || id4 ELSE choice_id END AS constant,
+    CASE WHEN k IN (1, 2) OR k IN (3, 5) AND NOT poor THEN 'ItemID.K' || id1 END AS icon, CASE WHEN k IN (3, 5) THEN 'in' || (base + 3) ELSE '' END AS arms, k = 3 AND poor AS stood_in FROM z""")
+def source_overrides(spark, sf_dir):
+    """Names, choices, wrappers and later words: what is said in the end, of what, with which icon and arms."""
+    k, name = c("r") % 6, said("d", c("r"))
+    above = lambda n: said("d", c("r") - n)
+    line = (
+        F.when(k == 0, F.when(c("s") % 4 == 0, said(name, " = new DetailedQuestStep(this, \"Unknown state.\");")).otherwise(said(name, " = new ObjectStep(this, ObjectID.K", c("k"), ", \"inner ", c("r"), "\");")))
+        .when(k == 1, said(name, " = ", above(1), "; ", name, ".addIcon(ItemID.K", c("k"), ");"))
+        .when(k == 2, said(name, " = new PuzzleWrapperStep(this, ", above(1), ", \"hidden\");"))
+        .when(k == 3, said(name, " = new ConditionalStep(this, ", above(1), F.when(c("s") % 2 == 0, said(", \"outer ", c("r"), "\"")).otherwise(""), "); ", name, ".addStep(in", c("r"), ", ", above(-1), ");"))
+        .when(k == 4, said(name, " = new NpcStep(this, NpcID.K", c("k"), ", \"arm ", c("r"), "\");"))
+        .otherwise(said(name, " = ", above(2), ";", F.when(c("s") % 3 == 0, said(" ", name, ".setText(\"last ", c("r"), "\");")).otherwise("")))
+    )
+    whole = parts(spark, sf_dir).where(c("r") - k + 5 < c("n")).select("file", name.alias("name"))
+    got = extract.delegated(relation(spark, sf_dir, line)).join(whole, ["file", "name"], "left_semi")
+    return got.select("file", "name", "text", "constant", "icon", F.array_join(F.transform("arms", lambda a: a["condition"]), ",").alias("arms"), "stood_in")
+
+
 @registered(f"WITH {_PARTS}, m AS (SELECT file, s AS value, r, CASE WHEN b % 2 = 0 THEN 'inner' || r ELSE 'step' || r END AS step FROM q WHERE file % 2 = 0) SELECT file, value, arg_max(step, r) AS step FROM m GROUP BY 1, 2 UNION ALL SELECT DISTINCT file, 0, 'cs' FROM q WHERE file % 2 = 1")
 def source_progress(spark, sf_dir):
     """The step at each value, by name or by the method that returns it; the only root otherwise."""

@@ -41,7 +41,7 @@ def joined_folders(spark, sf_dir):
     return files.joined_folders(n, imports).select(c("folder").cast("int").alias("region"), "source")
 
 
-@registered("SELECT p_partkey % 20 AS file, row_number() OVER (PARTITION BY p_partkey % 20 ORDER BY p_partkey) - 1 AS nth, 'PART_' || p_partkey AS constant, p_name AS name, CASE WHEN p_size % 3 <> 0 THEN p_size || ',' || p_partkey || ',1' END AS point FROM part")
+@registered("SELECT p_partkey // 60 AS file, row_number() OVER (PARTITION BY p_partkey // 60 ORDER BY p_partkey) - 1 AS nth, 'PART_' || p_partkey AS constant, p_name AS name, CASE WHEN p_size % 3 <> 0 THEN p_size || ',' || p_partkey || ',1' END AS point FROM part")
 def enum_rows(spark, sf_dir):
     """Rows of an enum, the last string before the point being the name."""
     point = F.when(c("s") % 3 != 0, said(", new WorldPoint(", c("s"), ", ", c("k"), ", 1), \"behind (it\"")).otherwise("")
@@ -148,7 +148,7 @@ def side_outputs(spark, sf_dir):
 # --- tables as text --------------------------------------------------------
 
 
-@registered("""WITH p AS (SELECT p_partkey AS k, p_partkey % 20 AS page, p_size AS s, p_name AS n, row_number() OVER (PARTITION BY p_partkey % 20 ORDER BY p_partkey) - 1 AS nth FROM part)
+@registered("""WITH p AS (SELECT p_partkey AS k, p_partkey // 60 AS page, p_size AS s, p_name AS n, row_number() OVER (PARTITION BY p_partkey // 60 ORDER BY p_partkey) - 1 AS nth FROM part)
   SELECT page, nth, n AS name, 'hut of ' || n AS place, s % 2 = 0 AS members, k || ',' || s || ',' || CASE WHEN s < 4 THEN s ELSE 0 END || ';1,2,' || CASE WHEN s < 4 THEN s ELSE 0 END AS points, CASE WHEN s % 5 = 0 THEN '3,1' ELSE '1,1' END AS counts FROM p WHERE s % 7 <> 0""")
 def spawn_lines(spark, sf_dir):
     """Lines of a table written as templates, with templates and links inside."""

@@ -270,6 +270,101 @@ def resolved_steps(rel: DataFrame) -> DataFrame:
     return cur.join(ends, ["file", "real"], "left").select("file", "name", F.when(F.col("type").isNotNull(), F.col("real")).alias("real"), "type")
 
 
+# A step that wraps another and hides its answer, and what stand-in steps say.
+WRAPPER = "PuzzleWrapperStep"
+STAND_INS = r"(?i)^unknown state|journal to sync"
+
+
+def is_stand_in(record: Column) -> Column:
+    """Nothing that a player could act on: no place, no thing, and no words or only those of a stand-in."""
+    text = F.coalesce(record["text"], F.lit(""))
+    return record["point"].isNull() & record["constant"].isNull() & ((text == "") | text.rlike(STAND_INS))
+
+
+def _last_said(rel: DataFrame, call: str, value: Column, out: str) -> DataFrame:
+    """file, name, out: the last that a call says of a name."""
+    return calls(rel).where((F.col("name") == call) & F.col("receiver").isNotNull()).groupBy("file", F.col("receiver").alias("name")).agg(F.max_by(value, "pos").alias(out))
+
+
+def _own_records(rel: DataFrame) -> DataFrame:
+    """file, name, to, rec: what every name says itself, and the name that it hands all else to.
+
+    rec: text (goes before that of the name behind), hidden (stands only where
+    no name behind has a text), point, constant, icon, arms (conditions and
+    steps in order).
+    """
+    d = declarations(rel)
+    by_method = method_steps(rel).select("file", F.col("method").alias("called"), F.col("step").alias("returned"))
+    names = d.select("file", F.col("name").alias("argument"), F.col("type").alias("kind"))
+    step_like = F.col("kind").endswith("Step") | F.col("kind").isin("alias", "expression")
+    given = d.where(F.col("type").endswith("Step")).select("file", "name", F.posexplode("args").alias("nth", "argument")).join(names, ["file", "argument"]).where(step_like & (F.col("argument") != F.col("name")))
+    first = given.groupBy("file", "name").agg(F.min_by("argument", "nth").alias("handed"))
+    said = F.regexp_extract(F.get("args", F.lit(0)), r"^(\w+)\s*\(.*\)$", 1)
+    copied = F.regexp_extract(F.get("args", F.lit(0)), r"^(\w+)\.copy\(\)$", 1)
+    arms = branches(rel).where("condition is not null").groupBy("file", F.col("owner").alias("name")).agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "condition", "step"))), lambda b: F.struct(b["condition"].alias("condition"), b["step"].alias("step"))).alias("arms"))
+    copies = copied_branches(rel).groupBy("file", F.col("owner").alias("name")).agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "condition", "step"))), lambda b: F.struct(b["condition"].alias("condition"), b["step"].alias("step"))).alias("copied_arms"))
+    renamed = _last_said(rel, "setText", joined_text(F.get("args", F.lit(0))), "renamed")
+    icons = _last_said(rel, "addIcon", F.get("args", F.lit(0)), "icon")
+    own = d.withColumn("called", F.when(F.col("type") == "expression", said)).withColumn("original", F.when(F.col("type") == "expression", copied))
+    own = own.join(by_method, ["file", "called"], "left").join(first, ["file", "name"], "left")
+    for side in (arms, copies, renamed, icons):
+        own = own.join(side, ["file", "name"], "left")
+    source = d.where(F.col("type") == CONDITIONAL).select("file", F.col("name").alias("original"), F.get("args", F.lit(1)).alias("original_default"), first_text("args").alias("original_text"))
+    own = own.join(source, ["file", "original"], "left")
+    wraps, text = F.col("type") == WRAPPER, F.when(F.col("type").endswith("Step"), first_text("args"))
+    to = F.when(F.col("type") == "alias", F.get("args", F.lit(0))).when(F.col("type") == "expression", F.coalesce("original_default", "returned")).otherwise(F.coalesce(F.when(F.col("type") == CONDITIONAL, F.get("args", F.lit(1))), "handed"))
+    none = F.expr("cast(array() as array<struct<condition:string,step:string>>)")
+    return own.select("file", "name", to.alias("to"), F.struct(
+        F.coalesce("renamed", F.when(~wraps, text), "original_text").alias("text"), F.when(wraps, text).alias("hidden"), first_point(F.col("args")).alias("point"), first_id(F.col("args")).alias("constant"), "icon",
+        F.coalesce("copied_arms", "arms", none).alias("arms"),
+    ).alias("rec"))
+
+
+def _over(a: Column, b: Column) -> Column:
+    """One record over another; the order of putting several together does not matter."""
+    first = lambda k: F.coalesce(a[k], b[k]).alias(k)
+    return F.struct(first("text"), F.coalesce(b["hidden"], a["hidden"]).alias("hidden"), first("point"), first("constant"), first("icon"), F.concat(a["arms"], b["arms"]).alias("arms"))
+
+
+def _put_together(own: DataFrame) -> DataFrame:
+    """file, name, rec, said: every name's record over all those behind it; pointers are doubled, and names that lead round in a circle have none."""
+    known = own.select("file", F.col("name").alias("to"), F.lit(True).alias("is_name"))
+    cur = settled(own.join(known, ["file", "to"], "left").select("file", "name", F.when(F.col("is_name"), F.col("to")).alias("to"), "rec"), "delegates")
+    left = None
+    while True:
+        ahead = cur.select("file", F.col("name").alias("to"), F.col("to").alias("next"), F.col("rec").alias("behind"))
+        moved = cur.where("to is not null").join(ahead, ["file", "to"]).select("file", "name", F.col("next").alias("to"), _over(F.col("rec"), F.col("behind")).alias("rec"))
+        cur = settled(cur.where("to is null").unionByName(moved), "delegates")
+        waiting = cur.where("to is not null").count()
+        if waiting in (0, left):  # what is left goes round
+            break
+        left = waiting
+    said = F.struct(F.coalesce("rec.text", "rec.hidden").alias("text"), F.col("rec.point").alias("point"), F.col("rec.constant").alias("constant"))
+    return cur.where("to is null").select("file", "name", "rec", said.alias("said"))
+
+
+def delegated(rel: DataFrame) -> DataFrame:
+    """file, name, text, point, constant, icon, arms, stood_in: what every step says once all that it hands on is asked.
+
+    A step hands to the name it stands for, to its default, to the step it
+    wraps or copies, or to what the method it calls returns.  The outer text,
+    place, thing and icon go before the inner ones, only a wrapper's own words
+    stand behind those of the step it wraps; outer arms are asked first and the
+    default's own stay.  A choice whose default only says a stand-in's words
+    hands to the last of its arms that says more instead (stood_in).
+    """
+    own = settled(_own_records(rel).withColumn("stood_in", F.lit(False)), "records")
+    while True:
+        done = _put_together(own)
+        behind = done.select("file", F.col("name").alias("to"), F.col("said").alias("default"))
+        poor = own.where(F.size("rec.arms") > 0).join(behind, ["file", "to"]).where(is_stand_in(F.col("default"))).select("file", "name", F.posexplode("rec.arms").alias("nth", "arm"))
+        rich = done.where(~is_stand_in(F.col("said"))).select("file", F.col("name").alias("step"))
+        better = settled(poor.withColumn("step", F.col("arm.step")).join(rich, ["file", "step"]).groupBy("file", "name").agg(F.max_by("step", "nth").alias("instead")), "stand-ins")
+        if better.isEmpty():
+            return done.join(own.select("file", "name", "stood_in"), ["file", "name"]).select("file", "name", "said.text", "said.point", "said.constant", "rec.icon", "rec.arms", "stood_in")
+        own = settled(own.join(better, ["file", "name"], "left").select("file", "name", F.coalesce("instead", "to").alias("to"), "rec", (F.col("stood_in") | F.col("instead").isNotNull()).alias("stood_in")), "records")
+
+
 def method_steps(rel: DataFrame) -> DataFrame:
     """file, method, step: the name that a method returns; of several returns the last."""
     back = rel.where("kind = 'statement' and name = 'return' and method is not null").where(F.col("expression").rlike(r"^\w+$"))
