@@ -168,8 +168,20 @@ def label_list_join(spark, sf_dir):
   ON a.p_brand = b.p_brand AND a.p_size <> b.p_size AND abs(b.p_size - a.p_size) <= 30 GROUP BY 1, 2""")
 def nearest_range(spark, sf_dir):
     sizes = read(spark, sf_dir, "part").select("p_brand", "p_size").distinct()
-    both = sizes.join(sizes.withColumnRenamed("p_size", "near_size"), "p_brand").where("p_size <> near_size").withColumn("one", F.concat_ws("|", "p_brand", "p_size"))
-    return resolve.nearest(both, "one", "near_size", F.abs(F.col("near_size") - F.col("p_size")), 30, [F.asc("near_size")]).select("p_brand", "p_size", "near_size")
+    both = resolve.within(sizes, sizes, ["p_brand"], ["p_size"], 30).where("p_size <> near_p_size").withColumn("one", F.concat_ws("|", "p_brand", "p_size"))
+    return resolve.nearest(both, "one", "near_p_size", F.abs(F.col("near_p_size") - F.col("p_size")), 30, [F.asc("near_p_size")]).select("p_brand", "p_size", F.col("near_p_size").alias("near_size"))
+
+
+@registered("""WITH a AS (SELECT p_partkey, p_size % 4 AS plane, p_partkey * 37 % 1000 AS x, p_partkey * 91 % 700 AS y FROM part), b AS (SELECT s_suppkey, s_nationkey % 4 AS plane, s_suppkey * 53 % 1000 AS x, s_suppkey * 17 % 700 AS y FROM supplier)
+  SELECT p_partkey, arg_min(s_suppkey, ((a.x - b.x) ** 2 + (a.y - b.y) ** 2) * 100000 + s_suppkey) AS s_suppkey, CAST(min((a.x - b.x) ** 2 + (a.y - b.y) ** 2) AS BIGINT) AS distance FROM a JOIN b ON a.plane = b.plane AND abs(a.x - b.x) <= 60 AND abs(a.y - b.y) <= 60 WHERE (a.x - b.x) ** 2 + (a.y - b.y) ** 2 <= 3600 GROUP BY 1""")
+def nearest_place(spark, sf_dir):
+    """The supplier nearest to a part on its plane, within sixty."""
+    k, n = F.col("p_partkey"), F.col("s_suppkey")
+    parts = read(spark, sf_dir, "part").select("p_partkey", (F.col("p_size") % 4).cast("long").alias("plane"), (k * 37 % 1000).alias("x"), (k * 91 % 700).alias("y"))
+    places = read(spark, sf_dir, "supplier").select("s_suppkey", (F.col("s_nationkey") % 4).cast("long").alias("plane"), (n * 53 % 1000).alias("x"), (n * 17 % 700).alias("y"))
+    gap = lambda a: (F.col(a) - F.col(f"near_{a}")) * (F.col(a) - F.col(f"near_{a}"))
+    got = resolve.nearest(resolve.within(parts, places, ["plane"], ["x", "y"], 60), "p_partkey", "near_s_suppkey", gap("x") + gap("y"), 3600, [F.asc("near_s_suppkey")])
+    return got.select("p_partkey", F.col("near_s_suppkey").alias("s_suppkey"), "distance")
 
 
 PHRASES = ["ring", "hot ring", "small", "small part", "part", "blue", "red part"]

@@ -79,6 +79,13 @@ def similarity_topk(spark, sf_dir):
     return resolve.nearest_texts(rows, "item_id", "t", F.substring("t", 1, 2))
 
 
+@registered(rf"WITH k AS (SELECT doc_id, regexp_replace(regexp_extract(lower(text), '^\S+ \S+'), '[^ -~]', '', 'g') AS t FROM documents WHERE text IS NOT NULL), d AS (SELECT t, count(*) AS n FROM k GROUP BY t), m AS (SELECT a.t, least(min(CASE WHEN a.n > 1 THEN 0 END), min(levenshtein(a.t, b.t)) FILTER (a.t <> b.t AND levenshtein(a.t, b.t) <= 3)) AS distance FROM d a, d b GROUP BY a.t) SELECT doc_id, distance FROM k JOIN m ON k.t = m.t WHERE distance IS NOT NULL")
+def alike_openings(spark, sf_dir):
+    """The least edit distance, up to three, of a document's first two words to another's."""
+    rows = read(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.regexp_replace(F.regexp_extract(F.lower("text"), r"^\S+ \S+", 0), "[^ -~]", "").alias("t"))
+    return resolve.nearest_alike(rows, "doc_id", "t", 3)
+
+
 @registered("SELECT l_orderkey, greatest(max(l_partkey) - min(l_partkey), max(l_suppkey) - min(l_suppkey)) > 64 AS scattered FROM lineitem GROUP BY l_orderkey")
 def scattered_points(spark, sf_dir):
     """Whether the points of a key are in one place."""

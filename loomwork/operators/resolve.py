@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.tables import settled
+
 
 def cascade(rows: DataFrame, dims: Sequence[tuple[DataFrame, str, Column]], key: str, value: str, out: str) -> DataFrame:
     """Value and source of the first dimension that knows the row's key for it.
@@ -49,6 +51,24 @@ def nearest(rows: DataFrame, left: str, right: str, distance: Column, limit: int
     return rows.withColumn("distance", distance).where(F.col("distance") <= limit).withColumn("__n", n).where("__n = 1").drop("__n")
 
 
+def within(left: DataFrame, right: DataFrame, key: list[str], axes: list[str], limit: float) -> DataFrame:
+    """Pairs of a left and a right row of one key whose axes all differ by `limit` at most; right's columns come with `near_` before their names.
+
+    Space is cut into cells of the limit's size; a left row meets the right rows
+    of its own cell and of those around it, by equality, so a key's rows do not
+    all meet.  Rows without a key or with a null axis meet none.
+    """
+    cell = lambda c: F.floor(F.col(c) / F.lit(limit)).cast("long")
+    around = left
+    for a in axes:
+        around = around.withColumn(f"__cell_{a}", F.explode(F.sequence(cell(a) - 1, cell(a) + 1)))
+    side = right.select(*[F.col(c).alias(f"near_{c}") for c in right.columns], *[cell(a).alias(f"__cell_{a}") for a in axes])
+    cells = [f"__cell_{a}" for a in axes]
+    on = [around[k] == side[f"near_{k}"] for k in key] + [around[c] == side[c] for c in cells]
+    close = [F.abs(around[a] - side[f"near_{a}"]) <= limit for a in axes]
+    return around.join(side, on + close).select(*[around[c] for c in left.columns], *[side[f"near_{c}"] for c in right.columns])
+
+
 def longest_contained(text: Column, phrases: list[str]) -> Column:
     """The longest of a fixed list of phrases that the text contains; ties by name."""
     out = None
@@ -93,8 +113,55 @@ def partners(rows: DataFrame, group: str, member: str, most: int) -> DataFrame:
     return met.withColumn("__n", n).where(F.col("__n") <= most).select(group, member, "partner")
 
 
+#: Letters of a gram by which longer texts meet.
+GRAM = 3
+#: Into how many slices texts are dealt that are all results of one another.
+SLICES = 64
+
+
+def alike(texts: DataFrame, text: str, most: int) -> DataFrame:
+    """text, other, distance: all pairs of distinct texts whose edit distance is `most` or less, text before other; none is lost.
+
+    An edit touches GRAM grams at most, so of two texts within `most` edits the
+    GRAM * most + 1 rarest grams of one and of the other have one in common, if
+    either has more grams than the edits can touch.  Shorter texts meet on
+    letters in the same way, and texts of no more letters than edits are all
+    within the bound.  Rare grams come first, so common ones join few texts.
+    """
+    own = settled(texts.select(F.col(text).alias("text")).where("text is not null").distinct().withColumn("n", F.length("text")), "texts")
+    longer = _met(own, GRAM, most, F.col("n") >= 0, F.greatest("n", "other_n") >= GRAM * (most + 1))
+    shorter = _met(own, 1, most, F.col("n") < GRAM * (most + 1), F.greatest("n", "other_n") > most)
+    tiny = own.where(F.col("n") <= most).select("text", F.pmod(F.xxhash64("text"), F.lit(SLICES)).alias("slice"))
+    every = tiny.select(F.col("text").alias("other"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SLICES - 1).cast("long"))).alias("slice"))
+    least = tiny.join(every, "slice").where("text < other")  # every pair is a result
+    pairs = longer.unionByName(shorter).select("text", "other").distinct().unionByName(least.select("text", "other"))
+    return pairs.withColumn("distance", F.levenshtein("text", "other", most).cast("long")).where("distance >= 0")
+
+
+def _met(own: DataFrame, size: int, most: int, among: Column, sure: Column) -> DataFrame:
+    """Pairs that share one of their size * most + 1 rarest grams, of lengths that may fit."""
+    places = F.sequence(F.lit(1), F.col("n") - size + 1)
+    each = own.where(among & (F.col("n") >= size)).select("text", "n", F.explode(F.transform(places, lambda k: F.substring("text", k, F.lit(size)))).alias("gram"))
+    each = each.groupBy("text", "n", "gram").agg(F.count(F.lit(1)).alias("times")).select("text", "n", "gram", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("nth"))
+    counted = each.groupBy("gram", "nth").agg(F.count(F.lit(1)).alias("held"))
+    first = F.slice(F.sort_array(F.collect_list(F.struct("held", "gram", "nth"))), 1, size * most + 1)
+    signs = settled(each.join(counted, ["gram", "nth"]).groupBy("text", "n").agg(first.alias("signs")).select("text", "n", F.explode("signs").alias("sign")).select("text", "n", "sign.gram", "sign.nth"), "signs")
+    side = signs.select(F.col("text").alias("other"), F.col("n").alias("other_n"), "gram", "nth")
+    fits = (F.abs(F.col("n") - F.col("other_n")) <= most) & (F.col("text") < F.col("other")) & sure
+    return signs.join(side, ["gram", "nth"]).where(fits).select("text", "other")
+
+
+def nearest_alike(rows: DataFrame, key: str, text: str, most: int) -> DataFrame:
+    """key, distance: the least edit distance, up to `most`, to the text of another row; rows without such a text have none."""
+    copies = rows.where(F.col(text).isNotNull()).groupBy(F.col(text).alias("text")).agg(F.count(F.lit(1)).alias("rows"))
+    pairs = alike(rows, text, most)
+    least = pairs.select("text", "distance").unionByName(pairs.select(F.col("other").alias("text"), "distance")).groupBy("text").agg(F.min("distance").alias("distance"))
+    best = copies.join(least, "text", "left").select(F.col("text").alias("__text"), F.when(F.col("rows") > 1, F.lit(0).cast("long")).otherwise(F.col("distance")).alias("distance")).where("distance is not null")
+    return rows.join(best, F.col(text) == F.col("__text")).select(key, "distance")
+
+
 def nearest_texts(rows: DataFrame, key: str, text: str, block: Column) -> DataFrame:
-    """key, distance: the least edit distance to another text of the same block; rows alone in a block have none."""
+    """key, distance: the least edit distance to another text of the same block; rows alone in a block have none.  For all pairs within a bound, whatever they begin with, see alike()."""
     b = rows.select(key, F.col(text).alias("__t"), block.alias("__b"))
     pairs = b.join(b.select(F.col(key).alias("__other"), F.col("__t").alias("__u"), "__b"), "__b").where(F.col(key) != F.col("__other"))
     return pairs.groupBy(key).agg(F.min(F.levenshtein("__t", "__u")).cast("long").alias("distance"))
