@@ -395,6 +395,28 @@ def condition_algebra(spark, sf_dir):
     return s.select("user_id", conditions.branch(_BRANCHES, "other", state).alias("branch"))
 
 
+@registered("""WITH s AS (SELECT p_partkey AS k, p_size AS n, CAST(regexp_extract(p_brand, '[0-9]+$') AS INTEGER) AS b, p_name AS t, p_retailprice > 1000 AS dear FROM part)
+  SELECT k, CASE k % 6 WHEN 0 THEN n > b WHEN 1 THEN NOT (n % 7 = 3 OR n < 20) WHEN 2 THEN contains(t, 'ring') AND (k % 4 = 0 OR n >= 10) WHEN 3 THEN dear OR n = 5 WHEN 4 THEN (n BETWEEN 3 AND 30 OR n = 45) END AS holds FROM s""")
+def condition_rows(spark, sf_dir):
+    """Whether each row's own condition holds of its own state; unknown ones hold nothing (§2.15)."""
+    n, b, k = F.col("p_size"), F.regexp_extract("p_brand", "[0-9]+$", 0), F.col("p_partkey")
+    less = lambda v: F.concat(F.lit('{"var": {"kind": "varbit", "id": 1, "op": "<", "value": '), v, F.lit("}}"))
+    own = (
+        F.when(k % 6 == 0, F.concat(F.lit('{"var": {"kind": "varbit", "id": 1, "op": ">", "value": '), b, F.lit("}}")))
+        .when(k % 6 == 1, F.concat(F.lit('{"not": {"any": [{"here": {"kind": "npc", "ids": [3]}}, '), less(F.lit("20")), F.lit("]}}")))
+        .when(k % 6 == 2, F.concat(F.lit('{"all": [{"dialog": {"text": ["ring"]}}, {"any": [{"item": {"ids": [0]}}, {"not": '), less(F.lit("10")), F.lit("}]}]}")))
+        .when(k % 6 == 3, F.lit('{"once": {"key": "dear", "when": {"var": {"kind": "varbit", "id": 1, "op": "==", "value": 5}}}}'))
+        .when(k % 6 == 4, F.lit('{"zone": [[30, 9, 0, 3, 0, 0], [45, 0, 0, 45, 9, 0]]}'))
+        .otherwise(F.when(k % 5 > 0, F.lit('{"all": [{"open": 1}, {"zone": [[0, 0, 0, 99, 99, 9]]}]}')).otherwise("{"))
+    )
+    rows = read(spark, sf_dir, "part").select(k.alias("k"), n.alias("n"), "p_name", (F.col("p_retailprice") > 1000).alias("dear"), own.alias("c"))
+    state = conditions.State(
+        values=F.create_map(F.lit("varbit:1"), "n"), held=F.create_map((F.col("k") % 4).cast("int"), F.lit(1)), at=F.array("n", F.lit(5), F.lit(0)),
+        scene=F.array(F.concat(F.lit("npc:"), F.col("n") % 7)), said=F.col("p_name"), kept=F.create_map(F.lit("dear"), "dear"),
+    )
+    return conditions.hold(rows, "k", "c", state)
+
+
 @registered(f"SELECT event_id, coalesce(bool_or(event_type = 'purchase') OVER (PARTITION BY user_id ORDER BY pos ROWS UNBOUNDED PRECEDING), false) AS bought FROM ({EVENTS})")
 def latched_fact(spark, sf_dir):
     rows = conditions.latched(step_events(spark, sf_dir), ["user_id"], ["pos"], F.col("event_type") == "purchase", "bought")
@@ -548,7 +570,7 @@ def annotate_steps(spark, sf_dir):
 @registered()
 def annotate_lines(spark, sf_dir):
     """Every line of every document read into all fields; those with something found."""
-    got = annotate.annotate(step_lines(spark, sf_dir), "line")
+    got = annotate.annotate(step_lines(spark, sf_dir).repartition("doc_id", "line_no"), "line")  # the rules cost far more than moving a line
     f = lambda c: F.col(f"fields.{c}")
     flat = got.select("doc_id", "line_no", f("intent").alias("intent"), f("target").alias("target"), F.size(f("items")).alias("n_items"), f("destination").alias("destination"), f("teleport_item").alias("teleport_item"))
     return flat.where("coalesce(intent, target, destination, teleport_item) IS NOT NULL OR n_items > 0")

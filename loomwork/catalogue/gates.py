@@ -115,7 +115,7 @@ def top_openings(spark, sf_dir):
 @registered()
 def annotate_coverage(spark, sf_dir):
     """What the sentence rules found in every line, and what they did not."""
-    got = annotate.annotate(step_lines(spark, sf_dir).where("line <> ''"), "line")
+    got = annotate.annotate(step_lines(spark, sf_dir).where("line <> ''").repartition("doc_id", "line_no"), "line")
     f = lambda x: F.col(f"fields.{x}")
     return reports.annotation_coverage(got.select(c("line").alias("raw"), f("intent").alias("intent"), f("target").alias("target"), sentences.confidence(f("target"), f("links")).alias("confidence")))
 
