@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import annotate, sentences
-from ..operators import audit, diff, gates, reports
+from ..operators import audit, curated, diff, gates, reports
 from ..sources import sinks
 from .codebase import said
 from .registry import EVENTS, LINES, read, registered, step_events, step_lines
@@ -71,6 +71,29 @@ def curated_checks(spark, sf_dir):
     return one.unionByName(gates.curated_problems(read(spark, sf_dir, "nation"), "n_name", "n_regionkey", read(spark, sf_dir, "region").where("r_name like 'A%'"), "r_regionkey", "note"))
 
 
+@registered("""SELECT 'spells' AS sheet, 'error' AS severity, CAST(p_partkey AS VARCHAR) AS key, 'SPELL_' || p_size AS value, 'no such spell' AS problem FROM part WHERE p_size NOT IN (SELECT n_nationkey FROM nation)
+  UNION ALL SELECT 'skills', 'error', CAST(o_orderkey AS VARCHAR), CASE WHEN o_orderkey % 3 > 0 THEN 'MINING' ELSE 'MINNING' END, unnest(list_filter([CASE WHEN o_orderkey % 3 = 0 THEN 'no such skill' END, CASE WHEN o_orderkey % 120 NOT BETWEEN 1 AND 99 THEN 'level out of range' END, CASE WHEN o_custkey % 10 = 0 THEN 'no such step' END], lambda x: x IS NOT NULL)) FROM orders
+  UNION ALL SELECT 'diary tasks', 'error', CAST(c_custkey AS VARCHAR), 'VAR_' || c_nationkey, unnest(list_filter([CASE WHEN c_nationkey >= 20 THEN 'no such variable' END, CASE WHEN c_custkey % 40 > 31 THEN 'bit out of range' END], lambda x: x IS NOT NULL)) FROM customer
+  UNION ALL SELECT 'entity aliases', 'error', CAST(s_suppkey AS VARCHAR), CASE WHEN s_suppkey % 4 > 0 THEN 'N' || CAST(s_nationkey + s_suppkey % 3 AS VARCHAR) END, CASE WHEN s_suppkey % 4 = 0 THEN 'names nothing' WHEN s_nationkey + s_suppkey % 3 > 24 THEN 'no such entity' ELSE 'entity without ids' END FROM supplier WHERE s_suppkey % 4 = 0 OR s_nationkey + s_suppkey % 3 > 24 OR (s_nationkey + s_suppkey % 3) % 2 = 1
+  UNION ALL SELECT 'diary aliases', 'error', n_name, 'Falador ' || CASE n_nationkey % 3 WHEN 0 THEN 'Easy' WHEN 1 THEN 'Hard' ELSE 'Odd' END || ' Diary', unnest(list_filter([CASE WHEN n_nationkey % 5 = 0 THEN 'no step writes this' END, CASE WHEN n_nationkey % 3 = 2 THEN 'no such diary' END], lambda x: x IS NOT NULL)) FROM nation""")
+def curated_sheets(spark, sf_dir):
+    """Spells, skills, diary tasks and aliases that name what is not there (V7)."""
+    part, orders, customer, supplier, nation = (read(spark, sf_dir, t) for t in ("part", "orders", "customer", "supplier", "nation"))
+    skill = orders.select(c("o_orderkey").cast("string").alias("step_id"), F.when(c("o_orderkey") % 3 > 0, "MINING").otherwise("MINNING").alias("skill"), (c("o_orderkey") % 120).alias("level"))
+    task = customer.select(c("c_custkey").cast("string").alias("step_id"), said("VAR_", c("c_nationkey")).alias("varplayer"), (c("c_custkey") % 40).alias("bit"))
+    name = said("N", c("s_nationkey") + c("s_suppkey") % 3)
+    phrases = supplier.select(c("s_suppkey").cast("string").alias("phrase"), F.when(c("s_suppkey") % 4 > 0, F.array(name)).otherwise(F.expr("cast(array() as array<string>)")).alias("names"))
+    entities = nation.select(said("N", c("n_nationkey")).alias("name"), F.when(c("n_nationkey") % 2 == 0, F.array(F.lit(1))).alias("ids"))
+    k = c("n_nationkey") % 3
+    aliases = nation.select(c("n_name").alias("written"), said("Falador ", F.when(k == 0, "Easy").when(k == 1, "Hard").otherwise("Odd"), " Diary").alias("diary"))
+    return curated.all_of(
+        curated.spells(part.select(c("p_partkey").alias("place"), said("SPELL_", c("p_size")).alias("spell")), nation.select(said("SPELL_", c("n_nationkey")).alias("spell"))),
+        curated.skills(skill, orders.where("o_custkey % 10 > 0").select(c("o_orderkey").cast("string").alias("step_id"))),
+        curated.diary_tasks(task, nation.where("n_nationkey < 20").select(said("VAR_", c("n_nationkey")).alias("name")), None),
+        curated.entity_aliases(phrases, entities), curated.diary_aliases(aliases, nation.where("n_nationkey % 5 > 0").select(c("n_name").alias("tag"))),
+    )
+
+
 @registered("SELECT 'note' AS severity, n_name AS key, CAST(n_regionkey AS VARCHAR) AS value FROM nation WHERE n_regionkey <> 0")
 def check_only(spark, sf_dir):
     """Notes pass a check that errors would stop (V8)."""
