@@ -9,7 +9,7 @@ SLICES = 64
 
 
 def sample_ids(rows: DataFrame, per_class: int) -> DataFrame:
-    """At most `per_class` ids of every class, the smallest by a hash of the id.
+    """At most `per_class` ids of every class (SLICES of them where that is more), the smallest by a hash of the id.
 
     rows: doc_id, cls.  A class is ranked within SLICES slices of its ids, so no
     class meets in one task; rows with a null id or class are never drawn.
