@@ -31,6 +31,13 @@ COLUMNS = (
 NAMES = [c.split()[0] for c in COLUMNS.split(", ")]
 
 
+def _chain_start(source: str, low: int, high: int) -> int:
+    """From where up to `high` a name, a chain of names or types can reach, of any length."""
+    while high > low and (source[high - 1].isalnum() or source[high - 1].isspace() or source[high - 1] in "_.<>,?"):
+        high -= 1
+    return high
+
+
 def without_comments(source: str) -> str:
     """Comments go, their line breaks and all quoted text stay."""
     return LEXEME.sub(lambda m: "\n" * m[0].count("\n") if m["note"] else m[0], source)
@@ -89,9 +96,9 @@ def relations(source: str) -> list[dict]:
                     frame.method = f[1]
                 if not any(f.mark in "([" and f.mark for f in stack):
                     start = at + 1
-            elif mark == "(" and (c := CALLEE.search(text[max(start, at - 300) : at])):
+            elif mark == "(" and (c := CALLEE.search(text[(low := _chain_start(text, start, at)) : at])):
                 path = re.sub(r"\s+", "", c["path"])
-                begin = max(start, at - 300) + c.start()
+                begin = low + c.start()
                 chain = len(text[:begin].rstrip()) if path.startswith(".") else None
                 parent = next((f for f in reversed(stack) if f.mark == "(" and f.call), None)
                 lead = TARGET.match(text[start:begin].strip() + " ") if parent is None else None

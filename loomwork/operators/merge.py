@@ -137,7 +137,7 @@ def item_ids(mentions: DataFrame, key: str, name: str, collections: DataFrame, e
     short = without_where(F.col(name))
     tail = F.trim(F.element_at(F.split(short, ": "), -1))
     stem = F.when(F.col(name).rlike(r"(?i)^empty\s+"), F.regexp_replace(name, r"(?i)^empty\s+", ""))
-    capital = F.concat(F.upper(F.substring(stem, 1, 1)), F.lower(F.substring(stem, 2, 1000)))
+    capital = F.concat(F.upper(F.substring(stem, 1, 1)), F.lower(F.substr(stem, F.lit(2))))
     shorter = F.when((short != "") & (short != F.col(name)), short)
     tails = F.when((short != "") & (short != F.col(name)), tail)
     tries = [("collection", c, F.col(name)), ("stem", e, stem), ("stem", e, capital), ("item", e, F.col(name)), ("shortened", e, shorter), ("shortened", c, shorter), ("shortened", e, tails), ("shortened", c, tails)]

@@ -33,6 +33,12 @@ def test_relations():
     assert reader.relations("") == reader.relations("// only\n/* notes") == []
 
 
+def test_chains_of_any_length():
+    chain = ".".join(["a" * 50] * 30)
+    call = next(r for r in reader.relations(f"class Q {{ void f() {{ x = 3; {chain}.go(1); }} }}") if r["name"] == "go")
+    assert call["receiver"] == chain and call["args"] == ["1"]
+
+
 def test_arguments():
     assert reader.arguments('f(a, g(b, "c)"), [d, e], {x, y})', 1) == ["a", 'g(b, "c)")', "[d, e]", "{x, y}"]
     assert reader.arguments("f()", 1) == [] and reader.arguments("f(a, (b", 1) is None
