@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import annotate, sentences
-from ..operators import audit, curated, diff, gates, reports
+from ..operators import audit, curated, diff, documents, gates, reports
 from ..sources import sinks
 from .codebase import said
 from .registry import EVENTS, LINES, read, registered, step_events, step_lines
@@ -42,6 +42,21 @@ def audit_samples(spark, sf_dir):
     return reduce(DataFrame.unionByName, [audit.scanned(rows, [audit.Check(name, F.lit(True), bad)], F.lit(0), c(label), 3) for name, rows, bad, label in checks])
 
 
+_NESTED = {
+    "type": "object", "required": ["id", "price"], "anyOf": [{"properties": {"name": {"pattern": "ring"}}}, {"properties": {"size": {"maximum": 25}}}], "if": {"properties": {"size": {"const": 7}}}, "then": {"required": ["note"]},
+    "properties": {"size": {"type": "integer", "maximum": 40}, "points": {"type": "array", "items": {"type": "array", "minItems": 2, "items": {"type": "integer"}}}},
+}
+
+
+@registered("""WITH p AS (SELECT p_partkey AS k, p_size AS s, p_name AS n FROM part), r AS (SELECT k, '$.price' AS path, 'is missing' AS rule FROM p WHERE k % 4 = 0 UNION ALL SELECT k, '$.size', 'is no integer' FROM p WHERE k % 9 = 0 UNION ALL SELECT k, '$.size', 'breaks maximum' FROM p WHERE k % 9 > 0 AND s > 40
+  UNION ALL SELECT k, '$.points[1]', 'breaks minItems' FROM p WHERE k % 5 = 0 UNION ALL SELECT k, '$.note', 'is missing' FROM p WHERE s = 7 AND k % 9 > 0 UNION ALL SELECT k, '$', 'fits no alternative' FROM p WHERE NOT contains(n, 'ring') AND k % 9 > 0 AND s > 25) SELECT * FROM r""")
+def nested_schema(spark, sf_dir):
+    """What breaks the schema of nested documents, with the path of the part that does (V1)."""
+    k, size = c("p_partkey"), c("p_size").cast("string")
+    text = said('{"id": ', k, ', "name": "', c("p_name"), '", "size": ', F.when(k % 9 == 0, said('"', size, '"')).otherwise(size), F.when(k % 4 > 0, said(', "price": ', c("p_retailprice"))).otherwise(""), ', "points": [[1, ', size, "], [2", F.when(k % 5 > 0, ", 3").otherwise(""), "]]}")
+    return documents.nested_breaches(read(spark, sf_dir, "part").select(k.alias("k"), text.alias("t")), "k", "t", _NESTED)
+
+
 @registered("""WITH st AS (SELECT l_orderkey AS step_id, l_suppkey AS section_id, l_linenumber AS ordinal FROM lineitem)
   SELECT 'step id repeats' AS rule, CAST(step_id AS VARCHAR) AS subject FROM st GROUP BY step_id HAVING count(*) > 1 UNION ALL SELECT 'slug repeats', CAST(s_nationkey AS VARCHAR) FROM supplier GROUP BY s_nationkey HAVING count(*) > 1
   UNION ALL SELECT 'continues an unknown section', CAST(s_suppkey AS VARCHAR) FROM supplier WHERE s_suppkey % 3 = 0 AND s_suppkey * 2 NOT IN (SELECT s_suppkey FROM supplier)
