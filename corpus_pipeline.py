@@ -2,6 +2,15 @@
 
 Every stage takes (spark, docs, sf_dir) and works on all rows that the stage
 before it kept; all but the last return the columns of documents.
+
+A null text counts as an empty one and is never toxic, near another text or
+contaminated; of all empty texts the exact stage keeps one.  Rows with a null id
+are rows like any other: of equal texts the smallest id stays (a null id only
+where none has one), and groups of near copies without any id stay whole.
+Repeated rows are exact copies.  Texts of any length are read whole.  Extra
+columns, whatever they are called, pass through all stages but the last.  An
+empty table gives an empty result, and without labels of both kinds nothing is
+toxic.
 """
 
 from __future__ import annotations
