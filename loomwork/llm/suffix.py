@@ -66,7 +66,7 @@ SLICES = 64
 CHUNK = 1 << 16
 CROP = 12
 #: Rows after which a task hands on what it holds of a batch.
-ROWS = 1 << 18
+ROWS = 1 << 17
 BATCH_STRINGS = 1500
 
 _BASE = 0x9E3779B97F4A7C15
