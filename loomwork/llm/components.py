@@ -12,9 +12,10 @@ def components(edges: DataFrame) -> DataFrame:
     """edges: a, b (long; each link in both directions).  Returns node, label: the smallest node reachable.
 
     Every round takes the smallest label among a node and its neighbours, then
-    the label of that label, so paths halve.  Labels only fall, so an unchanged
-    sum means that none changed.  Each round is written to the shared folder;
-    sums of minima are taken before the shuffle, and the joins read written
+    the label that this one had before the round, so paths halve.  Labels only
+    fall, so an unchanged sum means that none changed.  Each round is one table
+    in the shared folder, so the driver starts few commits; sums of minima are
+    taken before the shuffle, and what has many links is read from written
     tables on both sides, so a node with very many links can be split.
     """
     edges = materialise(edges, "edges")
@@ -22,9 +23,9 @@ def components(edges: DataFrame) -> DataFrame:
     total = None
     while True:
         near = edges.join(labels, edges["b"] == labels["node"]).select(F.col("a").alias("node"), "label")
-        low = materialise(near.unionByName(labels).groupBy("node").agg(F.min("label").alias("label")), "labels")
-        to = low.select(F.col("node").alias("at"), F.col("label").alias("next"))
-        labels = materialise(low.join(to, low["label"] == to["at"]).select("node", F.col("next").alias("label")), "labels")
+        low = near.unionByName(labels).groupBy("node").agg(F.min("label").alias("label"))
+        before = labels.select(F.col("node").alias("at"), F.col("label").alias("next"))
+        labels = materialise(low.join(before, low["label"] == before["at"]).select("node", F.col("next").alias("label")), "labels")
         now = labels.agg(F.sum(F.col("label").cast("decimal(38,0)"))).first()[0]
         if now == total:
             return labels

@@ -35,3 +35,22 @@ def test_null_ids_link(spark):
     assert got == Counter([(7, 4), (None, 4), (4, 4), (None, None)])
     assert kept(spark, [(7, one), (None, two), (4, three), (None, A)]) == Counter([(4, three), (None, A)])
     assert kept(spark, [(7, one), (7, two)]).total() == 1
+
+
+def test_rounds_of_components_are_one_plain_table_each(spark):
+    """The driver commits one table a round, without a mark of success; a long chain still gets its smallest node."""
+    import math
+    from pathlib import Path
+
+    from loomwork.llm.components import components
+    from loomwork.plans.tables import scratch, settled
+
+    settled(spark.range(3), "before")
+    place = Path(scratch(spark).removeprefix("file://"))
+    old = set(place.iterdir())
+    n = 300
+    edges = spark.createDataFrame([(a, b) for k in range(n - 1) for a, b in ((k * 7 % n, (k + 1) * 7 % n), ((k + 1) * 7 % n, k * 7 % n))], "a long, b long")
+    assert {(r.node, r.label) for r in components(edges).collect()} == {(k, 0) for k in range(n)}
+    new = set(place.iterdir()) - old
+    assert len(new) <= 2 + 2 * math.ceil(math.log2(n))
+    assert all(any(p.glob("*.parquet")) and not (p / "_SUCCESS").exists() for p in new)
