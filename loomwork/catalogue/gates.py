@@ -75,8 +75,8 @@ def guide_invariants(spark, sf_dir):
 def image_gate(spark, sf_dir):
     """Hosts and hashes of pictures (V3)."""
     p = read(spark, sf_dir, "pages")
-    hashes = p.where("page_id % 3 > 0").select("url", F.when(c("page_id") % 3 == 1, F.lit("abc")).otherwise(F.sha2(c("html").cast("binary"), 256)).alias("sha256"))
-    return gates.image_problems(p.select("url"), "url", hashes, "https://")
+    hashes = p.where("page_id % 3 > 0").select("page_id", F.when(c("page_id") % 3 == 1, F.lit("abc")).otherwise(F.sha2(c("html").cast("binary"), 256)).alias("sha256"))
+    return gates.image_problems(p.select("page_id", "url"), "url", hashes, "https://", "page_id")
 
 
 @registered("SELECT 'error' AS severity, CAST(l_orderkey AS VARCHAR) AS key, CAST(l_partkey AS VARCHAR) AS value FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 5) UNION ALL SELECT 'note', n_name, CAST(n_regionkey AS VARCHAR) FROM nation WHERE n_regionkey NOT IN (SELECT r_regionkey FROM region WHERE r_name LIKE 'A%')")

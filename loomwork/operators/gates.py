@@ -86,11 +86,16 @@ def guide_invariants(sections: DataFrame, steps: DataFrame, episodes: DataFrame,
     )
 
 
-def image_problems(images: DataFrame, url: str, hashes: DataFrame, prefix: str) -> DataFrame:
-    """url, problem: images on another host, without a recorded hash, or with one that is none (V3)."""
-    h = hashes.select(F.col("url").alias("__url"), F.col("sha256").alias("__sha"))
+def image_problems(images: DataFrame, url: str, hashes: DataFrame, prefix: str, key: str | None = None) -> DataFrame:
+    """url, problem: images on another host, without a recorded hash, or with one that is none (V3).
+
+    A hash is recorded under `key`, once each; the key is the url itself unless
+    one address can stand for several images.
+    """
+    key = key or url
+    h = hashes.select(F.col(key).alias("__key"), F.col("sha256").alias("__sha"))
     why = F.when(~F.startswith(F.col(url), F.lit(prefix)), "unexpected host").when(F.col("__sha").isNull(), "no recorded hash").when(~F.col("__sha").rlike("^[0-9a-f]{64}$"), "malformed hash")
-    return images.join(h, F.col(url) == F.col("__url"), "left").select(F.col(url).alias("url"), why.alias("problem")).where("problem is not null")
+    return images.join(h, F.col(key) == F.col("__key"), "left").select(F.col(url).alias("url"), why.alias("problem")).where("problem is not null")
 
 
 def curated_problems(rows: DataFrame, key: str, value: str, authority: DataFrame, known: str, severity: str = "error") -> DataFrame:
