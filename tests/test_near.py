@@ -49,3 +49,44 @@ def test_within_against_all_pairs(spark):
         pairs = [tuple(r) for r in got.select("k", "near_k").collect()]
         assert len(pairs) == len(set(pairs)) and set(pairs) == want
     assert resolve.within(rows.where(F.lit(False)), rows, ["plane"], ["x"], 3).count() == 0
+
+
+def test_nearest_alike_against_all_pairs(spark):
+    """Every bound, lengths down to none, and no pair that merely shares a frequent piece is needed."""
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("ab ") for _ in range(rng.choice([0, 1, 2, 3, 4, 5, 7]))) for _ in range(40)]
+    texts += ["".join(rng.choice("abcdefgh ") for _ in range(rng.choice([6, 8, 9, 12, 20]))) for _ in range(120)]
+    for t in texts[60:120]:
+        s = list(t)
+        for _ in range(rng.randrange(1, 5)):
+            s.insert(rng.randrange(len(s) + 1), rng.choice("abé")) if rng.random() < 0.5 or not s else s.pop(rng.randrange(len(s)))
+        texts.append("".join(s))
+    rows = spark.createDataFrame([*enumerate(texts), (9999, None)], "k int, t string")
+    for most in (1, 2, 3):
+        want = {}
+        for i, a in enumerate(texts):
+            d = min(edits(a, b) for j, b in enumerate(texts) if i != j)
+            if d <= most:
+                want[i] = d
+        got = [tuple(r) for r in resolve.nearest_alike(rows, "k", "t", most).collect()]
+        assert len(got) == len(want) and dict(got) == want
+
+
+def test_close_pairs_ask_each_likeness_once(spark, monkeypatch):
+    """As all pairs of a block say; a block of many rows with few texts makes few pairs."""
+    from difflib import SequenceMatcher
+
+    from loomwork.operators import loose
+
+    rng = random.Random(3)
+    names = ["hot ring", "hot rings", "cold ring", "small bolt", "smell bolt", "x", None]
+    rows = [(rng.choice("pq"), k, rng.choice(names)) for k in range(120)] + [(None, 900, "hot ring")]
+    want = set()
+    for b, k, a in rows:
+        if a is not None and b is not None:
+            near = sorted((-SequenceMatcher(None, a, t).ratio(), o) for c, o, t in rows if c == b and o != k and t is not None)
+            want |= {(b, k, o, -r, n + 1) for n, (r, o) in enumerate(near[:3]) if -r >= 0.62}
+    df = spark.createDataFrame(rows, "b string, k int, t string")
+    assert {tuple(r) for r in loose.close_pairs(df, df, "b", "k", "t", 3, 0.62).collect()} == want
+    many = spark.range(30000).selectExpr("'b' as b", "id as k", "concat('name ', id % 7) as t")
+    assert loose.close_pairs(many, many, "b", "k", "t", 2, 0.62).count() == 60000  # 900 million pairs of rows
