@@ -79,3 +79,34 @@ def test_locks():
     assert lock_problem(good) is None
     for bad in ({"size": 1}, {"size": "5"}, {"parent": 0}, {"submit": None}, {"cycles": [dial(1)]}, {"cycles": [dial(1), dial(1)]}, {"cycles": [dial(1), dial(2, 5)]}):
         assert lock_problem(good | bad)
+
+
+def test_sources_are_handed_on_in_pieces(spark):
+    """Rows leave a worker some at a time, whatever the number of files; none is lost, null texts have none."""
+    from loomwork.codebase import reader
+    from pyspark.sql import functions as F
+
+    files = spark.range(3000, numPartitions=1).select(F.col("id").alias("file"), F.when(F.col("id") % 10 > 0, F.lit("class A { void b() { c = d(1, e()); } }")).alias("source"))
+    rel = reader.read_sources(files, settle=False)
+    assert rel.count() == 2700 * len(reader.relations("class A { void b() { c = d(1, e()); } }"))
+    import pyarrow as pa
+
+    many = pa.RecordBatch.from_pydict({"file": list(range(3000)), "source": ["a(b(), c());"] * 3000})
+    got = list(reader.pieces([many], reader.relations, reader.COLUMNS))
+    assert max(b.num_rows for b in got) == reader.ROWS and sum(b.num_rows for b in got) == 3000 * len(reader.relations("a(b(), c());"))
+
+
+def test_puzzles_are_dealt_over_tasks(spark):
+    from loomwork.codebase import puzzles
+
+    files = spark.range(50, numPartitions=1).selectExpr("id as file", "'class A {}' as source")
+    assert puzzles.dial_rows(files).rdd.getNumPartitions() > 1 and puzzles.lock_rows(files).count() == 0
+
+
+def test_stock_gives_every_pair_once(spark):
+    """Rows of one page are not mixed, and no plan is needed that tells all pairs apart."""
+    from loomwork.codebase import tables
+
+    pages = spark.createDataFrame([("a", [1, 1, 2], [8, 8]), ("b", [1], [8, 9]), ("b", [1, 3], [9]), ("c", [], [8]), ("d", None, [8])], "page string, sold array<int>, owners array<int>")
+    got = [tuple(r) for r in tables.stock(pages, "page", "sold", "owners").collect()]
+    assert sorted(got) == [("a", 1, 8), ("a", 2, 8), ("b", 1, 8), ("b", 1, 9), ("b", 3, 9)]
