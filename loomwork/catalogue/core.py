@@ -179,9 +179,7 @@ def nearest_place(spark, sf_dir):
     k, n = F.col("p_partkey"), F.col("s_suppkey")
     parts = read(spark, sf_dir, "part").select("p_partkey", (F.col("p_size") % 4).cast("long").alias("plane"), (k * 37 % 1000).alias("x"), (k * 91 % 700).alias("y"))
     places = read(spark, sf_dir, "supplier").select("s_suppkey", (F.col("s_nationkey") % 4).cast("long").alias("plane"), (n * 53 % 1000).alias("x"), (n * 17 % 700).alias("y"))
-    gap = lambda a: (F.col(a) - F.col(f"near_{a}")) * (F.col(a) - F.col(f"near_{a}"))
-    got = resolve.nearest(resolve.within(parts, places, ["plane"], ["x", "y"], 60), "p_partkey", "near_s_suppkey", gap("x") + gap("y"), 3600, [F.asc("near_s_suppkey")])
-    return got.select("p_partkey", F.col("near_s_suppkey").alias("s_suppkey"), "distance")
+    return resolve.nearest_within(parts, places, "p_partkey", "s_suppkey", ["plane"], ["x", "y"], 60)
 
 
 PHRASES = ["ring", "hot ring", "small", "small part", "part", "blue", "red part"]

@@ -90,3 +90,20 @@ def test_close_pairs_ask_each_likeness_once(spark, monkeypatch):
     assert {tuple(r) for r in loose.close_pairs(df, df, "b", "k", "t", 3, 0.62).collect()} == want
     many = spark.range(30000).selectExpr("'b' as b", "id as k", "concat('name ', id % 7) as t")
     assert loose.close_pairs(many, many, "b", "k", "t", 2, 0.62).count() == 60000  # 900 million pairs of rows
+
+
+def test_nearest_of_many_rows_at_few_places(spark):
+    """Places meet, not rows: 200,000 by 20,000 rows at 40 places."""
+    left = spark.range(200000).selectExpr("id as k", "id % 2 as p", "id % 20 * 7 as x", "id % 5 as y")
+    right = spark.range(20000).selectExpr("id as s", "id % 2 as p", "id % 20 * 5 as x", "id % 3 as y")
+    sites = {}
+    for s in range(20000):
+        sites.setdefault((s % 2, s % 20 * 5, s % 3), s)
+    want = {}
+    for k in range(20):
+        near = [((x - k * 7) ** 2 + (y - k % 5) ** 2, s) for (p, x, y), s in sites.items() if p == k % 2 and abs(x - k * 7) <= 9 and abs(y - k % 5) <= 9]
+        want[k] = min((d for d in near if d[0] <= 81), default=None)
+    got = resolve.nearest_within(left, right, "k", "s", ["p"], ["x", "y"], 9)
+    rows = got.where("k < 20").collect()
+    assert {r.k: (r.distance, r.s) for r in rows} == {k: v for k, v in want.items() if v}
+    assert got.count() == 10000 * len(rows)
