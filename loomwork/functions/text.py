@@ -14,7 +14,8 @@ LINK = r"\[\[([^\]|]*)\|?([^\]|]*)\]\]"
 
 def display_text(c: Column) -> Column:
     """Link markup replaced by its label, or by its target where there is no label."""
-    return F.trim(F.regexp_replace(F.regexp_replace(c, r"\[\[[^\]|]*\|([^\]|]+)\]\]", "$1"), r"\[\[([^\]|]*)\|?\]\]", "$1"))
+    unlinked = F.regexp_replace(F.regexp_replace(c, r"\[\[[^\]|]*\|([^\]|]+)\]\]", "$1"), r"\[\[([^\]|]*)\|?\]\]", "$1")
+    return F.trim(F.when(F.contains(c, F.lit("[[")), unlinked).otherwise(c))
 
 
 def without_links(c: Column) -> Column:
@@ -51,7 +52,7 @@ def slug(c: Column) -> Column:
 
 def collapsed(c: Column) -> Column:
     """Lower case, white space collapsed and trimmed."""
-    return F.lower(F.trim(F.regexp_replace(c, r"\s+", " ")))
+    return F.lower(F.trim(F.regexp_replace(c, r"[^\S ]\s*| \s+", " ")))  # a lone space stays as it is
 
 
 def id_text(c: Column) -> Column:

@@ -8,7 +8,7 @@ from difflib import SequenceMatcher
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.tables import settled
@@ -44,7 +44,7 @@ def ratio_of(old: str, new: str, starts: bool) -> float | None:
 
 
 def starting(short: DataFrame, long: DataFrame) -> DataFrame:
-    """short, long: classes of texts of one section of which one starts the other for long enough.
+    """short, long, ratio: classes of texts of one section of which one starts the other for long enough.
 
     Both: section, text, cls.  A longer text is cut to those lengths that the
     section's shorter texts have, so the two meet by equality.
@@ -54,36 +54,52 @@ def starting(short: DataFrame, long: DataFrame) -> DataFrame:
     n = F.length("text")
     fits = F.filter("lengths", lambda x: (x <= n) & (x >= n * PREFIX_SHARE))
     cut = long.join(lengths, "section").select("section", F.col("cls").alias("long"), "text", F.explode(fits).alias("n"))
-    return cut.select("section", "long", F.substring("text", F.lit(1), F.col("n")).alias("text")).join(s, ["section", "text"]).select("short", "long")
+    cut = cut.select("section", "long", F.substring("text", F.lit(1), F.col("n")).alias("text"), started_ratio(F.col("n"), n).alias("ratio"))
+    return cut.join(s, ["section", "text"]).select("short", "long", "ratio")
+
+
+def started_ratio(x: Column, y: Column) -> Column:
+    """ratio_of() two texts of these lengths of which one starts the other.
+
+    The longest stretch in common is then the whole shorter text, at the start
+    of both: of equally long stretches of letters that are not too frequent the
+    matcher takes the first, which stands at the same place in both, and widens
+    it to either side.
+    """
+    return 2.0 * F.least(x, y) / (x + y)
 
 
 def _rated(pairs: DataFrame) -> DataFrame:
-    """pairs: a, b, starts, old, new; those that may stand for each other, with their ratio instead of the texts."""
+    """pairs: a, b, old, new; those that are alike, with their ratio instead of the texts."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            ratio = [ratio_of(*r) for r in zip(f["old"], f["new"], f["starts"], strict=True)]
-            yield f[["a", "b", "starts"]].assign(ratio=pd.Series(ratio, index=f.index, dtype=float)).dropna()
+            ratio = [ratio_of(*r, False) for r in zip(f["old"], f["new"], strict=True)]
+            yield f[["a", "b"]].assign(ratio=pd.Series(ratio, index=f.index, dtype=float)).dropna()
 
-    return pairs.select("a", "b", "starts", "old", "new").mapInPandas(run, "a long, b long, starts boolean, ratio double")
+    return pairs.select("a", "b", "old", "new").mapInPandas(run, "a long, b long, ratio double")
 
 
 def candidates(gone: DataFrame, come: DataFrame) -> DataFrame:
     """a, b, starts, ratio: of texts that start one another a link between their classes, of neighbours that are alike one between rows.
 
-    Both sides: section, ordinal, text, row, cls.
+    Both sides: section, ordinal, text, row, cls.  Only neighbours of which
+    neither starts the other are compared letter by letter.
     """
     a, b = (t.select("section", "text", "cls").distinct() for t in (gone, come))
-    pairs = starting(a, b).select(F.col("short").alias("a"), F.col("long").alias("b")).unionByName(starting(b, a).select(F.col("long").alias("a"), F.col("short").alias("b"))).distinct()
-    olds, news = a.select(F.col("cls").alias("a"), F.col("text").alias("old")), b.select(F.col("cls").alias("b"), F.col("text").alias("new"))
-    begun = pairs.join(olds, "a").join(news, "b").withColumn("starts", F.lit(True))
+    forth = starting(a, b).select(F.col("short").alias("a"), F.col("long").alias("b"), "ratio")
+    back = starting(b, a).select(F.col("long").alias("a"), F.col("short").alias("b"), "ratio")
+    begun = forth.unionByName(back).distinct()
     gaps = F.sequence(F.col("ordinal") - ORDINAL_GAP, F.col("ordinal") + ORDINAL_GAP)
     around = gone.select("section", F.col("row").alias("a"), F.col("text").alias("old"), F.explode(gaps).alias("ordinal"))
     close = around.join(come.select("section", "ordinal", F.col("row").alias("b"), F.col("text").alias("new")), ["section", "ordinal"])
     x, y = F.length("old"), F.length("new")
-    close = close.where(2 * F.least(x, y) >= RATIO * (x + y)).withColumn("starts", F.lit(False))
-    columns = ["a", "b", "starts", "old", "new"]
-    return settled(_rated(begun.select(columns).unionByName(close.select(columns))), "candidates")
+    close = settled(close.where(2 * F.least(x, y) >= RATIO * (x + y)), "neighbours")
+    started = F.startswith("old", "new") | F.startswith("new", "old")
+    same = close.where(started).select("a", "b", started_ratio(x, y).alias("ratio")).where(F.col("ratio") >= RATIO)
+    near = same.unionByName(_rated(close.where(~started)))
+    mark = lambda t, starts: t.select("a", "b", F.lit(starts).alias("starts"), "ratio")
+    return settled(mark(begun, True).unionByName(mark(near, False)), "candidates")
 
 
 def claimed(rows: list[tuple[bool, int, str, int, int]], links: list[tuple[int, int, bool, float]]) -> list[tuple[int, int]]:
@@ -148,6 +164,7 @@ def migrations(old: DataFrame, new: DataFrame) -> DataFrame:
     Equal texts of a section are one class, linked once.  Null and empty texts
     match nothing; of equal candidates the first by place, then id, is claimed.
     """
+    old, new = (settled(t.select("section", "ordinal", "id", "text"), "ids") for t in (old, new))  # each is read twice
     sides = []
     for k, (own, other) in enumerate(((old, new), (new, old))):
         left = own.join(other.select("section", "id"), ["section", "id"], "left_anti").where("text <> ''")
@@ -160,14 +177,21 @@ def migrations(old: DataFrame, new: DataFrame) -> DataFrame:
     begun = links.where("starts").select(F.explode(F.array("a", "b")).alias("cls")).distinct()
     classes = every.join(begun, "cls", "left_semi").select(F.col("row").alias("a"), F.col("cls").alias("b"))
     part = settled(graph.parts(links.select("a", "b").unionByName(classes)), "part")
+    # A part with one row on either side has but one link to follow; only larger ones are sorted and read in order.
+    members = settled(every.join(part, every["row"] == part["node"]), "members")
+    own = lambda new: F.min(F.when(F.col("new") == new, F.col("row")))
+    sizes = members.groupBy("part").agg(F.count(F.lit(1)).alias("n"), own(False).alias("a"), own(True).alias("b"))
+    sizes = settled(sizes.withColumn("lone", (F.col("n") == 2) & F.col("a").isNotNull() & F.col("b").isNotNull()), "sizes")
+    many = sizes.where("not lone").select("part")
     none = lambda kind: F.lit(None).cast(kind)
-    members = every.join(part, every["row"] == part["node"]).select(
+    members = members.join(many, "part", "left_semi").select(
         "part", "new", none("long").alias("a"), none("long").alias("b"), none("boolean").alias("starts"), none("double").alias("ratio"), "ordinal", "id", "row", "cls"
     )
-    edges = links.join(part, links["a"] == part["node"]).select(
+    edges = links.join(part.join(many, "part", "left_semi"), links["a"] == F.col("node")).select(
         "part", none("boolean").alias("new"), "a", "b", "starts", "ratio", none("long").alias("ordinal"), none("string").alias("id"), none("long").alias("row"), none("long").alias("cls")
     )
     pairs = members.unionByName(edges).repartition("part").sortWithinPartitions("part").mapInArrow(_claims, "a long, b long")
+    pairs = pairs.unionByName(sizes.where("lone").select("a", "b"))
     mine = gone.select(F.col("row").alias("a"), "section", F.col("id").alias("old_id"))
     return pairs.join(mine, "a").join(come.select(F.col("row").alias("b"), F.col("id").alias("new_id")), "b").select("section", "old_id", "new_id")
 

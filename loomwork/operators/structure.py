@@ -50,7 +50,8 @@ def duplicate_ordinals(rows: DataFrame, keys: list[str], order: list[str], out:
 def stable_ids(rows: DataFrame, scope: str, text_col: str, order: list[str], out: str = "step_id") -> DataFrame:
     """First ten hex digits of SHA-1 over scope and normalised text; a repeat
     within its scope adds its ordinal.  Empty texts are left out first."""
-    some = rows.withColumn("norm", id_text(F.col(text_col))).where("norm <> ''")
+    # A generator, so that the filter is not pushed below it and the text normalised twice.
+    some = rows.withColumn("norm", F.explode(F.array(id_text(F.col(text_col))))).where("norm <> ''")
     numbered = duplicate_ordinals(some, [scope, "norm"], order)
     key = F.concat(F.col(scope).cast("string"), F.lit("|"), F.col("norm"), F.when(F.col("dup") > 0, F.concat(F.lit("#"), F.col("dup").cast("string"))).otherwise(""))
     return numbered.withColumn(out, short_hash(key))

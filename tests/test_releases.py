@@ -67,6 +67,25 @@ def test_one_long_section_is_divided(spark):
     assert links.where("starts").count() == 1 and links.where("not starts").count() <= 5 * 400
 
 
+def test_texts_that_start_one_another_need_no_matcher(spark, monkeypatch):
+    """Their ratio follows from the lengths, with and without frequent letters; only other neighbours are compared."""
+    rng, rows = random.Random(5), []
+    for n in (1, 13, 199, 200, 201, 450):
+        for letters in ("ab", "abcdefgh ", "".join(map(chr, range(97, 400)))):
+            a = "".join(rng.choices(letters, k=n))
+            rows += [(a, a + "".join(rng.choices(letters, k=rng.randint(0, n))))] * 2
+    rows = [(a, b) if k % 2 else (b, a) for k, (a, b) in enumerate(rows)]
+    got = spark.createDataFrame(rows, "old string, new string").select("old", "new", diff.started_ratio(F.length("old"), F.length("new")).alias("ratio")).collect()
+    assert [r.ratio for r in got] == [SequenceMatcher(None, r.old, r.new).ratio() for r in got] and len(got) == 36
+
+    asked, rated = [], diff._rated
+    monkeypatch.setattr(diff, "_rated", lambda pairs: asked.extend((r.old, r.new) for r in pairs.collect()) or rated(pairs))
+    old = spark.createDataFrame([("a", 0, "1", "talk to the cook today"), ("a", 9, "2", "take the red bucket now")], ROW)
+    new = spark.createDataFrame([("a", 0, "8", "talk to the cook today!"), ("a", 9, "9", "take the blue bucket now")], ROW)
+    assert sorted(tuple(r)[1:] for r in diff.migrations(old, new).collect()) == [("1", "8"), ("2", "9")]
+    assert asked == [("take the red bucket now", "take the blue bucket now")]
+
+
 def test_parts(spark):
     rng = random.Random(1)
     links = [(k, k + 1) for k in range(300)] + [(1000, 1000)] + [(2000 + rng.randrange(60), 2000 + rng.randrange(60)) for _ in range(40)] + [(5000, k) for k in range(4000, 4400)]
