@@ -18,22 +18,27 @@ def display_text(c: Column) -> Column:
     return F.trim(F.when(F.contains(c, F.lit("[[")), unlinked).otherwise(c))
 
 
+def _with(c: Column, sign: str, read: Column) -> Column:
+    """What is read from a text that holds the sign, an empty list from any other; null from null."""
+    return F.when(~F.contains(c, F.lit(sign)), F.expr("cast(array() as array<string>)")).otherwise(read)
+
+
 def without_links(c: Column) -> Column:
-    return F.regexp_replace(c, r"\[\[[^\]]*\]\]", " ")
+    return F.when(F.contains(c, F.lit("[[")), F.regexp_replace(c, r"\[\[[^\]]*\]\]", " ")).otherwise(c)
 
 
 def link_targets(c: Column) -> Column:
     """Distinct targets in order; anchors cut, underscores read as spaces."""
-    return F.array_distinct(F.transform(F.regexp_extract_all(c, F.lit(LINK), F.lit(1)), lambda t: F.trim(F.translate(F.regexp_replace(t, "#.*$", ""), "_", " "))))
+    return _with(c, "[[", F.array_distinct(F.transform(F.regexp_extract_all(c, F.lit(LINK), F.lit(1)), lambda t: F.trim(F.translate(F.regexp_replace(t, "#.*$", ""), "_", " ")))))
 
 
 def urls(c: Column) -> Column:
-    return F.transform(F.regexp_extract_all(c, F.lit(r"(https?://[^\s\"<>\]]+)"), F.lit(1)), lambda u: F.regexp_replace(u, "[.,;:)]+$", ""))
+    return _with(c, "://", F.transform(F.regexp_extract_all(c, F.lit(r"(https?://[^\s\"<>\]]+)"), F.lit(1)), lambda u: F.regexp_replace(u, "[.,;:)]+$", "")))
 
 
 def number_tuples(c: Column) -> Column:
     """Every (1,2,...) as a string of its numbers."""
-    return F.regexp_extract_all(c, F.lit(r"\(([0-9]+(?:\s*,\s*[0-9]+)*)\)"), F.lit(1))
+    return _with(c, "(", F.regexp_extract_all(c, F.lit(r"\(([0-9]+(?:\s*,\s*[0-9]+)*)\)"), F.lit(1)))
 
 
 def number_lists(c: Column) -> Column:
@@ -42,7 +47,7 @@ def number_lists(c: Column) -> Column:
 
 
 def bracket_tags(c: Column) -> Column:
-    return F.regexp_extract_all(without_links(c), F.lit(r"\[([^\]\[]+)\]"), F.lit(1))
+    return _with(c, "[", F.regexp_extract_all(without_links(c), F.lit(r"\[([^\]\[]+)\]"), F.lit(1)))
 
 
 def slug(c: Column) -> Column:

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.tables import settled
+
 
 def most_common(rows: DataFrame, value: Column | str, k: int, order: Column | str | None = None) -> DataFrame:
     """value, n: the k most frequent values, of equals the one seen first, or else the smaller (L1, L2)."""
@@ -37,14 +39,15 @@ def annotation_coverage(steps: DataFrame, k: int = 40) -> DataFrame:
 
     steps: raw, intent, confidence, target.
     """
+    first = F.nullif(F.regexp_replace(F.regexp_extract("raw", r"^\s*(\S+)", 1), "^[:,.]+|[:,.]+$", ""), F.lit(""))
+    steps = settled(steps.select("intent", "confidence", "target", first.alias("first")), "coverage")  # read four times
     count = lambda name, c: steps.groupBy(c.alias("value")).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("measure"), "value", "n")
     top = lambda name, rows, c: most_common(rows, c, k).select(F.lit(name).alias("measure"), "value", "n")
-    first = F.nullif(F.regexp_replace(F.regexp_extract("raw", r"^\s*(\S+)", 1), "^[:,.]+|[:,.]+$", ""), F.lit(""))
     return (
         count("intent", F.coalesce("intent", F.lit("-none-")))
         .unionByName(count("confidence", F.col("confidence")))
         .unionByName(top("inferred name", steps.where("confidence = 'inferred'"), F.col("target")))
-        .unionByName(top("unhandled verb", steps.where("intent is null"), first))
+        .unionByName(top("unhandled verb", steps.where("intent is null"), F.col("first")))
     )
 
 

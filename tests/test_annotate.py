@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from loomwork.functions.annotate import annotate, leading_verb
+from loomwork.operators import reports
 
 SENTENCES = {
     "Head West and talk to Redbeard Frank [Pirate]": {"intent": "npc", "target": "Redbeard Frank", "tags": ["Pirate"]},
@@ -39,3 +40,27 @@ def test_leading_verb(spark):
     texts = {"talk to x": ("talk to", "npc"), "talk": None, "bank at y": ("bank at", "object"), "bank": ("bank", "bank"), "banking": None, "withdraw: a": ("withdraw", "withdraw"), "": None}
     df = spark.createDataFrame([(k,) for k in texts], "t string").select("t", leading_verb(F.col("t")).alias("v"))
     assert {r.t: r.v and tuple(r.v) for r in df.collect()} == texts
+
+
+def test_candidate_texts_are_read_once(spark):
+    """What may hold goods is worked out in columns, not inside the function on arrays that reads them."""
+    rows = spark.createDataFrame([("Collect 3 Ropes and go",), ("Go on\tHans",), ("play on hans",), (None,), ("Varrock teleport to Varrock",), ("Ropes  and more",), ("(1) [x]",)], "text string")
+    got = annotate(rows, "text")
+    assert "transform(array(__text0#" in got._jdf.queryExecution().optimizedPlan().toString()
+    f = [r.fields for r in got.collect()]
+    assert [(x["name"], x["count"]) for x in f[0]["items"]] == [("Ropes", 3)] and f[1]["target"] == "Hans" and f[2]["target"] is None and f[3]["intent"] is None
+    assert (f[4]["teleport_item"], f[4]["teleport_item_to"], f[5]["teleport_item"], f[6]["tags"]) == ("Varrock", "Varrock", "Ropes", ["x"])
+
+
+def test_coverage_reads_the_steps_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(frames):
+        for f in frames:
+            read.add(len(f))
+            yield f
+
+    rows = spark.createDataFrame([("Go", "nav", None, "none"), (":Sit", None, "X", "inferred"), ("Sit", None, None, "none")], "raw string, intent string, target string, confidence string")
+    got = reports.annotation_coverage(rows.mapInPandas(counted, rows.schema))
+    assert {tuple(r) for r in got.collect()} == {("intent", "nav", 1), ("intent", "-none-", 2), ("confidence", "none", 2), ("confidence", "inferred", 1), ("inferred name", "X", 1), ("unhandled verb", "Sit", 2)}
+    assert read.value == 3
