@@ -176,22 +176,17 @@ def tagged(tags: DataFrame, key: str, tag: str, quests: DataFrame, aliases: Data
 
 def quest_in_prose(rows: DataFrame, key: str, text: str, quests: DataFrame, aliases: DataFrame) -> DataFrame:
     """key, quest, written: the longest quest name in the text, or whose letters, ten at least, are in its letters; else the longest alias that ends a word."""
-    names = quests.select(F.col("quest"), F.length("quest").alias("len"))
+    names = quests.select("quest", F.col("quest").alias("written"), F.lit(0).alias("__turn"))
     plain = names.withColumn("__needle", F.lower("quest")).withColumn("__spelt", F.lit(0))
-    flat = names.withColumn("__needle", squash(F.col("quest"))).where(F.length("__needle") >= SHORTEST_SQUASH)
-    by_name = _contained(rows.select(key, F.lower(text).alias("__text")), plain).unionByName(_contained(rows.select(key, squash(F.col(text)).alias("__text")), flat.withColumn("__spelt", F.lit(1))))
-    n = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("len"), "quest", "__spelt"))
-    best = by_name.withColumn("__n", n).where("__n = 1").select(key, "quest", F.col("quest").alias("written"))
-    rest = rows.join(best.select(key), key, "left_anti")
-    a = aliases.select("written", "quest", F.length("written").alias("len")).withColumn("__needle", F.lower("written")).withColumn("__spelt", F.lit(0))
-    met = _contained(rest.select(key, F.lower(text).alias("__text")), a)
-    ends = met.where(F.regexp_like("__text", F.concat(F.regexp_replace("__needle", r"([^A-Za-z0-9_\s])", r"\\$1"), F.lit(r"(?!\w)"))))
-    n = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("len"), "written"))
-    return best.unionByName(ends.withColumn("__n", n).where("__n = 1").select(key, "quest", "written"))
-
-
-def _contained(rows: DataFrame, phrases: DataFrame) -> DataFrame:
-    return containing(rows, "__text", phrases, "__needle")
+    flat = names.withColumn("__needle", squash(F.col("quest"))).where(F.length("__needle") >= SHORTEST_SQUASH).withColumn("__spelt", F.lit(1))
+    a = aliases.select("quest", "written", F.lit(1).alias("__turn"), F.lower("written").alias("__needle"), F.lit(0).alias("__spelt"))
+    low, squashed = rows.select(key, F.lower(text).alias("__text")), rows.select(key, squash(F.col(text)).alias("__text"))
+    # Only what was found goes on, never the texts: names and aliases of a row are put in order together.
+    met = [containing(low, "__text", plain, "__needle"), containing(squashed, "__text", flat, "__needle"), containing(low, "__text", a, "__needle", word_ends=True)]
+    one, two, three = (m.select(key, "quest", "written", "__turn", "__spelt") for m in met)
+    order = F.struct("__turn", -F.length("written"), "written", "__spelt", "quest")
+    best = one.unionByName(two).unionByName(three).groupBy(key).agg(F.min_by(F.struct("quest", "written"), order).alias("__best"))
+    return best.select(key, "__best.quest", "__best.written")
 
 
 def spells(steps: DataFrame, place: str, raw: str, by_place: DataFrame, widgets: DataFrame) -> DataFrame:

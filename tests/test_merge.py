@@ -107,3 +107,11 @@ def test_milestones_by_hand(spark):
     assert {r.o: (r.follow, r.stop_unresolved, r.start_only, r.done_at) for r in got.select("o", "follow", "stop_unresolved", "start_only", F.col("done_at")).collect()} == {
         1: (False, False, True, 5), 2: (False, False, True, 5), 3: (True, False, False, None), 4: (False, True, False, None), 5: (False, False, False, None), 6: (False, False, False, None),
     }
+
+
+def test_prose_texts_meet_nothing_twice(spark):
+    """Names go before aliases, which end a word, without the texts being joined again."""
+    rows = spark.createDataFrame([(1, "the wonder"), (2, "Wonder der"), (3, "order, wonderful"), (4, "wonders"), (5, None), (6, "x-der_ der")], "k int, t string")
+    got = merge.quest_in_prose(rows, "k", "t", spark.createDataFrame([("the",), ("The W",)], "quest string"), spark.createDataFrame([("der", "D"), ("wonder", "W")], "written string, quest string"))
+    assert {tuple(r) for r in got.collect()} == {(1, "The W", "The W"), (2, "W", "wonder"), (3, "D", "der"), (6, "D", "der")}
+    assert "LeftAnti" not in got._jdf.queryExecution().optimizedPlan().toString()
