@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..codebase import conditions, extract, reader
+from ..plans.tables import beside
 from .registry import read, registered, step_events
 
 #: Parts in a source file, so files grow in number with the table; how far away a part's alternate is.
@@ -210,7 +211,7 @@ def source_overrides(spark, sf_dir):
         .otherwise(said(name, " = ", above(2), ";", F.when(c("s") % 3 == 0, said(" ", name, ".setText(\"last ", c("r"), "\");")).otherwise("")))
     )
     whole = parts(spark, sf_dir).where(c("r") - k + 5 < c("n")).select("file", name.alias("name"))
-    got = extract.delegated(relation(spark, sf_dir, line)).join(whole, ["file", "name"], "left_semi")
+    got = beside(extract.delegated(relation(spark, sf_dir, line)), whole, ["file", "name"], "left_semi")
     return got.select("file", "name", "text", "constant", "icon", F.array_join(F.transform("arms", lambda a: a["condition"]), ",").alias("arms"), "stood_in")
 
 

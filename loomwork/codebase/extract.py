@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.tables import settled
+from ..plans.tables import beside, settled
 
 # Names of the library that the sources are written against.
 ITEM, ZONE, PANEL, CONDITIONAL, DETAILED = "ItemRequirement", "Zone", "PanelDetails", "ConditionalStep", "DetailedQuestStep"
@@ -224,7 +224,7 @@ def branches(rel: DataFrame) -> DataFrame:
     """
     c = calls(rel)
     base = c.select("file", F.col("pos").alias("on_call"), F.coalesce("receiver", "target").alias("begun"))
-    added = c.where("name = 'addStep' and size(args) = 2").join(base, ["file", "on_call"], "left").withColumn("owner", F.coalesce("receiver", "target", "begun"))
+    added = beside(c.where("name = 'addStep' and size(args) = 2"), base, ["file", "on_call"], "left").withColumn("owner", F.coalesce("receiver", "target", "begun"))
     own = added.where("owner is not null").select("file", "owner", "until", F.get("args", F.lit(0)).alias("condition"), F.get("args", F.lit(1)).alias("step"))
     default = declarations(rel).where(F.col("type") == CONDITIONAL).select("file", F.col("name").alias("owner"), F.lit(None).cast("int").alias("until"), F.lit(None).cast("string").alias("condition"), F.get("args", F.lit(1)).alias("step"))
     n = F.row_number().over(Window.partitionBy("file", "owner").orderBy(F.asc_nulls_last("until")))
@@ -235,8 +235,8 @@ def copied_branches(rel: DataFrame) -> DataFrame:
     """file, owner, condition, step, at: what `b = a.copy()` took of a's branches: those added before it; a later one with the same condition on b stands instead."""
     copies = assigns(rel).where(F.col("expression").rlike(r"^\w+\.copy\(\)$")).select("file", F.col("target").alias("copy"), F.regexp_extract("expression", r"^(\w+)\.", 1).alias("owner"), F.col("pos").alias("copied"))
     added = calls(rel).where("name = 'addStep' and size(args) = 2 and receiver is not null").select("file", F.col("receiver").alias("owner"), F.col("pos").alias("at"), F.get("args", F.lit(0)).alias("condition"), F.get("args", F.lit(1)).alias("step"))
-    taken = added.join(copies, ["file", "owner"]).where("at < copied").select("file", F.col("copy").alias("owner"), "condition", "step", "at")
-    own = added.join(copies.select("file", F.col("copy").alias("owner")).distinct(), ["file", "owner"], "left_semi").select("file", "owner", "condition", "step", "at")
+    taken = beside(added, copies, ["file", "owner"]).where("at < copied").select("file", F.col("copy").alias("owner"), "condition", "step", "at")
+    own = beside(added, copies.select("file", F.col("copy").alias("owner")).distinct(), ["file", "owner"], "left_semi").select("file", "owner", "condition", "step", "at")
     return taken.unionByName(own).groupBy("file", "owner", "condition").agg(F.max_by("step", "at").alias("step"), F.min("at").alias("at"))
 
 
@@ -297,7 +297,7 @@ def _own_records(rel: DataFrame) -> DataFrame:
     by_method = method_steps(rel).select("file", F.col("method").alias("called"), F.col("step").alias("returned"))
     names = d.select("file", F.col("name").alias("argument"), F.col("type").alias("kind"))
     step_like = F.col("kind").endswith("Step") | F.col("kind").isin("alias", "expression")
-    given = d.where(F.col("type").endswith("Step")).select("file", "name", F.posexplode("args").alias("nth", "argument")).join(names, ["file", "argument"]).where(step_like & (F.col("argument") != F.col("name")))
+    given = beside(d.where(F.col("type").endswith("Step")).select("file", "name", F.posexplode("args").alias("nth", "argument")), names, ["file", "argument"]).where(step_like & (F.col("argument") != F.col("name")))
     first = given.groupBy("file", "name").agg(F.min_by("argument", "nth").alias("handed"))
     said = F.regexp_extract(F.get("args", F.lit(0)), r"^(\w+)\s*\(.*\)$", 1)
     copied = F.regexp_extract(F.get("args", F.lit(0)), r"^(\w+)\.copy\(\)$", 1)
@@ -306,11 +306,11 @@ def _own_records(rel: DataFrame) -> DataFrame:
     renamed = _last_said(rel, "setText", joined_text(F.get("args", F.lit(0))), "renamed")
     icons = _last_said(rel, "addIcon", F.get("args", F.lit(0)), "icon")
     own = d.withColumn("called", F.when(F.col("type") == "expression", said)).withColumn("original", F.when(F.col("type") == "expression", copied))
-    own = own.join(by_method, ["file", "called"], "left").join(first, ["file", "name"], "left")
-    for side in (arms, copies, renamed, icons):
-        own = own.join(side, ["file", "name"], "left")
+    own = beside(own, by_method, ["file", "called"], "left")
+    for side in (first, arms, copies, renamed, icons):
+        own = beside(own, side, ["file", "name"], "left")
     source = d.where(F.col("type") == CONDITIONAL).select("file", F.col("name").alias("original"), F.get("args", F.lit(1)).alias("original_default"), first_text("args").alias("original_text"))
-    own = own.join(source, ["file", "original"], "left")
+    own = beside(own, source, ["file", "original"], "left")
     wraps, text = F.col("type") == WRAPPER, F.when(F.col("type").endswith("Step"), first_text("args"))
     to = F.when(F.col("type") == "alias", F.get("args", F.lit(0))).when(F.col("type") == "expression", F.coalesce("original_default", "returned")).otherwise(F.coalesce(F.when(F.col("type") == CONDITIONAL, F.get("args", F.lit(1))), "handed"))
     none = F.expr("cast(array() as array<struct<condition:string,step:string>>)")
@@ -329,11 +329,11 @@ def _over(a: Column, b: Column) -> Column:
 def _put_together(own: DataFrame) -> DataFrame:
     """file, name, rec, said: every name's record over all those behind it; pointers are doubled, and names that lead round in a circle have none."""
     known = own.select("file", F.col("name").alias("to"), F.lit(True).alias("is_name"))
-    cur = settled(own.join(known, ["file", "to"], "left").select("file", "name", F.when(F.col("is_name"), F.col("to")).alias("to"), "rec"), "delegates")
+    cur = settled(beside(own, known, ["file", "to"], "left").select("file", "name", F.when(F.col("is_name"), F.col("to")).alias("to"), "rec"), "delegates")
     left = None
     while True:
         ahead = cur.select("file", F.col("name").alias("to"), F.col("to").alias("next"), F.col("rec").alias("behind"))
-        moved = cur.where("to is not null").join(ahead, ["file", "to"]).select("file", "name", F.col("next").alias("to"), _over(F.col("rec"), F.col("behind")).alias("rec"))
+        moved = beside(cur.where("to is not null"), ahead, ["file", "to"]).select("file", "name", F.col("next").alias("to"), _over(F.col("rec"), F.col("behind")).alias("rec"))
         cur = settled(cur.where("to is null").unionByName(moved), "delegates")
         waiting = cur.where("to is not null").count()
         if waiting in (0, left):  # what is left goes round
@@ -357,12 +357,12 @@ def delegated(rel: DataFrame) -> DataFrame:
     while True:
         done = _put_together(own)
         behind = done.select("file", F.col("name").alias("to"), F.col("said").alias("default"))
-        poor = own.where(F.size("rec.arms") > 0).join(behind, ["file", "to"]).where(is_stand_in(F.col("default"))).select("file", "name", F.posexplode("rec.arms").alias("nth", "arm"))
+        poor = beside(own.where(F.size("rec.arms") > 0), behind, ["file", "to"]).where(is_stand_in(F.col("default"))).select("file", "name", F.posexplode("rec.arms").alias("nth", "arm"))
         rich = done.where(~is_stand_in(F.col("said"))).select("file", F.col("name").alias("step"))
-        better = settled(poor.withColumn("step", F.col("arm.step")).join(rich, ["file", "step"]).groupBy("file", "name").agg(F.max_by("step", "nth").alias("instead")), "stand-ins")
+        better = settled(beside(poor.withColumn("step", F.col("arm.step")), rich, ["file", "step"]).groupBy("file", "name").agg(F.max_by("step", "nth").alias("instead")), "stand-ins")
         if better.isEmpty():
-            return done.join(own.select("file", "name", "stood_in"), ["file", "name"]).select("file", "name", "said.text", "said.point", "said.constant", "rec.icon", "rec.arms", "stood_in")
-        own = settled(own.join(better, ["file", "name"], "left").select("file", "name", F.coalesce("instead", "to").alias("to"), "rec", (F.col("stood_in") | F.col("instead").isNotNull()).alias("stood_in")), "records")
+            return beside(done, own.select("file", "name", "stood_in"), ["file", "name"]).select("file", "name", "said.text", "said.point", "said.constant", "rec.icon", "rec.arms", "stood_in")
+        own = settled(beside(own, better, ["file", "name"], "left").select("file", "name", F.coalesce("instead", "to").alias("to"), "rec", (F.col("stood_in") | F.col("instead").isNotNull()).alias("stood_in")), "records")
 
 
 def method_steps(rel: DataFrame) -> DataFrame:

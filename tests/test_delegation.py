@@ -66,3 +66,27 @@ def test_circles_say_nothing_and_long_chains_end(read):
     chain = ["s0 = box;"] + [f"s{k} = s{k - 1};" for k in range(1, 70)]
     got = read("x = y; y = z; z = x; into = x;", *chain)
     assert not {"x", "y", "z", "into"} & set(got) and got["s69"]["text"] == "Open the box"
+
+
+@pytest.fixture
+def plans(monkeypatch):
+    """The plan that ran of every table that is settled."""
+    seen, write = [], extract.settled
+
+    def settled(df, name):
+        df.collect()
+        seen.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(extract, "settled", settled)
+    return seen
+
+
+def test_no_names_go_through_the_driver(spark, plans):
+    """However small the files of a settled table are, its rows are shuffled, not broadcast."""
+    source = "class Quest extends Helper { void set() {" + SETUP + 'empty = new DetailedQuestStep(this, "Unknown state."); c = new ConditionalStep(this, empty); c.addStep(has, letter); d = c.copy(); } Step get() { return c; } }'
+    got = extract.delegated(reader.read_sources(spark.createDataFrame([(1, source)], "file int, source string")))
+    assert {r["name"]: r["text"] for r in got.collect()}["c"] == "Hand in the letter"
+    plans.append(got._jdf.queryExecution().executedPlan().toString())
+    assert all("isFinalPlan=true" in p for p in plans) and sum("SortMergeJoin" in p for p in plans) > 4
+    assert not any("Broadcast" in p for p in plans)
