@@ -189,7 +189,7 @@ def source_delegates(spark, sf_dir):
     k = c("r") % 9
     line = F.when(k == 0, said("a", c("r"), " = new NpcStep(this, 1);")).when(k == 8, said("a", c("r"), " = a", c("r"), ";")).when(k % 2 == 0, said("a", c("r"), " = new ConditionalStep(this, a", c("r") - 1, ");")).otherwise(said("a", c("r"), " = a", c("r") - 1, ";"))
     whole = parts(spark, sf_dir).select("file", said("a", c("r")).alias("name"), (c("r") - k + 8 < c("n")).alias("whole")).where("whole")
-    return extract.resolved_steps(relation(spark, sf_dir, line)).join(whole.drop("whole"), ["file", "name"], "left_semi")
+    return beside(extract.resolved_steps(relation(spark, sf_dir, line)), whole.drop("whole"), ["file", "name"], "left_semi")
 
 
 @registered(f"""WITH {_PARTS}, x AS (SELECT file, r, r % 6 AS k, r - r % 6 AS base, n, k AS id, s, max(CASE WHEN r % 6 = 0 THEN s END) OVER w % 4 = 0 AS poor, max(CASE WHEN r % 6 = 0 THEN k END) OVER w AS id0, max(CASE WHEN r % 6 = 1 THEN k END) OVER w AS id1, max(CASE WHEN r % 6 = 3 THEN s END) OVER w % 2 = 0 AS worded,

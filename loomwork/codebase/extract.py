@@ -256,18 +256,18 @@ def resolved_steps(rel: DataFrame) -> DataFrame:
     """
     d = settled(declarations(rel).select("file", "name", "type", F.when(F.col("type") == "alias", F.get("args", F.lit(0))).when(F.col("type") == CONDITIONAL, F.get("args", F.lit(1))).alias("to")), "names")
     known = d.select("file", F.col("name").alias("to"), F.lit(1).alias("is_name"))
-    linked = d.join(known, ["file", "to"], "left")
+    linked = beside(d, known, ["file", "to"], "left")
     cur = settled(linked.select("file", "name", F.when(F.col("is_name") == 1, F.col("to")).otherwise(F.col("name")).alias("real")), "pointers")
-    ends = linked.where("is_name is null").select("file", F.col("name").alias("real"), "type")
+    ends = settled(linked.where("is_name is null").select("file", F.col("name").alias("real"), "type"), "ends")
     left = None
     while True:
         hop = cur.select("file", F.col("name").alias("real"), F.col("real").alias("next"))
-        cur = settled(cur.join(hop, ["file", "real"]).select("file", "name", F.col("next").alias("real")), "pointers")
-        still = cur.join(ends, ["file", "real"], "left_anti").count()
+        cur = settled(beside(cur, hop, ["file", "real"]).select("file", "name", F.col("next").alias("real")), "pointers")
+        still = beside(cur, ends, ["file", "real"], "left_anti").count()
         if still == left or still == 0:
             break
         left = still
-    return cur.join(ends, ["file", "real"], "left").select("file", "name", F.when(F.col("type").isNotNull(), F.col("real")).alias("real"), "type")
+    return beside(cur, ends, ["file", "real"], "left").select("file", "name", F.when(F.col("type").isNotNull(), F.col("real")).alias("real"), "type")
 
 
 # A step that wraps another and hides its answer, and what stand-in steps say.

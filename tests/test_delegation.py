@@ -90,3 +90,12 @@ def test_no_names_go_through_the_driver(spark, plans):
     plans.append(got._jdf.queryExecution().executedPlan().toString())
     assert all("isFinalPlan=true" in p for p in plans) and sum("SortMergeJoin" in p for p in plans) > 4
     assert not any("Broadcast" in p for p in plans)
+
+
+def test_no_pointers_go_through_the_driver(spark, plans):
+    source = "class Quest extends Helper { void set() {" + SETUP + "same = inner; third = same; x = y; y = x; } }"
+    got = extract.resolved_steps(reader.read_sources(spark.createDataFrame([(1, source)], "file int, source string")))
+    real = {r["name"]: (r["real"], r["type"]) for r in got.collect()}
+    assert real["third"] == real["inner"] == ("box", "ObjectStep") and real["x"] == (None, None)
+    plans.append(got._jdf.queryExecution().executedPlan().toString())
+    assert sum("SortMergeJoin" in p for p in plans) > 3 and not any("Broadcast" in p for p in plans)
