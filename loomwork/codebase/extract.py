@@ -105,7 +105,7 @@ def items(rel: DataFrame) -> DataFrame:
     )
     second = F.get("args", F.lit(1))
     count = F.greatest(F.coalesce(F.try_element_at(F.transform(F.filter("args", lambda a: a.rlike("^[0-9]+$")), lambda a: a.cast("int")), F.lit(1)), F.lit(1)), F.lit(1))
-    return own.join(extra, ["file", "name"], "left").select(
+    return beside(own, extra, ["file", "name"], "left").select(
         "file", "name", joined_text(F.get("args", F.lit(0))).alias("label"), F.when(second.rlike(ID_PATTERN), second).alias("constant"), F.when(second.startswith("ItemCollections."), second).alias("collection"),
         count.alias("count"), F.coalesce("alternates", F.expr("cast(array() as array<string>)")).alias("alternates"), F.coalesce("highlighted", F.lit(False)).alias("highlighted"), "pos",
     )
@@ -115,7 +115,7 @@ def step_items(rel: DataFrame) -> DataFrame:
     """file, step, position, label, count: the items that a step's arguments name, each label once, where it first stands."""
     own = items(rel).select("file", F.col("name").alias("argument"), "label", "count")
     given = declarations(rel).where(F.col("type").endswith("Step")).select("file", F.col("name").alias("step"), F.posexplode("args").alias("at", "argument"))
-    first = given.join(own, ["file", "argument"]).groupBy("file", "step", "label").agg(F.min_by(F.struct("at", "count"), "at").alias("f"))
+    first = beside(given, own, ["file", "argument"]).groupBy("file", "step", "label").agg(F.min_by(F.struct("at", "count"), "at").alias("f"))
     n = F.row_number().over(Window.partitionBy("file", "step").orderBy("f.at")) - 1
     return first.select("file", "step", n.alias("position"), "label", F.col("f.count").alias("count"))
 
@@ -153,7 +153,7 @@ def zones(rel: DataFrame) -> DataFrame:
 def zone_lists(rel: DataFrame) -> DataFrame:
     """file, name, boxes of a condition on several zones; null where any of them cannot be read."""
     asked = declarations(rel).where(F.col("type") == "ZoneRequirement").select("file", "name", F.posexplode("args").alias("at", "zone"))
-    met = asked.join(zones(rel).withColumnRenamed("name", "zone"), ["file", "zone"], "left")
+    met = beside(asked, zones(rel).withColumnRenamed("name", "zone"), ["file", "zone"], "left")
     boxes = F.transform(F.sort_array(F.collect_list(F.struct("at", "box"))), lambda s: s["box"])
     return met.groupBy("file", "name").agg(F.when(F.bool_and(F.col("box").isNotNull()), boxes).alias("boxes"))
 
@@ -163,8 +163,8 @@ def route_points(rel: DataFrame) -> DataFrame:
     drawn = calls(rel).where("name = 'setLinePoints' and receiver is not null").select("file", F.col("receiver").alias("step"), F.col("pos").alias("drawn"))
     lists = calls(rel).where(F.col("name").isin(*LISTS) & F.col("parent").isNotNull()).select("file", F.col("parent").alias("within"), "args")
     turned = calls(rel).where("name = 'reverse'").select("file", F.col("pos").alias("within"), F.col("parent").alias("drawn"))
-    direct = lists.withColumnRenamed("within", "drawn").join(drawn, ["file", "drawn"]).select("file", "step", "drawn", "args")
-    back = turned.join(lists, ["file", "within"]).join(drawn, ["file", "drawn"]).select("file", "step", "drawn", F.reverse("args").alias("args"))
+    direct = beside(lists.withColumnRenamed("within", "drawn"), drawn, ["file", "drawn"]).select("file", "step", "drawn", "args")
+    back = beside(beside(turned, lists, ["file", "within"]), drawn, ["file", "drawn"]).select("file", "step", "drawn", F.reverse("args").alias("args"))
     lines = direct.unionByName(back)
     one = lines.groupBy("file", "step").agg(F.countDistinct(F.array_join("args", ";")).alias("n"), F.min_by("args", "drawn").alias("args")).where("n = 1")
     rows = one.select("file", "step", F.posexplode("args").alias("at", "a")).withColumn("point", point(F.col("a")))
@@ -182,7 +182,7 @@ def tile_markers(rel: DataFrame) -> DataFrame:
 def panels(rel: DataFrame) -> DataFrame:
     """file, step, place: steps in the order in which the panels first list them, from 0."""
     panel = calls(rel).where((F.col("name") == PANEL) & F.col("is_new")).select("file", F.col("pos").alias("parent"))
-    listed = calls(rel).where(F.col("name").isin(*LISTS)).join(panel, ["file", "parent"]).where("parent_arg = 1")
+    listed = beside(calls(rel).where(F.col("name").isin(*LISTS)), panel, ["file", "parent"]).where("parent_arg = 1")
     first = listed.select("file", "pos", F.posexplode("args").alias("at", "step")).where(F.col("step").rlike(r"^[A-Za-z_]\w*$")).groupBy("file", "step").agg(F.min(F.struct("pos", "at")).alias("f"))
     return first.select("file", "step", (F.dense_rank().over(Window.partitionBy("file").orderBy("f")) - 1).alias("place"))
 
@@ -381,9 +381,9 @@ def progress(rel: DataFrame) -> DataFrame:
     number = F.get("args", F.lit(0))
     put = calls(rel).where("name in ('put', 'add') and size(args) = 2 and receiver = 'steps'").where(number.rlike("^[0-9]+$")).select("file", number.cast("int").alias("value"), F.get("args", F.lit(1)).alias("a"), "pos")
     by = method_steps(rel).withColumn("a", F.concat("method", F.lit("()"))).select("file", "a", F.col("step").alias("returned"))
-    own = put.join(by, ["file", "a"], "left").groupBy("file", "value").agg(F.max_by(F.coalesce("returned", "a"), "pos").alias("step"))
+    own = beside(put, by, ["file", "a"], "left").groupBy("file", "value").agg(F.max_by(F.coalesce("returned", "a"), "pos").alias("step"))
     lone = declarations(rel).where(F.col("type") == CONDITIONAL).groupBy("file").agg(F.min("name").alias("step"), F.count(F.lit(1)).alias("n")).where("n = 1")
-    return own.unionByName(lone.join(own.select("file").distinct(), "file", "left_anti").select("file", F.lit(0).alias("value"), "step"))
+    return own.unionByName(beside(lone, own.select("file").distinct(), ["file"], "left_anti").select("file", F.lit(0).alias("value"), "step"))
 
 
 # --- registries and indexes ------------------------------------------------
