@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.tables import beside
 from .common import materialise
 
 
@@ -22,10 +23,10 @@ def components(edges: DataFrame) -> DataFrame:
     labels = materialise(edges.select(F.col("a").alias("node")).distinct().withColumn("label", F.col("node")), "labels")
     total = None
     while True:
-        near = edges.join(labels, edges["b"] == labels["node"]).select(F.col("a").alias("node"), "label")
+        near = beside(edges, labels, edges["b"] == labels["node"]).select(F.col("a").alias("node"), "label")
         low = near.unionByName(labels).groupBy("node").agg(F.min("label").alias("label"))
         before = labels.select(F.col("node").alias("at"), F.col("label").alias("next"))
-        labels = materialise(low.join(before, low["label"] == before["at"]).select("node", F.col("next").alias("label")), "labels")
+        labels = materialise(beside(low, before, low["label"] == before["at"]).select("node", F.col("next").alias("label")), "labels")
         now = labels.agg(F.sum(F.col("label").cast("decimal(38,0)"))).first()[0]
         if now == total:
             return labels

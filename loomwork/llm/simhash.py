@@ -30,6 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.tables import beside
 from .common import id_and_text, materialise, salt
 from .components import components
 from .exact import without
@@ -139,11 +140,15 @@ def _homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def links(fps: DataFrame) -> DataFrame:
-    """fps: fp (distinct fingerprints).  a, b: linked fingerprints, both directions."""
+    """fps: fp (distinct fingerprints).  a, b: linked fingerprints, both directions.
+
+    A fingerprint has some sixty anchors, of which Spark's sizes know nothing:
+    the two sides meet by a shuffle, never through the driver.
+    """
     replica = fps.mapInArrow(_replicas, "anchor long, fp long")
     home = fps.mapInArrow(_homes, "home long, home_fp long")
     close = (F.col("home") == F.col("anchor")) & (F.col("home_fp") != F.col("fp")) & (F.bit_count(F.col("home_fp").bitwiseXOR(F.col("fp"))) <= THRESHOLD)
-    return home.join(replica, close).select(F.col("home_fp").alias("a"), F.col("fp").alias("b"))
+    return beside(home, replica, close).select(F.col("home_fp").alias("a"), F.col("fp").alias("b"))
 
 
 def _found(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -157,18 +162,18 @@ def _found(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     part = sliced.groupBy("fp", "salt").agg(F.min("doc_id").alias("rep"))
     reps = materialise(part.groupBy("fp").agg(F.min("rep").alias("rep"), F.collect_set("salt").alias("salts")), "distinct")
     label = components(links(reps.select("fp")))
-    linked = materialise(label.join(reps, label["node"] == reps["fp"]).select("node", "label", "rep"), "linked")
+    linked = materialise(beside(label, reps, label["node"] == reps["fp"]).select("node", "label", "rep"), "linked")
     least = F.min(F.when(F.col("rep").isNotNull(), F.struct("rep", "node")))
     first = materialise(linked.groupBy("label").agg(least.alias("first")).select(F.col("label").alias("of"), "first.rep", "first.node"), "first")
-    member = linked.join(first, linked["label"] == first["of"]).select(linked["node"], first["rep"].alias("component_id"), first["node"].alias("first_fp"))
+    member = beside(linked, first, linked["label"] == first["of"]).select(linked["node"], first["rep"].alias("component_id"), first["node"].alias("first_fp"))
     alone = F.col("node").isNull()
-    named = reps.join(member, reps["fp"] == member["node"], "left").select(
+    named = beside(reps, member, reps["fp"] == member["node"], "left").select(
         "fp",
         F.explode("salts").alias("salt"),
         F.when(alone, F.col("rep")).otherwise(F.col("component_id")).alias("component_id"),
         F.when(alone, F.col("fp")).otherwise(F.col("first_fp")).alias("first_fp"),
     )
-    return sliced.join(named, ["fp", "salt"]).select("doc_id", "text_key", "fp", "component_id", "first_fp")
+    return beside(sliced, named, ["fp", "salt"]).select("doc_id", "text_key", "fp", "component_id", "first_fp")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

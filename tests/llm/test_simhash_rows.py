@@ -54,3 +54,30 @@ def test_rounds_of_components_are_one_plain_table_each(spark):
     new = set(place.iterdir()) - old
     assert len(new) <= 2 + 2 * math.ceil(math.log2(n))
     assert all(any(p.glob("*.parquet")) and not (p / "_SUCCESS").exists() for p in new)
+
+
+def joins(df):
+    """The joins and broadcasts of a plan, chosen by the sizes that Spark supposes."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line.strip(" :+-*|") for line in plan.splitlines() if "Join" in line or "BroadcastExchange" in line]
+
+
+def test_anchors_do_not_go_through_the_driver(spark, monkeypatch):
+    """Fingerprints weigh little as files; what is made of them has some sixty rows for each and is shuffled, as is all that meets later."""
+    from loomwork.llm import components
+    from loomwork.plans.tables import settled
+
+    seen = []
+
+    def watched(df, name):
+        seen.extend(joins(df))
+        return settled(df, name)
+
+    monkeypatch.setattr(simhash, "materialise", watched)
+    monkeypatch.setattr(components, "materialise", watched)
+    texts = [" ".join(f"w{k}" for k in range(n)) for n in (46, 47, 48)] + [A, B, C]
+    docs = spark.createDataFrame([(k, texts[k % 6]) for k in range(600)], "doc_id long, text string")
+    got = simhash.near_duplicates(docs)
+    seen += joins(got)
+    assert {(r.doc_id, r.component_id) for r in got.collect()} == {(k, 0 if k % 6 < 3 else k % 6) for k in range(600)}
+    assert sum("SortMergeJoin" in x for x in seen) >= 6 and not [x for x in seen if "Broadcast" in x]
