@@ -92,6 +92,29 @@ def test_close_pairs_ask_each_likeness_once(spark, monkeypatch):
     assert loose.close_pairs(many, many, "b", "k", "t", 2, 0.62).count() == 60000  # 900 million pairs of rows
 
 
+def test_close_pairs_of_repeated_keys(spark):
+    """Repeated rows and keys with several texts take no places from other keys."""
+    from difflib import SequenceMatcher
+
+    from loomwork.operators import loose
+
+    rng = random.Random(4)
+    rows = [("p", 1, "hot ring")] * 6 + [("p", 2, "hot ring"), ("p", 2, "hot ring"), ("p", 3, "hot rings")]
+    rows += [("q", rng.randrange(8), rng.choice(["hot ring", "hot rings", "cold ring", "small bolt", "smell bolt"])) for _ in range(60)]
+    want = set()
+    for b, k in {(b, k) for b, k, _ in rows}:
+        best = {}
+        for a in {t for c, o, t in rows if (c, o) == (b, k)}:
+            for c, o, t in rows:
+                if c == b and o != k:
+                    best[o] = max(best.get(o, 0), SequenceMatcher(None, a, t).ratio())
+        near = sorted((-r, o) for o, r in best.items() if r >= 0.62)[:3]
+        want |= {(b, k, o, -r, n + 1) for n, (r, o) in enumerate(near)}
+    df = spark.createDataFrame(rows, "b string, k int, t string")
+    got = [tuple(r) for r in loose.close_pairs(df, df, "b", "k", "t", 3, 0.62).collect()]
+    assert len(got) == len(want) and set(got) == want and ("p", 1, 2, 1.0, 1) in want
+
+
 def test_nearest_of_many_rows_at_few_places(spark):
     """Places meet, not rows: 200,000 by 20,000 rows at 40 places."""
     left = spark.range(200000).selectExpr("id as k", "id % 2 as p", "id % 20 * 7 as x", "id % 5 as y")
