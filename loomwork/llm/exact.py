@@ -24,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.tables import beside
 from .common import id_and_text, materialise, salt, spread_groups
 
 BITS = 1 << 27
@@ -89,7 +90,7 @@ def without(docs: DataFrame, keys: list[Column], gone: DataFrame, bits: int = BI
     asked = mark_possible(whole, "__loom_key", set_bits(list_.select(F.xxhash64(*theirs).alias("sha")), bits), bits, "__loom_possible")
     stays, some = asked.where(~F.col("__loom_possible")), asked.where("__loom_possible")
     met = [some[a].eqNullSafe(list_[b]) for a, b in zip(own, theirs, strict=True)]
-    return stays.select("__loom_row.*").unionByName(some.join(list_, met, "left_anti").select("__loom_row.*"))
+    return stays.select("__loom_row.*").unionByName(beside(some, list_, met, "left_anti").select("__loom_row.*"))
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS) -> DataFrame:
@@ -100,7 +101,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     marked = mark_possible(rows, "sha", repeated_bits(rows, bits), bits, "possible", hashes=1)
     lone = marked.where("not possible").select("doc_id", "sha", F.col("doc_id").alias("group_min"), F.lit(1).cast("long").alias("group_rows"))
     some = marked.where("possible").select("doc_id", "sha", salt(docs.sparkSession, "doc_id").alias("salt"))
-    met = some.join(spread_groups(some.select("doc_id", "sha"), ["sha"], "doc_id"), ["sha", "salt"]).select("doc_id", "sha", "group_min", "group_rows")
+    met = beside(some, spread_groups(some.select("doc_id", "sha"), ["sha"], "doc_id"), ["sha", "salt"]).select("doc_id", "sha", "group_min", "group_rows")
     return lone.unionByName(met).select(
         "doc_id",
         F.col("group_min").alias("keep_id"),
@@ -130,7 +131,7 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     groups = spread_groups(possible, ["sha"], "doc_id").where("group_rows > 1").select(
         F.col("sha").alias("__loom_sha"), F.col("salt").alias("__loom_salt"), F.col("group_min").alias("__loom_min"), F.lit(True).alias("__loom_group")
     )
-    met = some.join(groups, ["__loom_sha", "__loom_salt"], "left")
+    met = beside(some, groups, ["__loom_sha", "__loom_salt"], "left")
     alone = met.where("__loom_group is null").select("__loom_row.*")
     first = met.where(F.col("__loom_group") & F.col("__loom_id").eqNullSafe(F.col("__loom_min")))
     return lone.unionByName(alone).unionByName(first.dropDuplicates(["__loom_sha"]).select("__loom_row.*"))

@@ -81,3 +81,16 @@ def test_anchors_do_not_go_through_the_driver(spark, monkeypatch):
     seen += joins(got)
     assert {(r.doc_id, r.component_id) for r in got.collect()} == {(k, 0 if k % 6 < 3 else k % 6) for k in range(600)}
     assert sum("SortMergeJoin" in x for x in seen) >= 6 and not [x for x in seen if "Broadcast" in x]
+
+
+def test_lists_of_copies_do_not_go_through_the_driver(spark):
+    """Rows that leave and groups of copies, one row for each of a group's slices, are shuffled; only filters' words are sent to all."""
+    from loomwork.llm import exact
+
+    docs = spark.createDataFrame([(k, [A, B, C][k % 3] if k % 2 else f"{A} {k}") for k in range(60)], "doc_id long, text string")
+    copies, near = exact.drop_copies(docs), simhash.drop_near_duplicates(docs)
+    assert copies.count() == 33 and {A, B, C} <= {r.text for r in copies.collect()}
+    near.collect()
+    groups = [x for x in joins(copies) if "Join" in x and "__loom_sha" in x]
+    leaves = [x for x in joins(near) if "Join" in x and "LeftAnti" in x]
+    assert groups and leaves and all("SortMergeJoin" in x for x in groups + leaves)
